@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from concord.plans import workload
 from concord.sources.tables import read_table, run_query
@@ -72,3 +73,125 @@ def q_param_filter(spark: SparkSession, sf: str) -> DataFrame:
     read_table(spark, sf, "lineitem").createOrReplaceTempView("lineitem")
     return run_query(spark, PARAM_FILTER_SQL.format(start=":start", max_discount=":max_discount"),
                      {"start": dt.datetime(1995, 1, 1), "max_discount": 0.05})
+
+
+# ---------------------------------------------------------------- reconciliation
+
+from concord.operators import fingerprint as fp  # noqa: E402
+from concord.operators import rowdiff  # noqa: E402
+from concord.plans import drift, twins  # noqa: E402
+
+ORDERS_NUM = ["o_orderkey", "o_custkey", "o_totalprice"]
+LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+LINEITEM_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                "l_discount", "l_tax"]
+
+
+def _with_drift(sql: str) -> str:
+    return f"WITH {drift.DRIFT_CTES}\nSELECT * FROM (\n{sql}\n) AS q"
+
+
+def _pairs(spark: SparkSession, sf: str, names: list[tuple[str, str]]) -> list[fp.Pair]:
+    base = {n: read_table(spark, sf, n) for n in {"orders", "lineitem", "customer", "part", "supplier",
+                                                  "nation", "region"}}
+    derived = {"orders_tgt": lambda: drift.orders_tgt(base["orders"]),
+               "orders_comp": lambda: drift.orders_comp(base["orders"]),
+               "lineitem_tgt": lambda: drift.lineitem_tgt(base["lineitem"])}
+    get = lambda n: base[n] if n in base else derived[n]()
+    return [fp.Pair(s, t, get(s), get(t)) for s, t in names]
+
+
+PARITY_PAIRS = [("orders", "orders_tgt"), ("lineitem", "lineitem_tgt"), ("orders", "orders_comp"),
+                ("customer", "customer"), ("part", "part"), ("supplier", "supplier"), ("nation", "nation"),
+                ("region", "region")]
+
+
+@register("rowcount_parity", _with_drift("\nUNION ALL\n".join(
+    f"SELECT '{s}' AS source, '{t}' AS target, (SELECT COUNT(*) FROM {s}) AS source_rows, "
+    f"(SELECT COUNT(*) FROM {t}) AS target_rows, (SELECT COUNT(*) FROM {s}) = (SELECT COUNT(*) FROM {t}) AS matched"
+    for s, t in PARITY_PAIRS)))
+def q_rowcount_parity(spark: SparkSession, sf: str) -> DataFrame:
+    return fp.rowcount_parity(_pairs(spark, sf, PARITY_PAIRS))
+
+
+@register("numeric_sums", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, COUNT({c}) AS non_null, "
+    f"COALESCE(SUM(COALESCE(TRY_CAST({c} AS DECIMAL(38,6)), 0)), 0) AS value_sum FROM lineitem"
+    for c in LINEITEM_NUM))
+def q_numeric_sums(spark: SparkSession, sf: str) -> DataFrame:
+    return fp.numeric_sums(read_table(spark, sf, "lineitem"))
+
+
+@register("group_fingerprint", "WITH g AS (" + twins.group_agg_sql("orders", ["o_orderstatus"], ORDERS_NUM, "") + ")\n"
+          + "SELECT CAST(k0 AS VARCHAR) AS group_key, CAST(NULL AS VARCHAR) AS column_name, n AS row_count, "
+            "CAST(n AS DECIMAL(38,6)) AS value_sum FROM g\n"
+          + "".join(f"UNION ALL SELECT CAST(k0 AS VARCHAR), '{c}', n, s{i} FROM g\n" for i, c in enumerate(ORDERS_NUM)))
+def q_group_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    return fp.fingerprint_long(read_table(spark, sf, "orders"))
+
+
+@register("fingerprint_diff", _with_drift(twins.fingerprint_diff_sql("orders", "orders_tgt", ["o_orderstatus"], ORDERS_NUM)))
+def q_fingerprint_diff(spark: SparkSession, sf: str) -> DataFrame:
+    return fp.compare(_pairs(spark, sf, [("orders", "orders_tgt")])[0])
+
+
+def _verdict_sql(pairs: list[tuple[str, str, list[str], list[str]]]) -> str:
+    counts = "\nUNION ALL\n".join(
+        f"SELECT '{s}' AS source, '{t}' AS target, (SELECT COUNT(*) FROM ("
+        f"{twins.fingerprint_diff_sql(s, t, k, c)}) AS d) AS n_diffs" for s, t, k, c in pairs)
+    return _with_drift(
+        f"SELECT source, target, n_diffs, CASE WHEN n_diffs = 0 THEN 'validated' ELSE 'flagged' END AS status,\n"
+        f" CASE WHEN MAX(n_diffs) OVER () = 0 THEN 'validated' ELSE 'flagged' END AS batch_status\n"
+        f"FROM (\n{counts}\n) AS v")
+
+
+CLEAN_PAIR = [("orders", "orders", ["o_orderstatus"], ORDERS_NUM)]
+
+
+@register("fingerprint_clean", _verdict_sql(CLEAN_PAIR))
+def q_fingerprint_clean(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = _pairs(spark, sf, [("orders", "orders")])
+    return fp.verdict(pairs, fp.reconcile(pairs))
+
+
+BATCH_PAIRS = [("orders", "orders_tgt", ["o_orderstatus"], ORDERS_NUM),
+               ("orders", "orders_comp", ["o_orderstatus"], ORDERS_NUM),
+               ("lineitem", "lineitem_tgt", ["l_returnflag"], LINEITEM_NUM),
+               ("customer", "customer", ["c_name"], ["c_custkey", "c_nationkey", "c_acctbal"]),
+               ("part", "part", ["p_name"], ["p_partkey", "p_size", "p_retailprice"])]
+
+
+@register("batch_verdict", _verdict_sql(BATCH_PAIRS))
+def q_batch_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = _pairs(spark, sf, [(s, t) for s, t, _, _ in BATCH_PAIRS])
+    return fp.verdict(pairs, fp.reconcile(pairs))
+
+
+@register("bucket_drilldown", _with_drift(twins.key_diff_sql("orders", "orders_tgt", "o_custkey",
+                                                              ["o_orderkey", "o_totalprice"])))
+def q_bucket_drilldown(spark: SparkSession, sf: str) -> DataFrame:
+    p = _pairs(spark, sf, [("orders", "orders_tgt")])[0]
+    return rowdiff.bucket_drilldown(p.source, p.target, "o_custkey", ["o_orderkey", "o_totalprice"])
+
+
+@register("row_hash_diff", _with_drift(twins.row_diff_sql("lineitem", "lineitem_tgt", LINEITEM_COLS)))
+def q_row_hash_diff(spark: SparkSession, sf: str) -> DataFrame:
+    p = _pairs(spark, sf, [("lineitem", "lineitem_tgt")])[0]
+    return rowdiff.row_multiset_diff(p.source, p.target)
+
+
+ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@register("compensating_drift", _with_drift(
+    "SELECT 'group_fingerprint' AS check, (SELECT COUNT(*) FROM ("
+    + twins.fingerprint_diff_sql("orders", "orders_comp", ["o_orderstatus"], ORDERS_NUM) + ") AS a) AS n_diffs\n"
+    "UNION ALL SELECT 'row_multiset', (SELECT COUNT(*) FROM ("
+    + twins.row_diff_sql("orders", "orders_comp", ORDERS_COLS) + ") AS b)"))
+def q_compensating_drift(spark: SparkSession, sf: str) -> DataFrame:
+    p = _pairs(spark, sf, [("orders", "orders_comp")])[0]
+    g = fp.compare(p).agg(F.count(F.lit(1)).alias("n_diffs")).select(F.lit("group_fingerprint").alias("check"), "n_diffs")
+    r = rowdiff.row_multiset_diff(p.source, p.target).agg(F.count(F.lit(1)).alias("n_diffs")).select(
+        F.lit("row_multiset").alias("check"), "n_diffs")
+    return g.unionByName(r)
