@@ -195,3 +195,94 @@ def q_compensating_drift(spark: SparkSession, sf: str) -> DataFrame:
     r = rowdiff.row_multiset_diff(p.source, p.target).agg(F.count(F.lit(1)).alias("n_diffs")).select(
         F.lit("row_multiset").alias("check"), "n_diffs")
     return g.unionByName(r)
+
+
+# ---------------------------------------------------------------- schema audit
+
+from concord.functions.types import declared_type, type_family  # noqa: E402
+from concord.operators import schema_audit as sa  # noqa: E402
+from concord.sources.tables import DRIVER_TABLES, register_views  # noqa: E402
+
+# Migrated target tables: the source table reshaped as a target warehouse would
+# hold it (retyped, renamed, narrowed and extra columns). Same text on both engines.
+AUDIT_PAIRS = [
+    ("orders", "orders_v2", "SELECT * FROM orders",
+     "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, "
+     "CAST(o_orderdate AS STRING) AS o_orderdate, o_orderpriority AS o_priority FROM orders"),
+    ("lineitem", "lineitem_v2", "SELECT * FROM lineitem",
+     "SELECT l_orderkey, CAST(l_partkey AS INTEGER) AS l_partkey, l_suppkey, l_linenumber, "
+     "CAST(l_quantity AS DECIMAL(10,2)) AS l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, "
+     "l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem"),
+    ("part", "part_v2", "SELECT * FROM part",
+     "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS SMALLINT) AS p_size, p_retailprice, "
+     "p_size > 25 AS p_large FROM part"),
+    ("customer", "customer", "SELECT * FROM customer", "SELECT * FROM customer"),
+]
+AUDIT_COLUMNS = ["source_table", "target_table", "column_key", "source_column_name", "target_column_name",
+                 "source_type_family", "target_type_family", "source_present", "target_present", "status",
+                 "severity", "source_nullable", "target_nullable", "source_precision", "target_precision",
+                 "source_scale", "target_scale", "notes"]
+
+
+def _audit_report(spark: SparkSession, sf: str) -> DataFrame:
+    register_views(spark, sf, ("orders", "lineitem", "part", "customer"))
+    pairs = [sa.AuditPair(s, t, (lambda q=sq: spark.sql(q)), (lambda q=tq: spark.sql(q)))
+             for s, t, sq, tq in AUDIT_PAIRS]
+    meta, errors = sa.column_metadata(spark, pairs)
+    return sa.compare_columns(meta, errors)
+
+
+_AUDIT_SQL = twins.column_audit_sql(AUDIT_PAIRS)
+
+
+@register("column_audit", f"SELECT {', '.join(AUDIT_COLUMNS)} FROM ({_AUDIT_SQL}) AS a")
+def q_column_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return _audit_report(spark, sf).select(*AUDIT_COLUMNS)
+
+
+@register("table_verdict", f"""
+SELECT source_table, target_table, COUNT(*) AS total_columns,
+       COUNT(*) FILTER (WHERE severity = 'ok') AS compatible_columns,
+       COUNT(*) FILTER (WHERE severity = 'warning') AS warning_columns,
+       COUNT(*) FILTER (WHERE severity = 'error') AS error_columns,
+       CASE WHEN COUNT(*) FILTER (WHERE severity = 'error') > 0 THEN 'blocked'
+            WHEN COUNT(*) FILTER (WHERE severity = 'warning') > 0 THEN 'warning' ELSE 'compatible' END AS status
+FROM ({_AUDIT_SQL}) AS a GROUP BY source_table, target_table""")
+def q_table_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    return sa.summarize_tables(_audit_report(spark, sf))
+
+
+@register("column_gate", f"""
+SELECT source_table, target_table, COUNT(*) FILTER (WHERE status <> 'compatible') AS blocking_columns,
+       COUNT(*) FILTER (WHERE status <> 'compatible') = 0 AS can_run
+FROM ({_AUDIT_SQL}) AS a GROUP BY source_table, target_table""")
+def q_column_gate(spark: SparkSession, sf: str) -> DataFrame:
+    return sa.column_gate(_audit_report(spark, sf))
+
+
+@register("type_family_catalog", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, column_name, {twins.type_family_sql('column_type')} AS type_family "
+    f"FROM (DESCRIBE SELECT * FROM {t})" for t in DRIVER_TABLES))
+def q_type_family_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    rows = [(t, f.name, declared_type(f.dataType)) for t in DRIVER_TABLES
+            for f in read_table(spark, sf, t).schema.fields]
+    cat = spark.createDataFrame(rows, "table_name string, column_name string, raw_type string")
+    return cat.select("table_name", "column_name", type_family(F.col("raw_type")).alias("type_family"))
+
+
+EVENT_SAMPLE_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+@register("sample_evidence", "WITH smp AS (SELECT row_number() OVER (ORDER BY event_id) AS pos, * FROM "
+          "(SELECT * FROM events ORDER BY event_id LIMIT 1000)),\n long AS ("
+          + "\nUNION ALL\n".join(f"SELECT pos, '{c}' AS column_key, CAST({c} AS VARCHAR) AS value FROM smp"
+                                 for c in EVENT_SAMPLE_COLUMNS)
+          + "),\n firsts AS (SELECT column_key, value, MIN(pos) AS pos FROM long WHERE value IS NOT NULL "
+            "GROUP BY 1, 2),\n ranked AS (SELECT *, row_number() OVER (PARTITION BY column_key ORDER BY pos) AS r "
+            "FROM firsts)\n"
+            "SELECT c.column_key, c.non_null, COALESCE(e.example_values, '[]') AS example_values FROM "
+            "(SELECT column_key, COUNT(value) AS non_null FROM long GROUP BY 1) c LEFT JOIN "
+            "(SELECT column_key, CAST(to_json(list(value ORDER BY pos)) AS VARCHAR) AS example_values FROM ranked "
+            "WHERE r <= 3 GROUP BY 1) e USING (column_key)")
+def q_sample_evidence(spark: SparkSession, sf: str) -> DataFrame:
+    return sa.sample_evidence(read_table(spark, sf, "events"), ["event_id"], 1000, 3, EVENT_SAMPLE_COLUMNS)
