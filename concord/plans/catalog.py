@@ -286,3 +286,66 @@ EVENT_SAMPLE_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "pro
             "WHERE r <= 3 GROUP BY 1) e USING (column_key)")
 def q_sample_evidence(spark: SparkSession, sf: str) -> DataFrame:
     return sa.sample_evidence(read_table(spark, sf, "events"), ["event_id"], 1000, 3, EVENT_SAMPLE_COLUMNS)
+
+
+# ---------------------------------------------------------------- conformance
+
+from concord.operators import conform as cf  # noqa: E402
+
+EVENTS_LOAD_SQL = ("SELECT event_id, ts, user_id, event_type, value, props, "
+                   "CAST(event_type = 'click' AS DOUBLE) AS is_click, "
+                   "regexp_extract(props, '([0-9]+)', 1) AS k_text FROM events")
+EVENTS_TARGET = [("event_id", "INTEGER"), ("ts", "DATETIME"), ("user_id", "STRING"), ("event_type", "STRING"),
+                 ("value", "FLOAT"), ("is_click", "BOOL"), ("k_text", "INT64"), ("session_id", "STRING")]
+
+
+@register("conform_events", f"""
+SELECT TRY_CAST(event_id AS BIGINT) AS event_id, ts, CAST(user_id AS VARCHAR) AS user_id, event_type,
+       CAST(value AS DOUBLE) AS value, COALESCE(is_click <> 0, false) AS is_click,
+       TRY_CAST(k_text AS BIGINT) AS k_text, CAST(NULL AS VARCHAR) AS session_id
+FROM ({EVENTS_LOAD_SQL}) AS src""")
+def q_conform_events(spark: SparkSession, sf: str) -> DataFrame:
+    register_views(spark, sf, ("events",))
+    result = cf.conform(spark.sql(EVENTS_LOAD_SQL), EVENTS_TARGET, lenient_datetime_columns=["ts"], fill_missing=True)
+    return result.frame
+
+
+# ---------------------------------------------------------------- lineage
+
+from concord.operators import lineage as lin  # noqa: E402
+from concord.plans import graphs  # noqa: E402
+
+_LINEAGE_CTES = (f"edges AS ({graphs.ENTITY_EDGES_SQL}),\n produced AS ({graphs.ENTITY_PRODUCED_SQL}),\n"
+                 " tables AS (SELECT source AS t FROM edges UNION SELECT t FROM produced)")
+
+
+@register("lineage_edges", f"WITH {_LINEAGE_CTES} SELECT DISTINCT source, target, unit_id FROM edges")
+def q_lineage_edges(spark: SparkSession, sf: str) -> DataFrame:
+    return lin.build_edges(graphs.entity_units(spark, sf)).select("source", "target", "unit_id")
+
+
+@register("lineage_stages", f"""WITH RECURSIVE {_LINEAGE_CTES},
+ dag AS (SELECT DISTINCT source, target FROM edges WHERE source <> target),
+ walk(t, d) AS (SELECT t, 0 FROM tables WHERE t NOT IN (SELECT t FROM produced)
+                UNION ALL SELECT t, 1 FROM produced
+                UNION ALL SELECT dag.target, walk.d + 1 FROM walk JOIN dag ON dag.source = walk.t)
+SELECT t AS table_name, CAST(MAX(d) AS INTEGER) AS stage, false AS in_cycle FROM walk GROUP BY t""")
+def q_lineage_stages(spark: SparkSession, sf: str) -> DataFrame:
+    return lin.compute_stages(graphs.entity_units(spark, sf))
+
+
+@register("lineage_roots", f"WITH {_LINEAGE_CTES} SELECT DISTINCT source AS table_name FROM edges "
+          "WHERE source NOT IN (SELECT t FROM produced)")
+def q_lineage_roots(spark: SparkSession, sf: str) -> DataFrame:
+    return lin.external_roots(graphs.entity_units(spark, sf))
+
+
+@register("lineage_by_stage", f"""WITH RECURSIVE {_LINEAGE_CTES},
+ dag AS (SELECT DISTINCT source, target FROM edges WHERE source <> target),
+ walk(t, d) AS (SELECT t, 0 FROM tables WHERE t NOT IN (SELECT t FROM produced)
+                UNION ALL SELECT t, 1 FROM produced
+                UNION ALL SELECT dag.target, walk.d + 1 FROM walk JOIN dag ON dag.source = walk.t),
+ st AS (SELECT t, CAST(MAX(d) AS INTEGER) AS stage FROM walk GROUP BY t)
+SELECT stage, COUNT(*) AS n_tables, MIN(t) AS first_table, MAX(t) AS last_table FROM st GROUP BY stage""")
+def q_lineage_by_stage(spark: SparkSession, sf: str) -> DataFrame:
+    return lin.tables_by_stage(lin.compute_stages(graphs.entity_units(spark, sf)))
