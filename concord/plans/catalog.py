@@ -349,3 +349,165 @@ def q_lineage_roots(spark: SparkSession, sf: str) -> DataFrame:
 SELECT stage, COUNT(*) AS n_tables, MIN(t) AS first_table, MAX(t) AS last_table FROM st GROUP BY stage""")
 def q_lineage_by_stage(spark: SparkSession, sf: str) -> DataFrame:
     return lin.tables_by_stage(lin.compute_stages(graphs.entity_units(spark, sf)))
+
+
+# ---------------------------------------------------------------- script corpora
+
+from concord.operators import cost as cst  # noqa: E402
+from concord.operators import scripts as scr  # noqa: E402
+from concord.plans import corpus  # noqa: E402
+
+
+def _order_units(spark: SparkSession, sf: str) -> DataFrame:
+    orders = read_table(spark, sf, "orders")
+    pure = scr.materialize_variables(corpus.order_scripts(orders), corpus.order_variables(orders))
+    return scr.build_units(pure)
+
+
+@register("script_units", f"SELECT script_id, unit_id, statement, statement_type FROM ({corpus.ORDER_UNITS_SQL}) AS u")
+def q_script_units(spark: SparkSession, sf: str) -> DataFrame:
+    return _order_units(spark, sf).select("script_id", "unit_id", "statement", "statement_type")
+
+
+@register("script_edges", f"""WITH u AS ({corpus.ORDER_UNITS_SQL})
+SELECT script_id, unit_id, 'source' AS role, 'orders' AS table_name, 1 AS position FROM u WHERE unit_id = 1
+UNION ALL SELECT script_id, unit_id, 'target', 'stg_' || o_orderkey, 1 FROM u WHERE unit_id = 1
+UNION ALL SELECT script_id, unit_id, 'source', 'stg_' || o_orderkey, 1 FROM u WHERE unit_id IN (2, 3)
+UNION ALL SELECT script_id, unit_id, 'source', 'customer', 2 FROM u WHERE unit_id = 2""")
+def q_script_edges(spark: SparkSession, sf: str) -> DataFrame:
+    u = _order_units(spark, sf)
+    src = u.select("script_id", "unit_id", F.lit("source").alias("role"), F.posexplode("sources").alias("p", "table_name"))
+    tgt = u.select("script_id", "unit_id", F.lit("target").alias("role"), F.posexplode("targets").alias("p", "table_name"))
+    return src.unionByName(tgt).select("script_id", "unit_id", "role", "table_name",
+                                       (F.col("p") + 1).cast("int").alias("position"))
+
+
+@register("script_rewrite", f"""WITH u AS ({corpus.ORDER_UNITS_SQL}),
+ m AS (SELECT *, CASE WHEN o_orderstatus = 'F' THEN 'stage_' ELSE 'stg_' END || o_orderkey AS stg FROM u)
+SELECT script_id, unit_id,
+  CASE unit_id
+    WHEN 1 THEN 'CREATE OR REPLACE TABLE ' || stg || ' AS SELECT * FROM dw_orders WHERE o_orderkey = ' || o_orderkey
+                || ' AND o_orderpriority = ''' || o_orderpriority || ';' || o_orderstatus || '''''s'''
+    WHEN 2 THEN 'INSERT INTO fact_orders SELECT s.*, c.c_name FROM ' || stg || ' s JOIN dw_customer c ON c.c_custkey = '
+                || o_custkey
+    ELSE 'select COALESCE(o_totalprice, 0), DATE(o_orderdate) from ' || stg || ' where o_orderdate = DATE '''
+         || strftime(o_orderdate, '%Y-%m-%d') || '''' END AS translated
+FROM m""")
+def q_script_rewrite(spark: SparkSession, sf: str) -> DataFrame:
+    u = _order_units(spark, sf)
+    t = scr.translate(u, corpus.order_table_map(read_table(spark, sf, "orders")))
+    return t.select("script_id", "unit_id", "translated")
+
+
+# ---------------------------------------------------------------- cost and history
+
+_SIZE_TABLES = ["orders", "customer", "lineitem", "nation", "part", "supplier", "region"]
+_SIZE_COLS = {"orders": 6, "customer": 5, "lineitem": 11, "nation": 3, "part": 6, "supplier": 4, "region": 2}
+_COST = "CAST({b} AS DOUBLE) / 1099511627776::DOUBLE * 6.25::DOUBLE"
+
+
+@register("cost_from_tables", f"""WITH u AS ({corpus.ORDER_UNITS_SQL}),
+ e AS (SELECT script_id, unit_id,
+         CASE WHEN unit_id = 1 THEN (SELECT COUNT(*) FROM orders) * {8 * _SIZE_COLS['orders']} ELSE 0 END AS b,
+         CASE WHEN unit_id = 1 THEN '' ELSE 'unknown table: stg_' || o_orderkey END AS error FROM u)
+SELECT script_id, unit_id, CAST(b AS BIGINT) AS estimated_bytes, {_COST.format(b='b')} AS estimated_cost_usd, error FROM e""")
+def q_cost_from_tables(spark: SparkSession, sf: str) -> DataFrame:
+    sizes = cst.table_sizes({t: read_table(spark, sf, t) for t in _SIZE_TABLES})
+    return cst.scan_estimate(_order_units(spark, sf), sizes)
+
+
+_RANK_SQL = f"""WITH u AS ({corpus.ORDER_UNITS_SQL}),
+ e AS (SELECT script_id, unit_id, statement, CAST(strlen(statement) AS BIGINT) * 1024 AS b FROM u)
+SELECT script_id, unit_id, b AS estimated_bytes, {_COST.format(b='b')} AS estimated_cost_usd,
+       row_number() OVER (PARTITION BY script_id ORDER BY {_COST.format(b='b')} DESC, unit_id) AS rank,
+       replace(left(regexp_replace(regexp_replace(statement, '^{cst.PY_WHITESPACE}+|{cst.PY_WHITESPACE}+$', '', 'g'),
+               '{cst.PY_WHITESPACE}+', ' ', 'g'), 80)
+               || CASE WHEN length(regexp_replace(regexp_replace(statement, '^{cst.PY_WHITESPACE}+|{cst.PY_WHITESPACE}+$', '', 'g'),
+               '{cst.PY_WHITESPACE}+', ' ', 'g')) > 80 THEN '…' ELSE '' END, '|', '\\|') AS sql_preview
+FROM e"""
+
+
+@register("cost_rank", _RANK_SQL)
+def q_cost_rank(spark: SparkSession, sf: str) -> DataFrame:
+    u = _order_units(spark, sf).where(cst.non_blank(F.col("statement")))
+    b = cst.text_bytes(F.col("statement"))
+    est = u.select("script_id", "unit_id", b.alias("estimated_bytes"), cst.cost_usd(b).alias("estimated_cost_usd"),
+                   cst.preview(F.col("statement")).alias("sql_preview"))
+    return cst.rank_costs(est, "script_id", "unit_id").select(
+        "script_id", "unit_id", "estimated_bytes", "estimated_cost_usd", "rank", "sql_preview")
+
+
+@register("cost_totals", f"""
+SELECT lang AS script_id, COUNT(*) AS n_queries, CAST(0 AS BIGINT) AS n_failed,
+       CAST(SUM(CAST(strlen('INSERT INTO docs_' || lang || ' VALUES (' || doc_id || ', ''' || replace(text, '''', '''''')
+            || ''')') AS BIGINT) * 1024) AS BIGINT) AS total_bytes,
+       {_COST.format(b="SUM(CAST(strlen('INSERT INTO docs_' || lang || ' VALUES (' || doc_id || ', ''' || replace(text, '''', '''''') || ''')') AS BIGINT) * 1024)")} AS total_cost_usd
+FROM documents GROUP BY lang""")
+def q_cost_totals(spark: SparkSession, sf: str) -> DataFrame:
+    st = corpus.document_statements(read_table(spark, sf, "documents")).where(cst.non_blank(F.col("sql")))
+    b = cst.text_bytes(F.col("sql"))
+    est = st.select("script_id", b.alias("estimated_bytes"), F.lit("").alias("error"))
+    return cst.cost_totals(est)
+
+
+_REPLAY_SQL = f"""WITH h AS (SELECT * FROM ({corpus.PART_HISTORY_SQL}) AS x WHERE iteration <= 5),
+ a AS (SELECT *, MIN(CASE WHEN outcome = 'ok' THEN estimated_bytes END) OVER
+         (PARTITION BY query_id ORDER BY iteration ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS cur FROM h),
+ b AS (SELECT *, CASE WHEN outcome = 'ok' AND iteration > 0 THEN CASE WHEN cur > 0 THEN
+         CAST(cur - estimated_bytes AS DOUBLE) / CAST(cur AS DOUBLE) * 100.0::DOUBLE ELSE 0.0::DOUBLE END END AS m FROM a),
+ c AS (SELECT *, MAX(CASE WHEN NOT (m < 2.0::DOUBLE) OR iteration = 0 THEN iteration END) OVER
+         (PARTITION BY query_id ORDER BY iteration ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_steep FROM b),
+ d AS (SELECT *, CASE WHEN iteration = 0 AND outcome <> 'ok' THEN 'baseline_execution_failed'
+                      WHEN iteration > 0 AND outcome <> 'ok' THEN outcome
+                      WHEN m < 2.0::DOUBLE AND iteration - last_steep >= 2 THEN 'diminishing_returns' END AS reason FROM c),
+ e AS (SELECT *, COALESCE(MIN(CASE WHEN reason IS NOT NULL THEN iteration END) OVER (PARTITION BY query_id),
+                          MAX(iteration) OVER (PARTITION BY query_id)) AS stop_iteration FROM d),
+ f AS (SELECT *, COALESCE(MAX(CASE WHEN iteration = stop_iteration THEN reason END) OVER (PARTITION BY query_id),
+                          'max_iterations') AS stop_reason FROM e WHERE TRUE),
+ r AS (SELECT query_id, iteration,
+         CASE WHEN outcome IN ('llm_error', 'estimate_failed') THEN CAST(0 AS BIGINT) ELSE estimated_bytes END AS eb,
+         CASE WHEN iteration = 0 THEN true ELSE outcome = 'ok' AND estimated_bytes < cur END AS accepted,
+         CASE WHEN iteration = 0 THEN NULL WHEN outcome = 'ok' THEN true WHEN outcome = 'validation_failed' THEN false
+              END AS validation_matched,
+         round(m, 4) AS marginal_improvement_pct,
+         CASE WHEN iteration = 0 THEN estimated_bytes
+              ELSE least(cur, CASE WHEN outcome = 'ok' THEN estimated_bytes END) END AS current_bytes,
+         stop_iteration, stop_reason
+       FROM f WHERE iteration <= stop_iteration)"""
+
+
+@register("history_replay", _REPLAY_SQL + f"""
+SELECT query_id, iteration, eb AS estimated_bytes, {_COST.format(b='eb')} AS estimated_cost_usd, accepted,
+       validation_matched, marginal_improvement_pct, current_bytes, stop_iteration, stop_reason FROM r""")
+def q_history_replay(spark: SparkSession, sf: str) -> DataFrame:
+    return cst.replay_history(corpus.part_histories(read_table(spark, sf, "part")))
+
+
+@register("history_stop", _REPLAY_SQL + """
+SELECT DISTINCT query_id, stop_iteration, stop_reason FROM r""")
+def q_history_stop(spark: SparkSession, sf: str) -> DataFrame:
+    return cst.replay_history(corpus.part_histories(read_table(spark, sf, "part"))).select(
+        "query_id", "stop_iteration", "stop_reason").distinct()
+
+
+_SUMMARY_SQL = _REPLAY_SQL + f""",
+ s AS (SELECT query_id, arg_min(eb, iteration) AS baseline_bytes, arg_max(current_bytes, iteration) AS final_bytes,
+              COUNT(*) AS n_iterations, MIN(stop_reason) AS stop_reason FROM r GROUP BY query_id)"""
+
+
+@register("history_summary", _SUMMARY_SQL + f"""
+SELECT query_id, baseline_bytes, final_bytes, {_COST.format(b='baseline_bytes')} AS baseline_cost_usd,
+       {_COST.format(b='final_bytes')} AS final_cost_usd,
+       round(CASE WHEN baseline_bytes > 0 THEN CAST(baseline_bytes - final_bytes AS DOUBLE) / CAST(baseline_bytes AS DOUBLE)
+             * 100.0::DOUBLE ELSE 0.0::DOUBLE END, 4) AS total_improvement_pct, stop_reason, n_iterations FROM s""")
+def q_history_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return cst.history_summary(cst.replay_history(corpus.part_histories(read_table(spark, sf, "part"))))
+
+
+@register("history_totals", _SUMMARY_SQL + f"""
+SELECT COUNT(*) AS n_queries, {_COST.format(b='SUM(baseline_bytes)')} AS total_baseline_cost_usd,
+       {_COST.format(b='SUM(final_bytes)')} AS total_final_cost_usd,
+       round(CAST(SUM(baseline_bytes) - SUM(final_bytes) AS DOUBLE) / CAST(SUM(baseline_bytes) AS DOUBLE) * 100.0::DOUBLE, 2)
+         AS overall_improvement_pct FROM s""")
+def q_history_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return cst.history_totals(cst.history_summary(cst.replay_history(corpus.part_histories(read_table(spark, sf, "part")))))
