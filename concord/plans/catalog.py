@@ -511,3 +511,132 @@ SELECT COUNT(*) AS n_queries, {_COST.format(b='SUM(baseline_bytes)')} AS total_b
          AS overall_improvement_pct FROM s""")
 def q_history_totals(spark: SparkSession, sf: str) -> DataFrame:
     return cst.history_totals(cst.history_summary(cst.replay_history(corpus.part_histories(read_table(spark, sf, "part")))))
+
+
+# ---------------------------------------------------------------- registry
+
+from concord.operators import registry as reg  # noqa: E402
+from concord.plans import registry_data as rd  # noqa: E402
+
+_REG_COLS = ", ".join(reg.REGISTRY_COLUMNS)
+_NOW = rd.NOW  # a literal; wrapped per call
+
+
+def _base(spark: SparkSession, sf: str) -> DataFrame:
+    return rd.base_registry(read_table(spark, sf, "customer"), read_table(spark, sf, "nation"))
+
+
+@register("registry_upsert", f"""WITH b AS ({rd.BASE_SQL}), u AS ({rd.UPDATES_SQL})
+SELECT COALESCE(u.source_schema, b.source_schema) AS source_schema, COALESCE(u.source_table, b.source_table) AS source_table,
+""" + ",\n".join(f"  CASE WHEN u.source_table IS NOT NULL THEN u.{c} ELSE b.{c} END AS {c}" for c in reg.UPDATABLE) + f""",
+  COALESCE(b.created_at, '{rd.NOW}') AS created_at,
+  CASE WHEN u.source_table IS NOT NULL THEN '{rd.NOW}' ELSE b.updated_at END AS updated_at
+FROM b FULL OUTER JOIN u ON b.source_schema = u.source_schema AND b.source_table = u.source_table""")
+def q_registry_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    upd = rd.upsert_updates(read_table(spark, sf, "customer"), read_table(spark, sf, "supplier"))
+    return reg.upsert(_base(spark, sf), upd, F.lit(_NOW))
+
+
+@register("registry_seed", f"""WITH b AS ({rd.BASE_SQL}),
+ m AS (SELECT 'supp_' || s_suppkey AS source_table, 'supplier_' || s_suppkey AS target_table FROM supplier
+       UNION ALL SELECT 'cust_' || c_custkey, 'legacy_' || c_custkey FROM customer WHERE c_acctbal < 0)
+SELECT {_REG_COLS} FROM b
+UNION ALL
+SELECT 'demo', m.source_table, 'wh', 'legacy', m.target_table, 'ready', false, '', false, '', '', '{rd.NOW}', '{rd.NOW}'
+FROM m WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.source_schema = 'demo' AND b.source_table = m.source_table)""")
+def q_registry_seed(spark: SparkSession, sf: str) -> DataFrame:
+    m = rd.seed_mapping(read_table(spark, sf, "customer"), read_table(spark, sf, "supplier"))
+    return reg.seed(_base(spark, sf), m, "demo", "wh", "legacy", F.lit(_NOW))
+
+
+@register("registry_pending", f"""WITH b AS ({rd.BASE_SQL}), r AS ({rd.REQUIRED_SQL})
+SELECT {_REG_COLS} FROM b
+UNION ALL
+SELECT r.source_schema, r.source_table, '', '', '', 'pending', false, '', false, '', '', '{rd.NOW}', '{rd.NOW}'
+FROM r WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.source_schema = r.source_schema AND b.source_table = r.source_table)""")
+def q_registry_pending(spark: SparkSession, sf: str) -> DataFrame:
+    req = rd.required_tables(read_table(spark, sf, "orders"), read_table(spark, sf, "lineitem"))
+    return reg.ensure_pending(_base(spark, sf), req, F.lit(_NOW))
+
+
+@register("registry_reachability", f"""WITH b AS ({rd.BASE_SQL}),
+ o AS (SELECT 'demo' AS source_schema, 'cust_' || c_custkey AS source_table,
+              c_custkey IN (SELECT o_custkey FROM orders) AS source_probe, c_acctbal >= 3000 AS target_probe FROM customer),
+ j AS (SELECT b.*, o.source_probe, o.target_probe,
+              b.source_reachable OR o.source_probe AS sr, b.target_reachable OR o.target_probe AS tr
+       FROM b JOIN o USING (source_schema, source_table))
+SELECT source_schema, source_table, target_project, target_dataset, target_table,
+       CASE WHEN target_table <> '' AND sr AND tr THEN 'ready' WHEN status = 'ready' THEN 'blocked' ELSE status END AS status,
+       sr AS source_reachable, '{rd.NOW}' AS source_checked_at, tr AS target_reachable, '{rd.NOW}' AS target_checked_at,
+       notes, created_at, '{rd.NOW}' AS updated_at FROM j""")
+def q_registry_reachability(spark: SparkSession, sf: str) -> DataFrame:
+    obs = rd.observations(read_table(spark, sf, "customer"), read_table(spark, sf, "orders"))
+    return reg.update_reachability(_base(spark, sf), obs, F.lit(_NOW))
+
+
+@register("registry_ready_mapping", f"""WITH b AS ({rd.BASE_SQL}),
+ layers AS (
+   SELECT 'supp_' || s_suppkey AS source_table, 'legacy_supplier_' || s_suppkey AS target_table, 0 AS p, 'legacy' AS layer
+   FROM supplier
+   UNION ALL SELECT 'cust_' || c_custkey, 'legacy_customer_' || c_custkey, 0, 'legacy' FROM customer
+   UNION ALL SELECT source_table, target_table, 1, 'registry' FROM b
+     WHERE status = 'ready' AND target_table <> '' AND source_reachable AND target_reachable
+   UNION ALL SELECT 'stg_' || o_orderkey, 'scratch_stg_' || o_orderkey, 2, 'intermediate' FROM orders
+   UNION ALL SELECT 'cust_' || c_custkey, 'scratch_cust_' || c_custkey, 2, 'intermediate' FROM customer
+     WHERE c_acctbal >= 9000)
+SELECT source_table, arg_max(target_table, p) AS target_table, arg_max(layer, p) AS layer FROM layers GROUP BY source_table""")
+def q_registry_ready_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    customer, supplier = read_table(spark, sf, "customer"), read_table(spark, sf, "supplier")
+    orders = read_table(spark, sf, "orders")
+    k = lambda c: F.col(c).cast("string")
+    legacy = supplier.select(F.concat(F.lit("supp_"), k("s_suppkey")).alias("source_table"),
+                             F.concat(F.lit("legacy_supplier_"), k("s_suppkey")).alias("target_table")).unionByName(
+        customer.select(F.concat(F.lit("cust_"), k("c_custkey")).alias("source_table"),
+                        F.concat(F.lit("legacy_customer_"), k("c_custkey")).alias("target_table")))
+    inter = orders.select(F.concat(F.lit("stg_"), k("o_orderkey")).alias("source_table"),
+                          F.concat(F.lit("scratch_stg_"), k("o_orderkey")).alias("target_table")).unionByName(
+        customer.where(F.col("c_acctbal") >= 9000).select(
+            F.concat(F.lit("cust_"), k("c_custkey")).alias("source_table"),
+            F.concat(F.lit("scratch_cust_"), k("c_custkey")).alias("target_table")))
+    return reg.layered_mapping([("legacy", legacy), ("registry", reg.mapping_of(_base(spark, sf))),
+                                ("intermediate", inter)])
+
+
+@register("registry_replace_columns", f"""WITH c AS ({rd.COLUMN_REGISTRY_SQL}), n AS ({rd.REPLACEMENT_SQL})
+SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.source_schema = c.source_schema AND n.source_table = c.source_table)
+UNION ALL SELECT * FROM n""")
+def q_registry_replace_columns(spark: SparkSession, sf: str) -> DataFrame:
+    customer, nation = read_table(spark, sf, "customer"), read_table(spark, sf, "nation")
+    return reg.replace_columns(rd.column_registry(customer, nation), rd.replacement_columns(customer))
+
+
+@register("registry_import", """
+SELECT 'demo' AS source_schema, 'cust_' || c_custkey AS source_table, 'wh' AS target_project,
+       'Seg_' || c_mktsegment AS target_dataset, 'customer_' || c_custkey AS target_table,
+       CASE WHEN c_acctbal > 5000 THEN 'ready' ELSE 'pending' END AS status,
+       c_acctbal > 500 AS source_reachable, '' AS source_checked_at, c_acctbal > 3000 AS target_reachable,
+       '' AS target_checked_at, c_mktsegment AS notes
+FROM customer WHERE c_acctbal >= 0""")
+def q_registry_import(spark: SparkSession, sf: str) -> DataFrame:
+    return reg.import_rows(rd.raw_import_rows(read_table(spark, sf, "customer")))
+
+
+@register("readiness_gate", f"""WITH b AS ({rd.BASE_SQL}), r AS ({rd.REQUIRED_SQL}),
+ c AS (SELECT * FROM ({rd.COLUMN_REGISTRY_SQL}) AS c0 WHERE NOT EXISTS (SELECT 1 FROM ({rd.REPLACEMENT_SQL}) AS n0
+         WHERE n0.source_table = c0.source_table) UNION ALL {rd.REPLACEMENT_SQL}),
+ bad AS (SELECT source_schema, source_table, COUNT(*) AS n FROM c WHERE compatibility_status <> 'compatible' GROUP BY 1, 2),
+ v AS (SELECT r.source_schema, r.source_table, b.status IS NOT NULL AS registered,
+         COALESCE(b.status = 'ready' AND COALESCE(b.target_table, '') <> '' AND b.source_reachable AND b.target_reachable,
+                  false) AS ready,
+         COALESCE(bad.n, 0) AS incompatible_columns
+       FROM r LEFT JOIN b USING (source_schema, source_table) LEFT JOIN bad USING (source_schema, source_table)),
+ w AS (SELECT v.*, CASE WHEN NOT registered OR COALESCE(b2.target_table, '') = '' THEN 'unknown'
+                        WHEN NOT ready THEN 'blocked' WHEN incompatible_columns > 0 THEN 'schema_blocked'
+                        ELSE 'ready' END AS verdict
+       FROM v LEFT JOIN b AS b2 USING (source_schema, source_table))
+SELECT *, COALESCE(MIN(verdict = 'ready') OVER (), true) AS can_run FROM w""")
+def q_readiness_gate(spark: SparkSession, sf: str) -> DataFrame:
+    customer, nation = read_table(spark, sf, "customer"), read_table(spark, sf, "nation")
+    req = rd.required_tables(read_table(spark, sf, "orders"), read_table(spark, sf, "lineitem"))
+    cols = reg.replace_columns(rd.column_registry(customer, nation), rd.replacement_columns(customer))
+    return reg.readiness(req, _base(spark, sf), cols)
