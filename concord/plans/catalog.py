@@ -640,3 +640,16 @@ def q_readiness_gate(spark: SparkSession, sf: str) -> DataFrame:
     req = rd.required_tables(read_table(spark, sf, "orders"), read_table(spark, sf, "lineitem"))
     cols = reg.replace_columns(rd.column_registry(customer, nation), rd.replacement_columns(customer))
     return reg.readiness(req, _base(spark, sf), cols)
+
+
+# ---------------------------------------------------------------- latest version per key
+
+from concord.sources.files import latest_by  # noqa: E402
+
+
+@register("latest_report", """
+SELECT user_id, event_id, ts, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) AS e
+WHERE rn = 1""")
+def q_latest_report(spark: SparkSession, sf: str) -> DataFrame:
+    return latest_by(read_table(spark, sf, "events"), ["user_id"], ["ts", "event_id"])
