@@ -56,31 +56,39 @@ def unmapped_sources(units: DataFrame, mapping: DataFrame, key: str = "source_ta
 
 
 def compute_stages(units: DataFrame, max_rounds: int | None = None) -> DataFrame:
-    """L2: ``(table_name, stage, in_cycle)`` for every table."""
+    """L2: ``(table_name, stage, in_cycle)`` for every table.
+
+    A table resolved in peeling round ``r`` has stage ``r``, so the rounds'
+    frontiers are simply unioned. Per round: one join of the open dependencies
+    with the frontiers so far, one aggregate, and two reliable checkpoints (the
+    new frontier and the shrunk open set), which bound the lineage of the loop.
+    """
     spark = units.sparkSession
     ensure_checkpoint_dir(spark)
-    # Dependencies of produced tables, self-loops dropped; NULL source = "no source".
+    # (produced table, source); NULL source = produced without a source or only from itself.
     deps = (units.select(F.explode("targets").alias("table_name"), "sources")
             .select("table_name", F.explode_outer("sources").alias("source"))
-            .where(F.col("source").isNull() | (F.col("source") != F.col("table_name")))
-            .distinct())
-    produced = produced_tables(units)
-    tables = all_tables(units)
+            .select("table_name", F.when(F.col("source") != F.col("table_name"), F.col("source")).alias("source"))
+            .distinct()
+            .checkpoint())
+    produced = deps.select("table_name").distinct()
+    tables = deps.select("table_name").union(
+        deps.where(F.col("source").isNotNull()).select(F.col("source").alias("table_name"))).distinct()
     resolved = tables.join(produced, "table_name", "left_anti").select(
         "table_name", F.lit(0).alias("stage")).checkpoint()
-    open_deps = deps.checkpoint()
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
-        rounds += 1
+    open_deps = deps
+    stage = 0
+    while max_rounds is None or stage < max_rounds:
+        stage += 1
         j = open_deps.join(resolved.withColumnRenamed("table_name", "source"), "source", "left")
-        cand = j.groupBy("table_name").agg(
-            F.count_if(F.col("source").isNotNull() & F.col("stage").isNull()).alias("missing"),
-            F.max("stage").alias("m"))
-        new = cand.where(F.col("missing") == 0).select(
-            "table_name", (F.coalesce("m", F.lit(0)) + 1).cast("int").alias("stage")).checkpoint()
+        new = (j.groupBy("table_name")
+               .agg(F.count_if(F.col("source").isNotNull() & F.col("stage").isNull()).alias("missing"))
+               .where(F.col("missing") == 0)
+               .select("table_name", F.lit(stage).alias("stage"))
+               .checkpoint())
         if new.isEmpty():
             break
-        resolved = resolved.unionByName(new).checkpoint()
+        resolved = resolved.unionByName(new)
         open_deps = open_deps.join(new.select("table_name"), "table_name", "left_anti").checkpoint()
     return tables.join(resolved, "table_name", "left").select(
         "table_name", F.col("stage").cast("int").alias("stage"), F.col("stage").isNull().alias("in_cycle"))

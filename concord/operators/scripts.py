@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 # Patterns of the reference's statement inventory.
 # Python's str.strip() whitespace: Unicode White_Space plus \x1c-\x1f.
 WS = r"[\s\x{1C}-\x{1F}]"
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+            "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 UNIT_RE = r"(?:[^;']++|'[^']*+(?:'|\z))++"
 SOURCE_RE = r"(?iU)\b(?:FROM|JOIN)\s+([`\"]?[a-zA-Z_][\w$.]*[`\"]?)"
 TARGET_RE = r"(?iU)\bCREATE\s+(?:OR\s+REPLACE\s+)?TABLE\s+([`\"]?[a-zA-Z_][\w$.]*[`\"]?)"
@@ -35,8 +37,8 @@ STATEMENT_KINDS = (("DDL", ("CREATE",)), ("DML", ("INSERT", "UPDATE", "DELETE",
 
 
 def strip_ws(c: Column) -> Column:
-    """``str.strip()``: leading and trailing Unicode whitespace."""
-    return F.regexp_replace(c, rf"(?U)^{WS}+|{WS}+$", "")
+    """``str.strip()``: leading and trailing Unicode whitespace (a character-set trim, no regex)."""
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def split_units(scripts: DataFrame, text: str = "sql", keep: tuple[str, ...] = ("script_id",)) -> DataFrame:
@@ -101,23 +103,26 @@ def replace_words(df: DataFrame, text: str, keys: tuple[str, ...], mapping: Data
 
     ``keys`` identify a row uniquely. ``mapping`` has ``word`` (lower-case),
     ``replacement`` and optionally ``map_keys`` (a subset of ``keys``) that
-    scope a word to rows, e.g. a script's own variables. The text is cut into
-    word / non-word runs, word runs are joined to the mapping (a shuffle join,
-    or a broadcast chosen by AQE when the mapping turns out small) and the runs
-    are put back in order per row. One pass: a replacement is not re-mapped.
+    scope a word to rows, e.g. a script's own variables.
+
+    Plan: each row's *distinct* words are exploded (narrow rows) and joined to
+    the mapping (AQE makes it a broadcast when the mapping turns out small);
+    only the matches are grouped back per row, joined to the rows, and applied
+    in one pass over the row's tokens with ``transform`` and a map lookup. One
+    pass: a replacement is not re-mapped.
     """
     keys = tuple(keys)
-    toks = df.select(*keys, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(TOKEN_RE), 1)).alias("_pos", "_tok"))
-    is_word = F.col("_tok").rlike(r"(?U)^\w")
-    m = mapping.select(*map_keys, F.col("word").alias("_w"), F.col("replacement").alias("_r"))
-    mapped = toks.where(is_word).withColumn("_w", F.lower("_tok")).join(m, [*map_keys, "_w"], "left").select(
-        *keys, "_pos", F.coalesce("_r", "_tok").alias("_tok"))
-    rebuilt = mapped.unionByName(toks.where(~is_word)).groupBy(*keys).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_tok"))), lambda x: x["_tok"]), "")
-        .alias("_new"))
-    return df.join(rebuilt, list(keys), "left").select(
-        *[c for c in df.columns if c != text],
-        F.coalesce(F.col("_new"), F.when(F.col(text).isNotNull(), F.lit(""))).alias(text))
+    words = df.select(*keys, F.explode(F.array_distinct(F.transform(
+        F.regexp_extract_all(F.col(text), F.lit(r"(?U)(\w+)"), 1), F.lower))).alias("word"))
+    # One replacement per word (keys differing only in case collapse to one).
+    m = mapping.groupBy(*map_keys, "word").agg(F.min("replacement").alias("replacement"))
+    hits = words.join(m, [*map_keys, "word"], "inner").groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("word", "replacement"))).alias("_map"))
+    j = df.join(hits, list(keys), "left")
+    toks = F.regexp_extract_all(F.col(text), F.lit(TOKEN_RE), 1)
+    new = F.array_join(F.transform(toks, lambda t: F.coalesce(F.try_element_at(F.col("_map"), F.lower(t)), t)), "")
+    out = F.when(F.col("_map").isNull(), F.col(text)).otherwise(new)
+    return j.select(*[out.alias(c) if c == text else F.col(c) for c in df.columns])
 
 
 def translate(units: DataFrame, mapping: DataFrame, text: str = "statement",
@@ -143,12 +148,20 @@ def materialize_variables(scripts: DataFrame, variables: DataFrame, text: str =
     """Drop PL/SQL blocks and replace each resolved variable by its SQL literal.
 
     ``variables`` is ``(*keys, var_name, value)`` with ``value`` the resolved
-    text (or NULL); the result keeps ``text`` as pure SQL, stripped.
+    text (or NULL). A script's few variables are grouped into one array, joined
+    to the script, and applied in order of name by ``aggregate`` with a
+    whole-word, case-insensitive ``regexp_replace`` each (JVM-side, per row).
     """
-    stripped = scripts.withColumn(text, strip_declare_blocks(F.col(text)))
-    m = variables.select(*keys, F.lower("var_name").alias("word"), sql_literal(F.col("value")).alias("replacement"))
-    out = replace_words(stripped, text, keys, m, map_keys=keys)
-    return out.withColumn(text, strip_ws(F.col(text)))
+    v = variables.select(*keys, F.struct(
+        F.lower("var_name").alias("name"),
+        F.concat(F.lit(r"(?iU)\b\Q"), F.lower("var_name"), F.lit(r"\E\b")).alias("pattern"),
+        F.regexp_replace(sql_literal(F.col("value")), r"([\\$])", r"\\$1").alias("replacement")).alias("v"))
+    per_script = v.groupBy(*keys).agg(F.array_sort(F.collect_list("v")).alias("_vars"))
+    j = scripts.join(per_script, list(keys), "left")
+    stripped = strip_declare_blocks(F.col(text))
+    applied = F.aggregate(F.coalesce(F.col("_vars"), F.array().cast(per_script.schema["_vars"].dataType)), stripped,
+                          lambda acc, x: F.regexp_replace(acc, x["pattern"], x["replacement"]))
+    return j.select(*[strip_ws(applied).alias(c) if c == text else F.col(c) for c in scripts.columns])
 
 
 def select_into(scripts: DataFrame, text: str = "sql", keys: tuple[str, ...] = ("script_id",)) -> DataFrame:
