@@ -6,6 +6,7 @@ counts or a raised error naming bad input.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -70,12 +71,14 @@ def ingest_prefix(spark: SparkSession, uri: str) -> DataFrame:
     result is the number of objects ingested.
     """
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(uri)
-    base = uri.rstrip("/") + "/"
-    rel = F.when(F.col("path").startswith(base), F.substring(F.col("path"), len(base) + 1, 1 << 30)).otherwise(
-        F.regexp_extract(F.col("path"), r"[^/]+$", 0))
+    # Compare paths without their scheme ('file:/x' and 'file:///x' are the same place).
+    scheme = r"^[A-Za-z][A-Za-z0-9+.-]*:/+"
+    base = re.sub(scheme, "/", uri).rstrip("/") + "/"
+    path = F.regexp_replace(F.col("path"), scheme, "/")
+    rel = F.when(path.startswith(base), F.substring(path, len(base) + 1, 1 << 30)).otherwise(
+        F.regexp_extract(path, r"[^/]+$", 0))
     return df.where(~F.col("path").endswith("/")).select(
-        rel.alias("relative_path"), "length", "modificationTime", "content").withColumnRenamed(
-        "modificationTime", "modification_time")
+        rel.alias("relative_path"), "length", F.col("modificationTime").alias("modification_time"), "content")
 
 
 def list_sql_scripts(spark: SparkSession, directory: str) -> DataFrame:
