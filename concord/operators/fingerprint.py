@@ -134,10 +134,27 @@ def compare(pair: Pair, keys: Sequence[str] | None = None, columns: Sequence[str
     NULL keys match NULL keys only (null-safe join).
     """
     keys, columns = shared_plan(pair.source, pair.target, keys, columns)
-    s = group_fingerprint(pair.source, keys, columns).select(
+    return compare_fingerprints(
+        group_fingerprint(pair.source, keys, columns), group_fingerprint(pair.target, keys, columns),
+        pair.source_name, pair.target_name, keys, columns, set(pair.source.columns), set(pair.target.columns),
+        tolerance, group_tolerance)
+
+
+def compare_fingerprints(sfp: DataFrame, tfp: DataFrame, source_name: str, target_name: str,
+                         keys: Sequence[str], columns: Sequence[str], in_src: set[str] | None = None,
+                         in_tgt: set[str] | None = None, tolerance: float = DEFAULT_TOLERANCE,
+                         group_tolerance: float = 0.0) -> DataFrame:
+    """R7/R8 over two group fingerprints (``group_fingerprint`` output, possibly persisted).
+
+    ``in_src`` / ``in_tgt`` name the columns each side has (default: all).
+    """
+    keys, columns = list(keys), list(columns)
+    in_src = set(columns) if in_src is None else in_src
+    in_tgt = set(columns) if in_tgt is None else in_tgt
+    s = sfp.select(
         *[F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)], F.col("n").alias("sn"),
         *[F.col(_sum_name(i)).alias(f"ss{i}") for i in range(len(columns))])
-    t = group_fingerprint(pair.target, keys, columns).select(
+    t = tfp.select(
         *[F.col(k).alias(f"_t{j}") for j, k in enumerate(keys)], F.col("n").alias("tn"),
         *[F.col(_sum_name(i)).alias(f"ts{i}") for i in range(len(columns))])
     cond = reduce(lambda a, b: a & b, [F.col(f"_k{j}").eqNullSafe(F.col(f"_t{j}")) for j in range(len(keys))])
@@ -145,10 +162,9 @@ def compare(pair: Pair, keys: Sequence[str] | None = None, columns: Sequence[str
         *[F.coalesce(F.col(f"_k{j}"), F.col(f"_t{j}")).alias(k) for j, k in enumerate(keys)],
         "sn", "tn", *[f"ss{i}" for i in range(len(columns))], *[f"ts{i}" for i in range(len(columns))])
 
-    src_lit, tgt_lit = F.lit(pair.source_name), F.lit(pair.target_name)
+    src_lit, tgt_lit = F.lit(source_name), F.lit(target_name)
     dec = lambda c: c.cast(SUM_TYPE)
 
-    in_src, in_tgt = set(pair.source.columns), set(pair.target.columns)
     totals = g.agg(
         F.sum(F.coalesce("sn", F.lit(0))).alias("sn"), F.sum(F.coalesce("tn", F.lit(0))).alias("tn"),
         *[F.sum(f"ss{i}").alias(f"ss{i}") for i in range(len(columns))],

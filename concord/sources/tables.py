@@ -80,3 +80,42 @@ def load(df: DataFrame, path: str, disposition: str = "append", fmt: str = "parq
 def replicate(spark: SparkSession, source: str, target_path: str, fmt: str = "parquet") -> int:
     """Copy a catalog table to a target location (``INSERT INTO t SELECT * FROM s``)."""
     return load(spark.table(source), target_path, "append", fmt)
+
+
+def execute_script(spark: SparkSession, script: str) -> DataFrame:
+    """S3: run a multi-statement script in order, as one SQL script (``BEGIN … END``).
+
+    Statements run one after another on the cluster; the result is the last
+    statement's result set. Variables are ``DECLARE``d inside the script.
+    """
+    body = script.strip().rstrip(";").strip()
+    return spark.sql(f"BEGIN\n{body};\nEND")
+
+
+def reachable(spark: SparkSession, ref: str, fmt: str = "table") -> bool:
+    """Q4: can the table be resolved and read? A ``LIMIT 1`` probe; any error means no."""
+    try:
+        read_any(spark, ref, fmt).limit(1).collect()
+        return True
+    except Exception:  # noqa: BLE001 - unreachable for any reason
+        return False
+
+
+def catalog_listing(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """Q4 at scale: the tables a catalog namespace holds, ``(table_name)`` lower-cased.
+
+    Join required tables against it instead of probing them one by one.
+    """
+    shown = spark.sql(f"SHOW TABLES IN {database}" if database else "SHOW TABLES")
+    return shown.select(F.lower("tableName").alias("table_name")).distinct()
+
+
+def where_equals(df: DataFrame, **conditions: Any) -> DataFrame:
+    """Q6: AND of ``column = value`` for every condition whose value is not None."""
+    preds = [F.col(c) == F.lit(v) for c, v in conditions.items() if v is not None]
+    if not preds:
+        return df
+    cond = preds[0]
+    for p in preds[1:]:
+        cond = cond & p
+    return df.where(cond)

@@ -97,3 +97,26 @@ def test_parameterised_query(spark):
     spark.range(10).createOrReplaceTempView("nums")
     got = tables.run_query(spark, "SELECT count(*) AS n FROM nums WHERE id >= :lo AND id < :hi", {"lo": 3, "hi": 7})
     assert got.first().n == 4
+
+
+def test_execute_script_runs_statements_in_order(spark):
+    spark.range(10).createOrReplaceTempView("nums")
+    got = tables.execute_script(spark, """
+        DECLARE lo INT DEFAULT 3;
+        CREATE OR REPLACE TEMPORARY VIEW big AS SELECT id FROM nums WHERE id >= lo;
+        SELECT count(*) AS n FROM big;""")
+    assert got.first().n == 7
+
+
+def test_reachability_probe_and_listing(spark):
+    spark.range(1).createOrReplaceTempView("present_t")
+    assert tables.reachable(spark, "present_t") is True
+    assert tables.reachable(spark, "absent_t") is False
+    assert tables.catalog_listing(spark).where("table_name = 'present_t'").count() == 1
+
+
+def test_where_equals(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "s string, t string")
+    assert tables.where_equals(df, s="a", t=None).count() == 2
+    assert tables.where_equals(df, s="a", t="y").count() == 1
+    assert tables.where_equals(df).count() == 3
