@@ -1,4 +1,4 @@
-"""Canonical row text and row hashes.
+"""Canonical row values and row hashes.
 
 Two rows are the same row when their canonical texts are equal. Each value is
 rendered by type and length-prefixed, so no separator inside a value can make
@@ -19,8 +19,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BinaryType, DataType, DoubleType, FloatType, MapType,
-                               StructType)
+from pyspark.sql.types import (ArrayType, BinaryType, DataType, DecimalType, DoubleType, FloatType,
+                               IntegralType, MapType, StructType)
 
 NULL_MARK = "\u0000"
 
@@ -47,11 +47,47 @@ def canonical_text(df: DataFrame, columns: Sequence[str] | None = None) -> Colum
     return F.concat_ws("|", *parts)
 
 
+def _hashable(c: Column, dtype: DataType) -> Column:
+    """A value normalised so equal values (in the sense of the canonical text) hash equally."""
+    if isinstance(dtype, IntegralType):
+        return c.cast("long")
+    if isinstance(dtype, (DoubleType, FloatType)):
+        d = c.cast("double")
+        return F.when(F.isnan(d), F.lit(float("nan"))).when(d == 0, F.lit(0.0)).otherwise(d)
+    if isinstance(dtype, DecimalType):
+        return c.cast(DecimalType(38, dtype.scale))
+    if isinstance(dtype, MapType):
+        return F.to_json(F.array_sort(F.map_entries(c)))
+    if isinstance(dtype, (ArrayType, StructType)) and "map<" in dtype.simpleString():
+        return F.to_json(c)
+    return c
+
+
 def with_row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Add ``_h1`` (xxhash64) and ``_h2`` (md5) of the canonical text.
+    """Add ``_h1``/``_h2``: two 64-bit xxhash64 values of the row (a 128-bit identity).
 
-    ``_h1`` groups cheaply; ``_h2`` rules out 64-bit collisions.
+    Values are hashed in binary form (no text formatting): integers as bigint,
+    floats with -0.0 → 0.0 and one NaN, decimals at their own scale, maps by
+    sorted entries. A null bitmap is hashed too, since xxhash64 skips NULLs and
+    ``(NULL, x)`` would otherwise equal ``(x, NULL)``. ``_h2`` hashes the values
+    in reverse order behind a salt, so the pair behaves as two independent
+    hashes; one 64-bit hash alone would collide at ~10^12 rows.
     """
+    columns = list(columns or df.columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    vals = [_hashable(F.col(c), types[c]) for c in columns]
+    masks = []
+    for start in range(0, len(columns), 62):
+        m = F.lit(0).cast("long")
+        for i, c in enumerate(columns[start:start + 62]):
+            m = m + F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
+        masks.append(m)
+    return df.withColumn("_h1", F.xxhash64(*masks, *vals)).withColumn(
+        "_h2", F.xxhash64(F.lit("concord/second"), *masks, *reversed(vals)))
+
+
+def with_text_hash(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``_h1`` (xxhash64) and ``_h2`` (md5) of the canonical *text*: slower, engine-independent."""
     text = canonical_text(df, columns)
     return df.withColumn("_canon", text).withColumn("_h1", F.xxhash64("_canon")).withColumn(
         "_h2", F.unhex(F.md5("_canon"))).drop("_canon")

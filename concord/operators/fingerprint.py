@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
+from concord.functions.keys import join_condition, restore_key, split_keys
 from concord.functions.numeric import SUM_TYPE, exact_sum, within_tolerance
 
 DEFAULT_TOLERANCE = 1e-4  # relative and absolute, for total sums
@@ -51,13 +52,18 @@ def group_fingerprint(df: DataFrame, keys: Sequence[str], columns: Sequence[str]
     """One row per key: ``n`` and ``_s<i>`` = exact sum of ``columns[i]`` (NULL as 0).
 
     A column absent from ``df`` gets NULL sums, which the comparison reports.
+    The key is grouped as ``(isnull, coalesce)`` pairs (kept in the output) so a
+    null-safe comparison joins without re-shuffling (``functions.keys``).
     """
     present = set(df.columns)
+    split, names = split_keys(df, keys)
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(columns):
         aggs.append(exact_sum(F.col(c)).alias(_sum_name(i)) if c in present
                     else F.lit(None).cast(SUM_TYPE).alias(_sum_name(i)))
-    return df.groupBy(*keys).agg(*aggs)
+    g = df.groupBy(*split).agg(*aggs)
+    return g.select(*names, *[restore_key(j, names).alias(k) for j, k in enumerate(keys)], "n",
+                    *[_sum_name(i) for i in range(len(columns))])
 
 
 def fingerprint_long(df: DataFrame, keys: Sequence[str] | None = None,
@@ -151,16 +157,16 @@ def compare_fingerprints(sfp: DataFrame, tfp: DataFrame, source_name: str, targe
     keys, columns = list(keys), list(columns)
     in_src = set(columns) if in_src is None else in_src
     in_tgt = set(columns) if in_tgt is None else in_tgt
-    s = sfp.select(
-        *[F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)], F.col("n").alias("sn"),
-        *[F.col(_sum_name(i)).alias(f"ss{i}") for i in range(len(columns))])
-    t = tfp.select(
-        *[F.col(k).alias(f"_t{j}") for j, k in enumerate(keys)], F.col("n").alias("tn"),
-        *[F.col(_sum_name(i)).alias(f"ts{i}") for i in range(len(columns))])
-    cond = reduce(lambda a, b: a & b, [F.col(f"_k{j}").eqNullSafe(F.col(f"_t{j}")) for j in range(len(keys))])
-    g = s.join(t, cond, "full_outer").select(
-        *[F.coalesce(F.col(f"_k{j}"), F.col(f"_t{j}")).alias(k) for j, k in enumerate(keys)],
-        "sn", "tn", *[f"ss{i}" for i in range(len(columns))], *[f"ts{i}" for i in range(len(columns))])
+    names = [c for c in sfp.columns if c.startswith(("_kn", "_kv", "_kr"))]
+    if names and all(c in tfp.columns for c in names):
+        cond = join_condition(names, "s", "t")
+    else:
+        cond = reduce(lambda a, b: a & b, [F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys])
+    g = sfp.alias("s").join(tfp.alias("t"), cond, "full_outer").select(
+        *[F.coalesce(F.col(f"s.{k}"), F.col(f"t.{k}")).alias(k) for k in keys],
+        F.col("s.n").alias("sn"), F.col("t.n").alias("tn"),
+        *[F.col(f"s.{_sum_name(i)}").alias(f"ss{i}") for i in range(len(columns))],
+        *[F.col(f"t.{_sum_name(i)}").alias(f"ts{i}") for i in range(len(columns))])
 
     src_lit, tgt_lit = F.lit(source_name), F.lit(target_name)
     dec = lambda c: c.cast(SUM_TYPE)

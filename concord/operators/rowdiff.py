@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from concord.functions.canonical import with_row_hash
 from concord.functions.numeric import SUM_TYPE, exact_sum
-from concord.operators.fingerprint import numeric_columns
+from concord.functions.keys import join_condition
+from concord.operators.fingerprint import group_fingerprint, numeric_columns
 
 H = ["_h1", "_h2"]
 
@@ -47,6 +48,8 @@ def row_multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[st
         *H, F.coalesce("source_count", F.lit(0)).alias("source_count"),
         F.coalesce("target_count", F.lit(0)).alias("target_count"),
     ).where(F.col("source_count") != F.col("target_count"))
+    # ``d`` is used three times below; its shuffle stages are identical, so
+    # adaptive execution runs them once and reuses them (no re-scan).
     from_src = s.join(d.where(F.col("source_count") > 0).select(*H), H, "left_semi")
     from_tgt = t.join(d.where(F.col("source_count") == 0).select(*H), H, "left_semi")
     reps = from_src.unionByName(from_tgt).dropDuplicates(H)
@@ -54,12 +57,8 @@ def row_multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[st
 
 
 def key_fingerprint(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """``(key, n, _s<i>)``: per key row count and exact sums."""
-    present = set(df.columns)
-    return df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[(exact_sum(F.col(c)) if c in present else F.lit(None).cast(SUM_TYPE)).alias(f"_s{i}")
-          for i, c in enumerate(columns)])
+    """``(split key, key, n, _s<i>)``: per key row count and exact sums (see ``fingerprint.group_fingerprint``)."""
+    return group_fingerprint(df, [key], list(columns))
 
 
 def _weights(key: str) -> tuple:
@@ -129,9 +128,10 @@ def direct_key_diff(source: DataFrame, target: DataFrame, key: str, columns: Seq
 
 
 def _direct(source: DataFrame, target: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    s = key_fingerprint(source, key, columns).alias("s")
-    t = key_fingerprint(target, key, columns).alias("t")
-    g = s.join(t, F.col(f"s.{key}").eqNullSafe(F.col(f"t.{key}")), "full_outer")
+    s = key_fingerprint(source, key, columns)
+    t = key_fingerprint(target, key, columns)
+    names = [c for c in s.columns if c.startswith(("_kn", "_kv", "_kr"))]
+    g = s.alias("s").join(t.alias("t"), join_condition(names, "s", "t"), "full_outer")
     zero = F.lit(0).cast(SUM_TYPE)
     rows = [F.struct(F.lit("group_count").alias("check"), F.lit(None).cast("string").alias("column_name"),
                      F.col("s.n").cast(SUM_TYPE).alias("sv"), F.col("t.n").cast(SUM_TYPE).alias("tv"),

@@ -143,3 +143,17 @@ def test_bucket_drilldown_catches_compensation_inside_a_bucket(spark):
     b = spark.createDataFrame([(1, 110.0), (2, 190.0)], "k long, v double")
     got = rowdiff.bucket_drilldown(a, b, "k", ["v"], buckets=1).collect()
     assert sorted(r.k for r in got) == [1, 2]
+
+
+def test_row_hash_edge_cases(spark):
+    from concord.functions.canonical import with_row_hash
+    a = spark.createDataFrame([(None, "x"), ("x", None), ("", None)], "p string, q string")
+    hashes = {(r.p, r.q): (r._h1, r._h2) for r in with_row_hash(a).collect()}
+    assert len(set(hashes.values())) == 3  # NULL placement and NULL vs '' matter
+    z = spark.createDataFrame([(0.0, float("nan")), (-0.0, float("nan"))], "d double, e double")
+    assert with_row_hash(z).select("_h1", "_h2").distinct().count() == 1
+    i = spark.createDataFrame([(1, 2)], "x int, y int")
+    l = spark.createDataFrame([(1, 2)], "x bigint, y bigint")
+    assert with_row_hash(i).select("_h1", "_h2").first() == with_row_hash(l).select("_h1", "_h2").first()
+    m = spark.createDataFrame([({"a": 1, "b": 2},)], "m map<string,int>")
+    assert with_row_hash(m).first()._h1 is not None
