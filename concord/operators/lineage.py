@@ -58,10 +58,13 @@ def unmapped_sources(units: DataFrame, mapping: DataFrame, key: str = "source_ta
 def compute_stages(units: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """L2: ``(table_name, stage, in_cycle)`` for every table.
 
-    A table resolved in peeling round ``r`` has stage ``r``, so the rounds'
-    frontiers are simply unioned. Per round: one join of the open dependencies
-    with the frontiers so far, one aggregate, and two reliable checkpoints (the
-    new frontier and the shrunk open set), which bound the lineage of the loop.
+    Frontier propagation: each produced table starts with the number of its
+    distinct sources still unresolved; round ``r`` joins only the edges leaving
+    the tables resolved in round ``r-1`` (the frontier), subtracts the hits, and
+    the tables reaching zero form the next frontier with stage ``r``. Total work
+    is linear in the edges; the number of rounds is the graph depth. The edge
+    table is hash-partitioned by source and checkpointed once, so a round
+    shuffles only the frontier; each round's state is a reliable checkpoint.
     """
     spark = units.sparkSession
     ensure_checkpoint_dir(spark)
@@ -69,27 +72,32 @@ def compute_stages(units: DataFrame, max_rounds: int | None = None) -> DataFrame
     deps = (units.select(F.explode("targets").alias("table_name"), "sources")
             .select("table_name", F.explode_outer("sources").alias("source"))
             .select("table_name", F.when(F.col("source") != F.col("table_name"), F.col("source")).alias("source"))
-            .distinct()
             .checkpoint())
-    produced = deps.select("table_name").distinct()
-    tables = deps.select("table_name").union(
-        deps.where(F.col("source").isNotNull()).select(F.col("source").alias("table_name"))).distinct()
-    resolved = tables.join(produced, "table_name", "left_anti").select(
-        "table_name", F.lit(0).alias("stage")).checkpoint()
-    open_deps = deps
+    # Duplicate edges need no de-duplication: they count in `missing` and in the
+    # hits alike, so a table still reaches zero in the right round.
+    edges = deps.where(F.col("source").isNotNull()).repartition("source").checkpoint()
+    state = deps.groupBy("table_name").agg(F.count("source").alias("missing")).checkpoint()
+    tables = deps.select("table_name").union(edges.select(F.col("source").alias("table_name"))).distinct()
+    frontier = tables.join(state.select("table_name"), "table_name", "left_anti").checkpoint()
+    parts = [frontier.select("table_name", F.lit(0).alias("stage"))]
     stage = 0
     while max_rounds is None or stage < max_rounds:
         stage += 1
-        j = open_deps.join(resolved.withColumnRenamed("table_name", "source"), "source", "left")
-        new = (j.groupBy("table_name")
-               .agg(F.count_if(F.col("source").isNotNull() & F.col("stage").isNull()).alias("missing"))
-               .where(F.col("missing") == 0)
-               .select("table_name", F.lit(stage).alias("stage"))
-               .checkpoint())
-        if new.isEmpty():
+        hits = (edges.join(frontier.select(F.col("table_name").alias("source")), "source")
+                .groupBy("table_name").agg(F.count(F.lit(1)).alias("hit")))
+        # One checkpoint per round; the frontier and the still-open tables are filters of it.
+        # Round 1 keeps tables with no source (missing 0 from the start); later rounds
+        # drop the previous frontier.
+        still_open = state if stage == 1 else state.where(F.col("missing") > 0)
+        state = still_open.join(hits, "table_name", "left").select(
+            "table_name", (F.col("missing") - F.coalesce(F.col("hit"), F.lit(0))).alias("missing")).checkpoint()
+        frontier = state.where(F.col("missing") == 0).select("table_name")
+        if frontier.isEmpty():
             break
-        resolved = resolved.unionByName(new)
-        open_deps = open_deps.join(new.select("table_name"), "table_name", "left_anti").checkpoint()
+        parts.append(frontier.select("table_name", F.lit(stage).alias("stage")))
+    resolved = parts[0]
+    for p in parts[1:]:
+        resolved = resolved.unionByName(p)
     return tables.join(resolved, "table_name", "left").select(
         "table_name", F.col("stage").cast("int").alias("stage"), F.col("stage").isNull().alias("in_cycle"))
 
