@@ -419,7 +419,7 @@ def q_cost_from_tables(spark: SparkSession, sf: str) -> DataFrame:
 _RANK_SQL = f"""WITH u AS ({corpus.ORDER_UNITS_SQL}),
  e AS (SELECT script_id, unit_id, statement, CAST(strlen(statement) AS BIGINT) * 1024 AS b FROM u)
 SELECT script_id, unit_id, b AS estimated_bytes, {_COST.format(b='b')} AS estimated_cost_usd,
-       row_number() OVER (PARTITION BY script_id ORDER BY {_COST.format(b='b')} DESC, unit_id) AS rank,
+       CAST(row_number() OVER (PARTITION BY script_id ORDER BY {_COST.format(b='b')} DESC, unit_id) AS INTEGER) AS rank,
        replace(left(regexp_replace(regexp_replace(statement, '^{cst.PY_WHITESPACE}+|{cst.PY_WHITESPACE}+$', '', 'g'),
                '{cst.PY_WHITESPACE}+', ' ', 'g'), 80)
                || CASE WHEN length(regexp_replace(regexp_replace(statement, '^{cst.PY_WHITESPACE}+|{cst.PY_WHITESPACE}+$', '', 'g'),

@@ -64,3 +64,30 @@ def compare(spark_df, con, sql: str) -> str | None:
         if a != b:
             return f"row differs: spark={a} duckdb={b}"
     return None
+
+
+def spark_type_name(dt) -> str:
+    """The DuckDB name of a Spark result type, for schema comparison."""
+    from pyspark.sql import types as T
+    simple = {T.IntegerType: "INTEGER", T.LongType: "BIGINT", T.ShortType: "SMALLINT", T.ByteType: "TINYINT",
+              T.DoubleType: "DOUBLE", T.FloatType: "FLOAT", T.StringType: "VARCHAR", T.BooleanType: "BOOLEAN",
+              T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP", T.TimestampType: "TIMESTAMP WITH TIME ZONE",
+              T.BinaryType: "BLOB"}
+    for cls, name in simple.items():
+        if isinstance(dt, cls):
+            return name
+    if isinstance(dt, T.DecimalType):
+        return f"DECIMAL({dt.precision},{dt.scale})"
+    return dt.simpleString().upper()
+
+
+def type_mismatches(spark_df, con, sql: str) -> list[str]:
+    rel = con.sql(sql)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for f in spark_df.schema.fields:
+        want = duck_types.get(f.name)
+        got = spark_type_name(f.dataType)
+        if want is not None and want != got:
+            out.append(f"{f.name}: spark {got} vs duckdb {want}")
+    return out

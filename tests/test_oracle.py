@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_mod
-from oracle_check import compare, duck
+from oracle_check import compare, duck, type_mismatches
 
 SF = "/root/testdata/sf0.01"
 ORACLE = entry_mod.oracle_sql()
@@ -19,6 +19,7 @@ def test_query_matches_duckdb(spark, con, name):
     df = entry_mod.queries()[name](spark, SF)
     problem = compare(df, con, ORACLE[name])
     assert problem is None, f"{name}: {problem}"
+    assert type_mismatches(df, con, ORACLE[name]) == []
 
 
 def test_every_query_has_a_twin_or_a_reason():
