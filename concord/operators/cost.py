@@ -30,9 +30,6 @@ PREVIEW_CHARS = 80
 MAX_ITERATIONS = 5
 MIN_IMPROVEMENT_PCT = 2.0
 DIMINISHING_STREAK = 2
-# Outcome of one recorded iteration, and the stop reason it gives.
-FAILURE_REASONS = {"llm_error": "llm_error", "estimate_failed": "estimate_failed",
-                   "execution_failed": "execution_failed", "validation_failed": "validation_failed"}
 # Python's str.split() whitespace, written out (valid for Java and RE2 regexes).
 PY_WHITESPACE = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.plans import workload
-from concord.sources.tables import read_table, run_query
+from concord.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,18 +61,20 @@ PARAM_FILTER_SQL = """
 SELECT l_returnflag, l_linestatus, COUNT(*) AS n_lines,
        SUM(CAST(l_quantity AS DECIMAL(38,6))) AS sum_qty,
        SUM(CAST(l_extendedprice AS DECIMAL(38,6))) AS sum_price
-FROM lineitem
+FROM {lineitem}
 WHERE l_shipdate >= {start} AND l_discount <= {max_discount}
 GROUP BY l_returnflag, l_linestatus
 """
 
 
-@register("param_filter", PARAM_FILTER_SQL.format(start="TIMESTAMP '1995-01-01 00:00:00'", max_discount="0.05"))
+@register("param_filter", PARAM_FILTER_SQL.format(start="TIMESTAMP '1995-01-01 00:00:00'", max_discount="0.05",
+                                                  lineitem="lineitem"))
 def q_param_filter(spark: SparkSession, sf: str) -> DataFrame:
     import datetime as dt
-    read_table(spark, sf, "lineitem").createOrReplaceTempView("lineitem")
-    return run_query(spark, PARAM_FILTER_SQL.format(start=":start", max_discount=":max_discount"),
-                     {"start": dt.datetime(1995, 1, 1), "max_discount": 0.05})
+    # Named parameters keep their types; the table is bound as a DataFrame, not a global view.
+    text = PARAM_FILTER_SQL.format(start=":start", max_discount=":max_discount", lineitem="{lineitem}")
+    return spark.sql(text, args={"start": dt.datetime(1995, 1, 1), "max_discount": 0.05},
+                     lineitem=read_table(spark, sf, "lineitem"))
 
 
 # ---------------------------------------------------------------- reconciliation
@@ -201,22 +203,22 @@ def q_compensating_drift(spark: SparkSession, sf: str) -> DataFrame:
 
 from concord.functions.types import declared_type, type_family  # noqa: E402
 from concord.operators import schema_audit as sa  # noqa: E402
-from concord.sources.tables import DRIVER_TABLES, register_views  # noqa: E402
+from concord.sources.tables import DRIVER_TABLES  # noqa: E402
 
 # Migrated target tables: the source table reshaped as a target warehouse would
 # hold it (retyped, renamed, narrowed and extra columns). Same text on both engines.
 AUDIT_PAIRS = [
-    ("orders", "orders_v2", "SELECT * FROM orders",
+    ("orders", "orders_v2", "SELECT * FROM {orders}",
      "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, "
-     "CAST(o_orderdate AS STRING) AS o_orderdate, o_orderpriority AS o_priority FROM orders"),
-    ("lineitem", "lineitem_v2", "SELECT * FROM lineitem",
+     "CAST(o_orderdate AS STRING) AS o_orderdate, o_orderpriority AS o_priority FROM {orders}"),
+    ("lineitem", "lineitem_v2", "SELECT * FROM {lineitem}",
      "SELECT l_orderkey, CAST(l_partkey AS INTEGER) AS l_partkey, l_suppkey, l_linenumber, "
      "CAST(l_quantity AS DECIMAL(10,2)) AS l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, "
-     "l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem"),
-    ("part", "part_v2", "SELECT * FROM part",
+     "l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate FROM {lineitem}"),
+    ("part", "part_v2", "SELECT * FROM {part}",
      "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS SMALLINT) AS p_size, p_retailprice, "
-     "p_size > 25 AS p_large FROM part"),
-    ("customer", "customer", "SELECT * FROM customer", "SELECT * FROM customer"),
+     "p_size > 25 AS p_large FROM {part}"),
+    ("customer", "customer", "SELECT * FROM {customer}", "SELECT * FROM {customer}"),
 ]
 AUDIT_COLUMNS = ["source_table", "target_table", "column_key", "source_column_name", "target_column_name",
                  "source_type_family", "target_type_family", "source_present", "target_present", "status",
@@ -225,14 +227,15 @@ AUDIT_COLUMNS = ["source_table", "target_table", "column_key", "source_column_na
 
 
 def _audit_report(spark: SparkSession, sf: str) -> DataFrame:
-    register_views(spark, sf, ("orders", "lineitem", "part", "customer"))
-    pairs = [sa.AuditPair(s, t, (lambda q=sq: spark.sql(q)), (lambda q=tq: spark.sql(q)))
+    frames = {t: read_table(spark, sf, t) for t in ("orders", "lineitem", "part", "customer")}
+    pairs = [sa.AuditPair(s, t, (lambda q=sq: spark.sql(q, **frames)), (lambda q=tq: spark.sql(q, **frames)))
              for s, t, sq, tq in AUDIT_PAIRS]
     meta, errors = sa.column_metadata(spark, pairs)
     return sa.compare_columns(meta, errors)
 
 
-_AUDIT_SQL = twins.column_audit_sql(AUDIT_PAIRS)
+_NAMES = {t: t for t in ("orders", "lineitem", "part", "customer", "events")}
+_AUDIT_SQL = twins.column_audit_sql([(a, b, c.format(**_NAMES), d.format(**_NAMES)) for a, b, c, d in AUDIT_PAIRS])
 
 
 @register("column_audit", f"SELECT {', '.join(AUDIT_COLUMNS)} FROM ({_AUDIT_SQL}) AS a")
@@ -294,7 +297,7 @@ from concord.operators import conform as cf  # noqa: E402
 
 EVENTS_LOAD_SQL = ("SELECT event_id, ts, user_id, event_type, value, props, "
                    "CAST(event_type = 'click' AS DOUBLE) AS is_click, "
-                   "regexp_extract(props, '([0-9]+)', 1) AS k_text FROM events")
+                   "regexp_extract(props, '([0-9]+)', 1) AS k_text FROM {events}")
 EVENTS_TARGET = [("event_id", "INTEGER"), ("ts", "DATETIME"), ("user_id", "STRING"), ("event_type", "STRING"),
                  ("value", "FLOAT"), ("is_click", "BOOL"), ("k_text", "INT64"), ("session_id", "STRING")]
 
@@ -303,10 +306,9 @@ EVENTS_TARGET = [("event_id", "INTEGER"), ("ts", "DATETIME"), ("user_id", "STRIN
 SELECT TRY_CAST(event_id AS BIGINT) AS event_id, ts, CAST(user_id AS VARCHAR) AS user_id, event_type,
        CAST(value AS DOUBLE) AS value, COALESCE(is_click <> 0, false) AS is_click,
        TRY_CAST(k_text AS BIGINT) AS k_text, CAST(NULL AS VARCHAR) AS session_id
-FROM ({EVENTS_LOAD_SQL}) AS src""")
+FROM ({EVENTS_LOAD_SQL.format(events="events")}) AS src""")
 def q_conform_events(spark: SparkSession, sf: str) -> DataFrame:
-    register_views(spark, sf, ("events",))
-    result = cf.conform(spark.sql(EVENTS_LOAD_SQL), EVENTS_TARGET, lenient_datetime_columns=["ts"], fill_missing=True)
+    result = cf.conform(spark.sql(EVENTS_LOAD_SQL, events=read_table(spark, sf, "events")), EVENTS_TARGET, lenient_datetime_columns=["ts"], fill_missing=True)
     return result.frame
 
 
