@@ -655,3 +655,49 @@ SELECT user_id, event_id, ts, event_type, value, props FROM (
 WHERE rn = 1""")
 def q_latest_report(spark: SparkSession, sf: str) -> DataFrame:
     return latest_by(read_table(spark, sf, "events"), ["user_id"], ["ts", "event_id"])
+
+
+# ---------------------------------------------------------------- scripts, exports, prefixes
+
+from concord.sources.files import ingest_prefix  # noqa: E402
+from concord.sources.tables import execute_script  # noqa: E402
+
+
+# The reference's demo script, re-expressed as one Spark SQL script: the variable
+# is DECLAREd and SET from a query (Q2), the stage-1 table is a view, and the last
+# statement is the report. Statements run in order on the cluster (S3).
+DEMO_SCRIPT = """
+DECLARE run_day TIMESTAMP_NTZ;
+SET run_day = (SELECT MAX(o_orderdate) FROM {orders});
+CREATE OR REPLACE TEMPORARY VIEW concord_daily_revenue AS
+  SELECT o.o_custkey AS customer_id, c.c_mktsegment AS segment, CAST(o.o_orderdate AS DATE) AS order_day,
+         SUM(COALESCE(CAST(COALESCE(o.o_totalprice, 0.0) AS DECIMAL(38,6)), 0)) AS revenue, COUNT(*) AS order_count
+  FROM {orders} o JOIN {customer} c ON c.c_custkey = o.o_custkey
+  WHERE o.o_orderdate = run_day
+  GROUP BY o.o_custkey, c.c_mktsegment, CAST(o.o_orderdate AS DATE);
+SELECT segment, CAST(SUM(revenue) AS DECIMAL(38,6)) AS revenue, CAST(SUM(order_count) AS BIGINT) AS order_count
+FROM concord_daily_revenue GROUP BY segment;
+"""
+
+
+@register("demo_script", ORACLE["segment_revenue_last_day"])
+def q_demo_script(spark: SparkSession, sf: str) -> DataFrame:
+    # The script's last result (one row per segment) is returned through the driver.
+    return execute_script(spark, DEMO_SCRIPT, orders=read_table(spark, sf, "orders"),
+                          customer=read_table(spark, sf, "customer"))
+
+
+@register("registry_export", f"""WITH b AS ({rd.BASE_SQL})
+SELECT source_schema AS oracle_schema, source_table AS oracle_table, target_project AS bigquery_project,
+       target_dataset AS bigquery_dataset, target_table AS bigquery_table, status,
+       CASE WHEN source_reachable THEN 'true' ELSE 'false' END AS oracle_reachable, source_checked_at AS oracle_checked_at,
+       CASE WHEN target_reachable THEN 'true' ELSE 'false' END AS bigquery_reachable,
+       target_checked_at AS bigquery_checked_at, notes
+FROM b ORDER BY oracle_schema, oracle_table""")
+def q_registry_export(spark: SparkSession, sf: str) -> DataFrame:
+    return reg.export_frame(_base(spark, sf))
+
+
+@register("prefix_ingest")  # no twin: the listing depends on where the files live; tested against os.listdir
+def q_prefix_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest_prefix(spark, sf).select("relative_path", "length")

@@ -82,14 +82,17 @@ def replicate(spark: SparkSession, source: str, target_path: str, fmt: str = "pa
     return load(spark.table(source), target_path, "append", fmt)
 
 
-def execute_script(spark: SparkSession, script: str) -> DataFrame:
+def execute_script(spark: SparkSession, script: str, **frames: DataFrame) -> DataFrame:
     """S3: run a multi-statement script in order, as one SQL script (``BEGIN … END``).
 
-    Statements run one after another on the cluster; the result is the last
-    statement's result set. Variables are ``DECLARE``d inside the script.
+    Statements run one after another on the cluster; variables are
+    ``DECLARE``d inside the script; ``{name}`` placeholders bind ``frames``.
+    The result is the last statement's result set, which Spark returns through
+    the driver: end a script with a report, or with a table write when the
+    output is data-sized.
     """
     body = script.strip().rstrip(";").strip()
-    return spark.sql(f"BEGIN\n{body};\nEND")
+    return spark.sql(f"BEGIN\n{body};\nEND", **frames)
 
 
 def reachable(spark: SparkSession, ref: str, fmt: str = "table") -> bool:
