@@ -183,3 +183,34 @@ def sample_evidence(df: DataFrame, order_by: Sequence[str], limit: int = 1000, e
         .alias("example_values"))
     return counts.join(ex, "column_key", "left").select(
         "column_key", "non_null", F.coalesce("example_values", F.lit("[]")).alias("example_values"))
+
+
+def attach_samples(report: DataFrame, source_samples: DataFrame | None, target_samples: DataFrame | None) -> DataFrame:
+    """Add ``{source,target}_sample_non_null`` / ``_sample_values`` to the column report.
+
+    Each samples frame is ``(source_table, target_table, column_key, non_null,
+    example_values)`` (``sample_evidence`` output plus the pair columns). Sample
+    evidence is informational; statuses are unchanged. Missing samples give
+    NULL counts and empty text, as in the reference.
+    """
+    out = report
+    for side, samples in (("source", source_samples), ("target", target_samples)):
+        if samples is None:
+            out = out.withColumn(f"{side}_sample_non_null", F.lit(None).cast("long")).withColumn(
+                f"{side}_sample_values", F.lit(""))
+            continue
+        s = samples.select(*PAIR_KEYS, "column_key", F.col("non_null").alias(f"{side}_sample_non_null"),
+                           F.col("example_values").alias(f"{side}_sample_values"))
+        present = F.col(f"{side}_present")
+        out = out.join(s, PAIR_KEYS + ["column_key"], "left").withColumn(
+            f"{side}_sample_non_null", F.when(present, F.col(f"{side}_sample_non_null"))).withColumn(
+            f"{side}_sample_values", F.when(present, F.coalesce(F.col(f"{side}_sample_values"), F.lit("")))
+            .otherwise(F.lit("")))
+    return out
+
+
+def pair_samples(df: DataFrame, source_table: str, target_table: str, order_by: Sequence[str],
+                 limit: int = 1000) -> DataFrame:
+    """``sample_evidence`` of one side, tagged with its pair."""
+    return sample_evidence(df, order_by, limit).select(
+        F.lit(source_table).alias("source_table"), F.lit(target_table).alias("target_table"), "*")

@@ -133,3 +133,14 @@ def test_conform_bool_needs_zero_one_and_text_to_number_counts_failures(spark):
     assert res.failure_counts() == {"n": 1}
     ok = cf.conform(spark.createDataFrame([(1.0,), (None,)], "f double"), [("f", "BOOL")])
     assert ok.ok and [r.f for r in ok.frame.collect()] == [True, False]  # NULL becomes false
+
+
+def test_samples_attach_without_changing_status(spark):
+    src = spark.createDataFrame([(1, Decimal("10"), "x")], "order_id int, amount decimal(38,9), legacy_only string")
+    tgt = spark.createDataFrame([(1, Decimal("10"))], "order_id int, amount decimal(38,9)")
+    rep = _audit(spark, [sa.AuditPair("s", "t", lambda: src, lambda: tgt)])
+    full = sa.attach_samples(rep, sa.pair_samples(src, "s", "t", ["order_id"]), sa.pair_samples(tgt, "s", "t", ["order_id"]))
+    rows = {r.column_key: r for r in full.collect()}
+    assert rows["amount"].source_sample_non_null == 1 and rows["amount"].target_sample_non_null == 1
+    assert rows["legacy_only"].target_sample_non_null is None and rows["legacy_only"].target_sample_values == ""
+    assert {k: r.status for k, r in rows.items()} == {r.column_key: r.status for r in rep.collect()}
