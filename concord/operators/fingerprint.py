@@ -86,7 +86,11 @@ def fingerprint_long(df: DataFrame, keys: Sequence[str] | None = None,
 
 
 def numeric_sums(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``(column_name, non_null, value_sum)`` per numeric column, in one scan."""
+    """``(column_name, non_null, value_sum, all_null)`` per numeric column, in one scan.
+
+    ``all_null`` flags a numeric column without a single value: the reference
+    decides "numeric" from the values and would not have summed it.
+    """
     columns = list(columns if columns is not None else numeric_columns(df))
     aggs = []
     for i, c in enumerate(columns):
@@ -94,7 +98,7 @@ def numeric_sums(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     one = df.agg(*aggs)
     return one.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("non_null"),
-                 F.col(_sum_name(i)).alias("value_sum"))
+                 F.col(_sum_name(i)).alias("value_sum"), (F.col(f"_n{i}") == 0).alias("all_null"))
         for i, c in enumerate(columns)
     ])))
 

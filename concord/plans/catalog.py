@@ -119,7 +119,8 @@ def q_rowcount_parity(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("numeric_sums", "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, COUNT({c}) AS non_null, "
-    f"COALESCE(SUM(COALESCE(TRY_CAST({c} AS DECIMAL(38,6)), 0)), 0) AS value_sum FROM lineitem"
+    f"COALESCE(SUM(COALESCE(TRY_CAST({c} AS DECIMAL(38,6)), 0)), 0) AS value_sum, COUNT({c}) = 0 AS all_null "
+    f"FROM lineitem"
     for c in LINEITEM_NUM))
 def q_numeric_sums(spark: SparkSession, sf: str) -> DataFrame:
     return fp.numeric_sums(read_table(spark, sf, "lineitem"))

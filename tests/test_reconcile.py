@@ -157,3 +157,9 @@ def test_row_hash_edge_cases(spark):
     assert with_row_hash(i).select("_h1", "_h2").first() == with_row_hash(l).select("_h1", "_h2").first()
     m = spark.createDataFrame([({"a": 1, "b": 2},)], "m map<string,int>")
     assert with_row_hash(m).first()._h1 is not None
+
+
+def test_all_null_numeric_column_is_flagged(spark):
+    df = spark.createDataFrame([("a", None, 1.0), ("b", None, 2.0)], "k string, empty double, v double")
+    got = {r.column_name: (r.non_null, r.all_null) for r in fp.numeric_sums(df).collect()}
+    assert got == {"empty": (0, True), "v": (2, False)}
