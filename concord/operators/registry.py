@@ -202,6 +202,19 @@ def export_frame(registry: DataFrame) -> DataFrame:
     return registry.orderBy(*KEYS).select(*cols)
 
 
+# The reference's example row for a user-fillable template.
+TEMPLATE_ROW = {"oracle_schema": "DEMO", "oracle_table": "sales_orders", "bigquery_project": "mock-gcp-project",
+                "bigquery_dataset": "mock_dataset", "bigquery_table": "raw_sales_orders", "status": "ready",
+                "oracle_reachable": "false", "oracle_checked_at": "", "bigquery_reachable": "false",
+                "bigquery_checked_at": "", "notes": "example row; replace or delete"}
+
+
+def template_frame(spark) -> DataFrame:
+    """The CSV template (header plus one example row), all text."""
+    return spark.createDataFrame([tuple(TEMPLATE_ROW[c] for c in CSV_COLUMNS)],
+                                 ", ".join(f"{c} string" for c in CSV_COLUMNS))
+
+
 def export_csv(registry: DataFrame, path: str) -> None:
     """Write the registry as CSV with the reference's header (one file per partition, sorted)."""
     export_frame(registry).write.mode("overwrite").option("header", True).csv(path)
