@@ -3,13 +3,21 @@
 The reference reconciles batch tables only. When a source keeps growing by
 new files, its group fingerprint (R5: per key count and exact sums) can be
 kept up to date by a streaming aggregation instead of re-scanning the whole
-table for every check: the per-key state lives in the state store, each
-micro-batch folds in only the new files, and ``foreachBatch`` replaces the
-persisted fingerprint table with the current state. A reconciliation then
-compares two persisted fingerprints (``fingerprint.compare_fingerprints``).
+table for every check: the per-key state lives in the state store and each
+micro-batch folds in only the new files.
+
+Output is in *update* mode: a micro-batch carries only the keys whose
+aggregate changed, with their new totals. ``foreachBatch`` merges them into
+the previous version (keys replaced by an anti-join, then a union) and writes
+version ``epoch=<batch id>`` under the output path, then records that epoch
+in a small marker. Writing a whole new version per batch is idempotent: a
+retried batch rewrites the same directory, and readers never see a partially
+written version (they follow the marker). A reconciliation compares two
+persisted fingerprints with ``fingerprint.compare_fingerprints``.
 
 Checkpoints go under the session's ``spark.checkpoint.dir`` (a shared folder
 on a cluster) unless a location is given, so a restarted query resumes.
+Older versions can be removed by the caller's retention job.
 """
 
 from __future__ import annotations
@@ -21,20 +29,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from concord.functions.keys import split_keys
 from concord.operators.fingerprint import group_fingerprint
 from concord.session import ensure_checkpoint_dir
 
+MARKER = "_latest_epoch"
+
 
 def stream_fingerprint(stream: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """R5 on a streaming DataFrame: a running ``(keys…, n, _s<i>)`` aggregation."""
+    """R5 on a streaming DataFrame: a running ``(split keys…, keys…, n, _s<i>)`` aggregation."""
     return group_fingerprint(stream, list(keys), list(columns))
 
 
+def latest_epoch(spark: SparkSession, output_path: str) -> int | None:
+    """The newest published version, or None before the first batch."""
+    try:
+        row = spark.read.text(posixpath.join(output_path, MARKER)).first()
+    except Exception:  # noqa: BLE001 - no marker yet
+        return None
+    return int(row.value) if row is not None else None
+
+
+def read_fingerprint(spark: SparkSession, output_path: str) -> DataFrame:
+    """The newest published fingerprint version."""
+    epoch = latest_epoch(spark, output_path)
+    if epoch is None:
+        raise FileNotFoundError(f"no fingerprint published under {output_path}")
+    return spark.read.parquet(posixpath.join(output_path, f"epoch={epoch}"))
+
+
 def maintain_fingerprint(spark: SparkSession, source_dir: str, schema: StructType, keys: Sequence[str],
                          columns: Sequence[str], output_path: str, name: str,
                          checkpoint_location: str | None = None, available_now: bool = True,
                          file_format: str = "parquet") -> StreamingQuery:
-    """Keep ``output_path`` equal to the group fingerprint of all files under ``source_dir``.
+    """Keep the newest version under ``output_path`` equal to the group fingerprint of all files in ``source_dir``.
 
     Runs with ``availableNow`` (process what is there, then stop) by default;
     pass ``available_now=False`` for a continuously running query.
@@ -42,10 +70,21 @@ def maintain_fingerprint(spark: SparkSession, source_dir: str, schema: StructTyp
     location = checkpoint_location or posixpath.join(ensure_checkpoint_dir(spark), "streams", name)
     stream = spark.readStream.schema(schema).format(file_format).load(source_dir)
     fp = stream_fingerprint(stream, keys, columns)
+    _, key_names = split_keys(stream, list(keys))
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(output_path)
+    def publish(changed: DataFrame, epoch: int) -> None:
+        session = changed.sparkSession
+        prev = latest_epoch(session, output_path)
+        if prev is not None and prev >= epoch:  # a replayed batch: take the version before it
+            prev = epoch - 1 if epoch > 0 else None
+        merged = changed
+        if prev is not None:
+            old = session.read.parquet(posixpath.join(output_path, f"epoch={prev}"))
+            merged = old.join(changed.select(*key_names), key_names, "left_anti").unionByName(changed)
+        merged.write.mode("overwrite").parquet(posixpath.join(output_path, f"epoch={epoch}"))
+        session.createDataFrame([(str(epoch),)], "value string").coalesce(1).write.mode("overwrite").text(
+            posixpath.join(output_path, MARKER))
 
-    writer = fp.writeStream.outputMode("complete").foreachBatch(publish).option("checkpointLocation", location)
+    writer = fp.writeStream.outputMode("update").foreachBatch(publish).option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.queryName(name).start()

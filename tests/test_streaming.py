@@ -5,7 +5,7 @@ import shutil
 import tempfile
 
 from concord.operators import fingerprint as fp
-from concord.streaming.fingerprint import maintain_fingerprint
+from concord.streaming.fingerprint import maintain_fingerprint, read_fingerprint
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -25,7 +25,27 @@ def test_stream_fingerprint_matches_batch_after_each_arrival(spark):
         q = maintain_fingerprint(spark, src, orders.schema, keys, cols, out, f"fp_test_{i}", checkpoint_location=ckpt)
         q.awaitTermination(120)
         seen = spark.read.parquet(*[os.path.join(base, f"stage{j}") for j in range(i + 1)])
-        diffs = fp.compare_fingerprints(spark.read.parquet(out), fp.group_fingerprint(seen, keys, cols),
+        diffs = fp.compare_fingerprints(read_fingerprint(spark, out), fp.group_fingerprint(seen, keys, cols),
                                         "stream", "batch", keys, cols)
         assert diffs.count() == 0
-    assert spark.read.parquet(out).count() == orders.select("o_orderstatus").distinct().count()
+    assert read_fingerprint(spark, out).count() == orders.select("o_orderstatus").distinct().count()
+
+
+def test_update_mode_merges_only_changed_keys(spark):
+    base = tempfile.mkdtemp(prefix="concord-stream2-", dir="/tmp")
+    src, out, ckpt = os.path.join(base, "in"), os.path.join(base, "fp"), os.path.join(base, "ckpt")
+    os.makedirs(src)
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    keys, cols = ["o_custkey"], ["o_totalprice"]
+    parts = orders.randomSplit([0.4, 0.3, 0.3], seed=11)
+    for i, part in enumerate(parts):
+        stage = os.path.join(base, f"stage{i}")
+        part.write.mode("overwrite").parquet(stage)
+        for f in os.listdir(stage):
+            if f.endswith(".parquet"):
+                shutil.copy(os.path.join(stage, f), os.path.join(src, f"b{i}-{f}"))
+        maintain_fingerprint(spark, src, orders.schema, keys, cols, out, f"fp_cust_{i}",
+                             checkpoint_location=ckpt).awaitTermination(120)
+    batch = fp.group_fingerprint(orders, keys, cols)
+    assert fp.compare_fingerprints(read_fingerprint(spark, out), batch, "s", "b", keys, cols).count() == 0
+    assert read_fingerprint(spark, out).count() == orders.select("o_custkey").distinct().count()
