@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concord.functions.canonical import with_row_hash
-from concord.functions.numeric import SUM_TYPE, exact_sum
+from concord.functions.numeric import SUM_TYPE
 from concord.functions.keys import join_condition
 from concord.operators.fingerprint import group_fingerprint, numeric_columns
 
