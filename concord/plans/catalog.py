@@ -379,10 +379,12 @@ UNION ALL SELECT script_id, unit_id, 'source', 'stg_' || o_orderkey, 1 FROM u WH
 UNION ALL SELECT script_id, unit_id, 'source', 'customer', 2 FROM u WHERE unit_id = 2""")
 def q_script_edges(spark: SparkSession, sf: str) -> DataFrame:
     u = _order_units(spark, sf)
-    src = u.select("script_id", "unit_id", F.lit("source").alias("role"), F.posexplode("sources").alias("p", "table_name"))
-    tgt = u.select("script_id", "unit_id", F.lit("target").alias("role"), F.posexplode("targets").alias("p", "table_name"))
-    return src.unionByName(tgt).select("script_id", "unit_id", "role", "table_name",
-                                       (F.col("p") + 1).cast("int").alias("position"))
+
+    def refs(col: str, role: str) -> F.Column:
+        return F.transform(col, lambda t, i: F.struct(F.lit(role).alias("role"), t.alias("table_name"),
+                                                       (i + 1).cast("int").alias("position")))
+    # one pass over the units: sources and targets as one array of (role, table, position)
+    return u.select("script_id", "unit_id", F.inline(F.concat(refs("sources", "source"), refs("targets", "target"))))
 
 
 @register("script_rewrite", f"""WITH u AS ({corpus.ORDER_UNITS_SQL}),
