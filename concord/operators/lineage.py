@@ -77,8 +77,9 @@ def compute_stages(units: DataFrame, max_rounds: int | None = None) -> DataFrame
     # hits alike, so a table still reaches zero in the right round.
     edges = deps.where(F.col("source").isNotNull()).repartition("source").checkpoint()
     state = deps.groupBy("table_name").agg(F.count("source").alias("missing")).checkpoint()
-    tables = deps.select("table_name").union(edges.select(F.col("source").alias("table_name"))).distinct()
-    frontier = tables.join(state.select("table_name"), "table_name", "left_anti").checkpoint()
+    # Roots: sources that no unit produces (stage 0).
+    frontier = (edges.select(F.col("source").alias("table_name")).distinct()
+                .join(state.select("table_name"), "table_name", "left_anti").checkpoint())
     parts = [frontier.select("table_name", F.lit(0).alias("stage"))]
     stage = 0
     while max_rounds is None or stage < max_rounds:
@@ -98,8 +99,11 @@ def compute_stages(units: DataFrame, max_rounds: int | None = None) -> DataFrame
     resolved = parts[0]
     for p in parts[1:]:
         resolved = resolved.unionByName(p)
-    return tables.join(resolved, "table_name", "left").select(
-        "table_name", F.col("stage").cast("int").alias("stage"), F.col("stage").isNull().alias("in_cycle"))
+    # Whatever is still open sits on or behind a cycle (or beyond max_rounds): stage NULL.
+    open_left = state if stage == 0 else state.where(F.col("missing") > 0)
+    cyclic = open_left.select("table_name", F.lit(None).cast("int").alias("stage"))
+    return resolved.select("table_name", F.col("stage").cast("int").alias("stage")).unionByName(cyclic).select(
+        "table_name", "stage", F.col("stage").isNull().alias("in_cycle"))
 
 
 def tables_by_stage(stages: DataFrame) -> DataFrame:

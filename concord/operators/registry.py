@@ -52,12 +52,19 @@ def new_rows(df: DataFrame, now: Column, status: str = "pending") -> DataFrame:
     return _norm_keys(df.select(*cols)).withColumn("target_table", F.lower("target_table"))
 
 
-def upsert(registry: DataFrame, updates: DataFrame, now: Column) -> DataFrame:
+def upsert(registry: DataFrame, updates: DataFrame, now: Column, order: str | None = None) -> DataFrame:
     """Insert or replace rows by key; ``created_at`` of existing rows is kept, ``updated_at`` = now.
 
-    ``updates`` must hold one row per key (a full outer join on the key).
+    Several updates of one key are applied in ``order`` (the last one wins, as
+    sequential upserts would), reduced by a partial ``max_by`` before the join.
+    Without ``order`` the updates must hold one row per key.
     """
-    u = new_rows(updates, now).drop("created_at", "updated_at").withColumn("_u", F.lit(True))
+    if order is not None:
+        rest = [c for c in updates.columns if c not in KEYS]
+        last = _norm_keys(updates).groupBy(*KEYS).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r"))
+        updates = last.select(*KEYS, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    u = new_rows(updates, now).drop("created_at", "updated_at")
+    u = u.withColumn("_u", F.lit(True))
     r = registry.select(*KEYS, "created_at", *[F.col(c).alias(f"_old_{c}") for c in UPDATABLE], "updated_at")
     j = r.join(u, KEYS, "full_outer")
     hit = F.coalesce(F.col("_u"), F.lit(False))

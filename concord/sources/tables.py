@@ -27,7 +27,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_any(spark: SparkSession, ref: str, fmt: str = "parquet", options: Mapping[str, str] | None = None) -> DataFrame:
-    """A catalog table (``fmt='table'``), a JDBC table (``fmt='jdbc'``) or a path."""
+    """A catalog table (``fmt='table'``), a JDBC table (``fmt='jdbc'``) or a path.
+
+    For JDBC pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and
+    ``numPartitions`` in ``options`` so the table is read by parallel range
+    queries instead of one connection.
+    """
     if fmt == "table":
         return spark.table(ref)
     reader = spark.read.options(**dict(options or {}))

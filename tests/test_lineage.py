@@ -47,3 +47,9 @@ def test_edges_roots_and_unmapped(spark):
     assert [r.table_name for r in lin.unmapped_sources(u, mapping).collect()] == ["dim"]
     by_stage = {r.stage: r.n_tables for r in lin.tables_by_stage(lin.compute_stages(u)).collect()}
     assert by_stage == {0: 2, 1: 1, 2: 1}
+
+
+def test_max_rounds_leaves_deeper_tables_open(spark):
+    u = units(spark, [(["raw"], ["stg"]), (["stg"], ["fact"])])
+    got = {r.table_name: r.stage for r in lin.compute_stages(u, max_rounds=1).collect()}
+    assert got == {"raw": 0, "stg": 1, "fact": None}

@@ -117,3 +117,10 @@ def test_template_imports_as_one_row(spark):
     assert len(rows) == 1 and rows[0].source_table == "sales_orders" and rows[0].status == "ready"
     merged = reg.upsert(empty(spark), reg.import_csv(spark, os.path.join(out, "tpl")), F.lit(T0))
     assert merged.count() == 1
+
+
+def test_upsert_applies_several_updates_of_a_key_in_order(spark):
+    ups = spark.createDataFrame([("demo", "T", "first", 1), ("demo", "t", "second", 2)],
+                                "source_schema string, source_table string, target_table string, seq int")
+    got = reg.upsert(empty(spark), ups, F.lit(T0), order="seq").collect()
+    assert [(r.source_table, r.target_table) for r in got] == [("t", "second")]
