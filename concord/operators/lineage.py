@@ -55,7 +55,8 @@ def unmapped_sources(units: DataFrame, mapping: DataFrame, key: str = "source_ta
     return external_roots(units).join(mapping.select(F.col(key).alias("table_name")), "table_name", "left_anti")
 
 
-def compute_stages(units: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def compute_stages(units: DataFrame, max_rounds: int | None = None, hot_share: int = 1000,
+                   salts: int = 32) -> DataFrame:
     """L2: ``(table_name, stage, in_cycle)`` for every table.
 
     Frontier propagation: each produced table starts with the number of its
@@ -63,8 +64,10 @@ def compute_stages(units: DataFrame, max_rounds: int | None = None) -> DataFrame
     the tables resolved in round ``r-1`` (the frontier), subtracts the hits, and
     the tables reaching zero form the next frontier with stage ``r``. Total work
     is linear in the edges; the number of rounds is the graph depth. The edge
-    table is hash-partitioned by source and checkpointed once, so a round
-    shuffles only the frontier; each round's state is a reliable checkpoint.
+    table is hash-partitioned by (source, salt) and checkpointed once, so a
+    round shuffles only the frontier; each round's state is a reliable
+    checkpoint. Sources with more than ``1/hot_share`` of all edges are salted
+    over ``salts`` sub-keys.
     """
     spark = units.sparkSession
     ensure_checkpoint_dir(spark)
@@ -75,16 +78,34 @@ def compute_stages(units: DataFrame, max_rounds: int | None = None) -> DataFrame
             .checkpoint())
     # Duplicate edges need no de-duplication: they count in `missing` and in the
     # hits alike, so a table still reaches zero in the right round.
-    edges = deps.where(F.col("source").isNotNull()).repartition("source").checkpoint()
+    raw_edges = deps.where(F.col("source").isNotNull())
+    # Skew: a source feeding a large share of all edges would make one partition
+    # hold all of them. Such hot sources (out-degree above total/hot_share, so at
+    # most hot_share of them: a proven bound, broadcast) spread their edges over
+    # `salts` sub-keys; their frontier rows are replicated once per sub-key.
+    degree = raw_edges.groupBy("source").agg(F.count(F.lit(1)).alias("d")).checkpoint()
+    total = degree.agg(F.sum("d")).first()[0] or 0
+    hot = F.broadcast(degree.where(F.col("d") > F.lit(max(total // hot_share, 1))).select("source")
+                      .withColumn("_hot", F.lit(True)))
+    edges = (raw_edges.join(hot, "source", "left")
+             .withColumn("salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("table_name"), F.lit(salts)))
+                         .otherwise(F.lit(0)).cast("int"))
+             .drop("_hot").repartition("source", "salt").checkpoint())
+
+    def salted(front: DataFrame) -> DataFrame:
+        f = front.select(F.col("table_name").alias("source")).join(hot, "source", "left")
+        fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        return f.select("source", F.explode(fan).alias("salt"))
+
     state = deps.groupBy("table_name").agg(F.count("source").alias("missing")).checkpoint()
     # Roots: sources that no unit produces (stage 0).
-    frontier = (edges.select(F.col("source").alias("table_name")).distinct()
+    frontier = (degree.select(F.col("source").alias("table_name"))
                 .join(state.select("table_name"), "table_name", "left_anti").checkpoint())
     parts = [frontier.select("table_name", F.lit(0).alias("stage"))]
     stage = 0
     while max_rounds is None or stage < max_rounds:
         stage += 1
-        hits = (edges.join(frontier.select(F.col("table_name").alias("source")), "source")
+        hits = (edges.join(salted(frontier), ["source", "salt"])
                 .groupBy("table_name").agg(F.count(F.lit(1)).alias("hit")))
         # One checkpoint per round; the frontier and the still-open tables are filters of it.
         # Round 1 keeps tables with no source (missing 0 from the start); later rounds

@@ -53,3 +53,12 @@ def test_max_rounds_leaves_deeper_tables_open(spark):
     u = units(spark, [(["raw"], ["stg"]), (["stg"], ["fact"])])
     got = {r.table_name: r.stage for r in lin.compute_stages(u, max_rounds=1).collect()}
     assert got == {"raw": 0, "stg": 1, "fact": None}
+
+
+def test_hot_source_is_salted_and_stages_unchanged(spark):
+    # one source feeds 300 of 301 tables: it is hot for any hot_share above 1
+    rows = [(["hub"], [f"t{i}"]) for i in range(300)] + [(["other"], ["u"]), ([f"t{i}" for i in range(3)], ["top"])]
+    u = units(spark, rows)
+    got = {r.table_name: r.stage for r in lin.compute_stages(u, hot_share=10, salts=4).collect()}
+    assert got["hub"] == 0 and got["t7"] == 1 and got["u"] == 1 and got["top"] == 2
+    assert got == {r.table_name: r.stage for r in lin.compute_stages(u, hot_share=1, salts=1).collect()}
