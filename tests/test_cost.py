@@ -91,3 +91,14 @@ def test_scan_estimate_unknown_table_fails_with_zero_bytes(spark):
     sizes = spark.createDataFrame([("a", 100), ("b", 10)], "table_name string, size_bytes long")
     got = {r.unit_id: (r.estimated_bytes, r.error) for r in cst.scan_estimate(units, sizes).collect()}
     assert got == {1: (110, ""), 2: (0, "unknown table: nope"), 3: (0, "")}
+
+
+def test_distributed_rank_matches_a_window_on_a_skewed_script(spark):
+    from pyspark.sql import Window
+    rows = [("big", i, (i * 37) % 101, 0.0) for i in range(400)] + [("small", i, i % 3, 0.0) for i in range(5)]
+    est = spark.createDataFrame(rows, "script_id string, unit_order int, estimated_bytes long, estimated_cost_usd double")
+    est = est.withColumn("estimated_cost_usd", F.col("estimated_bytes").cast("double"))
+    got = {(r.script_id, r.unit_order): r.rank for r in cst.rank_costs_distributed(est, partitions=7).collect()}
+    w = Window.partitionBy("script_id").orderBy(F.desc("estimated_cost_usd"), F.asc("unit_order"))
+    want = {(r.script_id, r.unit_order): r.rank for r in est.withColumn("rank", F.row_number().over(w)).collect()}
+    assert got == want
