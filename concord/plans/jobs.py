@@ -79,3 +79,33 @@ def reconcile_catalog(spark: SparkSession, mapping: DataFrame, resolve: Resolver
              for r in mapping.select("source_table", "target_table").collect()]  # one row per table pair
     diffs = fp.reconcile(pairs, keys, tolerance, group_tolerance)
     return fp.rowcount_parity(pairs), diffs, fp.verdict(pairs, diffs)
+
+
+def cost_audit(spark: SparkSession, path: str, fmt: str = "run_report",
+               price_per_tib: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """C1-C5/G7 from statement files: ``(ranked estimates, totals)``.
+
+    ``fmt='run_report'``: run reports with ``units[].bq_sql`` (script id from
+    the report); ``fmt='json'``: a list of ``{id, order, statement_type, sql}``
+    (script id = file name). Blank statements are left out.
+    """
+    from pyspark.sql import functions as F
+
+    from concord.operators import cost as cst
+
+    raw = spark.read.option("multiLine", True).json(path)
+    if fmt == "run_report":
+        units = raw.select(F.coalesce(F.col("script_id"), F.col("_metadata.file_name")).alias("script_id"),
+                           F.explode("units").alias("u")).select(
+            "script_id", F.col("u.id").cast("long").alias("query_id"), F.col("u.order").cast("long").alias("unit_order"),
+            F.col("u.statement_type").alias("statement_type"), F.col("u.bq_sql").alias("sql"))
+    else:
+        units = raw.select(F.col("_metadata.file_name").alias("script_id"), F.col("id").cast("long").alias("query_id"),
+                           F.col("order").cast("long").alias("unit_order"), "statement_type", "sql")
+    units = units.where(cst.non_blank(F.col("sql")))
+    price = cst.PRICE_PER_TIB_USD if price_per_tib is None else price_per_tib
+    b = cst.text_bytes(F.col("sql"))
+    est = units.select("script_id", "query_id", "unit_order", "statement_type", b.alias("estimated_bytes"),
+                       cst.cost_usd(b, price).alias("estimated_cost_usd"), cst.preview(F.col("sql")).alias("sql_preview"),
+                       F.lit("").alias("error"))
+    return cst.rank_costs(est), cst.cost_totals(est, price_per_tib=price)

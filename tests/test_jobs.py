@@ -46,3 +46,17 @@ def test_reconcile_catalog(spark):
     assert {(r.target, r.matched) for r in parity.collect()} == {("orders_tgt", False), ("orders_copy", True)}
     assert {(r.target, r.status) for r in verdict.collect()} == {("orders_tgt", "flagged"), ("orders_copy", "validated")}
     assert diffs.where("target = 'orders_copy'").count() == 0
+
+
+def test_cost_audit_from_a_run_report(spark):
+    import json
+    d = tempfile.mkdtemp(prefix="concord-cost-", dir="/tmp")
+    report = {"script_id": "demo", "units": [
+        {"id": 1, "order": 1, "statement_type": "DDL", "bq_sql": "CREATE OR REPLACE TABLE t AS SELECT * FROM raw_sales_orders"},
+        {"id": 2, "order": 2, "statement_type": "DML", "bq_sql": "SELECT customer_id FROM raw_sales_orders WHERE amount > 0"},
+        {"id": 3, "order": 3, "statement_type": "DML", "bq_sql": "   "}]}
+    with open(os.path.join(d, "run_report_1.json"), "w") as fh:
+        json.dump(report, fh)
+    ranked, totals = jobs.cost_audit(spark, os.path.join(d, "run_report_1.json"))
+    assert {r.query_id: r.rank for r in ranked.collect()} == {1: 1, 2: 2}
+    assert totals.first().n_queries == 2
