@@ -130,16 +130,19 @@ def translate(units: DataFrame, mapping: DataFrame, text: str = "statement",
     """Table names through ``mapping(source_name, target_name)``, NVL→COALESCE,
     TRUNC→DATE, ``CREATE TABLE x AS`` → ``CREATE OR REPLACE TABLE x AS`` (name lower-cased).
 
-    Result column ``translated``. A statement holds at most one CTAS, so the
-    lower-cased name is taken from its first occurrence.
+    Result column ``translated``. Every ``CREATE TABLE name AS`` of a statement is
+    rewritten with its own (lower-cased) name.
     """
     m = mapping.select(F.lower("source_name").alias("word"), F.col("target_name").alias("replacement"))
     out = replace_words(units.withColumn("translated", F.col(text)), "translated", keys, m)
     t = F.col("translated")
     t = F.regexp_replace(t, NVL_RE, "COALESCE(")
     t = F.regexp_replace(t, TRUNC_RE, "DATE(")
-    name = F.regexp_replace(F.lower(F.regexp_extract(t, CTAS_RE, 1)), r"([\\$])", r"\\$1")
-    t = F.regexp_replace(t, F.lit(CTAS_RE), F.concat(F.lit("CREATE OR REPLACE TABLE "), name, F.lit(" AS")))
+    # CTAS: each distinct name gets its own replacement (lower-cased), applied in turn.
+    names = F.array_distinct(F.regexp_extract_all(t, F.lit(CTAS_RE), 1))
+    t = F.aggregate(names, t, lambda acc, n: F.regexp_replace(
+        acc, F.concat(F.lit(r"(?iU)\bCREATE\s+TABLE\s+\Q"), n, F.lit(r"\E\s+AS")),
+        F.concat(F.lit("CREATE OR REPLACE TABLE "), F.regexp_replace(F.lower(n), r"([\\$])", r"\\$1"), F.lit(" AS"))))
     return out.withColumn("translated", strip_ws(t))
 
 

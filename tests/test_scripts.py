@@ -86,3 +86,11 @@ def test_translate(spark):
     got = scr.translate(units, mapping).first().translated
     assert got == ("CREATE OR REPLACE TABLE daily_revenue_bq AS SELECT SUM(COALESCE(o.amount, 0)), DATE(o.d) "
                    "FROM raw_sales_orders o JOIN sales_orders_hist h ON 1=1")
+
+
+def test_translate_rewrites_every_ctas_with_its_own_name(spark):
+    units = spark.createDataFrame([("s", 1, "create table A_1 as select 1; CREATE  TABLE B$x AS select 2")],
+                                  "script_id string, unit_id int, statement string")
+    mapping = spark.createDataFrame([], "source_name string, target_name string")
+    got = scr.translate(units, mapping).first().translated
+    assert got == "CREATE OR REPLACE TABLE a_1 AS select 1; CREATE OR REPLACE TABLE b$x AS select 2"
