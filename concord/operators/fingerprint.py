@@ -175,10 +175,18 @@ def compare_fingerprints(sfp: DataFrame, tfp: DataFrame, source_name: str, targe
     src_lit, tgt_lit = F.lit(source_name), F.lit(target_name)
     dec = lambda c: c.cast(SUM_TYPE)
 
-    totals = g.agg(
-        F.sum(F.coalesce("sn", F.lit(0))).alias("sn"), F.sum(F.coalesce("tn", F.lit(0))).alias("tn"),
-        *[F.sum(f"ss{i}").alias(f"ss{i}") for i in range(len(columns))],
-        *[F.sum(f"ts{i}").alias(f"ts{i}") for i in range(len(columns))],
+    # Totals from each side's group rows (two one-row aggregates folded into one
+    # row), not from the joined frame: no second join for the totals branch.
+    def side_totals(f: DataFrame, tag: str) -> DataFrame:
+        return f.agg(F.sum("n").alias("n"), *[F.sum(_sum_name(i)).alias(f"v{i}") for i in range(len(columns))]
+                     ).withColumn("_side", F.lit(tag))
+
+    both = side_totals(sfp, "s").unionByName(side_totals(tfp, "t"))
+    pick = lambda tag, c: F.max(F.when(F.col("_side") == tag, F.col(c)))
+    totals = both.agg(
+        F.coalesce(pick("s", "n"), F.lit(0)).alias("sn"), F.coalesce(pick("t", "n"), F.lit(0)).alias("tn"),
+        *[pick("s", f"v{i}").alias(f"ss{i}") for i in range(len(columns))],
+        *[pick("t", f"v{i}").alias(f"ts{i}") for i in range(len(columns))],
     )
     total_rows = [F.struct(F.lit("count").alias("check"), F.lit(None).cast("string").alias("column_name"),
                            dec(F.col("sn")).alias("sv"), dec(F.col("tn")).alias("tv"),
