@@ -109,3 +109,44 @@ def cost_audit(spark: SparkSession, path: str, fmt: str = "run_report",
                        cst.cost_usd(b, price).alias("estimated_cost_usd"), cst.preview(F.col("sql")).alias("sql_preview"),
                        F.lit("").alias("error"))
     return cst.rank_costs(est), cst.cost_totals(est, price_per_tib=price)
+
+
+def preflight(spark: SparkSession, scripts: DataFrame, registry: DataFrame, available: DataFrame,
+              schema: str, now: str, legacy_mapping: DataFrame | None = None, project: str = "",
+              dataset: str = "", column_registry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """A10 end to end: ``(new registry version, verdict per required table)``.
+
+    ``scripts`` is ``(script_id, sql)`` (pure SQL); the required tables are the
+    sources no statement produces (J6). The registry is seeded from
+    ``legacy_mapping(source_table, target_table)`` (T2), unknown tables are
+    added as pending (T3), and mapped tables are probed against ``available``
+    (``table_name``: e.g. ``tables.catalog_listing``) with sticky reachability
+    (T4/T8). ``verdict.can_run`` is the go/no-go.
+    """
+    from pyspark.sql import functions as F
+
+    from concord.operators import lineage as lin
+    from concord.operators import registry as reg
+    from concord.operators import scripts as scr
+
+    stamp = F.lit(now)
+    units = scr.build_units(scripts).select(F.concat_ws(":", "script_id", F.col("unit_id").cast("string"))
+                                            .alias("unit_id"), F.col("unit_id").cast("long").alias("unit_order"),
+                                            "sources", "targets")
+    required = lin.external_roots(units).select(F.lit(schema).alias("source_schema"),
+                                                F.col("table_name").alias("source_table"))
+    r = registry
+    if legacy_mapping is not None:
+        r = reg.seed(r, legacy_mapping, schema, project, dataset, stamp)
+    r = reg.ensure_pending(r, required, stamp)
+    names = available.select(F.lower("table_name").alias("table_name")).distinct().withColumn("_ok", F.lit(True))
+    mapped = (r.join(required, reg.KEYS, "left_semi").where(F.col("target_table") != "")
+              .select(*reg.KEYS, "target_table"))
+    obs = (mapped.join(names.withColumnRenamed("table_name", "source_table").withColumnRenamed("_ok", "source_probe"),
+                       "source_table", "left")
+           .join(names.withColumnRenamed("table_name", "target_table").withColumnRenamed("_ok", "target_probe"),
+                 "target_table", "left")
+           .select(*reg.KEYS, F.coalesce("source_probe", F.lit(False)).alias("source_probe"),
+                   F.coalesce("target_probe", F.lit(False)).alias("target_probe")))
+    r = reg.update_reachability(r, obs, stamp)
+    return r, reg.readiness(required, r, column_registry)

@@ -60,3 +60,33 @@ def test_cost_audit_from_a_run_report(spark):
     ranked, totals = jobs.cost_audit(spark, os.path.join(d, "run_report_1.json"))
     assert {r.query_id: r.rank for r in ranked.collect()} == {1: 1, 2: 2}
     assert totals.first().n_queries == 2
+
+
+def _empty_registry(spark):
+    from concord.operators import registry as reg
+    return spark.createDataFrame([], reg.REGISTRY_SCHEMA)
+
+
+def test_preflight_blocks_unknown_table_and_adds_pending_row(spark):
+    scripts = spark.createDataFrame([("s", "SELECT * FROM missing_table;")], "script_id string, sql string")
+    available = spark.createDataFrame([("sales_orders",)], "table_name string")
+    reg_v2, verdict = jobs.preflight(spark, scripts, _empty_registry(spark), available, "demo", "2026-06-01")
+    v = verdict.collect()
+    assert [(r.source_table, r.verdict, r.can_run) for r in v] == [("missing_table", "unknown", False)]
+    rows = reg_v2.where("source_table = 'missing_table'").collect()
+    assert rows and rows[0].status == "pending"
+
+
+def test_preflight_marks_seeded_tables_reachable(spark):
+    sql = ("CREATE TABLE daily_revenue AS SELECT o.customer_id FROM sales_orders o "
+           "JOIN customer_segments c ON c.customer_id = o.customer_id; SELECT * FROM daily_revenue;")
+    scripts = spark.createDataFrame([("demo", sql)], "script_id string, sql string")
+    legacy = spark.createDataFrame([("sales_orders", "raw_sales_orders"), ("customer_segments", "raw_customer_segments")],
+                                   "source_table string, target_table string")
+    available = spark.createDataFrame([(t,) for t in ["sales_orders", "customer_segments", "raw_sales_orders",
+                                                      "raw_customer_segments"]], "table_name string")
+    reg_v2, verdict = jobs.preflight(spark, scripts, _empty_registry(spark), available, "demo", "2026-06-01",
+                                     legacy_mapping=legacy, project="p", dataset="d")
+    got = {r.source_table: (r.verdict, r.can_run) for r in verdict.collect()}
+    assert got == {"sales_orders": ("ready", True), "customer_segments": ("ready", True)}
+    assert {r.source_table: r.status for r in reg_v2.collect()} == {"sales_orders": "ready", "customer_segments": "ready"}
