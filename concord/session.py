@@ -27,6 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CONCORD_DRIVER_MEMORY", "8g"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="concord-warehouse-", dir="/tmp"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
