@@ -42,3 +42,16 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.count() >= 0
     assert df.columns == ["segment", "revenue", "order_count"]
+
+
+@pytest.mark.skipif(not __import__("os").environ.get("CONCORD_ALL_SCALES"), reason="set CONCORD_ALL_SCALES=1")
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.1"])
+def test_every_query_matches_duckdb_at_other_scales(spark, sf):
+    con = duck(sf)
+    bad = {}
+    for name, sql in ORACLE.items():
+        df = entry_mod.queries()[name](spark, sf)
+        problem = compare(df, con, sql) or (type_mismatches(df, con, sql) or None)
+        if problem:
+            bad[name] = problem
+    assert bad == {}
