@@ -1,0 +1,45 @@
+"""Join strategy helpers: broadcast only what is measured to be small.
+
+Spark's static size estimates are unreliable below an ``explode`` or a
+``collect_list`` (row counts are not multiplied) and absent for frames built
+from local data, so an automatic broadcast can pick a side that is in fact
+data-sized. These helpers make the choice explicit: measure, then broadcast
+behind the check, else force a shuffle (sort-merge) join.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+ROW_OVERHEAD_BYTES = 48  # per entry in a broadcast hash relation, roughly
+
+
+def broadcast_limit_bytes(df: DataFrame) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: never broadcast)."""
+    raw = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
+    m = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", raw)
+    if not m:
+        return 10 * 1024 * 1024
+    n = int(m.group(1))
+    return n * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}[m.group(2)]
+
+
+def measured_bytes(df: DataFrame, text_columns: list[str]) -> int:
+    """Rows × overhead + total length of ``text_columns``: one aggregate pass, one number back."""
+    lengths = [F.coalesce(F.length(c), F.lit(0)) for c in text_columns]
+    total = lengths[0]
+    for x in lengths[1:]:
+        total = total + x
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(total).alias("b")).first()
+    return int(row["n"] or 0) * ROW_OVERHEAD_BYTES + int(row["b"] or 0)
+
+
+def small_or_shuffled(side: DataFrame, text_columns: list[str]) -> DataFrame:
+    """``broadcast(side)`` when measured under the session's threshold, else a ``merge`` hint."""
+    limit = broadcast_limit_bytes(side)
+    if limit > 0 and measured_bytes(side, text_columns) <= limit:
+        return F.broadcast(side)
+    return side.hint("merge")

@@ -47,7 +47,7 @@ def produced_tables(units: DataFrame) -> DataFrame:
 def external_roots(units: DataFrame) -> DataFrame:
     """Sources that no unit produces."""
     src = units.select(F.explode("sources").alias("table_name")).distinct()
-    return src.join(produced_tables(units), "table_name", "left_anti")
+    return src.join(produced_tables(units).hint("merge"), "table_name", "left_anti")  # data-sized
 
 
 def unmapped_sources(units: DataFrame, mapping: DataFrame, key: str = "source_table") -> DataFrame:
@@ -105,13 +105,15 @@ def compute_stages(units: DataFrame, max_rounds: int | None = None, hot_share: i
     stage = 0
     while max_rounds is None or stage < max_rounds:
         stage += 1
-        hits = (edges.join(salted(frontier), ["source", "salt"])
+        # Frontier and hits can be data-sized: shuffle joins, never a broadcast picked
+        # from an estimate (edges keep their partitioning; only the frontier moves).
+        hits = (edges.join(salted(frontier).hint("merge"), ["source", "salt"])
                 .groupBy("table_name").agg(F.count(F.lit(1)).alias("hit")))
         # One checkpoint per round; the frontier and the still-open tables are filters of it.
         # Round 1 keeps tables with no source (missing 0 from the start); later rounds
         # drop the previous frontier.
         still_open = state if stage == 1 else state.where(F.col("missing") > 0)
-        state = still_open.join(hits, "table_name", "left").select(
+        state = still_open.join(hits.hint("merge"), "table_name", "left").select(
             "table_name", (F.col("missing") - F.coalesce(F.col("hit"), F.lit(0))).alias("missing")).checkpoint()
         frontier = state.where(F.col("missing") == 0).select("table_name")
         if frontier.isEmpty():

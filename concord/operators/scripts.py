@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concord.functions.joins import small_or_shuffled
+
 # Patterns of the reference's statement inventory.
 # Python's str.strip() whitespace: Unicode White_Space plus \x1c-\x1f.
 WS = r"[\s\x{1C}-\x{1F}]"
@@ -116,9 +118,12 @@ def replace_words(df: DataFrame, text: str, keys: tuple[str, ...], mapping: Data
         F.regexp_extract_all(F.col(text), F.lit(r"(?U)(\w+)"), 1), F.lower))).alias("word"))
     # One replacement per word (keys differing only in case collapse to one).
     m = mapping.groupBy(*map_keys, "word").agg(F.min("replacement").alias("replacement"))
-    hits = words.join(m, [*map_keys, "word"], "inner").groupBy(*keys).agg(
+    # The mapping is broadcast only when measured small; the exploded words never
+    # are (their static size estimate ignores the explode's fan-out).
+    m = small_or_shuffled(m, [*map_keys, "word", "replacement"])
+    hits = words.hint("merge").join(m, [*map_keys, "word"], "inner").groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("word", "replacement"))).alias("_map"))
-    j = df.join(hits, list(keys), "left")
+    j = df.join(hits.hint("merge"), list(keys), "left")
     toks = F.regexp_extract_all(F.col(text), F.lit(TOKEN_RE), 1)
     new = F.array_join(F.transform(toks, lambda t: F.coalesce(F.try_element_at(F.col("_map"), F.lower(t)), t)), "")
     out = F.when(F.col("_map").isNull(), F.col(text)).otherwise(new)
@@ -160,7 +165,7 @@ def materialize_variables(scripts: DataFrame, variables: DataFrame, text: str =
         F.concat(F.lit(r"(?iU)\b\Q"), F.lower("var_name"), F.lit(r"\E\b")).alias("pattern"),
         F.regexp_replace(sql_literal(F.col("value")), r"([\\$])", r"\\$1").alias("replacement")).alias("v"))
     per_script = v.groupBy(*keys).agg(F.array_sort(F.collect_list("v")).alias("_vars"))
-    j = scripts.join(per_script, list(keys), "left")
+    j = scripts.join(per_script.hint("merge"), list(keys), "left")  # both sides data-sized
     stripped = strip_declare_blocks(F.col(text))
     applied = F.aggregate(F.coalesce(F.col("_vars"), F.array().cast(per_script.schema["_vars"].dataType)), stripped,
                           lambda acc, x: F.regexp_replace(acc, x["pattern"], x["replacement"]))

@@ -80,7 +80,7 @@ def maintain_fingerprint(spark: SparkSession, source_dir: str, schema: StructTyp
         merged = changed
         if prev is not None:
             old = session.read.parquet(posixpath.join(output_path, f"epoch={prev}"))
-            merged = old.join(changed.select(*key_names), key_names, "left_anti").unionByName(changed)
+            merged = old.join(changed.select(*key_names).hint("merge"), key_names, "left_anti").unionByName(changed)
         merged.write.mode("overwrite").parquet(posixpath.join(output_path, f"epoch={epoch}"))
         session.createDataFrame([(str(epoch),)], "value string").coalesce(1).write.mode("overwrite").text(
             posixpath.join(output_path, MARKER))
