@@ -163,3 +163,12 @@ def test_all_null_numeric_column_is_flagged(spark):
     df = spark.createDataFrame([("a", None, 1.0), ("b", None, 2.0)], "k string, empty double, v double")
     got = {r.column_name: (r.non_null, r.all_null) for r in fp.numeric_sums(df).collect()}
     assert got == {"empty": (0, True), "v": (2, False)}
+
+
+def test_one_shared_key_choice_for_both_sides(spark):
+    # The target gains a leading text column; each side picking its own first
+    # non-numeric column would group differently and report spurious differences.
+    a = spark.createDataFrame([("x", 1.0), ("y", 2.0)], "k string, v double")
+    b = spark.createDataFrame([("note", "x", 1.0), ("note", "y", 2.0)], "label string, k string, v double")
+    assert fp.key_column(b) == "label"
+    assert fp.compare(fp.Pair("a", "b", a, b)).count() == 0
