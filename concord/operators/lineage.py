@@ -100,7 +100,7 @@ def compute_stages(units: DataFrame, max_rounds: int | None = None, hot_share: i
     state = deps.groupBy("table_name").agg(F.count("source").alias("missing")).checkpoint()
     # Roots: sources that no unit produces (stage 0).
     frontier = (degree.select(F.col("source").alias("table_name"))
-                .join(state.select("table_name"), "table_name", "left_anti").checkpoint())
+                .join(state.select("table_name"), "table_name", "left_anti"))  # from two checkpoints
     parts = [frontier.select("table_name", F.lit(0).alias("stage"))]
     stage = 0
     while max_rounds is None or stage < max_rounds:
