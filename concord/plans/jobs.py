@@ -150,3 +150,20 @@ def preflight(spark: SparkSession, scripts: DataFrame, registry: DataFrame, avai
                    F.coalesce("target_probe", F.lit(False)).alias("target_probe")))
     r = reg.update_reachability(r, obs, stamp)
     return r, reg.readiness(required, r, column_registry)
+
+
+def validate_units(spark: SparkSession, units: list[tuple[str, str, str]], source_frames: dict[str, DataFrame],
+                   target_frames: dict[str, DataFrame], keys: Sequence[str] | None = None,
+                   tolerance: float = fp.DEFAULT_TOLERANCE) -> tuple[DataFrame, DataFrame]:
+    """R7/R9 per statement: run each ``(unit_id, source_sql, target_sql)`` on its side and
+    compare the two results' fingerprints: ``(differences, verdict)``.
+
+    ``{name}`` placeholders in the SQL bind the given frames (one dict per side).
+    Each result stays a distributed DataFrame; the loop is over statements (the
+    units of a script), and ``verdict.status`` is ``validated`` or ``flagged``
+    per unit, ``batch_status`` for the whole script.
+    """
+    pairs = [fp.Pair(uid, uid, spark.sql(s_sql, **source_frames), spark.sql(t_sql, **target_frames))
+             for uid, s_sql, t_sql in units]
+    diffs = fp.reconcile(pairs, keys, tolerance)
+    return diffs, fp.verdict(pairs, diffs)

@@ -90,3 +90,18 @@ def test_preflight_marks_seeded_tables_reachable(spark):
     got = {r.source_table: (r.verdict, r.can_run) for r in verdict.collect()}
     assert got == {"sales_orders": ("ready", True), "customer_segments": ("ready", True)}
     assert {r.source_table: r.status for r in reg_v2.collect()} == {"sales_orders": "ready", "customer_segments": "ready"}
+
+
+def test_validate_units_flags_a_wrong_translation(spark):
+    orders = read_table(spark, SF001, "orders")
+    customer = read_table(spark, SF001, "customer")
+    src = {"o": orders, "c": customer}
+    tgt = {"o": orders.select("*"), "c": customer.select("*")}
+    source_sql = ("SELECT c.c_mktsegment AS segment, SUM(NVL(o.o_totalprice, 0)) AS revenue, COUNT(*) AS n "
+                  "FROM {o} o JOIN {c} c ON c.c_custkey = o.o_custkey GROUP BY c.c_mktsegment")
+    good = source_sql.replace("NVL(", "COALESCE(")
+    bad = good.replace("SUM(COALESCE(o.o_totalprice, 0))", "SUM(0)")
+    diffs, verdict = jobs.validate_units(spark, [("1", source_sql, good), ("2", source_sql, bad)], src, tgt)
+    got = {r.source: r.status for r in verdict.collect()}
+    assert got == {"1": "validated", "2": "flagged"}
+    assert {r.column_name for r in diffs.where("source = '2'").collect()} == {"revenue"}
