@@ -82,3 +82,33 @@ def test_split_units_matches_quote_parity(spark, text):
     df = spark.createDataFrame([("s", text)], "script_id string, sql string")
     got = [r.statement for r in scr.split_units(df).orderBy("unit_id").collect()]
     assert got == parity_split(text)
+
+
+def brute_stages(units):
+    produced = {}
+    for sources, targets in units:
+        for t in targets:
+            produced.setdefault(t, []).extend(s for s in sources if s != t)
+    tables = {x for s, t in units for x in s + t}
+    memo = {}
+
+    def stage(t):
+        if t not in memo:
+            memo[t] = 0 if t not in produced else max((1 + stage(s) for s in produced[t]), default=1)
+        return memo[t]
+    return {t: stage(t) for t in tables}
+
+
+DAG_UNITS = st.lists(
+    st.tuples(st.lists(st.integers(0, 9), max_size=3), st.lists(st.integers(0, 9), min_size=1, max_size=2)),
+    max_size=8,
+).map(lambda us: [([f"t{s}" for s in src if all(s <= t for t in tgt)], [f"t{t}" for t in tgt]) for src, tgt in us])
+
+
+@SETTINGS
+@given(DAG_UNITS)
+def test_lineage_stages_match_brute_force(spark, units):
+    from concord.operators import lineage as lin
+    df = spark.createDataFrame([(str(i), i, s, t) for i, (s, t) in enumerate(units)], lin.UNITS_SCHEMA)
+    got = {r.table_name: r.stage for r in lin.compute_stages(df, hot_share=2, salts=3).collect()}
+    assert got == brute_stages(units)
