@@ -153,7 +153,12 @@ def replay_history(history: DataFrame, max_iterations: int = MAX_ITERATIONS,
     ``current_bytes`` (after the iteration), ``stop_iteration``, ``stop_reason``.
     """
     h = history.where(F.col("iteration") <= max_iterations)
-    ok = F.col("outcome") == "ok"
+    # The baseline (iteration 0) stops the loop only when its execution failed; a
+    # failed baseline estimate is recorded as 0 bytes and the loop goes on.
+    ok = (F.col("outcome") == "ok") | ((F.col("iteration") == 0) & (F.col("outcome") != "execution_failed"))
+    # A failed estimate (or no candidate at all) counts as 0 bytes, as recorded.
+    h = h.withColumn("estimated_bytes", F.when(F.col("outcome").isin("llm_error", "estimate_failed"),
+                                               F.lit(0).cast("long")).otherwise(F.col("estimated_bytes")))
     good_bytes = F.when(ok, F.col("estimated_bytes"))
     by_q = Window.partitionBy("query_id").orderBy("iteration")
     before = by_q.rowsBetween(Window.unboundedPreceding, -1)

@@ -102,3 +102,9 @@ def test_distributed_rank_matches_a_window_on_a_skewed_script(spark):
     w = Window.partitionBy("script_id").orderBy(F.desc("estimated_cost_usd"), F.asc("unit_order"))
     want = {(r.script_id, r.unit_order): r.rank for r in est.withColumn("rank", F.row_number().over(w)).collect()}
     assert got == want
+
+
+def test_failed_baseline_estimate_counts_zero_and_continues(spark):
+    rows, s = replay(spark, [100, 90, 80], ["estimate_failed", "ok", "ok"], min_improvement_pct=2.0, streak=2)
+    assert rows[0].estimated_bytes == 0 and s.baseline_bytes == 0
+    assert s.stop_reason == "diminishing_returns" and s.final_bytes == 0 and s.total_improvement_pct == 0.0

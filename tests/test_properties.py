@@ -112,3 +112,40 @@ def test_lineage_stages_match_brute_force(spark, units):
     df = spark.createDataFrame([(str(i), i, s, t) for i, (s, t) in enumerate(units)], lin.UNITS_SCHEMA)
     got = {r.table_name: r.stage for r in lin.compute_stages(df, hot_share=2, salts=3).collect()}
     assert got == brute_stages(units)
+
+
+def brute_replay(costs, outcomes, max_it, min_pct, streak):
+    if outcomes[0] == "execution_failed":
+        return 0, "baseline_execution_failed", costs[0]
+    cur, flat = (0 if outcomes[0] == "estimate_failed" else costs[0]), 0
+    last = min(max_it, len(costs) - 1)
+    for i in range(1, last + 1):
+        if outcomes[i] != "ok":
+            return i, outcomes[i], cur
+        m = (cur - costs[i]) / cur * 100 if cur > 0 else 0.0
+        if costs[i] < cur:
+            cur = costs[i]
+        if m < min_pct:
+            flat += 1
+            if flat >= streak:
+                return i, "diminishing_returns", cur
+        else:
+            flat = 0
+    return last, "max_iterations", cur
+
+
+HISTORY = st.lists(st.tuples(st.integers(0, 200), st.sampled_from(
+    ["ok"] * 6 + ["llm_error", "estimate_failed", "execution_failed", "validation_failed"])), min_size=1, max_size=7)
+
+
+@SETTINGS
+@given(HISTORY, st.integers(0, 5), st.sampled_from([0.0, 2.0, 10.0]), st.integers(1, 3))
+def test_history_replay_matches_the_loop_rules(spark, hist, max_it, min_pct, streak):
+    from concord.operators import cost as cst
+    rows = [(1, i, c, o) for i, (c, o) in enumerate(hist)]
+    h = spark.createDataFrame(rows, "query_id long, iteration int, estimated_bytes long, outcome string")
+    r = cst.replay_history(h, max_iterations=max_it, min_improvement_pct=min_pct, streak=streak)
+    s = cst.history_summary(r).first()
+    stop_it = r.first().stop_iteration
+    want = brute_replay([c for c, _ in hist], [o for _, o in hist], max_it, min_pct, streak)
+    assert (stop_it, s.stop_reason, s.final_bytes) == want
