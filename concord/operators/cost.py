@@ -150,7 +150,8 @@ def replay_history(history: DataFrame, max_iterations: int = MAX_ITERATIONS,
     ``outcome`` is ``ok`` or a failure (``llm_error``, ``estimate_failed``,
     ``execution_failed``, ``validation_failed``). Returns the kept iterations
     with ``accepted``, ``validation_matched``, ``marginal_improvement_pct``,
-    ``current_bytes`` (after the iteration), ``stop_iteration``, ``stop_reason``.
+    ``current_bytes`` (after the iteration), ``stop_iteration``, ``stop_reason``
+    and ``note`` (baseline / accepted / no_cost_improvement / the failure).
     """
     h = history.where(F.col("iteration") <= max_iterations)
     # The baseline (iteration 0) stops the loop only when its execution failed; a
@@ -188,12 +189,15 @@ def replay_history(history: DataFrame, max_iterations: int = MAX_ITERATIONS,
     current_after = F.least(F.col("_cur"), good_bytes)  # least() skips NULLs
     bytes_recorded = F.when(F.col("outcome").isin("llm_error", "estimate_failed"), F.lit(0).cast("long")).otherwise(
         F.col("estimated_bytes"))
+    note = (F.when(F.col("iteration") == 0, F.when(ok, F.lit("baseline")).otherwise(F.lit("baseline_execution_failed")))
+            .when(~ok, F.col("outcome")).when(F.col("estimated_bytes") < F.col("_cur"), F.lit("accepted"))
+            .otherwise(F.lit("no_cost_improvement")))
     return h.select(
         "query_id", "iteration", bytes_recorded.alias("estimated_bytes"),
         cost_usd(bytes_recorded, price_per_tib).alias("estimated_cost_usd"), accepted.alias("accepted"),
         validated.alias("validation_matched"), F.round("_m", 4).alias("marginal_improvement_pct"),
         F.when(F.col("iteration") == 0, F.col("estimated_bytes")).otherwise(current_after).alias("current_bytes"),
-        "stop_iteration", "stop_reason")
+        "stop_iteration", "stop_reason", note.alias("note"))
 
 
 def history_summary(replayed: DataFrame, price_per_tib: float = PRICE_PER_TIB_USD) -> DataFrame:

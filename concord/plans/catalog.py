@@ -477,13 +477,17 @@ _REPLAY_SQL = f"""WITH h AS (SELECT * FROM ({corpus.PART_HISTORY_SQL}) AS x WHER
          round(m, 4) AS marginal_improvement_pct,
          CASE WHEN iteration = 0 THEN estimated_bytes
               ELSE least(cur, CASE WHEN outcome = 'ok' THEN estimated_bytes END) END AS current_bytes,
-         stop_iteration, stop_reason
+         stop_iteration, stop_reason,
+         CASE WHEN iteration = 0 THEN CASE WHEN outcome <> 'execution_failed' THEN 'baseline'
+                                           ELSE 'baseline_execution_failed' END
+              WHEN outcome <> 'ok' THEN outcome WHEN estimated_bytes < cur THEN 'accepted'
+              ELSE 'no_cost_improvement' END AS note
        FROM f WHERE iteration <= stop_iteration)"""
 
 
 @register("history_replay", _REPLAY_SQL + f"""
 SELECT query_id, iteration, eb AS estimated_bytes, {_COST.format(b='eb')} AS estimated_cost_usd, accepted,
-       validation_matched, marginal_improvement_pct, current_bytes, stop_iteration, stop_reason FROM r""")
+       validation_matched, marginal_improvement_pct, current_bytes, stop_iteration, stop_reason, note FROM r""")
 def q_history_replay(spark: SparkSession, sf: str) -> DataFrame:
     return cst.replay_history(corpus.part_histories(read_table(spark, sf, "part")))
 

@@ -108,3 +108,8 @@ def test_failed_baseline_estimate_counts_zero_and_continues(spark):
     rows, s = replay(spark, [100, 90, 80], ["estimate_failed", "ok", "ok"], min_improvement_pct=2.0, streak=2)
     assert rows[0].estimated_bytes == 0 and s.baseline_bytes == 0
     assert s.stop_reason == "diminishing_returns" and s.final_bytes == 0 and s.total_improvement_pct == 0.0
+
+
+def test_iteration_notes(spark):
+    rows, _ = replay(spark, [100, 90, 95, 50], ["ok", "ok", "ok", "validation_failed"], min_improvement_pct=1.0)
+    assert [r.note for r in rows] == ["baseline", "accepted", "no_cost_improvement", "validation_failed"]
