@@ -153,13 +153,16 @@ def summarize_tables(report: DataFrame, pairs: DataFrame | None = None) -> DataF
 
 
 def column_gate(report: DataFrame) -> DataFrame:
-    """A5: the strict gate; anything but ``compatible`` blocks (``extra_target`` too).
+    """A5: the strict gate of the readiness check; anything not compatible blocks,
+    ``extra_target`` too (it only warns in the audit).
 
+    The gate compares type families only, so shape warnings (narrower precision,
+    required vs nullable) do not block here.
     ``(source_table, target_table, blocking_columns, can_run)``.
     """
     return report.groupBy(*PAIR_KEYS).agg(
-        F.count_if(F.col("status") != "compatible").alias("blocking_columns")).withColumn(
-        "can_run", F.col("blocking_columns") == 0)
+        F.count_if(~F.col("status").isin("compatible", "compatible_with_warnings")).alias("blocking_columns")
+    ).withColumn("can_run", F.col("blocking_columns") == 0)
 
 
 def sample_evidence(df: DataFrame, order_by: Sequence[str], limit: int = 1000, examples: int = 3,

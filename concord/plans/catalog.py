@@ -257,8 +257,9 @@ def q_table_verdict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("column_gate", f"""
-SELECT source_table, target_table, COUNT(*) FILTER (WHERE status <> 'compatible') AS blocking_columns,
-       COUNT(*) FILTER (WHERE status <> 'compatible') = 0 AS can_run
+SELECT source_table, target_table,
+       COUNT(*) FILTER (WHERE status NOT IN ('compatible', 'compatible_with_warnings')) AS blocking_columns,
+       COUNT(*) FILTER (WHERE status NOT IN ('compatible', 'compatible_with_warnings')) = 0 AS can_run
 FROM ({_AUDIT_SQL}) AS a GROUP BY source_table, target_table""")
 def q_column_gate(spark: SparkSession, sf: str) -> DataFrame:
     return sa.column_gate(_audit_report(spark, sf))

@@ -144,3 +144,13 @@ def test_samples_attach_without_changing_status(spark):
     assert rows["amount"].source_sample_non_null == 1 and rows["amount"].target_sample_non_null == 1
     assert rows["legacy_only"].target_sample_non_null is None and rows["legacy_only"].target_sample_values == ""
     assert {k: r.status for k, r in rows.items()} == {r.column_key: r.status for r in rep.collect()}
+
+
+def test_gate_ignores_shape_warnings_but_blocks_extra_columns(spark):
+    src = spark.createDataFrame([], "a decimal(20,4)")
+    narrow = spark.createDataFrame([], "a decimal(12,2)")
+    extra = spark.createDataFrame([], "a decimal(20,4), b int")
+    rep = _audit(spark, [sa.AuditPair("s", "narrow", lambda: src, lambda: narrow),
+                         sa.AuditPair("s", "extra", lambda: src, lambda: extra)])
+    gate = {r.target_table: r.can_run for r in sa.column_gate(rep).collect()}
+    assert gate == {"narrow": True, "extra": False}
