@@ -157,6 +157,24 @@ def replace_columns(columns: DataFrame, new_columns: DataFrame) -> DataFrame:
     return columns.join(tables, KEYS, "left_anti").unionByName(new_columns.select(*columns.columns))
 
 
+def column_rows(report: DataFrame, source_schema: str, now: Column, project: str = "", dataset: str = "") -> DataFrame:
+    """A4 → T6: column-registry rows from a column audit report.
+
+    The registry keeps the family-only status of the readiness check:
+    ``compatible_with_warnings`` is stored as ``compatible``. Feed the result to
+    ``replace_columns``, then to ``readiness``.
+    """
+    status = F.when(F.col("status") == "compatible_with_warnings", F.lit("compatible")).otherwise(F.col("status"))
+    return report.select(
+        F.lit(source_schema.lower()).alias("source_schema"), F.lower("source_table").alias("source_table"),
+        F.col("column_key").alias("source_column"), F.coalesce("source_raw_type", F.lit("")).alias("source_type"),
+        F.lit(project).alias("target_project"), F.lit(dataset).alias("target_dataset"),
+        F.lower("target_table").alias("target_table"),
+        F.when(F.col("target_present"), F.col("column_key")).otherwise(F.lit("")).alias("target_column"),
+        F.coalesce("target_raw_type", F.lit("")).alias("target_type"), "source_present", "target_present",
+        status.alias("compatibility_status"), now.alias("checked_at"), F.coalesce("notes", F.lit("")).alias("notes"))
+
+
 def _truthy(c: Column) -> Column:
     return F.lower(F.trim(F.coalesce(c.cast("string"), F.lit("")))).isin(*TRUTHY)
 

@@ -124,3 +124,18 @@ def test_upsert_applies_several_updates_of_a_key_in_order(spark):
                                 "source_schema string, source_table string, target_table string, seq int")
     got = reg.upsert(empty(spark), ups, F.lit(T0), order="seq").collect()
     assert [(r.source_table, r.target_table) for r in got] == [("t", "second")]
+
+
+def test_audit_report_feeds_the_column_registry_and_the_gate(spark):
+    from concord.operators import schema_audit as sa
+    src = spark.createDataFrame([], "id int, amount decimal(20,4), note string")
+    tgt = spark.createDataFrame([], "id int, amount decimal(12,2)")
+    meta, errors = sa.column_metadata(spark, [sa.AuditPair("sales_orders", "raw_sales_orders", lambda: src, lambda: tgt)])
+    rows = reg.column_rows(sa.compare_columns(meta, errors), "demo", F.lit(T1))
+    got = {r.source_column: r.compatibility_status for r in rows.collect()}
+    assert got == {"id": "compatible", "amount": "compatible", "note": "missing_target"}
+    r = reg.upsert(empty(spark), one(spark, target_table="raw_sales_orders", status="ready", source_reachable=True,
+                                     target_reachable=True), F.lit(T0))
+    cols = reg.replace_columns(spark.createDataFrame([], reg.COLUMN_REGISTRY_SCHEMA), rows)
+    req = spark.createDataFrame([("demo", "sales_orders")], "source_schema string, source_table string")
+    assert reg.readiness(req, r, cols).first().verdict == "schema_blocked"
