@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from concord.functions.types import char_length, declared_type, numeric_shape, type_family
 
@@ -175,8 +176,16 @@ def sample_evidence(df: DataFrame, order_by: Sequence[str], limit: int = 1000, e
     columns = list(columns or df.columns)
     sample = df.orderBy(*order_by).limit(limit).select(
         F.row_number().over(Window.orderBy(*order_by)).alias("_pos"), *columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def rendered(c: str) -> Column:
+        # str() of the value, as the reference renders examples (booleans as True/False)
+        if isinstance(types[c], BooleanType):
+            return F.when(F.col(c), F.lit("True")).when(~F.col(c), F.lit("False"))
+        return F.col(c).cast("string")
+
     long = sample.select("_pos", F.inline(F.array(*[
-        F.struct(F.lit(c.lower()).alias("column_key"), F.col(c).cast("string").alias("value")) for c in columns])))
+        F.struct(F.lit(c.lower()).alias("column_key"), rendered(c).alias("value")) for c in columns])))
     counts = long.groupBy("column_key").agg(F.count("value").alias("non_null"))
     firsts = long.where(F.col("value").isNotNull()).groupBy("column_key", "value").agg(F.min("_pos").alias("_pos"))
     ranked = firsts.withColumn("_r", F.row_number().over(Window.partitionBy("column_key").orderBy("_pos"))).where(

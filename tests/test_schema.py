@@ -154,3 +154,9 @@ def test_gate_ignores_shape_warnings_but_blocks_extra_columns(spark):
                          sa.AuditPair("s", "extra", lambda: src, lambda: extra)])
     gate = {r.target_table: r.can_run for r in sa.column_gate(rep).collect()}
     assert gate == {"narrow": True, "extra": False}
+
+
+def test_sample_values_render_like_python_str(spark):
+    df = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, flag boolean")
+    ev = {r.column_key: r.example_values for r in sa.sample_evidence(df, ["id"]).collect()}
+    assert ev["flag"] == '["True","False"]'
