@@ -158,8 +158,8 @@ def replay_history(history: DataFrame, max_iterations: int = MAX_ITERATIONS,
     # failed baseline estimate is recorded as 0 bytes and the loop goes on.
     ok = (F.col("outcome") == "ok") | ((F.col("iteration") == 0) & (F.col("outcome") != "execution_failed"))
     # A failed estimate (or no candidate at all) counts as 0 bytes, as recorded.
-    h = h.withColumn("estimated_bytes", F.when(F.col("outcome").isin("llm_error", "estimate_failed"),
-                                               F.lit(0).cast("long")).otherwise(F.col("estimated_bytes")))
+    zeroed = (F.col("outcome") == "estimate_failed") | ((F.col("outcome") == "llm_error") & (F.col("iteration") > 0))
+    h = h.withColumn("estimated_bytes", F.when(zeroed, F.lit(0).cast("long")).otherwise(F.col("estimated_bytes")))
     good_bytes = F.when(ok, F.col("estimated_bytes"))
     by_q = Window.partitionBy("query_id").orderBy("iteration")
     before = by_q.rowsBetween(Window.unboundedPreceding, -1)
@@ -187,8 +187,7 @@ def replay_history(history: DataFrame, max_iterations: int = MAX_ITERATIONS,
                  .when(ok, F.lit(True)).when(F.col("outcome") == "validation_failed", F.lit(False))
                  .otherwise(F.lit(None).cast("boolean")))
     current_after = F.least(F.col("_cur"), good_bytes)  # least() skips NULLs
-    bytes_recorded = F.when(F.col("outcome").isin("llm_error", "estimate_failed"), F.lit(0).cast("long")).otherwise(
-        F.col("estimated_bytes"))
+    bytes_recorded = F.col("estimated_bytes")
     note = (F.when(F.col("iteration") == 0, F.when(ok, F.lit("baseline")).otherwise(F.lit("baseline_execution_failed")))
             .when(~ok, F.col("outcome")).when(F.col("estimated_bytes") < F.col("_cur"), F.lit("accepted"))
             .otherwise(F.lit("no_cost_improvement")))
