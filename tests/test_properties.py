@@ -1,5 +1,6 @@
 """Property tests: the Spark operators against brute-force Python on random small tables."""
 
+import os
 from collections import Counter
 from decimal import Decimal
 
@@ -12,7 +13,10 @@ from concord.operators import rowdiff
 KEYS = st.sampled_from([None, "a", "b", "None", ""])
 VALS = st.one_of(st.none(), st.integers(min_value=-50, max_value=50).map(lambda x: Decimal(x) / 4))
 ROWS = st.lists(st.tuples(KEYS, VALS), max_size=12)
-SETTINGS = settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+# Deterministic by default (same examples every run); CONCORD_EXAMPLES=N runs N random ones.
+EXAMPLES = os.environ.get("CONCORD_EXAMPLES")
+SETTINGS = settings(max_examples=int(EXAMPLES or 25), deadline=None, derandomize=not EXAMPLES,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def brute_group_diffs(a, b):
