@@ -36,9 +36,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, setting a private one only when unset.
+    """Return the session's checkpoint directory.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is;
+    if it is unset there, this raises. Only a local session (tests, bench) gets a
+    private folder under /tmp.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -46,5 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        # On a cluster a machine-local folder is wrong: executors could not read it back.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for this cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="concord-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
