@@ -226,3 +226,36 @@ def pair_samples(df: DataFrame, source_table: str, target_table: str, order_by:
     """``sample_evidence`` of one side, tagged with its pair."""
     return sample_evidence(df, order_by, limit).select(
         F.lit(source_table).alias("source_table"), F.lit(target_table).alias("target_table"), "*")
+
+
+def declared_metadata(columns: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
+    """A1/A3 for catalogs read as data: INFORMATION_SCHEMA-style rows → metadata rows.
+
+    ``columns``: ``(table_ref, column_name, data_type, is_nullable, ordinal,
+    length, precision, scale)`` with declared type strings (e.g. read over
+    JDBC); ``pairs``: ``(source_table, target_table)``; ``side``: which pair
+    column ``table_ref`` matches. Missing precision/scale default from the type
+    name (NUMERIC (38,9), BIGNUMERIC (76,38), INT64 (19,0)), and are parsed from
+    ``DECIMAL(p,s)``-style names. A join, not a driver loop: a catalog with
+    millions of columns stays distributed. Feed both sides' results to
+    ``compare_columns``.
+    """
+    from concord.functions.types import NUMERIC_SHAPES
+
+    t = F.upper(F.trim(F.col("data_type")))
+    shape_p = shape_s = None
+    for name, (p, s) in NUMERIC_SHAPES.items():
+        shape_p = (F.when(t == name, F.lit(p)) if shape_p is None else shape_p.when(t == name, F.lit(p)))
+        shape_s = (F.when(t == name, F.lit(s)) if shape_s is None else shape_s.when(t == name, F.lit(s)))
+    parsed_p = F.regexp_extract(t, r"\(\s*(\d+)\s*(?:,\s*\d+\s*)?\)", 1)
+    parsed_s = F.regexp_extract(t, r"\(\s*\d+\s*,\s*(\d+)\s*\)", 1)
+    precision = F.coalesce(F.col("precision").cast("int"), F.nullif(parsed_p, F.lit("")).cast("int"), shape_p)
+    scale = F.coalesce(F.col("scale").cast("int"), F.nullif(parsed_s, F.lit("")).cast("int"), shape_s)
+    key = "source_table" if side == "source" else "target_table"
+    nullable = F.upper(F.trim(F.col("is_nullable").cast("string"))).isin("YES", "Y", "TRUE", "1")
+    j = columns.join(pairs.select("source_table", "target_table"), F.col("table_ref") == F.col(key))
+    return j.select(
+        "source_table", "target_table", F.lit(side).alias("side"), "column_name", t.alias("raw_type"),
+        F.when(F.col("is_nullable").isNull(), F.lit(None).cast("boolean")).otherwise(nullable).alias("nullable"),
+        F.col("ordinal").cast("int").alias("ordinal"), F.col("length").cast("int").alias("length"),
+        precision.alias("precision"), scale.alias("scale"), type_family(t).alias("type_family"))

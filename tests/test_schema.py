@@ -160,3 +160,21 @@ def test_sample_values_render_like_python_str(spark):
     df = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, flag boolean")
     ev = {r.column_key: r.example_values for r in sa.sample_evidence(df, ["id"]).collect()}
     assert ev["flag"] == '["True","False"]'
+
+
+def test_declared_metadata_from_information_schema_rows(spark):
+    cols_schema = ("table_ref string, column_name string, data_type string, is_nullable string, ordinal int, "
+                   "length int, precision int, scale int")
+    src_cols = spark.createDataFrame([
+        ("DEMO.SALES", "AMOUNT", "NUMBER(20,4)", "Y", 1, None, None, None),
+        ("DEMO.SALES", "NAME", "VARCHAR2(50)", "N", 2, 50, None, None)], cols_schema)
+    tgt_cols = spark.createDataFrame([
+        ("p.d.sales", "amount", "NUMERIC", "YES", 1, None, None, None),
+        ("p.d.sales", "name", "STRING", "NO", 2, 20, None, None)], cols_schema)
+    pairs = spark.createDataFrame([("DEMO.SALES", "p.d.sales")], "source_table string, target_table string")
+    meta = sa.declared_metadata(src_cols, pairs, "source").unionByName(sa.declared_metadata(tgt_cols, pairs, "target"))
+    rep = {r.column_key: r for r in sa.compare_columns(meta).collect()}
+    assert (rep["amount"].source_precision, rep["amount"].target_precision, rep["amount"].target_scale) == (20, 38, 9)
+    assert rep["amount"].status == "compatible"  # 38 >= 20 and scale 9 >= 4
+    assert rep["name"].status == "compatible_with_warnings"
+    assert rep["name"].notes == "target length 20 is lower than source length 50"
