@@ -167,3 +167,23 @@ def validate_units(spark: SparkSession, units: list[tuple[str, str, str]], sourc
              for uid, s_sql, t_sql in units]
     diffs = fp.reconcile(pairs, keys, tolerance)
     return diffs, fp.verdict(pairs, diffs)
+
+
+def run_catalog_audit(pairs: DataFrame, source_columns: DataFrame, target_columns: DataFrame,
+                      out_dir: str | None = None, case_sensitive: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Audit from catalog rows (no schema resolution on the driver): ``(column report, table summary)``.
+
+    ``pairs``: ``(source_table, target_table)`` (e.g. from ``load_table_pairs``,
+    names joined with dots); ``*_columns``: INFORMATION_SCHEMA-style rows, see
+    ``schema_audit.declared_metadata``. A pair whose tables have no rows on a
+    side yields missing/extra columns, as an empty table would.
+    """
+    meta = sa.declared_metadata(source_columns, pairs, "source").unionByName(
+        sa.declared_metadata(target_columns, pairs, "target"))
+    report = sa.compare_columns(meta, None, case_sensitive)
+    summary = sa.summarize_tables(report, pairs)
+    if out_dir:
+        for name, df in (("column_report", report), ("table_summary", summary)):
+            write_report(df, posixpath.join(out_dir, f"{name}_csv"), "csv")
+            write_report(df, posixpath.join(out_dir, f"{name}_json"), "json")
+    return report, summary

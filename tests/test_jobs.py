@@ -105,3 +105,18 @@ def test_validate_units_flags_a_wrong_translation(spark):
     got = {r.source: r.status for r in verdict.collect()}
     assert got == {"1": "validated", "2": "flagged"}
     assert {r.column_name for r in diffs.where("source = '2'").collect()} == {"revenue"}
+
+
+def test_run_catalog_audit_from_rows(spark):
+    cols_schema = ("table_ref string, column_name string, data_type string, is_nullable string, ordinal int, "
+                   "length int, precision int, scale int")
+    src = spark.createDataFrame([("S.T", "ID", "NUMBER(10)", "N", 1, None, None, None),
+                                 ("S.T", "D", "DATE", "Y", 2, None, None, None),
+                                 ("S.U", "X", "VARCHAR2(5)", "Y", 1, 5, None, None)], cols_schema)
+    tgt = spark.createDataFrame([("p.d.t", "id", "INT64", "NO", 1, None, None, None),
+                                 ("p.d.t", "d", "STRING", "YES", 2, None, None, None)], cols_schema)
+    pairs = spark.createDataFrame([("S.T", "p.d.t"), ("S.U", "p.d.u")], "source_table string, target_table string")
+    report, summary = jobs.run_catalog_audit(pairs, src, tgt)
+    assert {r.column_key: r.status for r in report.where("source_table = 'S.T'").collect()} == \
+        {"id": "compatible", "d": "type_mismatch"}
+    assert {r.source_table: r.status for r in summary.collect()} == {"S.T": "blocked", "S.U": "blocked"}
