@@ -187,3 +187,23 @@ def run_catalog_audit(pairs: DataFrame, source_columns: DataFrame, target_column
             write_report(df, posixpath.join(out_dir, f"{name}_csv"), "csv")
             write_report(df, posixpath.join(out_dir, f"{name}_json"), "json")
     return report, summary
+
+
+def resolve_variables(spark: SparkSession, scripts: DataFrame, text: str = "sql") -> tuple[DataFrame, DataFrame]:
+    """X5 end to end: ``(pure scripts, resolved variables)``.
+
+    Each ``SELECT expr INTO var FROM table tail;`` of a script runs as
+    ``SELECT expr FROM table tail`` (a distributed query; the loop is over the
+    variables, not over data), its single value becomes the variable's literal
+    (ISO dates as ``DATE '…'``), and the PL/SQL blocks are dropped.
+    """
+    from concord.operators import scripts as scr
+
+    wanted = scr.select_into(scripts, text).collect()  # a few assignments per script
+    rows = []
+    for a in wanted:
+        row = spark.sql(f"SELECT {a.expr} AS v FROM {a.table_name} {a.tail}".strip()).first()
+        value = None if row is None or row.v is None else str(row.v)
+        rows.append((a.script_id, a.var_name, value))
+    variables = spark.createDataFrame(rows, "script_id string, var_name string, value string")
+    return scr.materialize_variables(scripts, variables, text), variables

@@ -120,3 +120,14 @@ def test_run_catalog_audit_from_rows(spark):
     assert {r.column_key: r.status for r in report.where("source_table = 'S.T'").collect()} == \
         {"id": "compatible", "d": "type_mismatch"}
     assert {r.source_table: r.status for r in summary.collect()} == {"S.T": "blocked", "S.U": "blocked"}
+
+
+def test_resolve_variables_on_the_demo_script(spark):
+    from test_scripts import DEMO
+    spark.createDataFrame([(1, "2026-06-18"), (2, "2026-06-20")], "order_id int, load_date string") \
+        .createOrReplaceTempView("sales_orders")
+    scripts = spark.createDataFrame([("demo", DEMO)], "script_id string, sql string")
+    pure, variables = jobs.resolve_variables(spark, scripts)
+    assert [(r.var_name, r.value) for r in variables.collect()] == [("v_run_date", "2026-06-20")]
+    text = pure.first().sql
+    assert "o.load_date = DATE '2026-06-20'" in text and "DECLARE" not in text
