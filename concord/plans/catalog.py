@@ -709,3 +709,36 @@ def q_registry_export(spark: SparkSession, sf: str) -> DataFrame:
 @register("prefix_ingest")  # no twin: the listing depends on where the files live; tested against os.listdir
 def q_prefix_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return ingest_prefix(spark, sf).select("relative_path", "length")
+
+
+# ---------------------------------------------------------------- streaming
+
+STREAM_SQL = """
+SELECT event_type, COUNT(*) AS row_count,
+       COALESCE(SUM(COALESCE(TRY_CAST(value AS DECIMAL(38,6)), 0)), 0) AS sum_value,
+       COALESCE(SUM(COALESCE(TRY_CAST(user_id AS DECIMAL(38,6)), 0)), 0) AS sum_user_id
+FROM events GROUP BY event_type"""
+
+
+@register("stream_fingerprint_events", STREAM_SQL)
+def q_stream_fingerprint_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The events table streamed as files into an incremental fingerprint, then read back.
+
+    Runs the streaming query (availableNow) when called; each call writes a new
+    output and checkpoint under the session's checkpoint dir.
+    """
+    import posixpath
+    import uuid
+
+    from concord.session import ensure_checkpoint_dir
+    from concord.streaming.fingerprint import maintain_fingerprint, read_fingerprint
+
+    run = uuid.uuid4().hex
+    base = posixpath.join(ensure_checkpoint_dir(spark), "concord-streams", run)
+    schema = read_table(spark, sf, "events").schema
+    q = maintain_fingerprint(spark, sf.rstrip("/"), schema, ["event_type"], ["value", "user_id"],
+                             posixpath.join(base, "out"), f"events_fp_{run}", posixpath.join(base, "ckpt"),
+                             reader_options={"pathGlobFilter": "events.parquet"})
+    q.awaitTermination()
+    return read_fingerprint(spark, posixpath.join(base, "out")).select(
+        "event_type", F.col("n").alias("row_count"), F.col("_s0").alias("sum_value"), F.col("_s1").alias("sum_user_id"))

@@ -61,20 +61,20 @@ def read_fingerprint(spark: SparkSession, output_path: str) -> DataFrame:
 def maintain_fingerprint(spark: SparkSession, source_dir: str, schema: StructType, keys: Sequence[str],
                          columns: Sequence[str], output_path: str, name: str,
                          checkpoint_location: str | None = None, available_now: bool = True,
-                         file_format: str = "parquet") -> StreamingQuery:
+                         file_format: str = "parquet", reader_options: dict[str, str] | None = None) -> StreamingQuery:
     """Keep the newest version under ``output_path`` equal to the group fingerprint of all files in ``source_dir``.
 
     Runs with ``availableNow`` (process what is there, then stop) by default;
     pass ``available_now=False`` for a continuously running query.
     """
     location = checkpoint_location or posixpath.join(ensure_checkpoint_dir(spark), "streams", name)
-    stream = spark.readStream.schema(schema).format(file_format).load(source_dir)
+    stream = spark.readStream.schema(schema).options(**(reader_options or {})).format(file_format).load(source_dir)
     fp = stream_fingerprint(stream, keys, columns)
     _, key_names = split_keys(stream, list(keys))
 
     def publish(changed: DataFrame, epoch: int) -> None:
         session = changed.sparkSession
-        prev = latest_epoch(session, output_path)
+        prev = latest_epoch(session, output_path) if epoch > 0 else None  # epoch 0 has no predecessor
         if prev is not None and prev >= epoch:  # a replayed batch: take the version before it
             prev = epoch - 1 if epoch > 0 else None
         merged = changed
