@@ -736,9 +736,15 @@ def q_stream_fingerprint_events(spark: SparkSession, sf: str) -> DataFrame:
     run = uuid.uuid4().hex
     base = posixpath.join(ensure_checkpoint_dir(spark), "concord-streams", run)
     schema = read_table(spark, sf, "events").schema
-    q = maintain_fingerprint(spark, sf.rstrip("/"), schema, ["event_type"], ["value", "user_id"],
+    # A table is one parquet file or a directory of part files; a file stream
+    # needs a directory, so a single file is streamed from its folder by name.
+    path = f"{sf.rstrip('/')}/events.parquet"
+    listed = spark.read.format("binaryFile").load(path).select("path").limit(2).collect()  # at most 2 rows
+    single = len(listed) == 1 and listed[0].path.rstrip("/").endswith("/events.parquet")
+    source, options = (sf.rstrip("/"), {"pathGlobFilter": "events.parquet"}) if single else (path, {})
+    q = maintain_fingerprint(spark, source, schema, ["event_type"], ["value", "user_id"],
                              posixpath.join(base, "out"), f"events_fp_{run}", posixpath.join(base, "ckpt"),
-                             reader_options={"pathGlobFilter": "events.parquet"})
+                             reader_options=options)
     q.awaitTermination()
     return read_fingerprint(spark, posixpath.join(base, "out")).select(
         "event_type", F.col("n").alias("row_count"), F.col("_s0").alias("sum_value"), F.col("_s1").alias("sum_user_id"))
