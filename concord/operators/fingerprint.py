@@ -223,16 +223,25 @@ def compare_fingerprints(sfp: DataFrame, tfp: DataFrame, source_name: str, targe
 def rowcount_parity(pairs: Iterable[Pair]) -> DataFrame:
     """``(source, target, source_rows, target_rows, matched)`` for every pair.
 
+    Each distinct table name is counted once (a source shared by several pairs
+    is scanned once), then the small counts frame is joined to the pair list.
     All pairs are reported; call ``assert_parity`` to raise on the first mismatch.
     """
-    frames = []
+    pairs = list(pairs)
+    tables: dict[str, DataFrame] = {}
     for p in pairs:
-        sc = p.source.agg(F.count(F.lit(1)).alias("source_rows"))
-        tn = p.target.agg(F.count(F.lit(1))).scalar()  # a scalar subquery, not a join
-        frames.append(sc.select(
-            F.lit(p.source_name).alias("source"), F.lit(p.target_name).alias("target"),
-            "source_rows", tn.alias("target_rows"), (F.col("source_rows") == tn).alias("matched")))
-    return reduce(DataFrame.unionByName, frames)
+        tables.setdefault(p.source_name, p.source)
+        tables.setdefault(p.target_name, p.target)
+    counts = reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in tables.items()])
+    spark = counts.sparkSession
+    names = spark.createDataFrame([(i, p.source_name, p.target_name) for i, p in enumerate(pairs)],
+                                  "pos int, source string, target string")
+    c = F.broadcast(counts)  # one row per distinct table name: bounded by the pair list
+    out = (names.join(c.withColumnRenamed("name", "source").withColumnRenamed("n", "source_rows"), "source")
+           .join(c.withColumnRenamed("name", "target").withColumnRenamed("n", "target_rows"), "target"))
+    return out.select("source", "target", "source_rows", "target_rows",
+                      (F.col("source_rows") == F.col("target_rows")).alias("matched"))
 
 
 def assert_parity(report: DataFrame) -> None:
