@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import packing
+from concord.llm import packing, simhash
 from concord.llm.common import documents, ship
 
 
@@ -15,6 +15,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -22,6 +26,6 @@ def _shipped(query):
     return run
 
 
-QUERIES = {q.__name__: _shipped(q) for q in (op1_packing,)}
+QUERIES = {q.__name__: _shipped(q) for q in (op1_packing, op5_simhash_neardup)}
 
 ORACLE: dict[str, str] = {}
