@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from concord.session import ensure_checkpoint_dir
 
 #: A table is broadcast only when it was counted and holds at most this many narrow rows.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 200_000
 
 _SHIPPED: set[str] = set()
 

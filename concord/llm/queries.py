@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import packing, simhash
+from concord.llm import packing, secret_scan, simhash
 from concord.llm.common import documents, ship
 
 
@@ -15,6 +15,18 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.scan(documents(spark, sf_dir, "doc_id", "text", "source"))
+    digest = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.stop)), ",")
+    base = F.filter("spans", lambda s: s.kind.isin("assign", "access", "hex"))
+    count = lambda test: F.size(F.filter("spans", test)).cast("long")
+    of = lambda kind: count(lambda s: s.kind == kind).alias(f"n_{kind}")
+    return rows.select(
+        "doc_id", of("assign"), of("access"), of("hex"),
+        F.sha2(digest(base), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"),
+        count(lambda s: s.live).alias("n_live"), count(lambda s: ~s.live).alias("n_example"))
+
+
 def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -26,6 +38,6 @@ def _shipped(query):
     return run
 
 
-QUERIES = {q.__name__: _shipped(q) for q in (op1_packing, op5_simhash_neardup)}
+QUERIES = {q.__name__: _shipped(q) for q in (op1_packing, op4_secret_scan, op5_simhash_neardup)}
 
 ORACLE: dict[str, str] = {}
