@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import packing, secret_scan, simhash
+from concord.llm import packing, quality, secret_scan, simhash
 from concord.llm.common import documents, ship
 
 
@@ -15,6 +15,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secret_scan.scan(documents(spark, sf_dir, "doc_id", "text", "source"))
     digest = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.stop)), ",")
@@ -38,6 +42,6 @@ def _shipped(query):
     return run
 
 
-QUERIES = {q.__name__: _shipped(q) for q in (op1_packing, op4_secret_scan, op5_simhash_neardup)}
+QUERIES = {q.__name__: _shipped(q) for q in (op1_packing, op2_quality, op4_secret_scan, op5_simhash_neardup)}
 
 ORACLE: dict[str, str] = {}
