@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concord.llm.common import chunks, components, lookup, spread, written
+from concord.llm.shingles import shingle_hashes
 
 #: Members of a shard that one task compares; larger shards are compared block by block.
 BLOCK = 1 << 17
@@ -22,24 +23,12 @@ PAIRS = 1 << 21
 def fingerprint(text: str | None, shingle: int) -> int:
     """64-bit SimHash of the shingles of ``shingle`` words; 0 without words.
 
-    A-Z are lower-cased, words are runs of non-space bytes, shingles are space-joined and hashed by XXH64 (seed
-    42); a bit is set if it is set in over half of the hashes.
+    Shingles and hashes as in :func:`shingle_hashes`; a bit is set if it is set in over half of the hashes.
     """
-    import xxhash
-
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    joined, h = b" ".join(words), xxhash.xxh64_intdigest
-    if len(words) <= shingle:
-        return h(joined, 42)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))[:len(words) - shingle + 1].tolist()
-    ends = ends[shingle - 1:].tolist()
-    count, total = np.zeros(64, np.int64), len(starts)
-    for a, b in chunks(total, 1 << 16):
-        hashes = np.array([h(joined[s:e], 42) for s, e in zip(starts[a:b], ends[a:b])], dtype=">u8")
-        count += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    count, total = np.zeros(64, np.int64), 0
+    for hashes in shingle_hashes(text, shingle):
+        count += np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        total += len(hashes)
     return int.from_bytes(np.packbits(count * 2 > total).tobytes(), "big")
 
 
