@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import packing, quality, secret_scan, simhash, sketch
+from concord.llm import langid, packing, quality, secret_scan, simhash, sketch
 from concord.llm.common import documents, ship
 
 
@@ -35,6 +35,10 @@ def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprint(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -47,6 +51,6 @@ def _shipped(query):
 
 
 QUERIES = {q.__name__: _shipped(q) for q in (op1_packing, op2_quality, op4_secret_scan, op5_simhash_neardup,
-                                          op7_fingerprint)}
+                                          op6_language, op7_fingerprint)}
 
 ORACLE: dict[str, str] = {}
