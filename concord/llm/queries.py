@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import langid, packing, quality, secret_scan, simhash, sketch
+from concord.llm import embedding_dedup, langid, packing, quality, secret_scan, simhash, sketch
 from concord.llm.common import documents, ship
 
 
@@ -19,6 +19,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secret_scan.scan(documents(spark, sf_dir, "doc_id", "text", "source"))
     digest = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.stop)), ",")
@@ -50,7 +54,7 @@ def _shipped(query):
     return run
 
 
-QUERIES = {q.__name__: _shipped(q) for q in (op1_packing, op2_quality, op4_secret_scan, op5_simhash_neardup,
+QUERIES = {q.__name__: _shipped(q) for q in (op1_packing, op2_quality, op3_embedding_dedup, op4_secret_scan, op5_simhash_neardup,
                                           op6_language, op7_fingerprint)}
 
 ORACLE: dict[str, str] = {}

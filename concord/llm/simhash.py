@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from concord.llm.blocks import block_tasks
 from concord.llm.common import chunks, components, lookup, spread, written
 from concord.llm.shingles import shingle_hashes
 
@@ -182,17 +183,7 @@ def linked(classes: DataFrame, bits: int, shard: int = 1 << 14) -> DataFrame:
                      batch.column(1).take(pa.array(rows[a:b]))], ["leaf", "fp", "rep"])
 
     members = spread(classes.select("fp", F.col("rep").cast("long"))).mapInArrow(deal, "leaf int, fp long, rep long")
-    if nodes:
-        members = written(members, "shards")
-        sizes = members.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        # one row per leaf, at most 4096
-        members = members.join(F.broadcast(sizes), "leaf")
-    else:
-        members = members.withColumn("blocks", F.lit(-(-n // BLOCK)))
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    tasks = (members.withColumn("own", own)
-             .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("leaf", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "fp", "rep"))
+    tasks = block_tasks(written(members, "shards"), "leaf", "fp", BLOCK)
 
     def compare(table: pa.Table) -> pa.Table:
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
