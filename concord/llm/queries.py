@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import embedding_dedup, langid, packing, quality, secret_scan, simhash, sketch
+from concord.llm import embedding_dedup, langid, license_scan, packing, quality, secret_scan, simhash, sketch
 from concord.llm.common import documents, ship
 
 
@@ -47,6 +47,10 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprint(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -55,6 +59,6 @@ def _shipped(query):
 
 
 QUERIES = {q.__name__: _shipped(q) for q in (op1_packing, op2_quality, op3_embedding_dedup, op4_secret_scan, op5_simhash_neardup,
-                                          op6_language, op7_fingerprint)}
+                                          op6_language, op7_fingerprint, op10_license_scan)}
 
 ORACLE: dict[str, str] = {}
