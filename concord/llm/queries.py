@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import embedding_dedup, langid, license_scan, packing, quality, secret_scan, simhash, sketch
+from concord.llm import embedding_dedup, langid, license_scan, mixing, packing, quality, secret_scan, simhash, sketch
 from concord.llm.common import documents, ship
 
 
@@ -47,6 +47,13 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprint(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(documents(spark, sf_dir, "doc_id", "text", "lang", "source"), mixing.tree(), mixing.WEIGHTS,
+                      mixing.words(F.col("text")))
+    return rows.select("doc_id", *[F.col(f"_{c}").alias(c) for c in ("domain", "lang", "source")],
+                       F.col("_epoch").alias("epoch"), F.col("_tokens").alias("n_tokens"), F.col("_take").alias("take_tokens"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -59,6 +66,47 @@ def _shipped(query):
 
 
 QUERIES = {q.__name__: _shipped(q) for q in (op1_packing, op2_quality, op3_embedding_dedup, op4_secret_scan, op5_simhash_neardup,
-                                          op6_language, op7_fingerprint, op10_license_scan)}
-
-ORACLE: dict[str, str] = {}
+                                          op6_language, op7_fingerprint, op9_mixing, op10_license_scan)}
+
+def _mixing_sql(share: float = 0.8, max_epochs: int = 4, seed: int = 42) -> str:
+    """The same mixture for a SQL engine: plain running sums instead of buckets, one step per level of the tree."""
+    def weight(level: str) -> str:
+        given = mixing.WEIGHTS.get(level)
+        return f"CASE {level} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in given.items()) + " ELSE 1 END" if given else "1"
+
+    def step(k: int, levels: list[str]) -> str:
+        above, here = ", ".join(levels[:-1]) or "1", ", ".join(levels)
+        parent = f"JOIN b{k - 1} USING ({above})" if k else "CROSS JOIN (SELECT CAST(floor(sum(supply) * " + str(share) + ") AS BIGINT) AS total FROM leaves) r"
+        by = f"PARTITION BY {above}" if k else ""
+        return f"""
+        n{k} AS (SELECT {here}, CAST(sum(supply) * {max_epochs} AS BIGINT) AS capacity, {weight(levels[-1])} AS w FROM leaves GROUP BY {here}),
+        l{k} AS (SELECT n{k}.*, (least(total, sum(capacity) OVER ({by}))
+                 - coalesce(sum(capacity) OVER ({by} ORDER BY capacity / w, {levels[-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / CAST(sum(w) OVER ({by} ORDER BY capacity / w, {levels[-1]} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+                 FROM n{k} {parent}),
+        b{k} AS (SELECT {here}, CAST(least(capacity, floor(w * max(level) OVER ({by}) + 1e-6)) AS BIGINT) AS total FROM l{k})"""
+
+    levels = ["domain", "lang", "source"]
+    steps = ",".join(step(k, levels[:k + 1]) for k in range(3))
+    place = f"CAST('0x' || substr(md5('{seed}:' || epochs || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)"
+    return f"""
+    WITH d AS (SELECT doc_id, CASE WHEN substr(md5(coalesce(source, '')), 1, 1) < '6' THEN 'web'
+                      WHEN substr(md5(coalesce(source, '')), 1, 1) < 'b' THEN 'books' ELSE 'code' END AS domain,
+                      coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                      CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS n_tokens FROM documents),
+    leaves AS (SELECT domain, lang, source, sum(n_tokens) AS supply FROM d GROUP BY ALL HAVING sum(n_tokens) > 0), {steps},
+    plan AS (SELECT domain, lang, source, CAST(total // supply AS INTEGER) AS epochs, CAST(total % supply AS BIGINT) AS more
+             FROM leaves JOIN b2 USING (domain, lang, source)),
+    p AS (SELECT d.*, epochs, more, {place} AS place FROM d JOIN plan USING (domain, lang, source)),
+    u AS (SELECT domain, lang, source, place, sum(n_tokens) AS held FROM p GROUP BY ALL),
+    c AS (SELECT *, coalesce(sum(held) OVER (PARTITION BY domain, lang, source ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM u),
+    q AS (SELECT p.*, CASE WHEN base + held < more OR (base < more AND base + held = more) THEN n_tokens
+                           WHEN base < more THEN CAST(floor(n_tokens * (more - base) / held) AS BIGINT) END AS last,
+                 base < more AND base + held >= more AS at_cut FROM p JOIN c USING (domain, lang, source, place))
+    SELECT doc_id, domain, lang, source, CAST(e AS INTEGER) AS epoch, n_tokens, n_tokens AS take_tokens
+    FROM (SELECT *, unnest(range(epochs)) AS e FROM q)
+    UNION ALL
+    SELECT doc_id, domain, lang, source, epochs, n_tokens, last FROM q WHERE last IS NOT NULL AND NOT (at_cut AND last = 0)"""
+
+
+ORACLE: dict[str, str] = {"op9_mixing": _mixing_sql()}
