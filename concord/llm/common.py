@@ -42,7 +42,7 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once as Parquet below ``spark.checkpoint.dir`` and read back.
 
     The table cuts the lineage: a lost executor costs a re-read, not the work before it, and the rows stay the
@@ -50,7 +50,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])).parquet(path)
 
 
@@ -82,24 +82,6 @@ def keep_ids(docs: DataFrame, ids: DataFrame, key: str, rows: int, how: str) ->
     return docs.join(F.broadcast(ids) if rows <= BROADCAST_ROWS else ids, key, how)
 
 
-def running_offsets(sums: DataFrame, order: str, value: str, out: str, block: int = 4096) -> DataFrame:
-    """Exclusive prefix sums over rows numbered 0, 1, … in ``order``: a scan in two levels.
-
-    Blocks of ``block`` rows are summed, the block sums are scanned, and each block is scanned on its own, so no
-    task holds more than ``block`` rows or one row per block.
-    """
-    from pyspark.sql import Window
-
-    b = sums.withColumn("_b", F.floor(F.col(order) / block))
-    tops = b.groupBy("_b").agg(F.sum(value).alias("_t"))
-    # one row per block of a per-partition summary: bounded by partitions / block
-    tops = tops.withColumn("_base", F.coalesce(F.sum("_t").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t")
-    inner = F.coalesce(F.sum(value).over(
-        Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return b.join(tops, "_b").withColumn(out, F.col("_base") + inner).drop("_b", "_base")
-
-
 def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """Connected components of undirected ``edges`` (a long, b long): ``node``, ``component`` (smallest node).
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import embedding_dedup, langid, license_scan, mixing, packing, quality, secret_scan, simhash, sketch
+from concord.llm import embedding_dedup, langid, license_scan, mixing, packing, quality, secret_scan, simhash, sketch, token_count
 from concord.llm.common import documents, ship
 
 
@@ -47,6 +47,10 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprint(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_texts(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(documents(spark, sf_dir, "doc_id", "text", "lang", "source"), mixing.tree(), mixing.WEIGHTS,
                       mixing.words(F.col("text")))
@@ -66,7 +70,8 @@ def _shipped(query):
 
 
 QUERIES = {q.__name__: _shipped(q) for q in (op1_packing, op2_quality, op3_embedding_dedup, op4_secret_scan, op5_simhash_neardup,
-                                          op6_language, op7_fingerprint, op9_mixing, op10_license_scan)}
+                                          op6_language, op7_fingerprint, op8_token_count, op9_mixing,
+                                          op10_license_scan)}
 
 def _mixing_sql(share: float = 0.8, max_epochs: int = 4, seed: int = 42) -> str:
     """The same mixture for a SQL engine: plain running sums instead of buckets, one step per level of the tree."""
