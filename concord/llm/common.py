@@ -8,7 +8,7 @@ import uuid
 import zipfile
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,6 +77,17 @@ def lookup(big: DataFrame, table: DataFrame, key: str, how: str = "inner", floor
         big.where(~is_hot).join(slim.where(~is_hot), key, how))
 
 
+def text_key(text: Column) -> Column:
+    """128 bits of a text as hex; a null text counts as empty."""
+    t = F.coalesce(text.cast("string"), F.lit(""))
+    return F.concat(F.hex(F.xxhash64(t)), F.lit("-"), F.hex(F.xxhash64(t, F.lit(1))))
+
+
+def boxed(docs: DataFrame) -> DataFrame:
+    """All columns in one struct ``_doc``, so that columns added beside it cannot clash with them."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+
+
 def keep_ids(docs: DataFrame, ids: DataFrame, key: str, rows: int, how: str) -> DataFrame:
     """Semi or anti join of wide rows with a counted id table: broadcast up to ``BROADCAST_ROWS``, else shuffled."""
     return docs.join(F.broadcast(ids) if rows <= BROADCAST_ROWS else ids, key, how)

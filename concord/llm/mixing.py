@@ -95,24 +95,26 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str,
 
     Rows that share a key share a place; if a prefix ends there, each gives the same share of its tokens, rounded
     down. Rows without tokens are taken with their place, but not at the cut. A weight of 0 takes nothing. A null
-    key is a key of its own; an empty table gives no rows. Only narrow rows are shuffled: texts are filtered where
+    key is a key of its own; an empty table gives no rows; columns of ``docs`` named like an added one are replaced. Only narrow rows are shuffled: texts are filtered where
     they are, by one line per leaf that is broadcast when counted small, else joined.
     """
     names = [f"_{n}" for n in levels]
-    named = docs.withColumns({f"_{n}": F.coalesce(c.cast("string"), F.lit("")) for n, c in levels.items()}).withColumn("_tokens", tokens)
-    narrow = written(named.select(*names, F.col(key).alias("key"), F.col("_tokens").alias("tokens")), "lengths")
+    parts = {f"_{n}": F.coalesce(c.cast("string"), F.lit("")) for n, c in levels.items()}
+    box = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.select(*[c.alias(n) for n, c in parts.items()], tokens.alias("_tokens"), F.col(key).alias("_key"), box.alias("_doc"))
+    narrow = written(named.select(*names, F.col("_key").alias("key"), F.col("_tokens").alias("tokens")), "lengths")
     supply = narrow.groupBy(*names).agg(F.sum("tokens").alias("supply")).where("supply > 0")
     leaves = written(plan(supply, names, {f"_{k}": v for k, v in weights.items()}, share, max_epochs), "leaves")
     ends = written(cuts(narrow, leaves, names, seed), "ends")
-    place = order_key(seed, F.col("_epochs"), F.col(key))
-    joined = named.join(F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends, names).withColumnRenamed("epochs", "_epochs")
-    last = F.when(place < F.col("cut"), F.col("_tokens")).when(
-        (place == F.col("cut")) & (F.floor(F.col("_tokens") * F.col("rest") / F.col("held")) > 0),
-        F.floor(F.col("_tokens") * F.col("rest") / F.col("held")))
-    return joined.withColumn("_last", last).withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_epochs")))).where(
-        "_epoch < _epochs or _last is not null").withColumn(
-        "_take", F.when(F.col("_epoch") < F.col("_epochs"), F.col("_tokens")).otherwise(F.col("_last"))).select(
-        *[F.col(f"`{c}`") for c in docs.columns], *names, "_epoch", "_tokens", "_take")
+    joined = named.join(F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends, names)
+    place = order_key(seed, F.col("epochs"), F.col("_key"))
+    part = F.floor(F.col("_tokens") * F.col("rest") / F.col("held"))
+    last = F.when(place < F.col("cut"), F.col("_tokens")).when((place == F.col("cut")) & (part > 0), part)
+    added = [*names, "_epoch", "_tokens", "_take"]
+    return joined.withColumn("_last", last).withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("epochs")))).where(
+        "_epoch < epochs or _last is not null").withColumn(
+        "_take", F.when(F.col("_epoch") < F.col("epochs"), F.col("_tokens")).otherwise(F.col("_last"))).select(
+        *[F.col("_doc")[c].alias(c) for c in docs.columns if c not in added], *added)
 
 
 def domain(source: Column) -> Column:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.llm.common import BROADCAST_ROWS, lookup, written
+from concord.llm.common import BROADCAST_ROWS, boxed, lookup, text_key, written
 
 # Fixed values of the contract: the base kinds in their order, and their patterns and least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -139,9 +139,8 @@ def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source", r
     Judged as in :func:`scan`. The spans go back to the texts by a 128-bit key of the text, for equal texts have
     equal spans: they are broadcast when counted small, else joined by a shuffle. Widely copied examples stay.
     """
-    key = F.concat(F.hex(F.xxhash64(F.col(text_col))), F.hex(F.xxhash64(F.col(text_col), F.lit(1))))
     rows = docs.select(F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"),
-                       F.coalesce(F.col(repo_col).cast("string"), F.lit("")).alias("repo"), key.alias("row"),
+                       F.coalesce(F.col(repo_col).cast("string"), F.lit("")).alias("repo"), text_key(F.col(text_col)).alias("row"),
                        F.col(text_col).alias("_text"))
     found = written(_found(rows, "_text").where(F.size("found") > 0), "found")
     live = judged(found, example_owners, example_repos).where("live").select("row", "start", "stop", "kind").distinct()
@@ -149,16 +148,17 @@ def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source", r
     marks = written(live.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "kind"))).alias("_marks"))
                     .withColumnRenamed("row", "_key"), "marks")
     small = marks.count() <= BROADCAST_ROWS
-    joined = docs.withColumn("_key", key).join(F.broadcast(marks) if small else marks, "_key", "left")
+    text = F.col("_doc")[text_col]
+    joined = boxed(docs).withColumn("_key", text_key(text)).join(F.broadcast(marks) if small else marks, "_key", "left")
 
     names = [F.lit(f"<secret:{k}>") for k in KINDS]
     step = F.aggregate(
         "_marks", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
         lambda acc, m: F.when(m.stop <= acc.at, acc).otherwise(F.struct(
             F.concat(acc.out, F.when(m.start >= acc.at, F.concat(
-                F.substring(F.col(text_col), (acc.at + 1).cast("int"), (m.start - acc.at).cast("int")),
+                F.substring(text, (acc.at + 1).cast("int"), (m.start - acc.at).cast("int")),
                 F.element_at(F.array(*names), m.kind + 1))).otherwise(F.lit(""))).alias("out"),
             m.stop.alias("at"))))
-    clean = F.when(F.col("_marks").isNull(), F.col(text_col)).otherwise(
-        F.concat(step["out"], F.substring(F.col(text_col), (step["at"] + 1).cast("int"), F.length(text_col))))
-    return joined.select(*[clean.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    clean = F.when(F.col("_marks").isNull(), text).otherwise(
+        F.concat(step["out"], F.substring(text, (step["at"] + 1).cast("int"), F.length(text))))
+    return joined.select(*[(clean if c == text_col else F.col("_doc")[c]).alias(c) for c in docs.columns])

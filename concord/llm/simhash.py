@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concord.llm.blocks import block_tasks
-from concord.llm.common import chunks, components, lookup, spread, written
+from concord.llm.common import boxed, chunks, components, keep_ids, lookup, spread, text_key, written
 from concord.llm.shingles import shingle_hashes
 
 #: Members of a shard that one task compares; larger shards are compared block by block.
 BLOCK = 1 << 17
 #: Fingerprints of the bounded sample from which the top of the tree is built.
 SAMPLE = 1 << 14
+#: Nodes of rows without an id start here.
+NULL_ID = 1 << 62
 #: Candidate pairs held at once.
 PAIRS = 1 << 21
 
@@ -34,17 +36,20 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``id``, ``fp`` (the 64 bits as a signed long) of every row."""
+    """``id`` (long), ``key`` (of the text), ``node`` (the id; above all ids where it is null), ``fp`` (the 64 bits as
+    a signed long) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps: list[int] = []
             for a, b in chunks(batch.num_rows, 256):
-                fps += [fingerprint(t, shingle) for t in batch.column(1).slice(a, b - a).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))], ["id", "fp"])
+                fps += [fingerprint(t, shingle) for t in batch.column(3).slice(a, b - a).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.array(fps, dtype=np.uint64).view(np.int64))],
+                                             ["id", "key", "node", "fp"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, fp long")
+    own = F.col(id_col).cast("long")
+    node = F.coalesce(own, F.monotonically_increasing_id() + NULL_ID)
+    return docs.select(own.alias("id"), text_key(F.col(text_col)).alias("key"), node.alias("node"),
+                       F.col(text_col).cast("string")).mapInArrow(run, "id long, key string, node long, fp long")
 
 
 def vantage_tree(sample: np.ndarray, leaves: int) -> list[tuple]:
@@ -206,19 +211,52 @@ def linked(classes: DataFrame, bits: int, shard: int = 1 << 14) -> DataFrame:
     return tasks.groupBy("leaf", "i", "j").applyInArrow(compare, "a long, b long")
 
 
+def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, bits: int) -> DataFrame:
+    """The columns of :func:`fingerprints` with ``component``, the smallest node that links reach; one row per row."""
+    fps = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    classes = written(fps.groupBy("fp").agg(F.min("node").alias("rep"), F.count("*").alias("n_rows")), "classes")
+    sets = components(linked(classes, bits))
+    known = classes.join(sets.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "fp", F.coalesce("component", "rep").alias("component"), "n_rows")
+    return lookup(fps, written(known, "known"), "fp")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                     bits: int = 4) -> DataFrame:
     """The id, ``fingerprint`` (16 hex digits) and ``component_id`` of every row.
 
-    ``component_id`` is the smallest id that links of at most ``bits`` differing bits reach. Integer ids. Null
+    ``component_id`` is the smallest id that links of at most ``bits`` differing bits reach. Ids are integers. Null
     texts count as empty; texts without words have fingerprint zero and link like any other. Rows that repeat an id
-    are rows of their own. Rows with a null id get the component of their fingerprint, or null if only null ids
-    have it; they link nothing. An empty table gives no rows; other columns are ignored.
+    are rows of their own. Rows with a null id link like others; a component of null ids only is null. An empty
+    table gives no rows; other columns are ignored.
     """
-    fps = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    classes = written(fps.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n_rows")), "classes")
-    sets = components(linked(classes.where("rep is not null"), bits))
-    known = classes.join(sets.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id"), "n_rows")
-    return lookup(fps, written(known, "known"), "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return grouped(docs, id_col, text_col, shingle, bits).select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.when(F.col("component") < NULL_ID, F.col("component")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, bits: int = 4) -> DataFrame:
+    """Of each near-duplicate group one row of ``docs``, with all its columns: that of the smallest id (null ids last;
+    then by a hash of the text). Of rows that repeat both id and text one stays.
+
+    Rows are found again by id and text key. The smaller of the sets that stay and that go is broadcast when
+    counted small; otherwise texts are shuffled once.
+    """
+    same = F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("key")).alias("_row")
+    rows = written(grouped(docs, id_col, text_col, shingle, bits).select("component", F.struct(
+        F.when(F.col("id").isNull(), F.lit(NULL_ID)).otherwise(F.col("id")).alias("n"), "key").alias("at"), same), "groups")
+    stay = written(rows.groupBy("component").agg(F.min_by("_row", "at").alias("_row")).select("_row"), "stay")
+    every = rows.groupBy("_row").agg(F.count("*").alias("n"))
+    go = written(every.join(stay, "_row", "left_anti"), "go")
+    again = written(every.where("n > 1").join(stay, "_row").select("_row"), "again")
+    n_stay, n_go = stay.count(), go.count()
+    doc = F.col("_doc")
+    own = F.concat(F.coalesce(doc[id_col].cast("long").cast("string"), F.lit("")), F.lit(":"), text_key(doc[text_col]))
+    marked = boxed(docs).withColumn("_row", own)
+    kept = (keep_ids(marked, go.select("_row"), "_row", n_go, "left_anti") if n_go <= n_stay
+            else keep_ids(marked, stay, "_row", n_stay, "left_semi"))
+    n = again.count()
+    if not n:
+        return kept.select("_doc.*")
+    once = keep_ids(kept, again, "_row", n, "left_semi").groupBy("_row").agg(F.min_by("_doc", F.xxhash64("_doc")).alias("_doc"))
+    return keep_ids(kept, again, "_row", n, "left_anti").select("_doc.*").unionByName(once.select("_doc.*"))
