@@ -126,7 +126,7 @@ def count_documents(blocks: DataFrame, end_id: int = 50256, width: int = 2) -> D
     """
     found = written(separators(blocks, end_id, width).where("n_tokens > 0"), "separators")
     sums = found.select("file", "block", F.floor(F.col("block") / GROUP).alias("g"), "n_tokens", F.size("ends").cast("long").alias("n_ends"),
-                        F.expr("element_at(ends, -1)").alias("last"))
+                        F.expr("try_element_at(ends, -1)").alias("last"))
     tops = sums.groupBy("file", "g").agg(F.sum("n_tokens").alias("gt"), F.sum("n_ends").alias("ge"))
     above = Window.partitionBy("file").orderBy("g").rowsBetween(Window.unboundedPreceding, -1)
     tops = tops.select("file", "g", F.coalesce(F.sum("gt").over(above), F.lit(0)).alias("gt"),
