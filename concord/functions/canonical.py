@@ -1,81 +1,90 @@
-"""Canonical row values and row hashes.
+"""Row hashes (R10): one identity per row that does not depend on how a side types its columns.
 
-Two rows are the same row when their canonical texts are equal. Each value is
-rendered by type and length-prefixed, so no separator inside a value can make
-two different rows collide:
+Values of a column are hashed in the form of the column's *common kind* on the two sides:
 
-* NULL renders as a marker distinct from the empty string;
-* floats: -0.0 becomes 0.0 and every NaN the same text;
-* decimals keep their scale, timestamps their microseconds;
-* arrays, maps and structs render as JSON, binary as base64.
+* numbers of any type by their exact value (``numeric.identity``): a bigint, a decimal of any scale
+  and a double that hold the same number hash alike;
+* dates and timestamps as timestamps without a zone (a date is its midnight);
+* text, booleans and binary as they are; arrays, structs and maps only against the same type.
 
-Columns are taken in the order given (callers pass a name-sorted list so two
-sides with reordered columns agree).
+A column whose sides have no common kind cannot be compared; ``common_kind`` says so.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BinaryType, DataType, DecimalType, DoubleType, FloatType,
-                               IntegralType, MapType, StructType)
-
-NULL_MARK = "\u0000"
-
-
-def _render(c: Column, dtype: DataType) -> Column:
-    if isinstance(dtype, (DoubleType, FloatType)):
-        v = F.when(F.isnan(c), F.lit("NaN")).when(c == 0, F.lit("0.0")).otherwise(c.cast("double").cast("string"))
-        return F.when(c.isNull(), F.lit(None)).otherwise(v)
-    if isinstance(dtype, (ArrayType, MapType, StructType)):
-        return F.to_json(c)
-    if isinstance(dtype, BinaryType):
-        return F.base64(c)
-    return c.cast("string")
-
-
-def canonical_text(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """One string per row; equal rows (by value) give equal text."""
-    columns = list(columns or df.columns)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    parts = []
-    for name in columns:
-        v = _render(F.col(name), types[name])
-        parts.append(F.when(v.isNull(), F.lit(NULL_MARK)).otherwise(F.concat(F.length(v).cast("string"), F.lit(":"), v)))
-    return F.concat_ws("|", *parts)
-
-
-def _hashable(c: Column, dtype: DataType) -> Column:
-    """A value normalised so equal values (in the sense of the canonical text) hash equally."""
-    if isinstance(dtype, IntegralType):
-        return c.cast("long")
-    if isinstance(dtype, (DoubleType, FloatType)):
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DataType, DateType, DecimalType, DoubleType,
+                               FloatType, IntegralType, MapType, NumericType, StringType, StructType,
+                               TimestampNTZType, TimestampType)
+
+from concord.functions.numeric import identity
+
+
+def _kind(dtype: DataType) -> str:
+    for kind, types in (("text", StringType), ("number", NumericType), ("boolean", BooleanType),
+                        ("time", (DateType, TimestampType, TimestampNTZType)), ("binary", BinaryType)):
+        if isinstance(dtype, types):
+            return kind
+    return dtype.simpleString()
+
+
+def common_kind(a: DataType, b: DataType) -> str | None:
+    """The kind both types are compared as; None if there is no safe one."""
+    if _kind(a) != _kind(b):
+        return None
+    integral, floating = isinstance(a, IntegralType) and isinstance(b, IntegralType), (DoubleType, FloatType)
+    if _kind(a) == "number" and (integral or isinstance(a, floating) and isinstance(b, floating)):
+        return "integer" if integral else "double"
+    return _kind(a)
+
+
+def shown_type(a: DataType, b: DataType) -> str:
+    """The type in which a compared value is reported."""
+    if a == b:
+        return a.simpleString()
+    kind = common_kind(a, b)
+    if kind == "time":
+        return "timestamp_ntz"
+    if kind in ("integer", "double"):
+        return "bigint" if kind == "integer" else "double"
+    if kind == "number":
+        if isinstance(a, (DoubleType, FloatType)) or isinstance(b, (DoubleType, FloatType)):
+            return "double"
+        return f"decimal(38,{max(getattr(t, 'scale', 0) for t in (a, b))})"
+    return a.simpleString()
+
+
+def _hashable(c: Column, dtype: DataType, kind: str) -> list[Column]:
+    if kind == "integer":
+        return [c.cast("long")]
+    if kind == "double":
         d = c.cast("double")
-        return F.when(F.isnan(d), F.lit(float("nan"))).when(d == 0, F.lit(0.0)).otherwise(d)
-    if isinstance(dtype, DecimalType):
-        return c.cast(DecimalType(38, dtype.scale))
+        return [F.when(F.isnan(d), F.lit(float("nan"))).when(d == 0, F.lit(0.0)).otherwise(d)]
+    if kind == "number":
+        return identity(c, dtype)
+    if kind == "time":
+        return [c.cast("timestamp_ntz")]
     if isinstance(dtype, MapType):
-        return F.to_json(F.array_sort(F.map_entries(c)))
+        return [F.to_json(F.array_sort(F.map_entries(c)))]
     if isinstance(dtype, (ArrayType, StructType)) and "map<" in dtype.simpleString():
-        return F.to_json(c)
-    return c
+        return [F.to_json(c)]
+    return [c]
 
 
-def with_row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def with_row_hash(df: DataFrame, columns: Sequence[str] | None = None, kinds: Mapping[str, str] | None = None) -> DataFrame:
     """Add ``_h1``/``_h2``: two 64-bit xxhash64 values of the row (a 128-bit identity).
 
-    Values are hashed in binary form (no text formatting): integers as bigint,
-    floats with -0.0 → 0.0 and one NaN, decimals at their own scale, maps by
-    sorted entries. A null bitmap is hashed too, since xxhash64 skips NULLs and
-    ``(NULL, x)`` would otherwise equal ``(x, NULL)``. ``_h2`` hashes the values
-    in reverse order behind a salt, so the pair behaves as two independent
-    hashes; one 64-bit hash alone would collide at ~10^12 rows.
+    ``kinds`` gives each column's common kind (default: the column's own). A null bitmap is hashed too,
+    since xxhash64 skips NULLs and ``(NULL, x)`` would otherwise equal ``(x, NULL)``. ``_h2`` hashes the
+    values in reverse order behind a salt, so the pair behaves as two independent hashes; one 64-bit hash
+    alone would collide at ~10^12 rows.
     """
     columns = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
-    vals = [_hashable(F.col(c), types[c]) for c in columns]
+    vals = [v for c in columns for v in _hashable(F.col(c), types[c], (kinds or {}).get(c) or common_kind(types[c], types[c]))]
     masks = []
     for start in range(0, len(columns), 62):
         m = F.lit(0).cast("long")
@@ -84,10 +93,3 @@ def with_row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
         masks.append(m)
     return df.withColumn("_h1", F.xxhash64(*masks, *vals)).withColumn(
         "_h2", F.xxhash64(F.lit("concord/second"), *masks, *reversed(vals)))
-
-
-def with_text_hash(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``_h1`` (xxhash64) and ``_h2`` (md5) of the canonical *text*: slower, engine-independent."""
-    text = canonical_text(df, columns)
-    return df.withColumn("_canon", text).withColumn("_h1", F.xxhash64("_canon")).withColumn(
-        "_h2", F.unhex(F.md5("_canon"))).drop("_canon")

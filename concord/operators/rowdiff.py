@@ -7,12 +7,11 @@ check compares the two sides as multisets of whole rows:
    the map-side partial aggregate, so a row repeated a billion times costs one
    shuffled record per map task;
 2. the two hash counts are joined (both sides are already hash-partitioned on
-   the row hash, so the join adds no exchange) and unequal counts kept;
-3. only for the differing hashes are the row values fetched back, by a
-   semi-join of each side against the (usually small) differing set; AQE turns
-   that join into a broadcast at run time when the set turns out small.
-
-The shuffle of steps 1-2 carries 24 bytes per distinct row instead of the row.
+   the row hash, so the join adds no exchange), and the differing hashes are
+   written to a table once and counted;
+3. the row values of the differing hashes are fetched by a second scan of each
+   side. Up to ``BROADCAST_HASHES`` counted hashes are broadcast, so no full row
+   is shuffled; beyond that the rows are joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -22,91 +21,136 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.functions.canonical import with_row_hash
-from concord.functions.numeric import SUM_TYPE
+from concord.functions.canonical import common_kind, shown_type, with_row_hash
 from concord.functions.keys import join_condition
-from concord.operators.fingerprint import group_fingerprint, numeric_columns
+from concord.functions.numeric import as_exact, identity
+from concord.functions.stored import stored
+from concord.operators.fingerprint import difference_entries, group_fingerprint, numeric_columns, resolve_names, special_columns
 
 H = ["_h1", "_h2"]
+BROADCAST_HASHES = 500_000  # 16 bytes and counts each: about 50 MB when broadcast
+
+
+def column_differences(source: DataFrame, target: DataFrame) -> list[tuple[str, str, str | None, str | None]]:
+    """``(column, difference, source type, target type)`` of the columns that cannot be compared:
+    ``missing_target``, ``extra_target`` or ``no_common_type``. Names match without regard to case."""
+    left = {f.name.lower(): f for f in source.schema.fields}
+    right = {f.name.lower(): f for f in target.schema.fields}
+    out = [(f.name, "missing_target", f.dataType.simpleString(), None) for k, f in left.items() if k not in right]
+    out += [(f.name, "extra_target", None, f.dataType.simpleString()) for k, f in right.items() if k not in left]
+    out += [(f.name, "no_common_type", f.dataType.simpleString(), right[k].dataType.simpleString())
+            for k, f in left.items() if k in right and common_kind(f.dataType, right[k].dataType) is None]
+    return out
 
 
 def row_multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows whose multiplicity differs: ``(<row columns>, source_count, target_count)``.
 
-    ``columns`` defaults to the columns both sides share, by name.
+    Values are compared at a common type per column (``functions.canonical``), so a retyped copy of a table
+    is equal to it. Without ``columns`` every column takes part, and one that a side lacks or that has no common
+    type raises; name the columns to compare only those, or use ``row_report`` to get such columns as rows.
     """
     if columns is None:
-        tgt = set(target.columns)
-        columns = [c for c in source.columns if c in tgt]
+        bad = column_differences(source, target)
+        if bad:
+            raise ValueError("columns that cannot be compared: " + ", ".join(f"{c} ({d})" for c, d, _, _ in bad))
+        columns = source.columns
     columns = list(columns)
+    actual = {f.name.lower(): f for f in target.schema.fields}
+    types = {f.name.lower(): f.dataType for f in source.schema.fields}
+    pairs = {c: (types[c.lower()], actual[c.lower()].dataType) for c in columns}
+    kinds = {c: common_kind(*p) for c, p in pairs.items()}
+    if None in kinds.values():
+        raise ValueError(f"no common type: {[c for c, k in kinds.items() if k is None]}")
     order = sorted(columns)
-    s = with_row_hash(source.select(*columns), order)
-    t = with_row_hash(target.select(*columns), order)
+
+    def hashed(df: DataFrame) -> DataFrame:
+        names = {n.lower(): n for n in df.columns}
+        return with_row_hash(df.select(*[F.col(names[c.lower()]).alias(c) for c in columns]), order, kinds)
+
+    s, t = hashed(source), hashed(target)
     sc = s.groupBy(*H).agg(F.count(F.lit(1)).alias("source_count"))
     tc = t.groupBy(*H).agg(F.count(F.lit(1)).alias("target_count"))
-    d = sc.join(tc, H, "full_outer").select(
+    d = sc.join(tc.hint("merge"), H, "full_outer").select(
         *H, F.coalesce("source_count", F.lit(0)).alias("source_count"),
         F.coalesce("target_count", F.lit(0)).alias("target_count"),
     ).where(F.col("source_count") != F.col("target_count"))
-    # ``d`` is used three times below; its shuffle stages are identical, so
-    # adaptive execution runs them once and reuses them (no re-scan).
-    from_src = s.join(d.where(F.col("source_count") > 0).select(*H), H, "left_semi")
-    from_tgt = t.join(d.where(F.col("source_count") == 0).select(*H), H, "left_semi")
-    reps = from_src.unionByName(from_tgt).dropDuplicates(H)
-    return reps.join(d, H).select(*columns, "source_count", "target_count")
+    d = stored(d, "rowdiff")
+    few = d.count() <= BROADCAST_HASHES
 
+    def rows_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
+        found = df.join(F.broadcast(wanted) if few else wanted.hint("merge"), H)
+        shown = [F.col(c).cast(shown_type(*pairs[c])).alias(c) for c in columns]
+        return found.select(*H, *shown, "source_count", "target_count").dropDuplicates(H)
 
-def key_fingerprint(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """``(split key, key, n, _s<i>)``: per key row count and exact sums (see ``fingerprint.group_fingerprint``)."""
-    return group_fingerprint(df, [key], list(columns))
+    return rows_of(s, d.where("source_count > 0")).unionByName(rows_of(t, d.where("source_count = 0"))).drop(*H)
 
 
-def _weights(key: str) -> tuple:
-    # Two independent pseudo-random weights per key in [1, 2^31); a bucket's
-    # weighted sums are sum over keys of w(key) * (per-key aggregate).
-    w1 = F.pmod(F.xxhash64(F.col(key), F.lit("w1")), F.lit(2147483647)) + F.lit(1)
-    w2 = F.pmod(F.xxhash64(F.col(key), F.lit("w2")), F.lit(2147483647)) + F.lit(1)
-    return w1, w2
+def row_report(source: DataFrame, target: DataFrame) -> DataFrame:
+    """All differences as rows ``(difference, column_name, source_type, target_type, row, source_count, target_count)``.
+
+    Columns that cannot be compared come as rows of their own; ``row`` rows carry the differing row over the other
+    columns as JSON.
+    """
+    bad = column_differences(source, target)
+    skip = {c.lower() for c, *_ in bad}
+    columns = [c for c in source.columns if c.lower() not in skip]
+    spark = source.sparkSession
+    head = spark.createDataFrame(
+        [(d, c, s, t) for c, d, s, t in bad], "difference string, column_name string, source_type string, target_type string")
+    none = F.lit(None)
+    out = head.select("*", none.cast("string").alias("row"), none.cast("long").alias("source_count"), none.cast("long").alias("target_count"))
+    if not columns:
+        return out
+    rows = row_multiset_diff(source, target, columns)
+    return out.unionByName(rows.select(
+        F.lit("row").alias("difference"), *[none.cast("string").alias(c) for c in ("column_name", "source_type", "target_type")],
+        F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("row"), "source_count", "target_count"))
+
+
+def key_fingerprint(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Per key row count, exact sums and special values (see ``fingerprint.group_fingerprint``)."""
+    return group_fingerprint(df, [key], list(columns))
 
 
 def bucket_fingerprint(df: DataFrame, key: str, columns: Sequence[str], buckets: int) -> DataFrame:
-    """Level 1: per bucket of ``pmod(xxhash64(key), buckets)`` weighted count and sums.
+    """Level 1: per bucket of ``pmod(xxhash64(key), buckets)`` the row count and two sums of row hashes.
 
-    Aggregated straight from the rows with a partial aggregate, so the shuffle
-    carries at most ``buckets`` records per map task. Per-key differences
-    survive aggregation unless two random 31-bit weightings both cancel them.
+    A row's hash covers the key and, for each column, the value that level 2 sums (at its exact scale, NULL as 0)
+    or, where it cannot be summed, its identity. Equal rows hash alike whatever their type, no magnitude is
+    left out, and multiplicities add up. Aggregated straight from the rows with a partial aggregate, so the
+    shuffle carries at most ``buckets`` records per map task.
     """
-    w1, w2 = _weights(key)
-    present = set(df.columns)
-    aggs = [F.sum(w1.cast("decimal(20,0)")).alias("c1"), F.sum(w2.cast("decimal(20,0)")).alias("c2"),
-            F.count(F.lit(1)).alias("n"), F.max(F.col(key).isNull()).alias("has_null")]
-    for i, c in enumerate(columns):
-        v = F.coalesce(F.col(c).try_cast("decimal(22,6)"), F.lit(0).cast("decimal(22,6)")) if c in present else None
-        aggs.append(F.sum(v * w1.cast("decimal(11,0)")).alias(f"a{i}") if v is not None
-                    else F.lit(None).cast("decimal(38,6)").alias(f"a{i}"))
-        aggs.append(F.sum(v * w2.cast("decimal(11,0)")).alias(f"b{i}") if v is not None
-                    else F.lit(None).cast("decimal(38,6)").alias(f"b{i}"))
-    return df.groupBy(F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).alias("bucket")).agg(*aggs)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    parts = []
+    for c in columns:
+        if c not in types:
+            parts.append(F.lit("absent"))
+            continue
+        exact = as_exact(F.col(c), types[c])
+        summed = F.coalesce(exact, F.lit(0).cast("decimal(38,6)"))
+        special = exact.isNull() & F.col(c).isNotNull()
+        parts += [summed, special, *[F.when(special, x) for x in identity(F.col(c), types[c])]]
+    one = F.xxhash64(F.col(key), *parts).cast("decimal(20,0)")
+    two = F.xxhash64(F.lit("concord/second"), F.col(key), *parts).cast("decimal(20,0)")
+    return df.groupBy(F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).alias("bucket")).agg(
+        F.sum(one).alias("c1"), F.sum(two).alias("c2"), F.count(F.lit(1)).alias("n"), F.max(F.col(key).isNull()).alias("has_null"))
 
 
 def bucket_drilldown(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str] | None = None,
                      buckets: int = 4096) -> DataFrame:
     """Per-key differences ``(key, check, column_name, source_value, target_value)``.
 
-    Level 1 compares ``buckets`` weighted fingerprints per side; level 2 computes
-    exact per-key fingerprints only for rows in mismatched buckets (the bucket
-    list is at most ``buckets`` ids, a proven bound, so it is broadcast). Matched
-    tables shuffle only bucket rows. Checks: ``group_count`` and ``group_sum``
-    (exact), as in the group fingerprint. NULL keys form their own key.
+    Level 1 compares ``buckets`` fingerprints per side; level 2 computes exact per-key fingerprints only for rows
+    in mismatched buckets (the bucket list is at most ``buckets`` ids, a proven bound, so it is broadcast).
+    Matched tables shuffle only bucket rows. Checks: ``group_count``, ``group_sum`` and the group's special values, as in
+    the group fingerprint. NULL keys form their own key. The key's types should agree on the two sides.
     """
-    if columns is None:
-        columns = [c for c in numeric_columns(source) if c != key]
-    columns = list(columns)
+    source, target, columns = _columns(source, target, key, columns)
     sb = bucket_fingerprint(source, key, columns, buckets)
     tb = bucket_fingerprint(target, key, columns, buckets)
-    cmp_cols = ["c1", "c2", "n", "has_null"] + [f"{p}{i}" for i in range(len(columns)) for p in "ab"]
     same = None
-    for c in cmp_cols:
+    for c in ("c1", "c2", "n", "has_null"):
         e = F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
         same = e if same is None else same & e
     bad = sb.alias("s").join(tb.alias("t"), F.col("s.bucket") == F.col("t.bucket"), "full_outer").where(~same).select(
@@ -122,24 +166,23 @@ def bucket_drilldown(source: DataFrame, target: DataFrame, key: str, columns: Se
 
 def direct_key_diff(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
     """The same answer as ``bucket_drilldown`` without level 1 (reference for tests)."""
+    source, target, columns = _columns(source, target, key, columns)
+    return _direct(source, target, key, columns)
+
+
+def _columns(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str] | None):
     if columns is None:
-        columns = [c for c in numeric_columns(source) if c != key]
-    return _direct(source, target, key, list(columns))
+        columns = [c for c in numeric_columns(source) if c.lower() != key.lower()]
+    return resolve_names(source, [key, *columns]), resolve_names(target, [key, *columns]), list(columns)
 
 
 def _direct(source: DataFrame, target: DataFrame, key: str, columns: list[str]) -> DataFrame:
     s = key_fingerprint(source, key, columns)
     t = key_fingerprint(target, key, columns)
     names = [c for c in s.columns if c.startswith(("_kn", "_kv", "_kr"))]
-    g = s.alias("s").join(t.alias("t"), join_condition(names, "s", "t"), "full_outer")
-    zero = F.lit(0).cast(SUM_TYPE)
-    rows = [F.struct(F.lit("group_count").alias("check"), F.lit(None).cast("string").alias("column_name"),
-                     F.col("s.n").cast(SUM_TYPE).alias("sv"), F.col("t.n").cast(SUM_TYPE).alias("tv"),
-                     (F.coalesce(F.col("s.n"), F.lit(0)) == F.coalesce(F.col("t.n"), F.lit(0))).alias("ok"))]
-    for i, c in enumerate(columns):
-        rows.append(F.struct(F.lit("group_sum").alias("check"), F.lit(c).alias("column_name"),
-                             F.col(f"s._s{i}").alias("sv"), F.col(f"t._s{i}").alias("tv"),
-                             (F.coalesce(F.col(f"s._s{i}"), zero) == F.coalesce(F.col(f"t._s{i}"), zero)).alias("ok")))
-    return g.select(F.coalesce(F.col(f"s.{key}"), F.col(f"t.{key}")).alias(key), F.inline(F.array(*rows))).where(
-        ~F.col("ok")).select(key, "check", "column_name", F.col("sv").alias("source_value"),
-                             F.col("tv").alias("target_value"))
+    g = s.alias("s").join(t.alias("t"), join_condition(names, "s", "t"), "full_outer").select(
+        F.coalesce(F.col(f"s.{key}"), F.col(f"t.{key}")).alias(key), F.col("s.n").alias("sn"), F.col("t.n").alias("tn"),
+        *[F.col(f"{a}._{p}{i}").alias(f"{a}{p}{i}") for a in "st" for p in "sx" for i in range(len(columns))])
+    entries = difference_entries(columns, set(source.columns), set(target.columns), "group_", 0.0, special_columns(source, target, columns))
+    return g.select(key, F.inline(F.array(*entries))).where(~F.col("ok")).select(
+        key, "check", "column_name", F.col("sv").alias("source_value"), F.col("tv").alias("target_value"))

@@ -119,7 +119,7 @@ def q_rowcount_parity(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("numeric_sums", "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, COUNT({c}) AS non_null, "
-    f"COALESCE(SUM(COALESCE(TRY_CAST({c} AS DECIMAL(38,6)), 0)), 0) AS value_sum, COUNT({c}) = 0 AS all_null "
+    f"COALESCE(SUM(CAST({c} AS DECIMAL(38,6))), 0) AS value_sum, CAST(0 AS BIGINT) AS n_special, COUNT({c}) = 0 AS all_null "
     f"FROM lineitem"
     for c in LINEITEM_NUM))
 def q_numeric_sums(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,6 +200,58 @@ def q_compensating_drift(spark: SparkSession, sf: str) -> DataFrame:
     return g.unionByName(r)
 
 
+def _odd(spark: SparkSession, sf: str) -> fp.Pair:
+    orders = read_table(spark, sf, "orders")
+    side = lambda q: spark.sql(q.replace("FROM orders", "FROM {orders}"), orders=orders)
+    return fp.Pair("odd", "odd_tgt", side(drift.ODD_SOURCE_SQL), side(drift.ODD_TARGET_SQL))
+
+
+def _with_odd(sql: str) -> str:
+    return f"WITH odd AS ({drift.ODD_SOURCE_SQL}),\n odd_tgt AS ({drift.ODD_TARGET_SQL})\nSELECT * FROM (\n{sql}\n) AS q"
+
+
+@register("special_values_diff", _with_odd(twins.fingerprint_diff_sql(
+    "odd", "odd_tgt", ["o_orderstatus"], ["o_orderkey", "o_custkey", "big_id", "x"], special=["x"])))
+def q_special_values_diff(spark: SparkSession, sf: str) -> DataFrame:
+    return fp.compare(_odd(spark, sf))
+
+
+@register("special_drilldown", _with_odd(twins.key_diff_sql("odd", "odd_tgt", "o_custkey", ["big_id", "x"], special=["x"])))
+def q_special_drilldown(spark: SparkSession, sf: str) -> DataFrame:
+    p = _odd(spark, sf)
+    return rowdiff.bucket_drilldown(p.source, p.target, "o_custkey", ["big_id", "x"])
+
+
+@register("sparse_drilldown", _with_drift(twins.key_diff_sql("orders", "orders_comp", "o_orderkey", ["o_custkey", "o_totalprice"])))
+def q_sparse_drilldown(spark: SparkSession, sf: str) -> DataFrame:
+    """Six changed rows in a whole table: level 1 leaves a few of its buckets for level 2."""
+    p = _pairs(spark, sf, [("orders", "orders_comp")])[0]
+    return rowdiff.bucket_drilldown(p.source, p.target, "o_orderkey", ["o_custkey", "o_totalprice"])
+
+
+def _retyped(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    orders = read_table(spark, sf, "orders")
+    return orders, spark.sql(drift.RETYPED_SQL.replace("FROM orders", "FROM {orders}"), orders=orders)
+
+
+@register("retyped_row_diff", f"""WITH t AS ({drift.RETYPED_SQL}),
+ a AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT) * 100 AS price, o_orderdate,
+              o_totalprice FROM orders),
+ b AS (SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus,
+              CAST(o_totalprice * 10000 AS BIGINT) AS price, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate FROM t),
+ d AS (SELECT *, 1 AS s, 0 AS t FROM (SELECT o_orderkey, o_custkey, o_orderstatus, price, o_orderdate FROM a EXCEPT ALL SELECT * FROM b)
+       UNION ALL SELECT *, 0, 1 FROM (SELECT * FROM b EXCEPT ALL SELECT o_orderkey, o_custkey, o_orderstatus, price, o_orderdate FROM a))
+SELECT 'row' AS difference, CAST(NULL AS VARCHAR) AS column_name, CAST(o_orderkey AS VARCHAR) AS order_key,
+       CAST(price AS DOUBLE) / 10000 AS price, CAST(s AS BIGINT) AS source_count, CAST(t AS BIGINT) AS target_count FROM d
+UNION ALL SELECT 'missing_target', 'o_orderpriority', NULL, NULL, NULL, NULL
+UNION ALL SELECT 'extra_target', 'o_flag', NULL, NULL, NULL, NULL""")
+def q_retyped_row_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """Against a copy with bigint as decimal and int, double as decimal, timestamp as date: only planted rows differ."""
+    return rowdiff.row_report(*_retyped(spark, sf)).select(
+        "difference", "column_name", F.get_json_object("row", "$.o_orderkey").alias("order_key"),
+        F.get_json_object("row", "$.o_totalprice").cast("double").alias("price"), "source_count", "target_count")
+
+
 # ---------------------------------------------------------------- schema audit
 
 from concord.functions.types import declared_type, type_family  # noqa: E402

@@ -38,6 +38,7 @@ def orders_comp(orders: DataFrame) -> DataFrame:
     # Per-status extreme keys by a partial aggregate (one row per status), joined
     # back; a window partitioned by status would put a third of the table in one task.
     ends = orders.groupBy("o_orderstatus").agg(F.min("o_orderkey").alias("_lo"), F.max("o_orderkey").alias("_hi"))
+    ends = F.broadcast(ends) if ends.count() <= 100_000 else ends  # counted
     j = orders.join(ends, orders.o_orderstatus.eqNullSafe(ends.o_orderstatus), "left").drop(ends.o_orderstatus)
     price = (F.col("o_totalprice")
              + F.when(F.col("o_orderkey") == F.col("_lo"), F.lit(10.0)).otherwise(F.lit(0.0))
@@ -72,5 +73,27 @@ ORDERS_COMP_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus,
        o_orderdate, o_orderpriority
 FROM orders"""
 
+# Values that sums cannot hold, and ids above 2^53, on both sides; planted changes that keep every count.
+ODD_SOURCE_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus, 20000000000000001 + o_orderkey * 8 AS big_id,
+       CASE o_orderkey % 50 WHEN 0 THEN CAST('NaN' AS DOUBLE) WHEN 1 THEN CAST('Infinity' AS DOUBLE)
+            WHEN 2 THEN CAST('-Infinity' AS DOUBLE) WHEN 3 THEN CAST(1e30 AS DOUBLE) WHEN 4 THEN NULL
+            ELSE o_totalprice END AS x
+FROM orders"""
+
+ODD_TARGET_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus,
+       20000000000000001 + o_orderkey * 8 + CASE WHEN o_orderkey % 409 = 5 THEN 1 ELSE 0 END AS big_id,
+       CASE o_orderkey % 50 WHEN 0 THEN CASE WHEN o_orderkey % 500 = 0 THEN NULL ELSE CAST('NaN' AS DOUBLE) END
+            WHEN 1 THEN CASE WHEN o_orderkey % 500 = 1 THEN CAST('NaN' AS DOUBLE) ELSE CAST('Infinity' AS DOUBLE) END
+            WHEN 2 THEN CAST('-Infinity' AS DOUBLE)
+            WHEN 3 THEN CASE WHEN o_orderkey % 500 = 3 THEN CAST(2e30 AS DOUBLE) ELSE CAST(1e30 AS DOUBLE) END
+            WHEN 4 THEN NULL ELSE o_totalprice END AS x
+FROM orders"""
+
+# A migrated copy of orders: every column retyped, one dropped, one added, a few rows changed.
+RETYPED_SQL = """SELECT CAST(o_orderkey AS DECIMAL(38,0)) AS O_ORDERKEY, CAST(o_custkey AS INTEGER) AS o_custkey,
+       o_orderstatus, CAST(CASE WHEN o_orderkey % 401 = 7 THEN o_totalprice + 0.25 ELSE o_totalprice END AS DECIMAL(20,4)) AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate, o_orderkey % 2 AS o_flag
+FROM orders WHERE o_orderkey % 499 <> 11"""
+
 DRIFT_CTES = (f"orders_tgt AS ({ORDERS_TGT_SQL}),\n lineitem_tgt AS ({LINEITEM_TGT_SQL}),\n"
               f" orders_comp AS ({ORDERS_COMP_SQL})")

@@ -8,11 +8,13 @@ micro-batch folds in only the new files.
 
 Output is in *update* mode: a micro-batch carries only the keys whose
 aggregate changed, with their new totals. ``foreachBatch`` merges them into
-the previous version (keys replaced by an anti-join, then a union) and writes
-version ``epoch=<batch id>`` under the output path, then records that epoch
-in a small marker. Writing a whole new version per batch is idempotent: a
-retried batch rewrites the same directory, and readers never see a partially
-written version (they follow the marker). A reconciliation compares two
+the previous version (keys replaced by an anti-join, then a union) and writes a new
+version in a folder of its own. A version is published by a one-line file of its
+epoch that names the folder, written after the folder is complete; there is no
+pointer shared by epochs that could be lost half written. Batch ``n`` is built on
+the newest published version below ``n``: a retried or replayed batch starts from
+the same predecessor and replaces only its own line, and a failing read raises
+instead of passing for "no version yet". A reconciliation compares two
 persisted fingerprints with ``fingerprint.compare_fingerprints``.
 
 Checkpoints go under the session's ``spark.checkpoint.dir`` (a shared folder
@@ -23,8 +25,10 @@ Older versions can be removed by the caller's retention job.
 from __future__ import annotations
 
 import posixpath
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -33,29 +37,36 @@ from concord.functions.keys import split_keys
 from concord.operators.fingerprint import group_fingerprint
 from concord.session import ensure_checkpoint_dir
 
-MARKER = "_latest_epoch"
+PUBLISHED = "published"
 
 
 def stream_fingerprint(stream: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """R5 on a streaming DataFrame: a running ``(split keys…, keys…, n, _s<i>)`` aggregation."""
+    """R5 on a streaming DataFrame: a running ``(split keys…, keys…, n, _s<i>, _x<i>)`` aggregation."""
     return group_fingerprint(stream, list(keys), list(columns))
 
 
-def latest_epoch(spark: SparkSession, output_path: str) -> int | None:
-    """The newest published version, or None before the first batch."""
+def latest_version(spark: SparkSession, output_path: str, below: int | None = None) -> tuple[int, str] | None:
+    """``(epoch, folder)`` of the newest published version (below ``below``), or None if none is published.
+
+    Only a path that does not exist means None; any other error is raised.
+    """
     try:
-        row = spark.read.text(posixpath.join(output_path, MARKER)).first()
-    except Exception:  # noqa: BLE001 - no marker yet
+        lines = (spark.read.option("recursiveFileLookup", "true").text(posixpath.join(output_path, PUBLISHED))
+                 .select("value").collect())  # one short line per version
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return int(row.value) if row is not None else None
+    versions = [(int(epoch), folder) for epoch, folder in (r.value.split(" ", 1) for r in lines)]
+    return max((v for v in versions if below is None or v[0] < below), default=None)
 
 
 def read_fingerprint(spark: SparkSession, output_path: str) -> DataFrame:
     """The newest published fingerprint version."""
-    epoch = latest_epoch(spark, output_path)
-    if epoch is None:
+    version = latest_version(spark, output_path)
+    if version is None:
         raise FileNotFoundError(f"no fingerprint published under {output_path}")
-    return spark.read.parquet(posixpath.join(output_path, f"epoch={epoch}"))
+    return spark.read.parquet(posixpath.join(output_path, version[1]))
 
 
 def maintain_fingerprint(spark: SparkSession, source_dir: str, schema: StructType, keys: Sequence[str],
@@ -74,16 +85,15 @@ def maintain_fingerprint(spark: SparkSession, source_dir: str, schema: StructTyp
 
     def publish(changed: DataFrame, epoch: int) -> None:
         session = changed.sparkSession
-        prev = latest_epoch(session, output_path) if epoch > 0 else None  # epoch 0 has no predecessor
-        if prev is not None and prev >= epoch:  # a replayed batch: take the version before it
-            prev = epoch - 1 if epoch > 0 else None
+        before = latest_version(session, output_path, below=epoch)
         merged = changed
-        if prev is not None:
-            old = session.read.parquet(posixpath.join(output_path, f"epoch={prev}"))
+        if before is not None:
+            old = session.read.parquet(posixpath.join(output_path, before[1]))
             merged = old.join(changed.select(*key_names).hint("merge"), key_names, "left_anti").unionByName(changed)
-        merged.write.mode("overwrite").parquet(posixpath.join(output_path, f"epoch={epoch}"))
-        session.createDataFrame([(str(epoch),)], "value string").coalesce(1).write.mode("overwrite").text(
-            posixpath.join(output_path, MARKER))
+        folder = f"versions/{epoch}-{uuid.uuid4().hex}"
+        merged.write.parquet(posixpath.join(output_path, folder))
+        session.createDataFrame([(f"{epoch} {folder}",)], "value string").coalesce(1).write.mode("overwrite").text(
+            posixpath.join(output_path, PUBLISHED, str(epoch)))
 
     writer = fp.writeStream.outputMode("update").foreachBatch(publish).option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -172,3 +172,119 @@ def test_one_shared_key_choice_for_both_sides(spark):
     b = spark.createDataFrame([("note", "x", 1.0), ("note", "y", 2.0)], "label string, k string, v double")
     assert fp.key_column(b) == "label"
     assert fp.compare(fp.Pair("a", "b", a, b)).count() == 0
+
+
+NAN, INF = float("nan"), float("inf")
+
+
+@pytest.mark.parametrize("left,right,check", [
+    ([NAN], [INF], "nan"), ([NAN], [None], "nan"), ([1e33], [0.0], "out_of_range"), ([1e33], [2e33], "out_of_range"),
+    ([INF], [-INF], "negative_infinity"), ([1e22, 1.0], [1e22], "sum")])
+def test_values_that_sums_cannot_hold_are_compared(spark, left, right, check):
+    a, b = (spark.createDataFrame([("k", float(v) if v is not None else None) for v in side], "k string, v double") for side in (left, right))
+    got = {r["check"] for r in fp.compare(fp.Pair("a", "b", a, b)).collect()}
+    assert {check, "group_" + check} <= got
+    assert fp.compare(fp.Pair("a", "a", a, a)).count() == 0
+    drill = rowdiff.bucket_drilldown(a, b, "k", ["v"])
+    assert "group_" + check in {r["check"] for r in drill.collect()}
+    assert sorted(map(tuple, drill.collect()), key=repr) == sorted(map(tuple, rowdiff.direct_key_diff(a, b, "k", ["v"]).collect()), key=repr)
+
+
+def test_large_sums_do_not_abort(spark):
+    a = spark.createDataFrame([("k", 9e31)] * 20, "k string, v double")
+    b = spark.createDataFrame([("k", 9e31)] * 19 + [("k", 8e31)], "k string, v double")
+    assert fp.compare(fp.Pair("a", "a", a, a)).count() == 0
+    assert {r["check"] for r in fp.compare(fp.Pair("a", "b", a, b)).collect()} == {"out_of_range", "group_out_of_range"}
+    most = spark.createDataFrame([("k", Decimal("9" * 22))], "k string, v decimal(22,0)").selectExpr(
+        "k", "v", "explode(sequence(1, 3)) as i").select("k", "v")
+    assert fp.compare(fp.Pair("m", "m", most, most)).count() == 0
+
+
+def test_drilldown_sees_large_ids(spark):
+    a = spark.createDataFrame([(1, 20000000000000001), (2, 5)], "k long, v long")
+    b = spark.createDataFrame([(1, 20000000000000009), (2, 5)], "k long, v long")
+    got = [(r.k, r.check, int(r.source_value), int(r.target_value)) for r in rowdiff.bucket_drilldown(a, b, "k", ["v"]).collect()]
+    assert got == [(1, "group_sum", 20000000000000001, 20000000000000009)]
+
+
+def test_overflowing_sum_is_a_difference(spark):
+    from concord.functions.numeric import exact_sum
+    df = spark.createDataFrame([(Decimal("9" * 22),)], "v decimal(22,0)")
+    big = df.selectExpr("explode(array_repeat(v, 20000)) as v").selectExpr("explode(array_repeat(v, 20000)) as v")
+    assert big.selectExpr("v").limit(0).agg(exact_sum(F.col("v")).alias("s")).first().s == 0
+    fake = spark.createDataFrame([("k", 1, None)], "k string, n long, _s0 decimal(38,6)").withColumn(
+        "_x0", F.lit(None).cast(fp.SPECIAL_TYPE))
+    got = {r["check"] for r in fp.compare_fingerprints(fake, fake, "a", "b", ["k"], ["v"]).collect()}
+    assert got == {"sum", "group_sum"}  # an overflow on both sides is not agreement
+
+
+@pytest.mark.parametrize("left,right", [
+    ("bigint", "decimal(38,0)"), ("bigint", "int"), ("decimal(12,2)", "decimal(14,4)"), ("double", "decimal(20,3)"), ("float", "double"),
+    ("bigint", "double")])
+def test_row_diff_of_a_retyped_copy_is_empty(spark, left, right):
+    a = spark.createDataFrame([(1, 5), (2, None), (3, 0), (3, 0), (4, -7)], "id int, v int").selectExpr("id", f"cast(v as {left}) as v")
+    b = a.selectExpr("cast(id as bigint) as id", f"cast(v as {right}) as v")
+    assert rowdiff.row_multiset_diff(a, b).count() == 0
+    c = b.selectExpr("id", f"case when id = 4 then cast(6 as {right}) else v end as v")
+    got = sorted((r.id, float(r.v), r.source_count, r.target_count) for r in rowdiff.row_multiset_diff(a, c).collect())
+    assert got == [(4, -7.0, 1, 0), (4, 6.0, 0, 1)]
+
+
+def test_row_diff_keeps_digits_that_a_double_loses(spark):
+    a = spark.createDataFrame([(9007199254740993,)], "v bigint")
+    b = a.selectExpr("cast(v as decimal(38,0)) as v")
+    assert rowdiff.row_multiset_diff(a, b).count() == 0
+    assert rowdiff.row_multiset_diff(a, a.selectExpr("cast(v as double) as v")).count() == 2
+    wide = spark.sql("select cast('12345678901234567890123456789012.345' as decimal(38,3)) as v")
+    other = spark.sql("select cast('12345678901234567890123456789012.3460' as decimal(36,4)) as v")
+    assert rowdiff.row_multiset_diff(wide, other).count() == 2
+    assert rowdiff.row_multiset_diff(wide, wide.selectExpr("v + 0 as v")).count() == 0
+
+
+def test_row_diff_dates_against_timestamps(spark):
+    a = spark.sql("select date'2024-02-29' as d union all select null")
+    b = a.selectExpr("cast(d as timestamp_ntz) as d")
+    assert rowdiff.row_multiset_diff(a, b).count() == 0
+    assert rowdiff.row_multiset_diff(a, b.selectExpr("d + interval 1 second as d")).count() == 2
+
+
+def test_columns_of_one_side_are_reported(spark):
+    a = spark.createDataFrame([(1, "x", 2.0)], "id int, s string, v double")
+    b = spark.createDataFrame([(1, 5, True)], "ID int, s int, w boolean")
+    with pytest.raises(ValueError, match="v \\(missing_target\\)"):
+        rowdiff.row_multiset_diff(a, b)
+    got = sorted((r.difference, r.column_name) for r in rowdiff.row_report(a, b).collect())
+    assert got == [("extra_target", "w"), ("missing_target", "v"), ("no_common_type", "s")]
+    assert rowdiff.row_multiset_diff(a, b, ["id"]).count() == 0
+    assert sorted(r.difference for r in rowdiff.row_report(a, b.withColumn("ID", F.lit(2))).collect())[-2:] == ["row", "row"]
+
+
+def test_unusable_and_differently_spelled_keys(spark):
+    a = spark.createDataFrame([("x", 1.0)], "k string, v double")
+    upper = spark.createDataFrame([("x", 1.0)], "K string, V double")
+    none = spark.createDataFrame([(1.0,)], "v double")
+    pairs = [fp.Pair("a", "upper", a, upper), fp.Pair("a", "none", a, none), fp.Pair("a", "a", a, a)]
+    assert fp.compare(pairs[0]).count() == 0
+    for batch in (1, 32):
+        d = fp.reconcile(pairs, batch=batch)
+        assert [(r.target, r.check) for r in d.collect()] == [("none", "error")]
+        assert {r.target: r.status for r in fp.verdict(pairs, d).collect()} == {"upper": "validated", "none": "flagged", "a": "validated"}
+
+
+def test_two_keys_cannot_look_alike(spark):
+    a = spark.createDataFrame([("a|b", "c", 1), ("a", "b|c", 2)], "p string, q string, v int")
+    assert fp.fingerprint_long(a, ["p", "q"]).select("group_key").distinct().count() == 2
+
+
+def test_no_full_row_is_shuffled(spark):
+    """With no size-based broadcast, only hashes are exchanged before the differing rows are fetched."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders = read_table(spark, SF001, "orders")
+        d = rowdiff.row_multiset_diff(orders, drift.orders_tgt(orders))
+        text = d._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert all("partial_first" in text for _ in [0])  # the only exchange of rows is after the join

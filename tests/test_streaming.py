@@ -49,3 +49,50 @@ def test_update_mode_merges_only_changed_keys(spark):
     batch = fp.group_fingerprint(orders, keys, cols)
     assert fp.compare_fingerprints(read_fingerprint(spark, out), batch, "s", "b", keys, cols).count() == 0
     assert read_fingerprint(spark, out).count() == orders.select("o_custkey").distinct().count()
+
+
+def test_a_failing_read_raises_and_a_replay_keeps_every_key(spark, tmp_path):
+    import pytest
+
+    from concord.streaming.fingerprint import latest_version
+
+    out, src, ckpt = str(tmp_path / "fp"), tmp_path / "in", str(tmp_path / "ckpt")
+    assert latest_version(spark, out) is None  # no folder yet
+    src.mkdir()
+    schema = "k string, v double"
+    shape = spark.createDataFrame([], schema).schema
+
+    def run(name):
+        maintain_fingerprint(spark, str(src), shape, ["k"], ["v"], out, f"replay_{name}", checkpoint_location=ckpt).awaitTermination(120)
+
+    def arrive(name, rows):
+        stage = str(tmp_path / f"stage-{name}")
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(stage)
+        for f in os.listdir(stage):
+            if f.endswith(".parquet"):
+                shutil.copy(os.path.join(stage, f), str(src / f"{name}-{f}"))
+        run(name)
+
+    def state():
+        return {r.k: float(r._s0) for r in read_fingerprint(spark, out).collect()}
+
+    arrive("one", [("a", 1.0), ("b", 2.0)])
+    arrive("two", [("b", 3.0), ("c", 4.0)])
+    assert latest_version(spark, out)[0] == 1 and latest_version(spark, out, below=1)[0] == 0
+    # a version that was interrupted before it was published is not seen
+    spark.range(1).write.parquet(os.path.join(out, "versions", "2-broken"))
+    assert latest_version(spark, out)[0] == 1
+    arrive("three", [("d", 5.0)])
+    want = {"a": 1.0, "b": 5.0, "c": 4.0, "d": 5.0}
+    assert state() == want and latest_version(spark, out)[0] == 2
+    # the last batch was published but not committed: it runs again from the version before it
+    for name in ("2", ".2.crc"):
+        os.remove(os.path.join(ckpt, "commits", name))
+    run("again")
+    assert state() == want and latest_version(spark, out)[0] == 2
+    # a reader that cannot read must not take that for "no version yet"
+    folder = tmp_path / "fp" / "published" / "2"
+    part = next(f for f in folder.iterdir() if f.name.startswith("part-"))
+    part.write_bytes(b"not a version line\n")
+    with pytest.raises(ValueError):
+        latest_version(spark, out)
