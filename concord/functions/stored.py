@@ -5,16 +5,21 @@ from __future__ import annotations
 import posixpath
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 from concord.session import ensure_checkpoint_dir
 
 
+def stored_path(spark: SparkSession, label: str) -> str:
+    """A new path below the session's checkpoint folder."""
+    return posixpath.join(ensure_checkpoint_dir(spark), "concord", f"{label}-{uuid.uuid4().hex}")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, re-read (not recomputed) after an executor loss."""
     spark = df.sparkSession
-    path = posixpath.join(ensure_checkpoint_dir(spark), "concord", f"{label}-{uuid.uuid4().hex}")
+    path = stored_path(spark, label)
     df.write.parquet(path)
     schema = StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
     return spark.read.schema(schema).parquet(path)

@@ -9,9 +9,8 @@ Stages (L2): a table never produced by a unit is stage 0; a produced table is
 ``1 + max(stage of the sources feeding its producers)``, 1 when it has no
 source; a table feeding itself does not count. Stages are found by peeling the
 graph level by level: each round resolves the tables whose every source is
-already resolved (one join and one aggregate over the still-open edges), and
-cuts lineage with a reliable ``checkpoint()``. The number of rounds is the
-depth of the graph. Tables on or behind a cycle never resolve: they get
+already resolved. The number of rounds is the depth of the graph; see
+``compute_stages`` for what a round costs. Tables on or behind a cycle never resolve: they get
 ``stage = NULL, in_cycle = true`` (the reference's answer there depends on the
 alphabetical order of a depth-first walk).
 """
@@ -21,8 +20,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from concord.functions.stored import stored, stored_path
 from concord.session import ensure_checkpoint_dir
 
+BROADCAST_ROWS = 200_000  # a name and a number each
+
 UNITS_SCHEMA = "unit_id string, unit_order long, sources array<string>, targets array<string>"
 
 
@@ -55,77 +57,93 @@ def unmapped_sources(units: DataFrame, mapping: DataFrame, key: str = "source_ta
     return external_roots(units).join(mapping.select(F.col(key).alias("table_name")), "table_name", "left_anti")
 
 
-def compute_stages(units: DataFrame, max_rounds: int | None = None, hot_share: int = 1000,
-                   salts: int = 32) -> DataFrame:
+def _kept_partitioned(df: DataFrame, *keys: str) -> DataFrame:
+    """A reliable checkpoint of ``df`` hash-partitioned by ``keys`` that joins on them need not shuffle again.
+
+    A checkpoint taken under adaptive execution forgets its partitioning, so it is taken without.
+    """
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.repartition(int(conf.get("spark.sql.shuffle.partitions")), *keys).checkpoint()
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def _sized(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` (a stored table) to be joined: broadcast when counted small, else by a merge join."""
+    n = df.count()
+    return (F.broadcast(df) if n <= BROADCAST_ROWS else df.hint("merge")), n
+
+
+def compute_stages(units: DataFrame, hot_share: int = 1000, salts: int = 32) -> DataFrame:
     """L2: ``(table_name, stage, in_cycle)`` for every table.
 
-    Frontier propagation: each produced table starts with the number of its
-    distinct sources still unresolved; round ``r`` joins only the edges leaving
-    the tables resolved in round ``r-1`` (the frontier), subtracts the hits, and
-    the tables reaching zero form the next frontier with stage ``r``. Total work
-    is linear in the edges; the number of rounds is the graph depth. The edge
-    table is hash-partitioned by (source, salt) and checkpointed once, so a
-    round shuffles only the frontier; each round's state is a reliable
-    checkpoint. Sources with more than ``1/hot_share`` of all edges are salted
-    over ``salts`` sub-keys.
+    Frontier propagation: ``needs`` counts each produced table's sources; round ``r`` counts the edges that leave the
+    tables resolved in round ``r-1`` (the frontier) per target, adds them to what the target had before, and the
+    targets that reach their count are the next frontier, with stage ``r``. What a round costs: a scan of the edge
+    table, which stays partitioned by (source, salt), and a scan of ``needs``, which stays partitioned by table, both
+    without an exchange; a shuffle of the round's hits and of the partly resolved tables (``waiting``) only. A frontier or
+    ``waiting`` counted under ``BROADCAST_ROWS`` is broadcast, a larger one merge-joined. Resolved rows are appended to
+    one table. Sources with more than ``1/hot_share`` of all edges are salted over ``salts`` sub-keys.
     """
-    spark = units.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(units.sparkSession)
     # (produced table, source); NULL source = produced without a source or only from itself.
-    deps = (units.select(F.explode("targets").alias("table_name"), "sources")
-            .select("table_name", F.explode_outer("sources").alias("source"))
-            .select("table_name", F.when(F.col("source") != F.col("table_name"), F.col("source")).alias("source"))
-            .checkpoint())
-    # Duplicate edges need no de-duplication: they count in `missing` and in the
-    # hits alike, so a table still reaches zero in the right round.
+    deps = stored(units.select(F.explode("targets").alias("table_name"), "sources")
+                  .select("table_name", F.explode_outer("sources").alias("source"))
+                  .select("table_name", F.when(F.col("source") != F.col("table_name"), F.col("source")).alias("source")), "deps")
+    # Duplicate edges need no de-duplication: they count in `needs` and in the
+    # hits alike, so a table still reaches its count in the right round.
     raw_edges = deps.where(F.col("source").isNotNull())
     # Skew: a source feeding a large share of all edges would make one partition
     # hold all of them. Such hot sources (out-degree above total/hot_share, so at
     # most hot_share of them: a proven bound, broadcast) spread their edges over
     # `salts` sub-keys; their frontier rows are replicated once per sub-key.
-    degree = raw_edges.groupBy("source").agg(F.count(F.lit(1)).alias("d")).checkpoint()
+    degree = stored(raw_edges.groupBy("source").agg(F.count(F.lit(1)).alias("d")), "degree")
     total = degree.agg(F.sum("d")).first()[0] or 0
     hot = F.broadcast(degree.where(F.col("d") > F.lit(max(total // hot_share, 1))).select("source")
                       .withColumn("_hot", F.lit(True)))
-    edges = (raw_edges.join(hot, "source", "left")
-             .withColumn("salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("table_name"), F.lit(salts)))
-                         .otherwise(F.lit(0)).cast("int"))
-             .drop("_hot").repartition("source", "salt").checkpoint())
+    edges = _kept_partitioned(
+        raw_edges.join(hot, "source", "left")
+        .withColumn("salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("table_name"), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+        .drop("_hot"), "source", "salt")
+    needs = _kept_partitioned(deps.groupBy("table_name").agg(F.count("source").alias("needs")), "table_name")
 
     def salted(front: DataFrame) -> DataFrame:
         f = front.select(F.col("table_name").alias("source")).join(hot, "source", "left")
         fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
         return f.select("source", F.explode(fan).alias("salt"))
 
-    state = deps.groupBy("table_name").agg(F.count("source").alias("missing")).checkpoint()
-    # Roots: sources that no unit produces (stage 0).
-    frontier = (degree.select(F.col("source").alias("table_name"))
-                .join(state.select("table_name"), "table_name", "left_anti"))  # from two checkpoints
-    parts = [frontier.select("table_name", F.lit(0).alias("stage"))]
-    stage = 0
-    while max_rounds is None or stage < max_rounds:
+    # Roots: sources that no unit produces (stage 0). Tables produced from nothing are stage 1.
+    frontier = stored(degree.select(F.col("source").alias("table_name"))
+                      .join(needs.select("table_name").hint("merge"), "table_name", "left_anti")
+                      .withColumn("stage", F.lit(0)), "roots")
+    path = stored_path(units.sparkSession, "stages")
+    frontier.write.mode("append").parquet(path)
+    waiting, stage = None, 0
+    while True:
         stage += 1
-        # Frontier and hits can be data-sized: shuffle joins, never a broadcast picked
-        # from an estimate (edges keep their partitioning; only the frontier moves).
-        hits = (edges.join(salted(frontier).hint("merge"), ["source", "salt"])
-                .groupBy("table_name").agg(F.count(F.lit(1)).alias("hit")))
-        # One checkpoint per round; the frontier and the still-open tables are filters of it.
-        # Round 1 keeps tables with no source (missing 0 from the start); later rounds
-        # drop the previous frontier.
-        still_open = state if stage == 1 else state.where(F.col("missing") > 0)
-        state = still_open.join(hits.hint("merge"), "table_name", "left").select(
-            "table_name", (F.col("missing") - F.coalesce(F.col("hit"), F.lit(0))).alias("missing")).checkpoint()
-        frontier = state.where(F.col("missing") == 0).select("table_name")
-        if frontier.isEmpty():
+        front, n = _sized(frontier)
+        if stage > 1 and n == 0:
             break
-        parts.append(frontier.select("table_name", F.lit(stage).alias("stage")))
-    resolved = parts[0]
-    for p in parts[1:]:
-        resolved = resolved.unionByName(p)
-    # Whatever is still open sits on or behind a cycle (or beyond max_rounds): stage NULL.
-    open_left = state if stage == 0 else state.where(F.col("missing") > 0)
-    cyclic = open_left.select("table_name", F.lit(None).cast("int").alias("stage"))
-    return resolved.select("table_name", F.col("stage").cast("int").alias("stage")).unionByName(cyclic).select(
+        hits = (edges.join(salted(front).hint("broadcast" if n <= BROADCAST_ROWS else "merge"), ["source", "salt"])
+                .groupBy("table_name").agg(F.count(F.lit(1)).alias("hit")))
+        if stage == 1:
+            sourceless = needs.where("needs = 0").select("table_name", F.lit(0).cast("long").alias("hit"))
+            hits = hits.unionByName(sourceless)
+        else:
+            hits = hits.unionByName(waiting).groupBy("table_name").agg(F.sum("hit").alias("hit"))
+        reached, _ = _sized(stored(hits, "hits"))
+        state = stored(needs.join(reached, "table_name"), "reached")
+        frontier = state.where("hit = needs").select("table_name", F.lit(stage).alias("stage"))
+        waiting = state.where("hit < needs").select("table_name", "hit")
+        frontier.write.mode("append").parquet(path)
+    resolved = units.sparkSession.read.schema("table_name string, stage int").parquet(path)
+    # Whatever never resolved sits on or behind a cycle: stage NULL.
+    cyclic = needs.select("table_name").join(resolved.hint("merge"), "table_name", "left_anti").select(
+        "table_name", F.lit(None).cast("int").alias("stage"))
+    return resolved.select("table_name", "stage").unionByName(cyclic).select(
         "table_name", "stage", F.col("stage").isNull().alias("in_cycle"))
 
 
@@ -136,6 +154,13 @@ def tables_by_stage(stages: DataFrame) -> DataFrame:
         F.max("table_name").alias("last_table"))
 
 
+def stage_listing(units: DataFrame) -> DataFrame:
+    """L3: ``(stage, table_name, source, unit_id)``: every table of a stage with each source and unit that feeds it
+    (NULLs for a table nothing feeds), one row each."""
+    edges = build_edges(units).select(F.col("target").alias("table_name"), "source", "unit_id")
+    return compute_stages(units).join(edges.hint("merge"), "table_name", "left").select("stage", "table_name", "source", "unit_id")
+
+
 def incoming(units: DataFrame) -> DataFrame:
     """The incoming ``(target, source, unit_id)`` edges, one row each, sorted.
 

@@ -49,10 +49,36 @@ def test_edges_roots_and_unmapped(spark):
     assert by_stage == {0: 2, 1: 1, 2: 1}
 
 
-def test_max_rounds_leaves_deeper_tables_open(spark):
-    u = units(spark, [(["raw"], ["stg"]), (["stg"], ["fact"])])
-    got = {r.table_name: r.stage for r in lin.compute_stages(u, max_rounds=1).collect()}
-    assert got == {"raw": 0, "stg": 1, "fact": None}
+def test_a_deep_chain_is_not_a_cycle(spark):
+    got = stages(spark, [([f"t{i}"], [f"t{i + 1}"]) for i in range(7)])
+    assert got == {f"t{i}": (i, False) for i in range(8)}
+
+
+def test_rounds_do_not_shuffle_the_edges_again(spark):
+    """The edge table stays partitioned: joining it adds an exchange on the frontier's side only."""
+    edges = spark.createDataFrame([("a", "b", 0), ("b", "c", 0)], "source string, table_name string, salt int")
+    kept = lin._kept_partitioned(edges, "source", "salt")
+    front = spark.createDataFrame([("a", 0)], "source string, salt int")
+    plan = kept.join(front.hint("merge"), ["source", "salt"])._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = kept.join(front.hint("merge"), ["source", "salt"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert text.count("Exchange hashpartitioning") == 1
+    joined = kept.join(front.hint("merge"), ["source", "salt"])
+    assert joined.count() == 1
+    joined = kept.join(front.hint("merge"), ["source", "salt"])
+    joined.collect()
+    final = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") == 1
+
+
+def test_stage_listing(spark):
+    u = units(spark, [(["raw"], ["stg"]), (["stg", "raw"], ["fact"])])
+    got = sorted(map(tuple, lin.stage_listing(u).collect()), key=repr)
+    assert got == sorted([(0, "raw", None, None), (1, "stg", "raw", "1"), (2, "fact", "stg", "2"), (2, "fact", "raw", "2")], key=repr)
 
 
 def test_hot_source_is_salted_and_stages_unchanged(spark):
