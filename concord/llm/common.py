@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +20,38 @@ BROADCAST_ROWS = 200_000
 _SHIPPED: set[str] = set()
 
 
+#: Bytes of an Arrow batch on its way to and from a Python worker, set where the session has Spark's default of 64 MB.
+BATCH_BYTES = "8m"
+
+
+def _release() -> None:
+    """Give memory that Arrow and the C library keep for later back to the system: a worker stays for other steps."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        import ctypes
+
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
+
+
+def lean(run: Callable) -> Callable:
+    """``run``, a function over Arrow batches, that releases unused memory every few batches and at the end."""
+    def over_batches(batches: Iterator) -> Iterator:
+        for n, out in enumerate(run(batches)):
+            yield out
+            if n % 8 == 7:
+                _release()
+        _release()
+
+    return over_batches
+
+
 def ship(spark: SparkSession) -> None:
-    """Give this package to the executors' Python workers (once per application), so that they need no install."""
+    """Give this package to the executors' Python workers (once per application), so that they need no install, and
+    bound their Arrow batches."""
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
@@ -34,6 +64,9 @@ def ship(spark: SparkSession) -> None:
                     z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), os.path.dirname(top)))
     sc.addPyFile(name)
     _SHIPPED.add(sc.applicationId)
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(size, "") in ("67108864", "67108864b", "64m", "64MB"):
+        spark.conf.set(size, BATCH_BYTES)
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

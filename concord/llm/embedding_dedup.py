@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concord.llm.blocks import block_tasks
-from concord.llm.common import chunks, components, lookup, spread, written
+from concord.llm.common import chunks, components, lean, lookup, spread, written
 from concord.llm.simhash import Forest
 
 #: Vectors of a cell that one task compares; larger cells are compared block against block.
@@ -76,7 +76,7 @@ def classes_of(rows: DataFrame, id_col: str, vector_col: str, kind: str) -> Data
                 pa.array([None if v is None else hashlib.sha256(v.tobytes()).hexdigest()[:32] for v in found], pa.string()),
                 pa.array([None if v is None else v.astype(kind).tobytes() for v in found], pa.binary())], ["id", "key", "vector"])
 
-    return rows.select(F.col(id_col).cast("long"), vector_col).mapInArrow(run, "id long, key string, vector binary")
+    return rows.select(F.col(id_col).cast("long"), vector_col).mapInArrow(lean(run), "id long, key string, vector binary")
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95,
@@ -134,7 +134,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
                         ["cell", "home", "key", "rep", "n_rows", "vector"])
 
     members = written(spread(classes.select("key", "rep", "n_rows", "vector")).mapInArrow(
-        deal, "cell string, home boolean, key string, rep long, n_rows long, vector binary"), "cells")
+        lean(deal), "cell string, home boolean, key string, rep long, n_rows long, vector binary"), "cells")
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from concord.llm.common import lean
+
 #: Letter trigrams are hashed into this many cells, which bounds the model by languages x cells.
 CELLS = 1 << 16
 #: Pseudo-count of a cell.
@@ -65,7 +67,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tu
                                               pa.array(own[at])], ["lang", "cell", "n"])
 
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string"), F.col(text_col).cast("string"))
-    sums = rows.mapInArrow(count, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    sums = rows.mapInArrow(lean(count), "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     table = sums.groupBy("lang").agg(F.collect_list("cell").alias("cells"), F.collect_list("n").alias("n")).orderBy("lang").collect()
     counts = np.full((CELLS, len(table)), SMOOTHING)
     for k, r in enumerate(table):
@@ -153,4 +155,4 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, held_out(id_col).alias("held_out"), F.col(text_col).cast("string")).mapInArrow(
-        run, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double, langs string")
+        lean(run), f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double, langs string")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.llm.common import chunks
+from concord.llm.common import chunks, lean
 from concord.llm.tokens import byte_bpe, encoder
 
 #: Columns of the result besides the id.
@@ -173,4 +173,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
             yield from out(close_gaps(rest, window))
 
     schema = f"`{id_col}` {id_type.simpleString()}, {PIECE}"
-    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")).mapInArrow(lean(run), schema)

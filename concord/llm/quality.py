@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.llm.common import written
+from concord.llm.common import lean, written
 
 STATISTICS = ("log_chars", "log_word_length", "upper", "digit", "punctuation", "symbol", "bar", "bang", "newline",
               "non_ascii", "entropy", "vocabulary", "echo", "line_variety", "stop_end")
@@ -58,7 +58,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 [batch.column(0), pa.array(_matrix(batch.column(1)).tolist(), pa.list_(pa.float64()))], [id_col, "stats"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, f"`{id_col}` {kind}, stats array<double>")
+    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(lean(run), f"`{id_col}` {kind}, stats array<double>")
 
 
 @dataclass
@@ -98,7 +98,7 @@ def fit(train: DataFrame, shrink: float = 0.1, ridge: float = 0.02) -> Discrimin
         yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array(sums.tolist(), pa.list_(pa.float64()))],
                                          ["label", "sums"])
 
-    parts = train.select("stats", F.col("label").cast("int")).mapInArrow(moments, "label int, sums array<double>")
+    parts = train.select("stats", F.col("label").cast("int")).mapInArrow(lean(moments), "label int, sums array<double>")
     total = np.zeros((2, 1 + d + d * d))
     for r in parts.select("label", F.posexplode("sums")).groupBy("label", "pos").agg(F.sum("col").alias("v")).collect():
         total[r["label"], r["pos"]] = r["v"]
@@ -149,7 +149,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     kind = docs.schema[id_col].dataType.simpleString()
     scored = stats.select(id_col, held_out(id_col).alias("held_out"), "stats").mapInArrow(
-        run, f"`{id_col}` {kind}, held_out boolean, score double")
+        lean(run), f"`{id_col}` {kind}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -168,4 +168,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
                 part = batch.slice(a, 1024)
                 yield part.filter(pa.array(model.score(_matrix(part.column(at))) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.llm.common import BROADCAST_ROWS, boxed, lookup, text_key, written
+from concord.llm.common import BROADCAST_ROWS, boxed, lean, lookup, text_key, written
 
 # Fixed values of the contract: the base kinds in their order, and their patterns and least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -85,7 +85,7 @@ def _found(docs: DataFrame, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array(spans, kind)], [*names, "found"])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names) + f", found {FOUND}"
-    return docs.select(*names, F.col(text_col).cast("string")).mapInArrow(run, schema)
+    return docs.select(*names, F.col(text_col).cast("string")).mapInArrow(lean(run), schema)
 
 
 def ownership(spans: DataFrame) -> DataFrame:

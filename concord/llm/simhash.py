@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concord.llm.blocks import block_tasks
-from concord.llm.common import boxed, chunks, components, keep_ids, lookup, spread, text_key, written
+from concord.llm.common import boxed, chunks, components, keep_ids, lean, lookup, spread, text_key, written
 from concord.llm.shingles import shingle_hashes
 
 #: Members of a shard that one task compares; larger shards are compared block by block.
@@ -49,7 +49,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
     own = F.col(id_col).cast("long")
     node = F.coalesce(own, F.monotonically_increasing_id() + NULL_ID)
     return docs.select(own.alias("id"), text_key(F.col(text_col)).alias("key"), node.alias("node"),
-                       F.col(text_col).cast("string")).mapInArrow(run, "id long, key string, node long, fp long")
+                       F.col(text_col).cast("string")).mapInArrow(lean(run), "id long, key string, node long, fp long")
 
 
 def vantage_tree(sample: np.ndarray, leaves: int) -> list[tuple]:
@@ -187,7 +187,7 @@ def linked(classes: DataFrame, bits: int, shard: int = 1 << 14) -> DataFrame:
                     [pa.array(leaf[a:b]), batch.column(0).take(pa.array(rows[a:b])),
                      batch.column(1).take(pa.array(rows[a:b]))], ["leaf", "fp", "rep"])
 
-    members = spread(classes.select("fp", F.col("rep").cast("long"))).mapInArrow(deal, "leaf int, fp long, rep long")
+    members = spread(classes.select("fp", F.col("rep").cast("long"))).mapInArrow(lean(deal), "leaf int, fp long, rep long")
     tasks = block_tasks(written(members, "shards"), "leaf", "fp", BLOCK)
 
     def compare(table: pa.Table) -> pa.Table:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.llm.common import written
+from concord.llm.common import lean, written
 from concord.llm.shingles import shingle_hashes
 
 #: Hashes are the upper 48 bits, 12 hex digits each.
@@ -154,6 +154,6 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  "held_by_edited", "n_shingles"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return with_next(docs, id_col, text_col).mapInArrow(run, (
+    return with_next(docs, id_col, text_col).mapInArrow(lean(run), (
         f"`{id_col}` {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double, held_by_edited double, n_shingles double"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from concord.llm.common import written
+from concord.llm.common import lean, written
 from concord.llm.tokens import byte_bpe, encoder
 
 #: Files up to this size are read whole and cut into blocks; larger ones are read by blocks.
@@ -66,7 +66,7 @@ def token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         yield from blocks(1)
 
     return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(
-        run, f"file long, block long, data binary, ids array<{id_type}>")
+        lean(run), f"file long, block long, data binary, ids array<{id_type}>")
 
 
 def read_flat(spark: SparkSession, path: str, width: int = 2, block_tokens: int = 1 << 18) -> DataFrame:
@@ -112,7 +112,7 @@ def separators(blocks: DataFrame, end_id: int = 50256, width: int = 2) -> DataFr
     schema = f"file {file_type}, block long, n_tokens long, ends array<long>"
     if manifest:
         schema += f", ids {blocks.schema['ids'].dataType.simpleString()}"
-    return blocks.select("file", "block", "data", *["ids"] * manifest).mapInArrow(run, schema)
+    return blocks.select("file", "block", "data", *["ids"] * manifest).mapInArrow(lean(run), schema)
 
 
 def count_documents(blocks: DataFrame, end_id: int = 50256, width: int = 2) -> DataFrame:
