@@ -65,7 +65,7 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(name)
     _SHIPPED.add(sc.applicationId)
     size = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(size, "") in ("67108864", "67108864b", "64m", "64MB"):
+    if spark.conf.get(size) in ("67108864", "67108864b", "64m", "64MB"):
         spark.conf.set(size, BATCH_BYTES)
 
 
