@@ -16,10 +16,14 @@ end of the script, where the tail is kept.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concord.functions.joins import small_or_shuffled
+from concord.functions.stored import stored
+
+BROADCAST_NAMES = 200_000  # a name and its replacement each
 
 # Patterns of the reference's statement inventory.
 # Python's str.strip() whitespace: Unicode White_Space plus \x1c-\x1f.
@@ -33,7 +37,7 @@ PLSQL_BLOCK_RE = r"(?isU)\bDECLARE\b.*?\bEND\s*;\s*/"
 NVL_RE = r"(?iU)\bNVL\s*\("
 TRUNC_RE = r"(?iU)\bTRUNC\s*\("
 CTAS_RE = r"(?iU)\bCREATE\s+TABLE\s+([a-zA-Z_][\w$]*)\s+AS"
-TOKEN_RE = r"(?U)(\w+|\W+)"
+INTO_RE = r"(?isU)SELECT\s+(.+?)\s+INTO\s+([a-zA-Z_][\w$]*)\s+FROM\s+([a-zA-Z_][\w$]*)(.*?);"
 ISO_DATE_RE = r"^\d{4}-\d{2}-\d{2}$"
 STATEMENT_KINDS = (("DDL", ("CREATE",)), ("DML", ("INSERT", "UPDATE", "DELETE", "MERGE")), ("SELECT", ("SELECT",)))
 
@@ -99,33 +103,55 @@ def sql_literal(value: Column) -> Column:
             .when(value.rlike(ISO_DATE_RE), F.concat(F.lit("DATE "), quoted)).otherwise(quoted))
 
 
+def _phrases(text: Column, words: int) -> Column:
+    """Every distinct run of 1 to ``words`` words joined by dots or ``$`` signs, lower-cased: the names a text may hold.
+
+    A look-ahead starts a run at every word, and one pattern per length ends it at a word's end.
+    """
+    found = [F.regexp_extract_all(text, F.lit(rf"(?U)\b(?=(\w+(?:[.$]+\w+){{{k}}})\b)"), 1) for k in range(words)]
+    return F.array_distinct(F.transform(F.concat(*found), F.lower))
+
+
 def replace_words(df: DataFrame, text: str, keys: tuple[str, ...], mapping: DataFrame,
                   map_keys: tuple[str, ...] = ()) -> DataFrame:
-    """Whole-word, case-insensitive replacement of ``text`` through a mapping frame.
+    """Case-insensitive replacement of whole names in ``text`` through a mapping frame, longest name first.
 
-    ``keys`` identify a row uniquely. ``mapping`` has ``word`` (lower-case),
-    ``replacement`` and optionally ``map_keys`` (a subset of ``keys``) that
-    scope a word to rows, e.g. a script's own variables.
+    ``keys`` identify a row uniquely. ``mapping`` has ``word`` (lower-case; may hold dots and ``$``), ``replacement`` and
+    optionally ``map_keys`` (a subset of ``keys``) that scope a name to rows, e.g. a script's own variables. Where
+    several names start at the same place the longest wins, and a replacement is not re-mapped.
 
-    Plan: each row's *distinct* words are exploded (narrow rows) and joined to
-    the mapping (AQE makes it a broadcast when the mapping turns out small);
-    only the matches are grouped back per row, joined to the rows, and applied
-    in one pass over the row's tokens with ``transform`` and a map lookup. One
-    pass: a replacement is not re-mapped.
+    Plan: the distinct names of all texts are counted (combined before the shuffle, so a word of every statement is
+    one record per task) and joined to the mapping. What is left, names that occur and are mapped, is broadcast when
+    counted small, so no exploded word is shuffled; beyond that only names that can match are, the most frequent
+    ones still by broadcast. Matches are grouped back per row and applied by one alternation per row.
     """
     keys = tuple(keys)
-    words = df.select(*keys, F.explode(F.array_distinct(F.transform(
-        F.regexp_extract_all(F.col(text), F.lit(r"(?U)(\w+)"), 1), F.lower))).alias("word"))
     # One replacement per word (keys differing only in case collapse to one).
     m = mapping.groupBy(*map_keys, "word").agg(F.min("replacement").alias("replacement"))
-    # The mapping is broadcast only when measured small; the exploded words never
-    # are (their static size estimate ignores the explode's fan-out).
-    m = small_or_shuffled(m, [*map_keys, "word", "replacement"])
-    hits = words.hint("merge").join(m, [*map_keys, "word"], "inner").groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "replacement"))).alias("_map"))
+    longest = m.agg(F.max(F.size(F.regexp_extract_all(F.col("word"), F.lit(r"(?U)\w+"), 0)))).first()[0] or 1
+    words = df.select(*keys, F.explode(_phrases(F.col(text), longest)).alias("word"))
+    seen = words.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
+    live = stored(m.join(seen.hint("merge"), "word"), "names")
+    n, total = live.count(), live.agg(F.sum("_n")).first()[0] or 0
+    names = live.drop("_n")
+    on = [*map_keys, "word"]
+    if n <= BROADCAST_NAMES:
+        matched = words.join(F.broadcast(names), on)
+    else:
+        # names in more than 1/1000 of all places: fewer than 1000 words, each with the rows of its scopes
+        often = F.broadcast(live.groupBy("word").agg(F.max("_n").alias("_n")).where(F.col("_n") > total // 1000).select("word"))
+        few = names.join(often, "word", "left_semi")
+        matched = words.join(often, "word", "left_semi").join(F.broadcast(few) if not map_keys else few.hint("merge"), on).unionByName(
+            words.join(often, "word", "left_anti").join(names.join(often, "word", "left_anti").hint("merge"), on))
+    hits = matched.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("word", "replacement"))).alias("_map"))
     j = df.join(hits.hint("merge"), list(keys), "left")
-    toks = F.regexp_extract_all(F.col(text), F.lit(TOKEN_RE), 1)
-    new = F.array_join(F.transform(toks, lambda t: F.coalesce(F.try_element_at(F.col("_map"), F.lower(t)), t)), "")
+    by_length = F.array_sort(F.map_keys("_map"), lambda a, b: F.length(b) - F.length(a))
+    pattern = F.concat(F.lit(r"(?iU)\b(?:"), F.array_join(F.transform(by_length, lambda w: F.concat(F.lit(r"\Q"), w, F.lit(r"\E"))), "|"),
+                       F.lit(r")\b"))
+    between = F.split(F.col(text), pattern, -1)
+    found = F.regexp_extract_all(F.col(text), pattern, F.lit(0))
+    new = F.array_join(F.transform(between, lambda part, i: F.concat(
+        F.when(i > 0, F.try_element_at(F.col("_map"), F.lower(F.get(found, i - 1)))).otherwise(F.lit("")), part)), "")
     out = F.when(F.col("_map").isNull(), F.col(text)).otherwise(new)
     return j.select(*[out.alias(c) if c == text else F.col(c) for c in df.columns])
 
@@ -174,10 +200,15 @@ def materialize_variables(scripts: DataFrame, variables: DataFrame, text: str =
 
 def select_into(scripts: DataFrame, text: str = "sql", keys: tuple[str, ...] = ("script_id",)) -> DataFrame:
     """The ``SELECT expr INTO var FROM table tail;`` assignments as rows, to be resolved by the caller."""
-    pat = r"(?isU)SELECT\s+(.+?)\s+INTO\s+([a-zA-Z_][\w$]*)\s+FROM\s+([a-zA-Z_][\w$]*)(.*?);"
+    pat = INTO_RE
     found = F.regexp_extract_all(F.col(text), F.lit(pat), 0)
     one = F.col("_m")
     return scripts.select(*keys, F.explode(found).alias("_m")).select(
         *keys, F.lower(F.regexp_extract(one, pat, 2)).alias("var_name"),
         F.regexp_replace(strip_ws(F.regexp_extract(one, pat, 1)), rf"(?U){WS}+", " ").alias("expr"),
         F.lower(F.regexp_extract(one, pat, 3)).alias("table_name"), strip_ws(F.regexp_extract(one, pat, 4)).alias("tail"))
+
+
+def is_aggregate(expr: str) -> bool:
+    """Whether an expression starts with a call of an aggregate function."""
+    return re.match(r"(?i)\s*(max|min|sum|avg|count)\s*\(", expr) is not None

@@ -254,46 +254,27 @@ def q_retyped_row_diff(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- schema audit
 
-from concord.functions.types import declared_type, type_family  # noqa: E402
+from concord.functions.types import type_family  # noqa: E402
 from concord.operators import schema_audit as sa  # noqa: E402
-from concord.sources.tables import DRIVER_TABLES  # noqa: E402
-
-# Migrated target tables: the source table reshaped as a target warehouse would
-# hold it (retyped, renamed, narrowed and extra columns). Same text on both engines.
-AUDIT_PAIRS = [
-    ("orders", "orders_v2", "SELECT * FROM {orders}",
-     "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, "
-     "CAST(o_orderdate AS STRING) AS o_orderdate, o_orderpriority AS o_priority FROM {orders}"),
-    ("lineitem", "lineitem_v2", "SELECT * FROM {lineitem}",
-     "SELECT l_orderkey, CAST(l_partkey AS INTEGER) AS l_partkey, l_suppkey, l_linenumber, "
-     "CAST(l_quantity AS DECIMAL(10,2)) AS l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, "
-     "l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate FROM {lineitem}"),
-    ("part", "part_v2", "SELECT * FROM {part}",
-     "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS SMALLINT) AS p_size, p_retailprice, "
-     "p_size > 25 AS p_large FROM {part}"),
-    ("customer", "customer", "SELECT * FROM {customer}", "SELECT * FROM {customer}"),
-]
+from concord.plans import catalogs, jobs  # noqa: E402
+
 AUDIT_COLUMNS = ["source_table", "target_table", "column_key", "source_column_name", "target_column_name",
-                 "source_type_family", "target_type_family", "source_present", "target_present", "status",
-                 "severity", "source_nullable", "target_nullable", "source_precision", "target_precision",
-                 "source_scale", "target_scale", "notes"]
+                 "source_type_family", "target_type_family", "source_present", "target_present", "status", "severity", "notes"]
 
 
-def _audit_report(spark: SparkSession, sf: str) -> DataFrame:
-    frames = {t: read_table(spark, sf, t) for t in ("orders", "lineitem", "part", "customer")}
-    pairs = [sa.AuditPair(s, t, (lambda q=sq: spark.sql(q, **frames)), (lambda q=tq: spark.sql(q, **frames)))
-             for s, t, sq, tq in AUDIT_PAIRS]
-    meta, errors = sa.column_metadata(spark, pairs)
-    return sa.compare_columns(meta, errors)
+def _catalog(spark: SparkSession, sf: str, sql: str) -> DataFrame:
+    return spark.sql(sql.replace("FROM part", "FROM {part}"), part=read_table(spark, sf, "part"))
 
 
-_NAMES = {t: t for t in ("orders", "lineitem", "part", "customer", "events")}
-_AUDIT_SQL = twins.column_audit_sql([(a, b, c.format(**_NAMES), d.format(**_NAMES)) for a, b, c, d in AUDIT_PAIRS])
+def _audit(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Catalogs held as data: information-schema rows of one table pair per part."""
+    return jobs.run_catalog_audit(*[_catalog(spark, sf, q) for q in (catalogs.PAIRS_SQL, catalogs.SOURCE_SQL, catalogs.TARGET_SQL)],
+                                  readable=_catalog(spark, sf, catalogs.READABLE_SQL))
 
 
-@register("column_audit", f"SELECT {', '.join(AUDIT_COLUMNS)} FROM ({_AUDIT_SQL}) AS a")
+@register("column_audit", f"SELECT {', '.join(AUDIT_COLUMNS)} FROM ({catalogs.AUDIT_SQL}) AS a")
 def q_column_audit(spark: SparkSession, sf: str) -> DataFrame:
-    return _audit_report(spark, sf).select(*AUDIT_COLUMNS)
+    return _audit(spark, sf)[0].select(*AUDIT_COLUMNS)
 
 
 @register("table_verdict", f"""
@@ -303,28 +284,24 @@ SELECT source_table, target_table, COUNT(*) AS total_columns,
        COUNT(*) FILTER (WHERE severity = 'error') AS error_columns,
        CASE WHEN COUNT(*) FILTER (WHERE severity = 'error') > 0 THEN 'blocked'
             WHEN COUNT(*) FILTER (WHERE severity = 'warning') > 0 THEN 'warning' ELSE 'compatible' END AS status
-FROM ({_AUDIT_SQL}) AS a GROUP BY source_table, target_table""")
+FROM ({catalogs.AUDIT_SQL}) AS a GROUP BY source_table, target_table""")
 def q_table_verdict(spark: SparkSession, sf: str) -> DataFrame:
-    return sa.summarize_tables(_audit_report(spark, sf))
+    return _audit(spark, sf)[1]
 
 
 @register("column_gate", f"""
 SELECT source_table, target_table,
        COUNT(*) FILTER (WHERE status NOT IN ('compatible', 'compatible_with_warnings')) AS blocking_columns,
        COUNT(*) FILTER (WHERE status NOT IN ('compatible', 'compatible_with_warnings')) = 0 AS can_run
-FROM ({_AUDIT_SQL}) AS a GROUP BY source_table, target_table""")
+FROM ({catalogs.AUDIT_SQL}) AS a GROUP BY source_table, target_table""")
 def q_column_gate(spark: SparkSession, sf: str) -> DataFrame:
-    return sa.column_gate(_audit_report(spark, sf))
+    return sa.column_gate(_audit(spark, sf)[0])
 
 
-@register("type_family_catalog", "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, column_name, {twins.type_family_sql('column_type')} AS type_family "
-    f"FROM (DESCRIBE SELECT * FROM {t})" for t in DRIVER_TABLES))
+@register("type_family_catalog", catalogs.FAMILY_SQL)
 def q_type_family_catalog(spark: SparkSession, sf: str) -> DataFrame:
-    rows = [(t, f.name, declared_type(f.dataType)) for t in DRIVER_TABLES
-            for f in read_table(spark, sf, t).schema.fields]
-    cat = spark.createDataFrame(rows, "table_name string, column_name string, raw_type string")
-    return cat.select("table_name", "column_name", type_family(F.col("raw_type")).alias("type_family"))
+    rows = _catalog(spark, sf, f"{catalogs.SOURCE_SQL}\nUNION ALL\n{catalogs.TARGET_SQL}")
+    return rows.select("table_ref", "column_name", type_family(F.col("data_type")).alias("type_family"))
 
 
 EVENT_SAMPLE_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -457,6 +434,38 @@ def q_script_rewrite(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("script_id", "unit_id", "translated")
 
 
+@register("script_variables", """SELECT 'ord_' || o_orderkey AS script_id, 'v_day' AS var_name,
+       CAST(CAST(max(o_orderdate) AS TIMESTAMP) AS VARCHAR) AS value FROM orders GROUP BY o_orderkey""")
+def q_script_variables(spark: SparkSession, sf: str) -> DataFrame:
+    """Every script's SELECT … INTO resolved from the orders table, all of one form by one grouped query."""
+    orders = read_table(spark, sf, "orders")
+    return jobs.resolve_variables(spark, corpus.order_scripts(orders), resolve=lambda name: read_table(spark, sf, name))[1]
+
+
+_DOTTED = ("SELECT 'q' || o_orderkey AS script_id, 1 AS unit_id, 'select * from Demo.ord$' || o_orderkey % 500 || ' a join demo.sales b on a.k = b.sales "
+           "join ord$' || o_orderkey % 500 || ' c' AS statement FROM orders")
+
+
+@register("script_rewrite_dotted", """
+SELECT 'q' || o_orderkey AS script_id, 1 AS unit_id,
+       'select * from ' || CASE WHEN o_orderkey % 500 < 250 THEN 'wh.order_' || o_orderkey % 500
+                                ELSE 'Demo.' || CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'ord$' || o_orderkey % 500 END END
+       || ' a join wh.sales_all b on a.k = b.facts join '
+       || CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'ord$' || o_orderkey % 500 END || ' c' AS translated FROM orders""")
+def q_script_rewrite_dotted(spark: SparkSession, sf: str) -> DataFrame:
+    """Names with dots and ``$``, the longest first: ``demo.ord$7`` before ``ord$7``, ``demo.sales`` before ``sales``."""
+    orders = read_table(spark, sf, "orders")
+    units = spark.sql(_DOTTED.replace("FROM orders", "FROM {orders}"), orders=orders)
+    k = (F.col("o_orderkey") % 500).cast("string")
+    names = orders.select(
+        F.when(F.col("o_orderkey") % 500 < 250, F.struct(F.concat(F.lit("demo.ord$"), k).alias("a"), F.concat(F.lit("wh.order_"), k).alias("b"))).alias("long"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.struct(F.concat(F.lit("ORD$"), k).alias("a"), F.lit("even").alias("b"))).alias("short"))
+    fixed = spark.sql("SELECT * FROM VALUES ('Demo.Sales', 'wh.sales_all'), ('sales', 'facts') AS t(source_name, target_name)")
+    mapping = names.select(F.explode(F.array("long", "short")).alias("m")).where("m is not null").select(
+        F.col("m.a").alias("source_name"), F.col("m.b").alias("target_name")).distinct().unionByName(fixed)
+    return scr.translate(units, mapping).select("script_id", "unit_id", "translated")
+
+
 # ---------------------------------------------------------------- cost and history
 
 _SIZE_TABLES = ["orders", "customer", "lineitem", "nation", "part", "supplier", "region"]
@@ -719,7 +728,6 @@ def q_latest_report(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- scripts, exports, prefixes
 
-from concord.sources.files import ingest_prefix  # noqa: E402
 from concord.sources.tables import execute_script  # noqa: E402
 
 
@@ -758,11 +766,6 @@ def q_registry_export(spark: SparkSession, sf: str) -> DataFrame:
     return reg.export_frame(_base(spark, sf))
 
 
-@register("prefix_ingest")  # no twin: the listing depends on where the files live; tested against os.listdir
-def q_prefix_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest_prefix(spark, sf).select("relative_path", "length")
-
-
 # ---------------------------------------------------------------- streaming
 
 STREAM_SQL = """

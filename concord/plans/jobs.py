@@ -54,8 +54,7 @@ def run_audit(spark: SparkSession, pairs_path: str, out_dir: str | None = None,
                 s_df, t_df = p.source(), p.target()
                 src.append(sa.pair_samples(s_df, p.source_table, p.target_table, s_df.columns, sample_rows))
                 tgt.append(sa.pair_samples(t_df, p.source_table, p.target_table, t_df.columns, sample_rows))
-        union = lambda fs: fs[0] if len(fs) == 1 else fs[0].unionByName(union(fs[1:]))
-        report = sa.attach_samples(report, union(src) if src else None, union(tgt) if tgt else None)
+        report = sa.attach_samples(report, *[fp.balanced_union(x) if x else None for x in (src, tgt)])
     pair_frame = spark.createDataFrame([(p.source_table, p.target_table) for p in pairs],
                                        "source_table string, target_table string")
     summary = sa.summarize_tables(report, pair_frame)
@@ -170,17 +169,36 @@ def validate_units(spark: SparkSession, units: list[tuple[str, str, str]], sourc
 
 
 def run_catalog_audit(pairs: DataFrame, source_columns: DataFrame, target_columns: DataFrame,
-                      out_dir: str | None = None, case_sensitive: bool = False) -> tuple[DataFrame, DataFrame]:
+                      out_dir: str | None = None, case_sensitive: bool = False,
+                      readable: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Audit from catalog rows (no schema resolution on the driver): ``(column report, table summary)``.
 
     ``pairs``: ``(source_table, target_table)`` (e.g. from ``load_table_pairs``,
     names joined with dots); ``*_columns``: INFORMATION_SCHEMA-style rows, see
     ``schema_audit.declared_metadata``. A pair whose tables have no rows on a
-    side yields missing/extra columns, as an empty table would.
+    side yields missing/extra columns, as an empty table would; with ``readable``
+    (``table_ref`` of the tables that can be read), a pair with a table outside it
+    is one ``metadata_error`` row instead.
     """
-    meta = sa.declared_metadata(source_columns, pairs, "source").unionByName(
-        sa.declared_metadata(target_columns, pairs, "target"))
-    report = sa.compare_columns(meta, None, case_sensitive)
+    errors = None
+    if readable is not None:
+        from pyspark.sql import functions as F
+
+        known = readable.select("table_ref").distinct()
+        marked = pairs.select("source_table", "target_table")
+        for side in ("source", "target"):
+            marked = marked.join(known.select(F.col("table_ref").alias(f"{side}_table"), F.lit(side).alias(f"_{side}")),
+                                 f"{side}_table", "left")
+        lost = F.concat_ws(", ", *[F.when(F.col(f"_{s}").isNull(), F.lit(s)) for s in ("source", "target")])
+        marked = marked.select("source_table", "target_table", lost.alias("_lost"))
+        errors = marked.where("_lost <> ''").select(
+            "source_table", "target_table", F.concat(F.lit("not in the catalog: "), F.col("_lost")).alias("notes"))
+        good = marked.where("_lost = ''").drop("_lost")
+    else:
+        good = pairs
+    meta = sa.declared_metadata(source_columns, good, "source").unionByName(
+        sa.declared_metadata(target_columns, good, "target"))
+    report = sa.compare_columns(meta, errors, case_sensitive)
     summary = sa.summarize_tables(report, pairs)
     if out_dir:
         for name, df in (("column_report", report), ("table_summary", summary)):
@@ -189,21 +207,51 @@ def run_catalog_audit(pairs: DataFrame, source_columns: DataFrame, target_column
     return report, summary
 
 
-def resolve_variables(spark: SparkSession, scripts: DataFrame, text: str = "sql") -> tuple[DataFrame, DataFrame]:
+MOST_SHAPES = 1000  # distinct forms of assignments; each is one query over its table
+
+
+def resolve_variables(spark: SparkSession, scripts: DataFrame, text: str = "sql",
+                      resolve: Resolver | None = None) -> tuple[DataFrame, DataFrame]:
     """X5 end to end: ``(pure scripts, resolved variables)``.
 
-    Each ``SELECT expr INTO var FROM table tail;`` of a script runs as
-    ``SELECT expr FROM table tail`` (a distributed query; the loop is over the
-    variables, not over data), its single value becomes the variable's literal
-    (ISO dates as ``DATE '…'``), and the PL/SQL blocks are dropped.
+    Every ``SELECT expr INTO var FROM table tail;`` becomes the variable's literal (ISO dates as ``DATE '…'``), and the
+    PL/SQL blocks are dropped. Assignments are resolved by form, not one by one: all that share the expression, the
+    table and a tail ``WHERE column = literal`` (or none) are one grouped query over the table, joined to them by the
+    literal. Expressions that are no aggregate take the first value by order, as a single row would give. Other
+    tails are run as they are, one query per distinct text. More than ``MOST_SHAPES`` forms raise. Variables:
+    ``script_id, var_name, value``, NULL where no row qualifies.
     """
+    from pyspark.sql import functions as F
+
+    from concord.functions.stored import stored
     from concord.operators import scripts as scr
 
-    wanted = scr.select_into(scripts, text).collect()  # a few assignments per script
-    rows = []
-    for a in wanted:
-        row = spark.sql(f"SELECT {a.expr} AS v FROM {a.table_name} {a.tail}".strip()).first()
-        value = None if row is None or row.v is None else str(row.v)
-        rows.append((a.script_id, a.var_name, value))
-    variables = spark.createDataFrame(rows, "script_id string, var_name string, value string")
+    resolve = resolve or spark.table
+    equal = r"(?is)^WHERE\s+([A-Za-z_][\w$]*)\s*=\s*('(?:[^']|'')*'|[-+]?\d+(?:\.\d+)?)$"
+    tail = F.col("tail")
+    literal = F.col("literal")
+    found = scr.select_into(scripts, text).select(
+        "script_id", "var_name", "expr", "table_name", "tail", F.lower(F.regexp_extract(tail, equal, 1)).alias("by"),
+        F.regexp_extract(tail, equal, 2).alias("literal"))
+    unquoted = F.replace(F.substring(literal, F.lit(2), F.length(literal) - 2), F.lit("''"), F.lit("'"))
+    wanted = stored(found.withColumn("literal", F.when(literal.startswith("'"), unquoted).otherwise(literal)), "variables")
+    plain = F.col("by") != ""
+    shape = F.when(plain | (tail == ""), F.lit("")).otherwise(tail)
+    shapes = wanted.select("expr", "table_name", "by", shape.alias("rest")).distinct().limit(MOST_SHAPES + 1).collect()
+    if len(shapes) > MOST_SHAPES:
+        raise ValueError(f"more than {MOST_SHAPES} forms of variable assignments")
+    parts = []
+    for s in shapes:
+        mine = wanted.where((F.col("expr") == s.expr) & (F.col("table_name") == s.table_name) & (F.col("by") == s.by) & (shape == s.rest))
+        aggregate = scr.is_aggregate(s.expr)
+        value = f"CAST({s.expr} AS STRING)" if aggregate else f"CAST(min_by({s.expr}, {s.expr}) AS STRING)"
+        if s.by:
+            found = spark.sql(f"SELECT CAST({s.by} AS STRING) AS literal, {value} AS value FROM {{t}} GROUP BY {s.by}", t=resolve(s.table_name))
+            parts.append(mine.join(found.hint("merge"), "literal", "left").select("script_id", "var_name", "value"))
+        else:
+            found = spark.sql(f"SELECT {value} AS value FROM {{t}} {s.rest}", t=resolve(s.table_name))  # one row
+            parts.append(mine.select("script_id", "var_name").join(F.broadcast(found)))
+    if not parts:
+        parts = [spark.createDataFrame([], "script_id string, var_name string, value string")]
+    variables = fp.balanced_union(parts)
     return scr.materialize_variables(scripts, variables, text), variables

@@ -100,78 +100,3 @@ def row_diff_sql(src: str, tgt: str, columns: Sequence[str]) -> str:
             f" t AS (SELECT {cols}, COUNT(*) AS n FROM {tgt} GROUP BY ALL)\n"
             f"SELECT {pick}, COALESCE(s.n, 0) AS source_count, COALESCE(t.n, 0) AS target_count\n"
             f"FROM s FULL OUTER JOIN t ON {on} WHERE COALESCE(s.n, 0) <> COALESCE(t.n, 0)")
-
-
-def type_family_sql(t: str) -> str:
-    """The ordered substring rule as a DuckDB ``CASE``."""
-    from concord.functions.types import TYPE_FAMILY_RULES
-    norm = f"upper(trim({t}))"
-    whens = " ".join(
-        "WHEN " + " OR ".join(f"strpos({norm}, '{tok}') > 0" for tok in toks) + f" THEN '{fam}'"
-        for fam, toks in TYPE_FAMILY_RULES)
-    return f"CASE {whens} WHEN lower({norm}) = '' THEN 'unknown' ELSE lower({norm}) END"
-
-
-def precision_sql(t: str) -> str:
-    return (f"CASE {t} WHEN 'TINYINT' THEN 3 WHEN 'SMALLINT' THEN 5 WHEN 'INTEGER' THEN 10 WHEN 'BIGINT' THEN 19 "
-            f"ELSE TRY_CAST(NULLIF(regexp_extract({t}, '^DECIMAL\\((\\d+),(\\d+)\\)$', 1), '') AS INTEGER) END")
-
-
-def scale_sql(t: str) -> str:
-    return (f"CASE WHEN {t} IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT') THEN 0 "
-            f"ELSE TRY_CAST(NULLIF(regexp_extract({t}, '^DECIMAL\\((\\d+),(\\d+)\\)$', 2), '') AS INTEGER) END")
-
-
-def audit_meta_sql(pairs: Sequence[tuple[str, str, str, str]]) -> str:
-    """Column metadata of (source_table, target_table, source_sql, target_sql) pairs via DESCRIBE."""
-    parts = []
-    for s_name, t_name, s_sql, t_sql in pairs:
-        for side, sql in (("source", s_sql), ("target", t_sql)):
-            parts.append(f"SELECT '{s_name}' AS source_table, '{t_name}' AS target_table, '{side}' AS side, "
-                         f"column_name, column_type AS raw_type, \"null\" = 'YES' AS nullable FROM (DESCRIBE {sql})")
-    body = "\nUNION ALL\n".join(parts)
-    return (f"SELECT *, {type_family_sql('raw_type')} AS type_family, {precision_sql('raw_type')} AS precision, "
-            f"{scale_sql('raw_type')} AS scale, CAST(NULL AS INTEGER) AS length FROM (\n{body}\n) AS m")
-
-
-def column_audit_sql(pairs: Sequence[tuple[str, str, str, str]]) -> str:
-    """Aligned column report, as ``concord.operators.schema_audit.compare_columns`` (engine-neutral columns)."""
-    side = lambda s: ("SELECT source_table, target_table, lower(column_name) AS column_key, "
-                      f"column_name AS {s}_column_name, type_family AS {s}_type_family, nullable AS {s}_nullable, "
-                      f"precision AS {s}_precision, scale AS {s}_scale, length AS {s}_length FROM meta "
-                      f"WHERE side = '{s}'")
-    w = ["CASE WHEN source_nullable AND NOT target_nullable THEN "
-         "'target column is required but the source column is nullable' END",
-         "CASE WHEN COALESCE(source_precision, 0) <> 0 AND COALESCE(target_precision, 0) <> 0 AND "
-         "target_precision < source_precision THEN 'target precision ' || target_precision || "
-         "' is lower than source precision ' || source_precision END",
-         "CASE WHEN COALESCE(source_scale, 0) <> 0 AND target_scale IS NOT NULL AND target_scale < source_scale "
-         "THEN 'target scale ' || target_scale || ' is lower than source scale ' || source_scale END",
-         "CASE WHEN COALESCE(source_length, 0) <> 0 AND COALESCE(target_length, 0) <> 0 AND "
-         "target_length < source_length THEN 'target length ' || target_length || "
-         "' is lower than source length ' || source_length END"]
-    any_w = " OR ".join(f"({x}) IS NOT NULL" for x in w)
-    return f"""WITH meta AS ({audit_meta_sql(pairs)}),
- s AS ({side('source')}), t AS ({side('target')}),
- j AS (SELECT COALESCE(s.source_table, t.source_table) AS source_table,
-              COALESCE(s.target_table, t.target_table) AS target_table,
-              COALESCE(s.column_key, t.column_key) AS column_key,
-              s.* EXCLUDE (source_table, target_table, column_key), t.* EXCLUDE (source_table, target_table, column_key)
-       FROM s FULL OUTER JOIN t USING (source_table, target_table, column_key)),
- k AS (SELECT *, source_column_name IS NOT NULL AS source_present, target_column_name IS NOT NULL AS target_present,
-              source_column_name IS NOT NULL AND target_column_name IS NOT NULL
-                AND source_type_family = target_type_family AS same_family FROM j),
- r AS (SELECT *, CASE WHEN NOT source_present THEN 'extra_target' WHEN NOT target_present THEN 'missing_target'
-                      WHEN NOT same_family THEN 'type_mismatch' WHEN {any_w} THEN 'compatible_with_warnings'
-                      ELSE 'compatible' END AS status,
-              CASE WHEN same_family THEN concat_ws('; ', {', '.join(w)})
-                   WHEN NOT source_present THEN 'column exists only in the target'
-                   WHEN NOT target_present THEN 'column exists in the source but is missing from the target'
-                   ELSE 'type family changed from ' || source_type_family || ' to ' || target_type_family END AS notes
-       FROM k)
-SELECT source_table, target_table, column_key, source_column_name, target_column_name, source_type_family,
-       target_type_family, source_present, target_present, status,
-       CASE WHEN status IN ('missing_target', 'type_mismatch') THEN 'error'
-            WHEN status IN ('extra_target', 'compatible_with_warnings') THEN 'warning' ELSE 'ok' END AS severity,
-       source_nullable, target_nullable, source_precision, target_precision, source_scale, target_scale, notes
-FROM r"""

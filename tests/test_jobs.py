@@ -122,12 +122,27 @@ def test_run_catalog_audit_from_rows(spark):
     assert {r.source_table: r.status for r in summary.collect()} == {"S.T": "blocked", "S.U": "blocked"}
 
 
-def test_resolve_variables_on_the_demo_script(spark):
+def test_resolve_variables_by_form(spark):
     from test_scripts import DEMO
-    spark.createDataFrame([(1, "2026-06-18"), (2, "2026-06-20")], "order_id int, load_date string") \
-        .createOrReplaceTempView("sales_orders")
-    scripts = spark.createDataFrame([("demo", DEMO)], "script_id string, sql string")
+    spark.createDataFrame([(1, "2026-06-18", "x'y"), (2, "2026-06-20", "z")], "parcel_id int, picked_on string, tag string") \
+        .createOrReplaceTempView("parcels")
+    into = lambda what, tail: f"DECLARE v DATE; BEGIN SELECT {what} INTO v FROM parcels{tail}; END; /\nselect v from t"
+    scripts = spark.createDataFrame([
+        ("demo", DEMO), ("one", into("MAX(picked_on)", " WHERE parcel_id = 1")), ("two", into("MAX(picked_on)", " where parcel_id = 2")),
+        ("none", into("MAX(picked_on)", " WHERE parcel_id = 9")), ("quoted", into("parcel_id", " WHERE tag = 'x''y'")),
+        ("free", into("count(*)", " WHERE parcel_id > 0 AND tag <> 'q'"))], "script_id string, sql string")
     pure, variables = jobs.resolve_variables(spark, scripts)
-    assert [(r.var_name, r.value) for r in variables.collect()] == [("v_run_date", "2026-06-20")]
-    text = pure.first().sql
-    assert "o.load_date = DATE '2026-06-20'" in text and "DECLARE" not in text
+    assert {(r.script_id, r.var_name): r.value for r in variables.collect()} == {
+        ("demo", "v_cutoff"): "2026-06-18", ("one", "v"): "2026-06-18", ("two", "v"): "2026-06-20", ("none", "v"): None,
+        ("quoted", "v"): "1", ("free", "v"): "2"}
+    text = {r.script_id: r.sql for r in pure.collect()}
+    assert "p.picked_on >= DATE '2026-06-18'" in text["demo"] and "DECLARE" not in text["demo"]
+    assert text["none"].endswith("select NULL from t") and text["quoted"].endswith("select '1' from t")
+
+
+def test_too_many_forms_raise(spark, monkeypatch):
+    import pytest
+    monkeypatch.setattr(jobs, "MOST_SHAPES", 2)
+    scripts = spark.createDataFrame([(str(i), f"SELECT a{i} INTO v FROM t; ") for i in range(4)], "script_id string, sql string")
+    with pytest.raises(ValueError, match="more than 2 forms"):
+        jobs.resolve_variables(spark, scripts)
