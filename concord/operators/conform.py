@@ -30,7 +30,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -56,6 +56,7 @@ class Conformed:
     report: DataFrame
     failures: Observation | None = None
     failure_columns: list[str] = field(default_factory=list)
+    exprs: dict[str, Column] = field(default_factory=dict)
 
     def failure_counts(self) -> dict[str, int]:
         """Values turned NULL by a failed conversion, per column; available after ``frame`` ran."""
@@ -84,7 +85,7 @@ def conform(df: DataFrame, target: Sequence[tuple[str, str]], lenient_datetime_c
                        and loader[c] == "FLOAT64"]
     zero_one = _zero_one_columns(df, bool_candidates)
 
-    out, report, failed = [], [], []
+    out, report, failed, exprs = [], [], [], {}
     all_ok = True
     for c in df.columns:
         st = loader[c]
@@ -109,7 +110,8 @@ def conform(df: DataFrame, target: Sequence[tuple[str, str]], lenient_datetime_c
         elif st == "BOOL":
             ok, msg = False, f"type mismatch (source BOOL -> target {tt})"
         elif st == "FLOAT64" and tt == "INTEGER":
-            col, action = col.try_cast("bigint"), "cast"
+            col, action = _whole(col), "cast"
+            msg = f"source {st} -> target {tt} (values that are not whole set to NULL)"
             failed.append(c)
         elif st == "FLOAT64" and tt == "FLOAT":
             col, action = col.cast("double"), "cast"
@@ -123,6 +125,7 @@ def conform(df: DataFrame, target: Sequence[tuple[str, str]], lenient_datetime_c
             ok, msg = False, f"numeric mismatch (source FLOAT -> target {tt})"
         all_ok = all_ok and ok
         out.append(col.alias(c))
+        exprs[c] = col
         report.append((c, st, tt, action if ok else "mismatch", ok, msg))
     for name, t in target:
         if name not in src_types:
@@ -135,7 +138,27 @@ def conform(df: DataFrame, target: Sequence[tuple[str, str]], lenient_datetime_c
     if failed:
         obs = Observation("concord_conform")
         frame = _observe_failures(df, out, failed, obs)
-    return Conformed(all_ok, frame, spark.createDataFrame(report, REPORT_SCHEMA), obs, failed)
+    return Conformed(all_ok, frame, spark.createDataFrame(report, REPORT_SCHEMA), obs, failed, exprs)
+
+
+def _whole(c: Column) -> Column:
+    """A number as bigint if it is whole and in range, else NULL."""
+    v = c.try_cast("bigint")
+    return F.when(v == c, v)
+
+
+def conformance_audit(df: DataFrame, target: Sequence[tuple[str, str]], lenient_datetime_columns: Sequence[str] = ()) -> DataFrame:
+    """A12 as rows: the report with ``n_failed`` (values a conversion would set to NULL, counted over all rows in one
+    scan) and ``table_ok`` (no column is a mismatch)."""
+    result = conform(df, target, lenient_datetime_columns)
+    names = result.failure_columns
+    both = df.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(names)], *[result.exprs[c].alias(f"_t{i}") for i, c in enumerate(names)])
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n_failed")) for i, c in enumerate(names)]
+    if not names:
+        return result.report.withColumn("n_failed", F.lit(0).cast("long")).withColumn("table_ok", F.lit(result.ok))
+    counts = both.agg(*[F.count_if(F.col(f"_s{i}").isNotNull() & F.col(f"_t{i}").isNull()).alias(f"n{i}") for i in range(len(names))])
+    return result.report.join(F.broadcast(counts.select(F.inline(F.array(*entries)))), "column_name", "left").withColumn(
+        "n_failed", F.coalesce("n_failed", F.lit(0))).withColumn("table_ok", F.lit(result.ok))
 
 
 def _observe_failures(df: DataFrame, out: list, failed: list[str], obs: Observation) -> DataFrame:

@@ -19,6 +19,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, DataType, DateType, DecimalType,
+                               FloatType, IntegerType, MapType, ShortType, StringType, StructType)
+
+from concord.operators.fingerprint import balanced_union
 
 from concord.operators.scripts import strip_ws
 from concord.session import ensure_checkpoint_dir
@@ -58,17 +62,33 @@ def non_blank(sql: Column) -> Column:
     return F.length(strip_ws(F.coalesce(sql, F.lit("")))) > 0
 
 
-def table_sizes(frames: dict[str, DataFrame], bytes_per_value: int = 8) -> DataFrame:
-    """Per table ``(table_name, size_bytes)``: rows × columns × a fixed value width.
+def value_bytes(c: Column, dtype: DataType) -> Column:
+    """Bytes of a value: the encoded text, or the width of a fixed type; 0 for NULL. Nested values count as JSON."""
+    if isinstance(dtype, (StringType, BinaryType)):
+        size = F.octet_length(c)
+    elif isinstance(dtype, (ArrayType, MapType, StructType)):
+        size = F.octet_length(F.to_json(c))
+    else:
+        width = {BooleanType: 1, ByteType: 1, ShortType: 2, IntegerType: 4, FloatType: 4, DateType: 4, DecimalType: 16}
+        size = F.when(c.isNotNull(), F.lit(width.get(type(dtype), 8)))
+    return F.coalesce(size, F.lit(0)).cast("long")
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: the sum over its columns."""
+    total = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        total = total + value_bytes(F.col(f"`{f.name}`"), f.dataType)
+    return total
+
+
+def table_sizes(frames: dict[str, DataFrame]) -> DataFrame:
+    """Per table ``(table_name, size_bytes)``: the bytes of all its values, measured in one scan per table.
 
-    A scan estimate that does not depend on file encoding; one count per table.
+    A scan estimate that does not depend on file encoding or compression.
     """
-    parts = [df.agg((F.count(F.lit(1)) * F.lit(len(df.columns) * bytes_per_value)).alias("size_bytes"))
-             .select(F.lit(name.lower()).alias("table_name"), "size_bytes") for name, df in frames.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return balanced_union([df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("size_bytes"))
+                           .select(F.lit(name.lower()).alias("table_name"), "size_bytes") for name, df in frames.items()])
 
 
 def scan_estimate(units: DataFrame, sizes: DataFrame, keys: tuple[str, ...] = ("script_id", "unit_id"),

@@ -16,6 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concord.operators.scripts import strip_ws
+from concord.sources.files import CSV_READ, CSV_WRITE
+
 KEYS = ["source_schema", "source_table"]
 REGISTRY_SCHEMA = ("source_schema string, source_table string, target_project string, target_dataset string, "
                    "target_table string, status string, source_reachable boolean, source_checked_at string, "
@@ -176,7 +179,7 @@ def column_rows(report: DataFrame, source_schema: str, now: Column, project: str
 
 
 def _truthy(c: Column) -> Column:
-    return F.lower(F.trim(F.coalesce(c.cast("string"), F.lit("")))).isin(*TRUTHY)
+    return F.lower(strip_ws(F.coalesce(c.cast("string"), F.lit("")))).isin(*TRUTHY)
 
 
 def import_rows(raw: DataFrame) -> DataFrame:
@@ -189,10 +192,10 @@ def import_rows(raw: DataFrame) -> DataFrame:
     renamed = raw.withColumnsRenamed({k: v for k, v in CSV_TO_REGISTRY.items() if k in raw.columns})
     missing = [c for c in KEYS if c not in renamed.columns]
     if missing:
-        raise ValueError(f"CSV missing required column(s): {', '.join(missing)}")
+        raise ValueError(f"the registry file has no column: {', '.join(missing)}")
 
     def txt(c: str) -> Column:
-        return F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) if c in renamed.columns else F.lit("")
+        return strip_ws(F.coalesce(F.col(c).cast("string"), F.lit(""))) if c in renamed.columns else F.lit("")
 
     kept = renamed.where((F.coalesce(F.col("source_schema"), F.lit("")) != "")
                          & (F.coalesce(F.col("source_table"), F.lit("")) != ""))
@@ -210,7 +213,7 @@ def import_rows(raw: DataFrame) -> DataFrame:
 
 def import_csv(spark, path: str) -> DataFrame:
     """Read a registry CSV (header required, BOM tolerated, all text) and normalise it."""
-    raw = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    raw = spark.read.options(**CSV_READ).csv(path)
     raw = raw.withColumnsRenamed({c: c.lstrip("﻿") for c in raw.columns if c.startswith("﻿")})
     return import_rows(raw)
 
@@ -227,11 +230,11 @@ def export_frame(registry: DataFrame) -> DataFrame:
     return registry.orderBy(*KEYS).select(*cols)
 
 
-# The reference's example row for a user-fillable template.
-TEMPLATE_ROW = {"oracle_schema": "DEMO", "oracle_table": "sales_orders", "bigquery_project": "mock-gcp-project",
-                "bigquery_dataset": "mock_dataset", "bigquery_table": "raw_sales_orders", "status": "ready",
+# An example row for a template to fill in; the keys are the file's header.
+TEMPLATE_ROW = {"oracle_schema": "sales", "oracle_table": "invoices", "bigquery_project": "my-project",
+                "bigquery_dataset": "landing", "bigquery_table": "invoices_raw", "status": "pending",
                 "oracle_reachable": "false", "oracle_checked_at": "", "bigquery_reachable": "false",
-                "bigquery_checked_at": "", "notes": "example row; replace or delete"}
+                "bigquery_checked_at": "", "notes": "an example: overwrite this line"}
 
 
 def template_frame(spark) -> DataFrame:
@@ -242,7 +245,7 @@ def template_frame(spark) -> DataFrame:
 
 def export_csv(registry: DataFrame, path: str) -> None:
     """Write the registry as CSV with the reference's header (one file per partition, sorted)."""
-    export_frame(registry).write.mode("overwrite").option("header", True).csv(path)
+    export_frame(registry).write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
 def readiness(required: DataFrame, registry: DataFrame, column_registry: DataFrame | None = None) -> DataFrame:

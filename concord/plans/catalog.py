@@ -343,6 +343,44 @@ def q_conform_events(spark: SparkSession, sf: str) -> DataFrame:
     return result.frame
 
 
+# One column for every rule of the conformance check.
+_RULES_SQL = """SELECT event_id, value AS whole_or_not, CAST(event_type = 'click' AS DOUBLE) AS zero_one,
+  CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 2 AS DOUBLE) END AS zero_one_null,
+  CAST(event_id % 3 AS DOUBLE) AS two_in_bool, event_id % 2 = 0 AS flag, event_id % 5 = 0 AS real_flag, value AS to_date, ts,
+  ts AS ts_wrong, event_type, CAST(event_id AS {text}) AS id_text, value AS plain, value AS to_numeric, props, user_id AS extra
+FROM {events}"""
+_RULES = [("event_id", "INTEGER"), ("whole_or_not", "INTEGER"), ("zero_one", "BOOL"), ("zero_one_null", "BOOLEAN"),
+          ("two_in_bool", "BOOL"), ("flag", "INT64"), ("real_flag", "BOOL"), ("to_date", "DATE"), ("ts", "DATETIME"),
+          ("ts_wrong", "DATE"), ("event_type", "INT64"), ("id_text", "NUMERIC"), ("plain", "FLOAT"), ("to_numeric", "NUMERIC"),
+          ("props", "STRING"), ("session_id", "STRING")]
+
+
+@register("conform_report", """
+WITH c AS (SELECT COUNT(*) FILTER (WHERE value <> floor(value)) AS parts, COUNT(event_type) AS words FROM events)
+SELECT column_name, target_type, action, ok, CAST(n_failed AS BIGINT) AS n_failed, false AS table_ok FROM (
+  SELECT 'event_id' AS column_name, 'INTEGER' AS target_type, 'cast' AS action, true AS ok, 0 AS n_failed
+  UNION ALL SELECT 'whole_or_not', 'INTEGER', 'cast', true, parts FROM c
+  UNION ALL SELECT 'zero_one', 'BOOL', 'cast', true, 0
+  UNION ALL SELECT 'zero_one_null', 'BOOLEAN', 'cast', true, 0
+  UNION ALL SELECT 'two_in_bool', 'BOOL', 'mismatch', false, 0
+  UNION ALL SELECT 'flag', 'INT64', 'mismatch', false, 0
+  UNION ALL SELECT 'real_flag', 'BOOL', 'keep', true, 0
+  UNION ALL SELECT 'to_date', 'DATE', 'mismatch', false, 0
+  UNION ALL SELECT 'ts', 'DATETIME', 'keep', true, 0
+  UNION ALL SELECT 'ts_wrong', 'DATE', 'mismatch', false, 0
+  UNION ALL SELECT 'event_type', 'INT64', 'cast', true, words FROM c
+  UNION ALL SELECT 'id_text', 'NUMERIC', 'cast', true, 0
+  UNION ALL SELECT 'plain', 'FLOAT', 'cast', true, 0
+  UNION ALL SELECT 'to_numeric', 'NUMERIC', 'keep', true, 0
+  UNION ALL SELECT 'props', 'STRING', 'cast', true, 0
+  UNION ALL SELECT 'extra', NULL, 'drop', true, 0
+  UNION ALL SELECT 'session_id', 'STRING', 'missing', true, 0)""")
+def q_conform_report(spark: SparkSession, sf: str) -> DataFrame:
+    events = spark.sql(_RULES_SQL.replace("{text}", "STRING"), events=read_table(spark, sf, "events"))
+    return cf.conformance_audit(events, _RULES, ["ts", "ts_wrong"]).select(
+        "column_name", "target_type", "action", "ok", "n_failed", "table_ok")
+
+
 # ---------------------------------------------------------------- lineage
 
 from concord.operators import lineage as lin  # noqa: E402
@@ -384,6 +422,28 @@ def q_lineage_by_stage(spark: SparkSession, sf: str) -> DataFrame:
     return lin.tables_by_stage(lin.compute_stages(graphs.entity_units(spark, sf)))
 
 
+@register("lineage_listing", f"""WITH RECURSIVE {_LINEAGE_CTES},
+ dag AS (SELECT DISTINCT source, target FROM edges WHERE source <> target),
+ walk(t, d) AS (SELECT t, 0 FROM tables WHERE t NOT IN (SELECT t FROM produced)
+                UNION ALL SELECT t, 1 FROM produced
+                UNION ALL SELECT dag.target, walk.d + 1 FROM walk JOIN dag ON dag.source = walk.t),
+ st AS (SELECT t, CAST(MAX(d) AS INTEGER) AS stage FROM walk GROUP BY t),
+ e AS (SELECT DISTINCT source, target, unit_id FROM edges)
+SELECT stage, t AS table_name, source, unit_id FROM st LEFT JOIN e ON e.target = st.t""")
+def q_lineage_listing(spark: SparkSession, sf: str) -> DataFrame:
+    return lin.stage_listing(graphs.entity_units(spark, sf))
+
+
+@register("unmapped_sources", f"""WITH {_LINEAGE_CTES}, m AS (SELECT 'customer_' || c_custkey AS t FROM customer WHERE c_acctbal > 0
+  UNION ALL SELECT 'part_' || p_partkey FROM part)
+SELECT DISTINCT source AS table_name FROM edges WHERE source NOT IN (SELECT t FROM produced) AND source NOT IN (SELECT t FROM m)""")
+def q_unmapped_sources(spark: SparkSession, sf: str) -> DataFrame:
+    name = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string")).alias("source_table")
+    mapping = read_table(spark, sf, "customer").where("c_acctbal > 0").select(name("customer_", "c_custkey")).unionByName(
+        read_table(spark, sf, "part").select(name("part_", "p_partkey")))
+    return lin.unmapped_sources(graphs.entity_units(spark, sf), mapping)
+
+
 # ---------------------------------------------------------------- script corpora
 
 from concord.operators import cost as cst  # noqa: E402
@@ -469,18 +529,33 @@ def q_script_rewrite_dotted(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- cost and history
 
 _SIZE_TABLES = ["orders", "customer", "lineitem", "nation", "part", "supplier", "region"]
-_SIZE_COLS = {"orders": 6, "customer": 5, "lineitem": 11, "nation": 3, "part": 6, "supplier": 4, "region": 2}
+_TEXT = {"orders": "strlen(o_orderstatus) + strlen(o_orderpriority)", "customer": "strlen(c_name) + strlen(c_mktsegment)"}
 _COST = "CAST({b} AS DOUBLE) / 1099511627776::DOUBLE * 6.25::DOUBLE"
 
 
 @register("cost_from_tables", f"""WITH u AS ({corpus.ORDER_UNITS_SQL}),
- e AS (SELECT script_id, unit_id,
-         CASE WHEN unit_id = 1 THEN (SELECT COUNT(*) FROM orders) * {8 * _SIZE_COLS['orders']} ELSE 0 END AS b,
-         CASE WHEN unit_id = 1 THEN '' ELSE 'unknown table: stg_' || o_orderkey END AS error FROM u)
-SELECT script_id, unit_id, CAST(b AS BIGINT) AS estimated_bytes, {_COST.format(b='b')} AS estimated_cost_usd, error FROM e""")
+ z AS (SELECT (SELECT SUM(32 + {_TEXT['orders']}) FROM orders) AS all_orders, (SELECT SUM(20 + {_TEXT['customer']}) FROM customer) AS all_customers),
+ e AS (SELECT script_id, unit_id, unit_id > 1 AND o_orderstatus = 'P' AS unknown, 'stg_' || o_orderkey AS stg,
+         CASE unit_id WHEN 1 THEN all_orders WHEN 2 THEN all_customers + 32 + {_TEXT['orders']} ELSE 32 + {_TEXT['orders']} END AS raw
+       FROM u CROSS JOIN z),
+ f AS (SELECT *, CASE WHEN unknown THEN 0 ELSE raw END AS b FROM e)
+SELECT script_id, unit_id, CAST(b AS BIGINT) AS estimated_bytes, {_COST.format(b='b')} AS estimated_cost_usd,
+       CASE WHEN unknown THEN 'unknown table: ' || stg ELSE '' END AS error FROM f""")
 def q_cost_from_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Base tables measured from their values; an order's staging table from its row, unless the order is pending."""
     sizes = cst.table_sizes({t: read_table(spark, sf, t) for t in _SIZE_TABLES})
-    return cst.scan_estimate(_order_units(spark, sf), sizes)
+    orders = read_table(spark, sf, "orders")
+    staged = orders.where("o_orderstatus <> 'P'").select(
+        F.concat(F.lit("stg_"), F.col("o_orderkey").cast("string")).alias("table_name"), cst.row_bytes(orders).alias("size_bytes"))
+    return cst.scan_estimate(_order_units(spark, sf), sizes.unionByName(staged))
+
+
+@register("measured_sizes", """
+SELECT 'documents' AS table_name, CAST(SUM(16 + strlen(text) + strlen(lang) + strlen(source)) AS BIGINT) AS size_bytes FROM documents
+UNION ALL SELECT 'lineitem', CAST(SUM(68 + strlen(l_returnflag) + strlen(l_linestatus)) AS BIGINT) FROM lineitem
+UNION ALL SELECT 'events', CAST(SUM(32 + strlen(event_type) + strlen(props)) AS BIGINT) FROM events""")
+def q_measured_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return cst.table_sizes({t: read_table(spark, sf, t) for t in ("documents", "lineitem", "events")})
 
 
 _RANK_SQL = f"""WITH u AS ({corpus.ORDER_UNITS_SQL}),
@@ -713,6 +788,65 @@ def q_readiness_gate(spark: SparkSession, sf: str) -> DataFrame:
     return reg.readiness(req, _base(spark, sf), cols)
 
 
+_NOTE = """CASE c_custkey % 4 WHEN 0 THEN 'He said "' || c_mktsegment || '", ok' WHEN 1 THEN 'two' || chr(10) || 'lines, "' || c_custkey || '"'
+  WHEN 2 THEN c_mktsegment ELSE '' END"""
+
+
+@register("registry_csv_round_trip", f"""
+SELECT source_schema, source_table, target_project, target_dataset, lower(target_table) AS target_table, status, source_reachable,
+       source_checked_at, target_reachable, target_checked_at, {_NOTE} AS notes
+FROM ({rd.BASE_SQL}) b JOIN customer ON 'cust_' || c_custkey = source_table""")
+def q_registry_csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The customer registry written as CSV to the shared folder and imported again; notes hold quotes and line breaks."""
+    from concord.functions.stored import stored_path
+
+    path = stored_path(spark, "registry-csv")
+    notes = read_table(spark, sf, "customer").select(
+        F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("source_table"), F.expr(_NOTE).alias("notes"))
+    reg.export_csv(_base(spark, sf).drop("notes").join(notes, "source_table"), path)
+    return reg.import_csv(spark, path)
+
+
+@register("registry_lookup", f"""WITH b AS ({rd.BASE_SQL}), r AS (SELECT 'demo' AS source_schema, 'cust_' || o_custkey AS source_table FROM orders
+  UNION SELECT 'demo', 'nation_' || n_nationkey FROM nation)
+SELECT r.source_schema, r.source_table, b.target_table, b.status FROM r LEFT JOIN b USING (source_schema, source_table)""")
+def q_registry_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    name = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string")).alias("source_table")
+    wanted = read_table(spark, sf, "orders").select(F.lit("Demo").alias("source_schema"), name("CUST_", "o_custkey")).unionByName(
+        read_table(spark, sf, "nation").select(F.lit("demo").alias("source_schema"), name("nation_", "n_nationkey"))).distinct()
+    return reg.lookup(wanted, _base(spark, sf)).select("source_schema", "source_table", "target_table", "status")
+
+
+# ---------------------------------------------------------------- writes and filters
+
+from concord.sources.tables import load, materialize, where_equals  # noqa: E402
+
+
+@register("load_round_trip", """
+SELECT o_orderstatus, CAST(COUNT(*) * 2 AS BIGINT) AS n_rows, CAST(2 * SUM(CAST(o_totalprice AS DECIMAL(38,6))) AS DECIMAL(38,6)) AS total,
+       CAST((SELECT COUNT(*) FROM orders) AS BIGINT) AS loaded FROM orders GROUP BY o_orderstatus""")
+def q_load_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders materialised to the shared folder, appended once more with a counted load, and read back."""
+    from concord.functions.stored import stored_path
+
+    path, orders = stored_path(spark, "load"), read_table(spark, sf, "orders")
+    materialize(orders, path)
+    loaded = load(orders, path)
+    return spark.read.parquet(path).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("o_totalprice").cast("decimal(28,6)")).cast("decimal(38,6)").alias("total"),
+        F.lit(loaded).cast("long").alias("loaded"))
+
+
+@register("optional_filters", """
+SELECT 'both' AS filter, COUNT(*) AS n FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F'
+UNION ALL SELECT 'one', COUNT(*) FROM lineitem WHERE l_returnflag = 'R' UNION ALL SELECT 'none', COUNT(*) FROM lineitem""")
+def q_optional_filters(spark: SparkSession, sf: str) -> DataFrame:
+    lines = read_table(spark, sf, "lineitem")
+    cases = {"both": {"l_returnflag": "R", "l_linestatus": "F"}, "one": {"l_returnflag": "R", "l_linestatus": None}, "none": {}}
+    return fp.balanced_union([where_equals(lines, **c).agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("filter"), "n")
+                              for k, c in cases.items()])
+
+
 # ---------------------------------------------------------------- latest version per key
 
 from concord.sources.files import latest_by  # noqa: E402

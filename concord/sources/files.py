@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 PAIR_FIELDS = ["oracle_schema", "oracle_table", "bigquery_project", "bigquery_dataset", "bigquery_table"]
+# CSV as other programs write it: quotes doubled inside quotes, line breaks inside quotes, no trimming.
+CSV_READ = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "encoding": "UTF-8",
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "escapeQuotes": "true",
+             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 BOM = "﻿"
 
 
@@ -31,7 +36,7 @@ def load_table_pairs(spark: SparkSession, path: str, fmt: str | None = None,
     """
     fmt = (fmt or path.rsplit(".", 1)[-1]).lower()
     if fmt == "csv":
-        raw = _strip_bom(spark.read.option("header", True).csv(path))
+        raw = _strip_bom(spark.read.options(**CSV_READ).csv(path))
     elif fmt == "json":
         raw = spark.read.option("multiLine", True).json(path)
         if "tables" in raw.columns and isinstance(raw.schema["tables"].dataType, ArrayType):
@@ -50,7 +55,7 @@ def load_table_pairs(spark: SparkSession, path: str, fmt: str | None = None,
         bad = pairs.where(~complete).limit(1).collect()
         if bad:
             missing = [f for f in PAIR_FIELDS if not bad[0][f]]
-            raise ValueError(f"Table correspondence row missing required field(s): {', '.join(missing)}")
+            raise ValueError(f"a table pair lacks a value for: {', '.join(missing)}")
         return pairs
     return pairs.where(complete)
 
@@ -59,7 +64,7 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Write a report frame as CSV (with header) or JSON lines."""
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.options(**CSV_WRITE).csv(path)
     else:
         w.json(path)
 
@@ -95,11 +100,12 @@ def list_sql_scripts(spark: SparkSession, directory: str) -> DataFrame:
 def run_reports(spark: SparkSession, root: str, pattern: str = "*_bq/run_report_*.json") -> DataFrame:
     """Run reports under ``root``, newest first by (modification time, name), with a ``recency`` rank."""
     df = spark.read.option("multiLine", True).json(f"{root.rstrip('/')}/{pattern}")
-    meta = df.select("*", F.col("_metadata.file_path").alias("report_path"),
-                     F.col("_metadata.file_name").alias("report_name"),
+    meta = df.select("*", F.col("_metadata.file_path").alias("report_path"), F.col("_metadata.file_name").alias("report_name"),
                      F.col("_metadata.file_modification_time").alias("report_mtime"))
-    w = Window.orderBy(F.desc("report_mtime"), F.desc("report_name"))  # one row per report file
-    return meta.withColumn("recency", F.row_number().over(w))
+    # only a path, a name and a time per file are ranked together; the reports themselves stay where they are
+    files = meta.select("report_path", "report_name", "report_mtime").distinct()
+    ranked = files.select("report_path", F.row_number().over(Window.orderBy(F.desc("report_mtime"), F.desc("report_name"))).alias("recency"))
+    return meta.join(ranked, "report_path")
 
 
 def report_units(reports: DataFrame) -> DataFrame:

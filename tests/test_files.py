@@ -120,3 +120,46 @@ def test_where_equals(spark):
     assert tables.where_equals(df, s="a", t=None).count() == 2
     assert tables.where_equals(df, s="a", t="y").count() == 1
     assert tables.where_equals(df).count() == 3
+
+
+def test_csv_survives_quotes_commas_and_line_breaks_both_ways(spark, tmp_path):
+    import csv
+
+    from concord.operators import registry as reg
+
+    notes = ['He said "x", ok', "two\nlines", "tab\tand; more", "plain", "  inner  spaces", 'ends with "']
+    path = tmp_path / "registry.csv"
+    with open(path, "w", newline="", encoding="utf-8-sig") as f:
+        w = csv.DictWriter(f, fieldnames=reg.CSV_COLUMNS)
+        w.writeheader()
+        for i, n in enumerate(notes):
+            w.writerow({c: "" for c in reg.CSV_COLUMNS} | {"oracle_schema": "demo\t", "oracle_table": f"T{i}", "status": "\tready", "notes": n})
+    got = {r.source_table: r for r in reg.import_csv(spark, str(path)).collect()}
+    assert [got[f"t{i}"].notes for i in range(len(notes))] == [n.strip() for n in notes]
+    assert {(r.source_schema, r.status) for r in got.values()} == {("demo", "ready")}
+
+    out = tmp_path / "out"
+    reg.export_csv(reg.import_csv(spark, str(path)).selectExpr("*", "'' as created_at", "'' as updated_at").coalesce(1), str(out))
+    rows = []
+    for part in sorted(out.glob("part-*.csv")):
+        with open(part, newline="", encoding="utf-8") as f:
+            rows += list(csv.DictReader(f))
+    assert [r["notes"] for r in sorted(rows, key=lambda r: r["oracle_table"])] == [n.strip() for n in notes]
+
+
+def test_report_csv_is_read_back_by_csv(spark, tmp_path):
+    import csv
+
+    from concord.sources.files import load_table_pairs, write_report
+
+    df = spark.createDataFrame([('a "q", b', "x\ny", None, "")], "p string, q string, r string, s string").coalesce(1)
+    write_report(df, str(tmp_path / "rep"), "csv")
+    with open(next((tmp_path / "rep").glob("part-*.csv")), newline="", encoding="utf-8") as f:
+        assert list(csv.reader(f)) == [["p", "q", "r", "s"], ['a "q", b', "x\ny", "", ""]]
+    pairs = tmp_path / "pairs.csv"
+    with open(pairs, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["oracle_schema", "oracle_table", "bigquery_project", "bigquery_dataset", "bigquery_table"])
+        w.writerow(["s", 'odd "name"', "p", "d", "with, comma"])
+    got = load_table_pairs(spark, str(pairs)).first()
+    assert (got.oracle_table, got.bigquery_table) == ('odd "name"', "with, comma")

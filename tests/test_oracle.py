@@ -22,18 +22,17 @@ def test_query_matches_duckdb(spark, con, name):
     assert type_mismatches(df, con, ORACLE[name]) == []
 
 
-def test_every_query_has_a_twin_or_a_reason():
-    missing = set(entry_mod.queries()) - set(ORACLE)
-    assert missing <= NO_TWIN, missing
+def test_every_query_has_a_twin():
+    """All but the queries of the optional parts, which are tested in a folder of their own."""
+    from concord.plans import catalog
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
 
 
-# Queries whose result is not expressible in portable SQL; each has a brute-force test.
-NO_TWIN = {"prefix_ingest"}
-
-
-def test_prefix_ingest_lists_every_file(spark):
+def test_ingest_prefix_lists_every_file(spark):
     import os
-    got = sorted((r.relative_path, r.length) for r in entry_mod.queries()["prefix_ingest"](spark, SF).collect())
+
+    from concord.sources.files import ingest_prefix
+    got = sorted((r.relative_path, r.length) for r in ingest_prefix(spark, SF).select("relative_path", "length").collect())
     want = sorted((f, os.path.getsize(os.path.join(SF, f))) for f in os.listdir(SF))
     assert got == want
 

@@ -114,7 +114,7 @@ def test_template_imports_as_one_row(spark):
     out = tempfile.mkdtemp(prefix="concord-tpl-", dir="/tmp")
     reg.template_frame(spark).coalesce(1).write.option("header", True).csv(os.path.join(out, "tpl"))
     rows = reg.import_csv(spark, os.path.join(out, "tpl")).collect()
-    assert len(rows) == 1 and rows[0].source_table == "sales_orders" and rows[0].status == "ready"
+    assert len(rows) == 1 and rows[0].source_table == "invoices" and rows[0].status == "pending"
     merged = reg.upsert(empty(spark), reg.import_csv(spark, os.path.join(out, "tpl")), F.lit(T0))
     assert merged.count() == 1
 

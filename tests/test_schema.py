@@ -178,3 +178,28 @@ def test_declared_metadata_from_information_schema_rows(spark):
     assert rep["amount"].status == "compatible"  # 38 >= 20 and scale 9 >= 4
     assert rep["name"].status == "compatible_with_warnings"
     assert rep["name"].notes == "target length 20 is lower than source length 50"
+
+
+def test_fractions_are_not_truncated(spark):
+    from concord.operators import conform as cf
+
+    df = spark.createDataFrame([(1.0, 2.5), (1.7, 3.0), (None, 1e30), (float("nan"), -4.0)], "a double, b double")
+    result = cf.conform(df, [("a", "INTEGER"), ("b", "INTEGER")])
+    assert sorted(map(tuple, result.frame.collect()), key=repr) == sorted([(1, None), (None, 3), (None, None), (None, -4)], key=repr)
+    assert result.failure_counts() == {"a": 2, "b": 2}
+    audit = {r.column_name: (r.n_failed, r.table_ok) for r in cf.conformance_audit(df, [("a", "INTEGER"), ("b", "INTEGER")]).collect()}
+    assert audit == {"a": (2, True), "b": (2, True)}
+
+
+def test_pairs_outside_the_catalog_are_metadata_errors(spark):
+    from concord.plans import jobs
+
+    cols = "table_ref string, column_name string, data_type string, is_nullable string, ordinal int, length int, precision int, scale int"
+    src = spark.createDataFrame([("a", "id", "INT", "NO", 1, None, None, None)], cols)
+    pairs = spark.createDataFrame([("a", "b"), ("x", "b"), ("x", "y")], "source_table string, target_table string")
+    report, summary = jobs.run_catalog_audit(pairs, src, src.withColumn("table_ref", F.lit("b")),
+                                             readable=spark.createDataFrame([("a",), ("b",)], "table_ref string"))
+    assert sorted((r.source_table, r.target_table, r.status, r.notes) for r in report.collect()) == [
+        ("a", "b", "compatible", ""), ("x", "b", "metadata_error", "not in the catalog: source"),
+        ("x", "y", "metadata_error", "not in the catalog: source, target")]
+    assert {r.status for r in summary.where("source_table = 'x'").collect()} == {"blocked"}
