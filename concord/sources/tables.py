@@ -41,12 +41,6 @@ def read_any(spark: SparkSession, ref: str, fmt: str = "parquet", options: Mappi
     return reader.format(fmt).load(ref)
 
 
-def register_views(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = DRIVER_TABLES) -> None:
-    """Register every driver table as a temp view of the same name."""
-    for name in names:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
 def run_query(spark: SparkSession, sql: str, params: Mapping[str, Any] | None = None) -> DataFrame:
     """A parameterised query; values keep their Python type (named ``:markers``)."""
     return spark.sql(sql, args=dict(params or {}))

@@ -163,3 +163,28 @@ def test_report_csv_is_read_back_by_csv(spark, tmp_path):
         w.writerow(["s", 'odd "name"', "p", "d", "with, comma"])
     got = load_table_pairs(spark, str(pairs)).first()
     assert (got.oracle_table, got.bigquery_table) == ('odd "name"', "with, comma")
+
+
+def test_replicate_appends_a_catalog_table(spark, tmp_path):
+    from concord.sources.tables import replicate
+
+    spark.range(7).createOrReplaceTempView("concord_replicated")
+    out = str(tmp_path / "copy")
+    assert [replicate(spark, "concord_replicated", out) for _ in range(2)] == [7, 7]
+    assert spark.read.parquet(out).count() == 14
+
+
+def test_run_reports_are_ranked_newest_first(spark, tmp_path):
+    import json
+    import os
+
+    from concord.sources.files import run_reports
+
+    for i in range(3):
+        folder = tmp_path / f"s{i}_bq"
+        folder.mkdir()
+        path = folder / f"run_report_{i}.json"
+        path.write_text(json.dumps({"script_id": f"s{i}", "units": [{"id": 1}]}))
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    got = {r.script_id: r.recency for r in run_reports(spark, str(tmp_path)).collect()}
+    assert got == {"s2": 1, "s1": 2, "s0": 3}
