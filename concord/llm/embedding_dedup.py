@@ -14,8 +14,8 @@ from concord.llm.blocks import block_tasks
 from concord.llm.common import chunks, components, lean, lookup, spread, written
 from concord.llm.simhash import Forest
 
-#: Vectors of a cell that one task compares; larger cells are compared block against block.
-BLOCK = 4096
+#: Numbers (vectors times dimensions) of a cell that one task compares; larger cells are compared block against block.
+BLOCK_NUMBERS = 1 << 20
 #: Bound of the sample that the centroids are fitted on, in numbers (rows times dimensions).
 SAMPLE_NUMBERS = 2_000_000
 #: Vectors a cell should hold at least.
@@ -146,7 +146,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
         forest, links = Forest(len(x)), np.zeros(len(x), np.int64)
         for left, right in {(i, j), (j, i)}:
             mine, others = np.flatnonzero(home & (own == left)), np.flatnonzero(own == right)
-            for a, b in chunks(len(mine), 256):
+            for a, b in chunks(len(mine), 128):
                 m = mine[a:b]
                 close = (x[m] @ x[others].T) / (norm[m][:, None] * norm[others]) >= threshold
                 if left == right:
@@ -158,7 +158,8 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
         out = np.flatnonzero((links > 0) | (root != np.arange(len(root))))
         return pa.table({"key": table["key"].take(pa.array(out)).cast(pa.string()), "links": links[out], "a": rep[out], "b": rep[root[out]]})
 
-    found = written(block_tasks(members, "cell", "key", BLOCK).groupBy("cell", "i", "j").applyInArrow(
+    widest = max((r["bytes"] // size for r in shape), default=1)
+    found = written(block_tasks(members, "cell", "key", max(4, BLOCK_NUMBERS // widest)).groupBy("cell", "i", "j").applyInArrow(
         compare, "key string, links long, a long, b long"), "links")
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     sets = components(found.select("a", "b"))

@@ -53,7 +53,7 @@ def groups(seed, n=120, dim=8):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_brute_force(spark, seed, monkeypatch):
     monkeypatch.setattr(ed, "LEAST_CELL", 1)
-    monkeypatch.setattr(ed, "BLOCK", 7)  # cells are compared block by block
+    monkeypatch.setattr(ed, "BLOCK_NUMBERS", 7 * 8)  # cells are compared block by block
     data = groups(seed)
     assert result(ed.near_duplicates(frame(spark, data), spread_sigmas=None, cell_rows=20)) == brute(data)
 
