@@ -130,37 +130,53 @@ class Forest:
             np.minimum.at(self.parent, np.maximum(x, y), np.minimum(x, y))
 
 
-def near_pairs(x: np.ndarray, y: np.ndarray | None, bits: int, parts: int = 4) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions (in ``x``, in ``y``; ``y`` None: in ``x`` twice) of all pairs within ``bits`` differing bits.
-
-    Two fingerprints within ``bits`` differ by at most ``bits // parts`` bits in one of ``parts`` slices. Slices
-    are looked up by every value within that radius, in blocks of ``PAIRS`` candidates; each is then compared whole.
+def link_near(fps: np.ndarray, left: np.ndarray, right: np.ndarray, bits: int, forest: Forest, parts: int = 4) -> None:
+    """Unite in ``forest`` all positions of ``left`` and ``right`` (into ``fps``; both may be the same) within ``bits``
+    differing bits.
+
+    Two fingerprints within ``bits`` differ by at most ``bits // parts`` bits in one of ``parts`` slices. Positions of
+    ``right`` are put in buckets by a slice; each of ``left`` looks into the buckets of every value within that radius, in
+    blocks of ``PAIRS`` candidates, and each candidate is compared whole. First every bucket's members are compared
+    with its first; after that a position passes over the members of a bucket that are in its own tree already, so
+    a dense group costs about its size, not its square.
     """
-    width = 64 // parts
-    radius = bits // parts
-    other = x if y is None else y
+    if not len(left) or not len(right):
+        return
+    width, radius = 64 // parts, bits // parts
     masks = [0]
     for _ in range(radius):
         masks = sorted({m ^ (1 << i) for m in masks for i in range(width)} | set(masks))
-    for k in range(parts):
-        cut = lambda z: (z >> np.uint64(k * width)) & np.uint64((1 << width) - 1)  # noqa: B023, E731
-        by = np.argsort(cut(other), kind="stable")
-        keys, mine = cut(other)[by], cut(x)
+    slices = [(fps >> np.uint64(k * width)) & np.uint64((1 << width) - 1) for k in range(parts)]
+    shift = np.uint64(32)
+    for cut in slices:
+        by = right[np.argsort(cut[right], kind="stable")]
+        starts = np.flatnonzero(np.append(True, np.diff(cut[by]) > 0))
+        first = np.repeat(by[starts], np.diff(np.append(starts, len(by))))
+        near = np.bitwise_count(fps[by] ^ fps[first]) <= bits
+        forest.join(by[near], first[near])
+    for cut in slices:
+        root = forest.roots().astype(np.uint64)  # trees only grow, so a pair once in one tree stays there
+        place = cut[right] << shift | root[right]
+        by = right[np.argsort(place, kind="stable")]
+        place = np.sort(place)
         for m in masks:
-            want = mine ^ np.uint64(m)
-            lo, hi = np.searchsorted(keys, want, "left"), np.searchsorted(keys, want, "right")
-            ends = np.cumsum(hi - lo)
-            total, at = int(ends[-1]) if len(ends) else 0, 0
-            while at < total:
-                stop = min(total, at + PAIRS)
-                n = np.arange(at, stop)
-                i = np.searchsorted(ends, n, "right")
-                j = by[lo[i] + (n - (ends[i] - (hi - lo)[i]))]
-                ok = np.bitwise_count(x[i] ^ other[j]) <= bits
-                if y is None:
-                    ok &= i < j
-                yield i[ok], j[ok]
-                at = stop
+            want = cut[left] ^ np.uint64(m)
+            lo, hi = np.searchsorted(place, want << shift), np.searchsorted(place, (want + np.uint64(1)) << shift)
+            own = want << shift | root[left]
+            own_lo, own_hi = np.searchsorted(place, own, "left"), np.searchsorted(place, own, "right")
+            n = (hi - lo) - (own_hi - own_lo)
+            ends = np.cumsum(n)
+            total, done = int(ends[-1]), 0
+            while done < total:
+                stop = min(total, done + PAIRS)
+                pair = np.arange(done, stop)
+                i = np.searchsorted(ends, pair, "right")
+                at = lo[i] + (pair - (ends[i] - n[i]))
+                at += np.where(at >= own_lo[i], own_hi[i] - own_lo[i], 0)
+                j = by[at]
+                ok = np.bitwise_count(fps[left[i]] ^ fps[j]) <= bits
+                forest.join(left[i[ok]], j[ok])
+                done = stop
 
 
 def linked(classes: DataFrame, bits: int, shard: int = 1 << 14) -> DataFrame:
@@ -197,13 +213,7 @@ def linked(classes: DataFrame, bits: int, shard: int = 1 << 14) -> DataFrame:
         order = np.argsort(rep, kind="stable")  # so that roots are smallest ids
         fp, rep, own = fp[order], rep[order], own[order]
         forest = Forest(len(fp))
-        if i == j:
-            for a, b in near_pairs(fp, None, bits):
-                forest.join(a, b)
-        else:
-            left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-            for a, b in near_pairs(fp[left], fp[right], bits):
-                forest.join(left[a], right[b])
+        link_near(fp, np.flatnonzero(own == i), np.flatnonzero(own == j), bits, forest)
         root = forest.roots()
         moved = np.flatnonzero(root != np.arange(len(root)))
         return pa.table({"a": rep[moved], "b": rep[root[moved]]})
