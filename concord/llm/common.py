@@ -21,7 +21,7 @@ _SHIPPED: set[str] = set()
 
 
 #: Bytes of an Arrow batch on its way to and from a Python worker, set where the session has Spark's default of 64 MB.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 
 
 def _release() -> None:

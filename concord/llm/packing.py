@@ -112,7 +112,7 @@ def close_gaps(pieces: list[tuple], window: int) -> list[tuple]:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2048, end_id: int = 1,
-         ranks: str | None = None, batch_tokens: int = 4_000_000) -> DataFrame:
+         ranks: str | None = None, batch_tokens: int = 1_000_000) -> DataFrame:
     """Pack whole documents into windows of ``window`` tokens; one row per piece.
 
     A document is its text's token ids and then ``end_id``. Documents longer than a window are first cut into full
