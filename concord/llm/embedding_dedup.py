@@ -80,23 +80,25 @@ def classes_of(rows: DataFrame, id_col: str, vector_col: str, kind: str) -> Data
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95,
-                    spread_sigmas: float | None = 3.2, cell_rows: int | None = None) -> DataFrame:
+                    spread_sigmas: float | None = None, cell_rows: int | None = None) -> DataFrame:
     """The id, ``n_links``, ``component_id`` and ``kept`` of every vector; one row per row.
 
     Equal vectors are first united into one class with a count. Spherical k-means, fitted on a sample bounded by
-    ``SAMPLE_NUMBERS``, cuts the classes into cells; each class has a home cell and is a guest in the cells whose
-    boundary is within a margin. Home vectors are compared with all of their cell by blocked products in double
-    precision; only sums and a spanning forest of the links leave a task. Of the step between two vectors at the
-    threshold, sin(acos(threshold)), a boundary plane sees one coordinate, about 1 / sqrt(dimension) of it; the
-    margin is ``spread_sigmas`` such parts (recall at the threshold above 0.99, tested against brute force; closer
-    pairs more surely). None takes the whole step, with which no link can be lost, at the price of more copies.
+    ``SAMPLE_NUMBERS``, cuts the classes into cells. The step between two vectors at the threshold is
+    sin(acos(threshold)), so a class can link only into cells whose boundary plane is at most that far away. Of each
+    two cells one, alternately, takes the other's classes near their boundary as guests; home classes are compared
+    with all of their cell by blocked products in double precision, so that every pair meets once and no link is
+    lost. Only sums and a spanning forest of the links leave a task. ``spread_sigmas`` narrows the margin to so many
+    1 / sqrt(dimension) parts of the step, and loses links wherever differences do not spread evenly over the
+    dimensions.
 
     Vectors that are null, empty, zero or hold a null or non-finite number link with nothing, and so do rows with a
     null id; vectors link only within their dimension. Repeated rows are vectors of their own. ``component_id`` is
     the smallest id that links reach, ``kept`` is id = component_id. An empty table gives no rows; other columns
     are ignored.
     """
-    step = float(np.sqrt(max(0.0, 1 - threshold**2)))
+    step = float(np.sqrt(max(0.0, 1 - threshold**2))) if threshold > 0 else 1.0
+    step += 1e-7  # what rounding may add
     kind = "<f4" if rows.schema[vector_col].dataType.elementType.typeName() == "float" else "<f8"  # exact either way
     size = np.dtype(kind).itemsize
     every = written(classes_of(rows, id_col, vector_col, kind), "vectors")
@@ -124,6 +126,10 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
                     x = np.array([np.frombuffer(vectors[i].as_py(), kind) for i in at.tolist()], dtype=float)
                     margin = step if spread_sigmas is None else min(step, spread_sigmas * step / max(1, dim - 1) ** 0.5)
                     r, cell, home = cells_of(x / np.linalg.norm(x, axis=1)[:, None], models[dim], margin)
+                    own = np.empty(len(at), int)
+                    own[r[home]] = cell[home]
+                    stays = home | ((cell < own[r]) ^ ((cell + own[r]) % 2 == 1))
+                    r, cell, home = r[stays], cell[stays], home[stays]
                 else:
                     r, cell, home = np.arange(len(at)), np.zeros(len(at), int), np.ones(len(at), bool)
                 for a, b in chunks(len(r), 8192):
@@ -145,6 +151,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
         weight, home, own = table["n_rows"].to_numpy(), table["home"].to_numpy(), table["own"].to_numpy()
         forest, links = Forest(len(x)), np.zeros(len(x), np.int64)
         for left, right in {(i, j), (j, i)}:
+            # home vectors with each other in both directions, with guests once
             mine, others = np.flatnonzero(home & (own == left)), np.flatnonzero(own == right)
             for a, b in chunks(len(mine), 128):
                 m = mine[a:b]
@@ -152,8 +159,11 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
                 if left == right:
                     close &= m[:, None] != others
                 p, q = np.nonzero(close)
-                np.add.at(links, m[p], weight[others[q]])
-                forest.join(m[p], others[q])
+                p, q = m[p], others[q]
+                np.add.at(links, p, weight[q])
+                guest = ~home[q]
+                np.add.at(links, q[guest], weight[p[guest]])
+                forest.join(p, q)
         root = forest.roots()
         out = np.flatnonzero((links > 0) | (root != np.arange(len(root))))
         return pa.table({"key": table["key"].take(pa.array(out)).cast(pa.string()), "links": links[out], "a": rep[out], "b": rep[root[out]]})

@@ -81,3 +81,18 @@ def test_recall_at_the_threshold():
         row, cell, _ = ed.cells_of(x, centre, 3.2 * step / np.sqrt(dim - 1))
         held = set(zip(row.tolist(), cell.tolist()))
         assert np.mean([(i, c) in held for i, c in enumerate((y @ centre.T).argmax(1).tolist())]) >= 0.99
+
+
+@pytest.mark.parametrize("dim, rank", [(96, 6), (48, 48)])
+def test_default_margin_on_low_rank_vectors(spark, dim, rank, monkeypatch):
+    """Pairs exactly at the threshold whose differences lie in few dimensions, in several cells, with the defaults."""
+    monkeypatch.setattr(ed, "LEAST_CELL", 1)
+    rng = np.random.default_rng(3)
+    x, w = rng.normal(size=(2, 400, rank))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    w -= (w * x).sum(1)[:, None] * x
+    w /= np.linalg.norm(w, axis=1)[:, None]
+    cos = 0.95 + 1e-9
+    turn = np.linalg.qr(rng.normal(size=(dim, rank)))[0].T
+    data = list(enumerate((np.concatenate([x, cos * x + np.sqrt(1 - cos**2) * w]) @ turn).tolist()))
+    assert result(ed.near_duplicates(frame(spark, data), cell_rows=16)) == brute(data)
