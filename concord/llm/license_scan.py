@@ -11,14 +11,16 @@ from concord.llm.common import written
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 BASE_CONFIDENCE = 0.8
 
-#: License families: label, the words of its name as a pattern over normalised words, a keyword every match holds,
+#: License families: label, the words of its name as a pattern over normalised words, a keyword every match holds
+#: from a word's start,
 #: the versions that get a label of their own, and the words of its identifiers (also per version).
 FAMILIES = (
     ("apache", "apache (?:software )?license", "apache", ("1 0", "1 1", "2 0"), "apache"),
     ("mit", "mit license", "mit license", (), "mit"),
     ("isc", "isc license", "isc", (), "isc"),
     ("bsd", "bsd (?:style )?license", "bsd", (), "bsd"),
-    ("bsd-2-clause", "(?:bsd 2 clause(?: simplified)?|simplified bsd|freebsd)(?: license)?", "bsd", (), "bsd 2 clause"),
+    ("bsd-2-clause", "(?:bsd 2 clause(?: simplified)?|simplified bsd)(?: license)?", "bsd", (), "bsd 2 clause"),
+    ("bsd-2-clause", "freebsd(?: license)?", "freebsd", (), "bsd 2 clause"),
     ("bsd-3-clause", "(?:bsd 3 clause(?: new| revised)?|(?:new|revised|modified) bsd)(?: license)?", "bsd", (), "bsd 3 clause"),
     ("bsd-4-clause", "(?:bsd 4 clause|original bsd)(?: license)?", "bsd", (), "bsd 4 clause"),
     ("gnu-gpl", "gnu (?:general public license|gpl)", "gnu", ("1", "2", "3"), "gpl"),
@@ -58,7 +60,8 @@ FAMILIES = (
     ("beerware", "beer ?ware license", "beer", (), "beerware"),
     ("postgresql", "postgresql license", "postgresql", (), "postgresql"),
     ("json", "json license", "json license", (), "json"),
-    ("openrail", "(?:creativeml )?open ?rail(?: m)?(?: license)?", "rail", (), "openrail"),
+    ("openrail", "(?:creativeml )?openrail(?: m)?(?: license)?", "openrail", (), "openrail"),
+    ("openrail", "(?:creativeml )?open rail(?: m)?(?: license)?", "open rail", (), "openrail"),
     ("llama", "llama(?: 2| 3)? community license", "community license", (), "llama"),
 )
 #: Creative Commons licenses are named by element words; their labels follow from those.
@@ -80,7 +83,8 @@ PHRASES = (
     ("redistribution", "redistribution and use in source and binary forms", "redistribution and use", 3, 0.95),
     ("proprietary", "(?:proprietary and confidential|confidential and proprietary)", "confidential", 2, 0.8),
     ("proprietary", "(?:may not be|no part (?:of this )?(?:\\S+ )?may be) (?:reproduced|copied|distributed)", "may", 2, 0.7),
-    ("non-commercial", "for (?:personal and )?non ?commercial use(?: only)?", "commercial use", 2, 0.7),
+    ("non-commercial", "for (?:personal and )?noncommercial use(?: only)?", "noncommercial use", 2, 0.7),
+    ("non-commercial", "for (?:personal and )?non commercial use(?: only)?", "non commercial use", 2, 0.7),
     ("terms-of-use", "(?:subject to|under) (?:the|our|these) terms of (?:use|service)", "terms of", 1, 0.5),
     ("license-reference", "see (?:the )?licen[cs]e (?:file )?for (?:more )?(?:details|information)", "see", 1, 0.4),
 )
@@ -110,7 +114,7 @@ def rules() -> list[tuple[str, str, str, int, float]]:
             found += [(f"cc-{label}-{v.replace(' ', '.')}", f"{short} {v}", short, 4 + label.count("-"), 0.95),
                       (f"cc-{label}-{v.replace(' ', '.')}", f"creative commons {words} {v}", "creative commons", 4 + label.count("-"), 0.95),
                       (f"cc-{label}-{v.replace(' ', '.')}", GRANT + f"{short} {v}", short, 5 + label.count("-"), 0.95)]
-    return found + list(PHRASES)
+    return list(dict.fromkeys(found + list(PHRASES)))  # families of one label share identifiers
 
 
 def _sql_text(s: str) -> str:

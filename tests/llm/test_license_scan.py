@@ -76,3 +76,37 @@ def test_rules():
 def test_plan_is_native(spark, node, capsys):
     license_scan.scan(awkward.frame(spark)).explain()
     assert node not in capsys.readouterr().out
+
+
+def strings(parsed):
+    """Every string of a parsed pattern, with one character for each class and one turn for each open repeat."""
+    found = [""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            parts = [chr(arg)]
+        elif name == "IN":
+            parts = [chr(v) if str(o) == "LITERAL" else "1" if str(o) == "RANGE" else "x" for o, v in arg]
+        elif name == "SUBPATTERN":
+            parts = strings(arg[3])
+        elif name == "BRANCH":
+            parts = [t for branch in arg[1] for t in strings(branch)]
+        elif name == "MAX_REPEAT":
+            parts = [t * n for n in {arg[0], min(arg[1], max(arg[0], 1))} for t in strings(arg[2])]
+        else:
+            raise ValueError(name)
+        found = [a + b for a in found for b in parts]
+    return found
+
+
+def test_every_match_holds_its_keyword():
+    for _, pattern, keyword, _, _ in rules():
+        every = strings(re._parser.parse(pattern))
+        assert all(re.fullmatch(pattern, t) for t in every)
+        assert [t for t in every if f" {keyword}" not in f" {t}"] == []
+
+
+def test_words_that_do_not_start_with_the_name(spark):
+    cases = {"FreeBSD License": "bsd-2-clause", "CreativeML OpenRAIL-M": "openrail", "for noncommercial use only": "non-commercial"}
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in license_scan.scan(docs).collect()} == dict(enumerate(cases.values()))
