@@ -115,7 +115,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
          ranks: str | None = None, batch_tokens: int = 1_000_000) -> DataFrame:
     """Pack whole documents into windows of ``window`` tokens; one row per piece.
 
-    A document is its text's token ids and then ``end_id``. Documents longer than a window are first cut into full
+    A document is its text's token ids (strings of added tokens as these) and then ``end_id``. Documents longer than a window are first cut into full
     windows; the remainders of a batch are placed by best-fit decreasing, and the gaps are closed by cutting (see
     :func:`close_gaps`). Each task packs its own rows in batches of about ``batch_tokens`` remainder tokens: no
     shuffle, memory bounded by the batch and the longest text. ``sequence_id`` is the task's number times 2^33
@@ -152,7 +152,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
             for a, b in chunks(batch.num_rows, 256):
                 part = batch.slice(a, b - a)
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = np.append(encode(text), np.uint32(end_id))
+                    ids = np.append(encode(text, added=True), np.uint32(end_id))
                     whole = len(ids) // window * window
                     full += [(doc, s, ids[s:s + window], len(ids), k, 0)
                              for k, s in enumerate(range(0, whole, window), len(full))]

@@ -102,3 +102,16 @@ def test_gaps_are_closed(lengths):
 @given(st.text(max_size=80))
 def test_ids_are_those_of_tokenizers(text):
     assert encoder(byte_bpe()).ids(text).tolist() == tokenizer().encode(text, add_special_tokens=False).ids
+
+
+def test_added_token_in_a_text(spark):
+    """As an unchanged tokenizer gives it."""
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "x  <|endoftext|>  <|endoftext|> y\n", "<|endoftext", "é <|endoftext|>", "<|endoftext|>"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 50256, 65]
+    assert [encoder(byte_bpe()).ids(t, added=True).tolist() for t in texts] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["doc_tokens"] for r in packing.pack(docs).collect()} == {i: len(w) + 1 for i, w in enumerate(want)}
