@@ -20,6 +20,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")  # 16 characters or more
 HEX = re.compile(r"[0-9a-f]{32,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 LEAST_ASSIGNED = 8
+#: Characters of a part of a run that can look random; the parts of UUIDs, paths and slugs are shorter.
+LEAST_PART = 16
 
 #: Kinds that the method adds, after the base kinds: well-known formats, and any long run that looks random.
 ADDED = {
@@ -37,11 +39,23 @@ FOUND = "array<struct<start:long,stop:long,kind:int,hash:string>>"
 
 
 def looks_random(run: str) -> bool:
-    """Letters and digits mixed, with at least 3 bits of entropy a character."""
-    if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
-        return False
-    n = len(run)
-    return -sum(k / n * math.log2(k / n) for k in Counter(run).values()) >= 3.0
+    """A part of at least ``LEAST_PART`` characters between separators that words, paths and dates do not give: digits
+    in several places, letters and digits (and cases, if both occur) in frequent change, 3 bits of entropy a character.
+
+    In random runs neighbours differ in class at 0.62 (both cases) or 0.40 (one case) of the places, in identifiers
+    at about half of that.
+    """
+    for part in re.split(r"[/_=+-]+", run):
+        n = len(part)
+        if n < LEAST_PART:
+            continue
+        kinds = "".join("0" if c.isdigit() else "A" if c.isupper() else "a" for c in part)
+        both = "A" in kinds and "a" in kinds
+        changes = sum(a != b for a, b in zip(kinds, kinds[1:])) / (n - 1)
+        if (len(set(kinds)) > 1 and len(re.findall("0+", kinds)) >= (2 if both else 3) and changes >= (0.4 if both else 0.2)
+                and -sum(k / n * math.log2(k / n) for k in Counter(part).values()) >= 3.0):
+            return True
+    return False
 
 
 def candidates(text: str | None) -> list[dict]:

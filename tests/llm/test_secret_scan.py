@@ -81,3 +81,20 @@ def test_awkward_rows(spark):
     out = secret_scan.redact(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
     assert secret_scan.scan(awkward.empty(spark)).count() == 0 == secret_scan.redact(awkward.empty(spark)).count()
+
+
+CLEAN = ["see 2024/05/12/how-to-bake-bread", "in src/components/v2/Button.tsx", "annual-report-2023-final", "usr/lib/python3/dist-packages",
+         "base64EncodedSha256Hash and getElementById2Wrapper", "id 550e8400-e29b-41d4-a716-446655440000", "windows-server-2019-datacenter-x64"]
+
+
+def test_paths_slugs_and_identifiers_pass_unchanged(spark):
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(CLEAN)], "doc_id long, text string, source string")
+    assert {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()} == dict(enumerate(CLEAN))
+
+
+def test_random_runs_are_still_found():
+    import random
+    rng = random.Random(5)
+    for letters in ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyz0123456789"):
+        runs = ["".join(rng.choices(letters, k=40)) for _ in range(2000)]
+        assert sum(map(secret_scan.looks_random, runs)) >= 1960
