@@ -146,3 +146,17 @@ def test_too_many_forms_raise(spark, monkeypatch):
     scripts = spark.createDataFrame([(str(i), f"SELECT a{i} INTO v FROM t; ") for i in range(4)], "script_id string, sql string")
     with pytest.raises(ValueError, match="more than 2 forms"):
         jobs.resolve_variables(spark, scripts)
+
+
+def test_variables_compare_as_the_engine_does(spark):
+    spark.sql("""SELECT 5 AS id, CAST(10 AS DECIMAL(12,2)) AS price, 10.0D AS d, CAST(0.1 AS FLOAT) AS f, TIMESTAMP '2024-01-01 00:00:00' AS ts,
+                 DATE '2024-01-01' AS day, '7' AS tag, 'hit' AS v UNION ALL
+                 SELECT 7, 0.5, 0.1D, CAST(2 AS FLOAT), TIMESTAMP '2024-02-01 10:00:00', DATE '2024-02-01', '5', 'other'""").createOrReplaceTempView("typed")
+    tails = ["price = 10", "price = 10.000", "price = +10", "price = 10.001", "price = .5", "d = 10", "d = 0.1", "f = 0.1", "f = 2", "id = +5", "id = 007",
+             "id = 5.0", "id = 5.5", "id = '5'", "ts = '2024-01-01'", "ts = '2024-02-01 10:00:00'", "day = '2024-01-01'", "tag = 7", "tag = '7'",
+             "price = '10'", "id = -5", "id = 99999999999999999999999"]
+    scripts = spark.createDataFrame([(t, f"DECLARE v DATE; BEGIN SELECT max(v) INTO x FROM typed WHERE {t}; END; /\nselect x from t") for t in tails],
+                                    "script_id string, sql string")
+    want = {t: spark.sql(f"SELECT max(v) FROM typed WHERE {t}").first()[0] for t in tails}
+    assert {r.script_id: r.value for r in jobs.resolve_variables(spark, scripts)[1].collect()} == want
+    assert want["price = 10"] == want["id = +5"] == want["ts = '2024-01-01'"] == "hit"
