@@ -222,12 +222,16 @@ def linked(classes: DataFrame, bits: int, shard: int = 1 << 14) -> DataFrame:
 
 
 def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, bits: int) -> DataFrame:
-    """The columns of :func:`fingerprints` with ``component``, the smallest node that links reach; one row per row."""
+    """The columns of :func:`fingerprints` with ``grp``, the smallest fingerprint that links reach, and ``component``, the
+    smallest node of its rows; one row per row. Fingerprints, not ids, name the classes, for ids may repeat."""
     fps = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     classes = written(fps.groupBy("fp").agg(F.min("node").alias("rep"), F.count("*").alias("n_rows")), "classes")
-    sets = components(linked(classes, bits))
-    known = classes.join(sets.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "fp", F.coalesce("component", "rep").alias("component"), "n_rows")
+    sets = components(linked(classes.withColumn("rep", F.col("fp")), bits))
+    placed = written(classes.join(sets.select(F.col("node").alias("fp"), F.col("component").alias("grp")), "fp", "left").select(
+        "fp", F.coalesce("grp", "fp").alias("grp"), "rep", "n_rows"), "placed")
+    least = written(placed.groupBy("grp").agg(F.min("rep").alias("component"), F.count("*").alias("n_rows")), "least")
+    known = lookup(placed.select("fp", "grp", F.col("n_rows").alias("n")), least, "grp").select(
+        "fp", "grp", "component", F.col("n").alias("n_rows"))
     return lookup(fps, written(known, "known"), "fp")
 
 
@@ -253,9 +257,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     counted small; otherwise texts are shuffled once.
     """
     same = F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("key")).alias("_row")
-    rows = written(grouped(docs, id_col, text_col, shingle, bits).select("component", F.struct(
+    rows = written(grouped(docs, id_col, text_col, shingle, bits).select("grp", F.struct(
         F.when(F.col("id").isNull(), F.lit(NULL_ID)).otherwise(F.col("id")).alias("n"), "key").alias("at"), same), "groups")
-    stay = written(rows.groupBy("component").agg(F.min_by("_row", "at").alias("_row")).select("_row"), "stay")
+    stay = written(rows.groupBy("grp").agg(F.min_by("_row", "at").alias("_row")).select("_row"), "stay")
     every = rows.groupBy("_row").agg(F.count("*").alias("n"))
     go = written(every.join(stay, "_row", "left_anti"), "go")
     again = written(every.where("n > 1").join(stay, "_row").select("_row"), "again")

@@ -100,3 +100,14 @@ def test_components_of_chains_and_hubs(spark, monkeypatch):
     got = {r["node"]: r["component"] for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = {i: 100 for i in range(100, 161)} | {i: 7 for i in [7, 5000, *range(1000, 1080)]} | {8: 8, 9: 8}
     assert got == want
+
+
+def test_one_id_with_unlike_texts_is_two_groups(spark):
+    """Rows 5 repeat an id; the second is near row 3 only, which row 5's other text must not join."""
+    one, two = (" ".join(f"{w}{i}" for i in range(60)) for w in ("ash", "oak"))
+    docs = spark.createDataFrame([(5, one), (5, two), (3, two), (4, one)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(docs).collect())
+    assert got == [(3, 3), (4, 4), (5, 3), (5, 4)]
+    assert sorted(map(tuple, simhash.keep_one(docs).collect())) == [(3, two), (4, one)]
+    docs = spark.createDataFrame([(5, one), (5, two)], "doc_id long, text string")
+    assert simhash.keep_one(docs).count() == 2
