@@ -88,7 +88,7 @@ def test_default_margin_on_low_rank_vectors(spark, dim, rank, monkeypatch):
     """Pairs exactly at the threshold whose differences lie in few dimensions, in several cells, with the defaults."""
     monkeypatch.setattr(ed, "LEAST_CELL", 1)
     rng = np.random.default_rng(3)
-    x, w = rng.normal(size=(2, 400, rank))
+    x, w = rng.normal(size=(2, 120, rank))
     x /= np.linalg.norm(x, axis=1)[:, None]
     w -= (w * x).sum(1)[:, None] * x
     w /= np.linalg.norm(w, axis=1)[:, None]
