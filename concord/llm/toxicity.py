@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.llm.common import lean, written
+from concord.llm.common import BROADCAST_ROWS, lean, written
 
 #: N-grams are hashed into this many cells, which bounds the model whatever the texts.
 CELLS = 1 << 18
@@ -205,11 +205,13 @@ def held_out(id_col: str = "doc_id"):
 
 
 def train_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """``text`` and ``label`` of labelled rows outside the held-out fold. Ids whose labels are null or contradict each other are left out."""
-    clear = labels.where(F.col(label_col).isin(0, 1)).groupBy(id_col).agg(
-        F.min(label_col).cast("int").alias("_label"), F.max(label_col).alias("_other")).where("_label = _other").select(F.col(id_col).alias("_id"), "_label")
+    """``text`` and ``label`` of labelled rows outside the held-out fold, as a written table. Ids whose labels are null or contradict each
+    other are left out. Labels counted under ``BROADCAST_ROWS`` are broadcast; with more, texts are shuffled once."""
+    clear = written(labels.where(F.col(label_col).isin(0, 1)).groupBy(id_col).agg(
+        F.min(label_col).cast("int").alias("_label"), F.max(label_col).alias("_other")).where("_label = _other").select(F.col(id_col).alias("_id"), "_label"), "labels")
+    clear = F.broadcast(clear) if clear.count() <= BROADCAST_ROWS else clear
     rows = docs.where(~held_out(id_col)).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.join(clear, "_id").select("text", F.col("_label").alias("label"))
+    return written(rows.join(clear, "_id").select("text", F.col("_label").alias("label")), "train")
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
