@@ -4,7 +4,7 @@ from conftest_paths import SF001
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from concord.llm import packing
+from concord.llm import packing, tokens
 from concord.llm.tokens import byte_bpe, encoder
 
 
@@ -115,3 +115,28 @@ def test_added_token_in_a_text(spark):
     assert [encoder(byte_bpe()).ids(t, added=True).tolist() for t in texts] == want
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r["doc_id"]: r["doc_tokens"] for r in packing.pack(docs).collect()} == {i: len(w) + 1 for i, w in enumerate(want)}
+
+
+BLANKS = [" ", "\n", "\t", "\u00a0"]
+
+
+def test_long_runs_of_white_space_get_the_same_ids():
+    """Two million characters of white space, of each kind and with text around, as an unchanged tokenizer has them."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    plain, encoder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), tokens.encoder(tokens.byte_bpe())
+    for blank in BLANKS:
+        text = "one<|endoftext|>" + blank * 2_000_000 + "two " + blank * 3
+        assert encoder.ids(text, added=True).tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert 50256 not in encoder.ids(text)[:10]
+    assert len(tokens._LONG_BLANK.findall((" " * (tokens.LONG_BLANK - 1) + "x") * 20)) == 0
+
+
+def test_long_runs_of_white_space_are_packed(spark):
+    from concord.llm import token_count
+    rows = [(i, "a" + blank * 1_200_000 + "b") for i, blank in enumerate(BLANKS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    encoder = tokens.encoder(tokens.byte_bpe())
+    want = {i: len(encoder.ids(t)) for i, t in rows}
+    assert {r["doc_id"]: r["n"] - 1 for r in packing.pack(docs).groupBy("doc_id").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()} == want
+    assert {r["doc_id"]: r["n_tokens"] for r in token_count.count_texts(docs).collect()} == want
