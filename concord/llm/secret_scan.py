@@ -23,11 +23,12 @@ LEAST_ASSIGNED = 8
 #: Characters of a part of a run that can look random; the parts of UUIDs, paths and slugs are shorter.
 LEAST_PART = 16
 
-#: Kinds that the method adds, after the base kinds: well-known formats, and any long run that looks random.
+#: Kinds that the method adds, after the base kinds: well-known formats, and any long run that looks random. Each pattern
+#: is linear in the text: it starts once in a run of its characters, or cannot pass its own start again.
 ADDED = {
     "forge": re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}"),
     "chat": re.compile(r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    "jwt": re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    "jwt": re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]+"),
     "pem": re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]+"),
     "login": re.compile(r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,64}:[^\s/@]{3,}@"),
     "random": re.compile(r"[A-Za-z0-9+/_=-]{20,}"),
