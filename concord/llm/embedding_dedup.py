@@ -37,17 +37,29 @@ def centroids(sample: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np
     return centre
 
 
-def cells_of(unit: np.ndarray, centre: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unit_rows(vectors: list[bytes], kind: str) -> np.ndarray:
+    """Rows of length 1. They are first scaled by a power of two, which is exact, so that no square over- or underflows."""
+    x = np.array([np.frombuffer(v, kind) for v in vectors], dtype=float)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def gaps(centre: np.ndarray) -> np.ndarray:
+    """Distances of all pairs of centres."""
+    square = (centre**2).sum(1)
+    return np.sqrt(np.maximum(0, square[:, None] + square - 2 * centre @ centre.T))
+
+
+def cells_of(unit: np.ndarray, centre: np.ndarray, gap: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, cell, home) of every cell that holds a vector: its nearest, and as a guest each one whose boundary
-    plane with the nearest is at most ``margin`` away (sine of the angle)."""
+    plane with the nearest is at most ``margin`` away (sine of the angle); ``gap`` holds the centres' distances."""
     rows, cells, home = [], [], []
-    gap = np.linalg.norm(centre[:, None] - centre[None], axis=2)
     for a, b in chunks(len(unit), 2048):
         near = unit[a:b] @ centre.T
         best = near.argmax(1)
         step = gap[best]
         far = near[np.arange(b - a), best][:, None] - near
-        r, c = np.nonzero(far <= margin * step)
+        r, c = np.nonzero(far <= margin * step + 1e-9)
         rows.append(r + a)
         cells.append(c)
         home.append(c == best[r])
@@ -103,8 +115,9 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     size = np.dtype(kind).itemsize
     every = written(classes_of(rows, id_col, vector_col, kind), "vectors")
     linking = every.where("key is not null and id is not null")
-    classes = written(linking.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("n_rows"),
-                                                 F.first("vector").alias("vector")), "classes")
+    # a class is a node of its own: ids may repeat with other vectors
+    classes = written(linking.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("n_rows"), F.first("vector").alias("vector"))
+                      .withColumn("node", F.monotonically_increasing_id()), "classes")
     shape = classes.groupBy(F.length("vector").alias("bytes")).agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(16).collect()
     models: dict[int, np.ndarray] = {}
     for r in shape:  # dimensions beyond the 16 most usual are one cell each
@@ -113,19 +126,19 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
         bound = max(64, min(r["n"], SAMPLE_NUMBERS // dim))
         if want > 1:
             pick = classes.where(F.length("vector") == r["bytes"]).orderBy("key").limit(bound).select("vector").collect()
-            sample = np.array([np.frombuffer(x[0], kind) for x in pick], dtype=float)
-            models[dim] = centroids(sample / np.linalg.norm(sample, axis=1)[:, None], want)
+            models[dim] = centroids(unit_rows([x[0] for x in pick], kind), want)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gap = {dim: gaps(centre) for dim, centre in models.items()}
         for batch in batches:
             vectors = batch.column(3)
             dims = np.array([len(v) // size for v in vectors.to_pylist()], dtype=int)
             for dim in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == dim)
                 if dim in models:
-                    x = np.array([np.frombuffer(vectors[i].as_py(), kind) for i in at.tolist()], dtype=float)
+                    x = unit_rows([vectors[i].as_py() for i in at.tolist()], kind)
                     margin = step if spread_sigmas is None else min(step, spread_sigmas * step / max(1, dim - 1) ** 0.5)
-                    r, cell, home = cells_of(x / np.linalg.norm(x, axis=1)[:, None], models[dim], margin)
+                    r, cell, home = cells_of(x, models[dim], gap[dim], margin)
                     own = np.empty(len(at), int)
                     own[r[home]] = cell[home]
                     stays = home | ((cell < own[r]) ^ ((cell + own[r]) % 2 == 1))
@@ -137,17 +150,18 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([f"{dim}:{c}" for c in cell[a:b].tolist()]), pa.array(home[a:b]),
                          *(batch.column(k).take(take) for k in range(4))],
-                        ["cell", "home", "key", "rep", "n_rows", "vector"])
+                        ["cell", "home", "key", "node", "n_rows", "vector"])
 
-    members = written(spread(classes.select("key", "rep", "n_rows", "vector")).mapInArrow(
-        lean(deal), "cell string, home boolean, key string, rep long, n_rows long, vector binary"), "cells")
+    members = written(spread(classes.select("key", "node", "n_rows", "vector")).mapInArrow(
+        lean(deal), "cell string, home boolean, key string, node long, n_rows long, vector binary"), "cells")
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        table = table.take(pa.array(np.argsort(table["rep"].to_numpy(), kind="stable")))  # so that roots are smallest
+        table = table.take(pa.array(np.argsort(table["node"].to_numpy(), kind="stable")))  # so that roots are smallest
         x = np.array([np.frombuffer(v, kind) for v in table["vector"].to_pylist()], dtype=float)
-        norm, rep = np.linalg.norm(x, axis=1), table["rep"].to_numpy()
+        x = np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])  # exact, against over- and underflow
+        norm, node = np.linalg.norm(x, axis=1), table["node"].to_numpy()
         weight, home, own = table["n_rows"].to_numpy(), table["home"].to_numpy(), table["own"].to_numpy()
         forest, links = Forest(len(x)), np.zeros(len(x), np.int64)
         for left, right in {(i, j), (j, i)}:
@@ -166,17 +180,18 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
                 forest.join(p, q)
         root = forest.roots()
         out = np.flatnonzero((links > 0) | (root != np.arange(len(root))))
-        return pa.table({"key": table["key"].take(pa.array(out)).cast(pa.string()), "links": links[out], "a": rep[out], "b": rep[root[out]]})
+        return pa.table({"key": table["key"].take(pa.array(out)).cast(pa.string()), "links": links[out], "a": node[out], "b": node[root[out]]})
 
     widest = max((r["bytes"] // size for r in shape), default=1)
     found = written(block_tasks(members, "cell", "key", max(4, BLOCK_NUMBERS // widest)).groupBy("cell", "i", "j").applyInArrow(
         compare, "key string, links long, a long, b long"), "links")
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
-    sets = components(found.select("a", "b"))
-    known = classes.select("key", "rep", "n_rows").join(links, "key", "left").join(
-        sets.withColumnRenamed("node", "rep"), "rep", "left").select(
+    sets = written(components(found.select("a", "b")).join(classes.select("node", "rep"), "node"), "sets")
+    least = written(sets.groupBy("component").agg(F.min("rep").alias("least"), F.count("*").alias("n_rows")), "least")
+    known = classes.select("key", "node", "rep", "n_rows").join(links, "key", "left").join(
+        lookup(sets.select("node", "component"), least, "component").select("node", "least"), "node", "left").select(
         "key", "n_rows", (F.coalesce("links", F.lit(0)) + F.col("n_rows") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"))
+        F.coalesce("least", "rep").alias("component_id"))
     done = lookup(every.drop("vector").withColumn("_at", F.when(F.col("id").isNotNull(), F.col("key"))).drop("key"),
                   written(known, "known").withColumnRenamed("key", "_at"), "_at", "left")
     component = F.coalesce("component_id", "id")

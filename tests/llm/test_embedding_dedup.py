@@ -66,10 +66,10 @@ def test_awkward_vectors(spark):
     assert ed.near_duplicates(frame(spark, [])).count() == 0
 
 
-def test_recall_at_the_threshold():
-    """Pairs exactly at the threshold, the hardest: the second vector is a guest in the first one's cell."""
+def test_every_pair_at_the_threshold_meets():
+    """Pairs exactly at the threshold, the hardest: with the default margin, the second vector is always held by the first one's cell."""
     rng = np.random.default_rng(0)
-    for dim, n in ((64, 8000), (32, 8000), (128, 4000)):
+    for dim, n in ((64, 4000), (8, 4000), (128, 2000)):
         x = rng.normal(size=(n, dim))
         x /= np.linalg.norm(x, axis=1)[:, None]
         w = rng.normal(size=(n, dim))
@@ -78,9 +78,26 @@ def test_recall_at_the_threshold():
         step = np.sqrt(1 - 0.95**2)
         y = 0.95 * x + step * w
         centre = ed.centroids(x, 12)
-        row, cell, _ = ed.cells_of(x, centre, 3.2 * step / np.sqrt(dim - 1))
+        row, cell, _ = ed.cells_of(x, centre, ed.gaps(centre), step + 1e-7)
         held = set(zip(row.tolist(), cell.tolist()))
-        assert np.mean([(i, c) in held for i, c in enumerate((y @ centre.T).argmax(1).tolist())]) >= 0.99
+        assert all((i, c) in held for i, c in enumerate((y @ centre.T).argmax(1).tolist()))
+
+
+def test_one_id_with_unlike_vectors(spark):
+    """Classes are not named by ids: rows that share one stay apart."""
+    data = [(8, [1.0, 0.0]), (3, [0.999, 0.001]), (8, [0.0, 1.0]), (5, [0.0, 2.0]), (8, [-1.0, 0.0])]
+    assert result(ed.near_duplicates(frame(spark, data))) == brute(data)
+
+
+def test_huge_and_tiny_components(spark):
+    data = [(1, [1e300, 1e300]), (2, [1.0, 1.0]), (3, [1e-300, 1.1e-300]), (4, [1e-320, 0.0]), (5, [1e308, -1e308])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in ed.near_duplicates(frame(spark, data)).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (0, 5)}
+
+
+def test_distances_of_centres():
+    centre = np.random.default_rng(1).normal(size=(20, 7))
+    assert np.allclose(ed.gaps(centre), np.linalg.norm(centre[:, None] - centre[None], axis=2), atol=1e-6)
 
 
 @pytest.mark.parametrize("dim, rank", [(96, 6), (48, 48)])
