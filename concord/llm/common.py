@@ -113,7 +113,7 @@ def lookup(big: DataFrame, table: DataFrame, key: str, how: str = "inner", floor
 def text_key(text: Column) -> Column:
     """128 bits of a text as hex; a null text counts as empty."""
     t = F.coalesce(text.cast("string"), F.lit(""))
-    return F.concat(F.hex(F.xxhash64(t)), F.lit("-"), F.hex(F.xxhash64(t, F.lit(1))))
+    return F.concat(F.hex(F.xxhash64(t)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), t)))
 
 
 def boxed(docs: DataFrame) -> DataFrame:
