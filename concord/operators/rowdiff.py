@@ -43,13 +43,8 @@ def column_differences(source: DataFrame, target: DataFrame) -> list[tuple[str,
     return out
 
 
-def row_multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows whose multiplicity differs: ``(<row columns>, source_count, target_count)``.
-
-    Values are compared at a common type per column (``functions.canonical``), so a retyped copy of a table
-    is equal to it. Without ``columns`` every column takes part, and one that a side lacks or that has no common
-    type raises; name the columns to compare only those, or use ``row_report`` to get such columns as rows.
-    """
+def comparable(source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame, dict[str, str]]:
+    """Both sides over ``columns`` with their row hashes, and the type in which each column is shown."""
     if columns is None:
         bad = column_differences(source, target)
         if bad:
@@ -68,7 +63,17 @@ def row_multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[st
         names = {n.lower(): n for n in df.columns}
         return with_row_hash(df.select(*[F.col(names[c.lower()]).alias(c) for c in columns]), order, kinds)
 
-    s, t = hashed(source), hashed(target)
+    return hashed(source), hashed(target), {c: shown_type(*p) for c, p in pairs.items()}
+
+
+def row_multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows whose multiplicity differs: ``(<row columns>, source_count, target_count)``.
+
+    Values are compared at a common type per column (``functions.canonical``), so a retyped copy of a table
+    is equal to it. Without ``columns`` every column takes part, and one that a side lacks or that has no common
+    type raises; name the columns to compare only those, or use ``row_report`` to get such columns as rows.
+    """
+    s, t, shown = comparable(source, target, columns)
     sc = s.groupBy(*H).agg(F.count(F.lit(1)).alias("source_count"))
     tc = t.groupBy(*H).agg(F.count(F.lit(1)).alias("target_count"))
     d = sc.join(tc.hint("merge"), H, "full_outer").select(
@@ -80,8 +85,8 @@ def row_multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[st
 
     def rows_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
         found = df.join(F.broadcast(wanted) if few else wanted.hint("merge"), H)
-        shown = [F.col(c).cast(shown_type(*pairs[c])).alias(c) for c in columns]
-        return found.select(*H, *shown, "source_count", "target_count").dropDuplicates(H)
+        values = [F.col(c).cast(kind).alias(c) for c, kind in shown.items()]
+        return found.select(*H, *values, "source_count", "target_count").dropDuplicates(H)
 
     return rows_of(s, d.where("source_count > 0")).unionByName(rows_of(t, d.where("source_count = 0"))).drop(*H)
 
