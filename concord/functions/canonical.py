@@ -57,7 +57,7 @@ def shown_type(a: DataType, b: DataType) -> str:
     return a.simpleString()
 
 
-def _hashable(c: Column, dtype: DataType, kind: str) -> list[Column]:
+def hashable(c: Column, dtype: DataType, kind: str) -> list[Column]:
     if kind == "integer":
         return [c.cast("long")]
     if kind == "double":
@@ -84,7 +84,7 @@ def with_row_hash(df: DataFrame, columns: Sequence[str] | None = None, kinds: Ma
     """
     columns = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
-    vals = [v for c in columns for v in _hashable(F.col(c), types[c], (kinds or {}).get(c) or common_kind(types[c], types[c]))]
+    vals = [v for c in columns for v in hashable(F.col(c), types[c], (kinds or {}).get(c) or common_kind(types[c], types[c]))]
     masks = []
     for start in range(0, len(columns), 62):
         m = F.lit(0).cast("long")
