@@ -7,12 +7,9 @@ cluster.
 
 Stages (L2): a table never produced by a unit is stage 0; a produced table is
 ``1 + max(stage of the sources feeding its producers)``, 1 when it has no
-source; a table feeding itself does not count. Stages are found by peeling the
-graph level by level: each round resolves the tables whose every source is
-already resolved. The number of rounds is the depth of the graph; see
-``compute_stages`` for what a round costs. Tables on or behind a cycle never resolve: they get
-``stage = NULL, in_cycle = true`` (the reference's answer there depends on the
-alphabetical order of a depth-first walk).
+source; a table feeding itself does not count. Tables that feed each other (a cycle) share a
+stage: one more than the greatest of the sources outside the cycle. Tables behind a
+cycle follow as usual. See ``compute_stages`` for how stages are found and what that costs.
 """
 
 from __future__ import annotations
@@ -21,10 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concord.functions.stored import stored, stored_path
+from concord.operators.chains import BROADCAST_ROWS, ascend, sized
+from concord.operators.cycles import strong_components
 from concord.session import ensure_checkpoint_dir
 
-BROADCAST_ROWS = 200_000  # a name and a number each
-
 UNITS_SCHEMA = "unit_id string, unit_order long, sources array<string>, targets array<string>"
 
 
@@ -60,91 +57,131 @@ def unmapped_sources(units: DataFrame, mapping: DataFrame, key: str = "source_ta
 def _kept_partitioned(df: DataFrame, *keys: str) -> DataFrame:
     """A reliable checkpoint of ``df`` hash-partitioned by ``keys`` that joins on them need not shuffle again.
 
-    A checkpoint taken under adaptive execution forgets its partitioning, so it is taken without.
+    A checkpoint taken under adaptive execution forgets its partitioning, so it is taken without, in a session of its own:
+    the caller's settings stay as they are for every other query. Join it from the right: a join runs in its left side's session.
     """
-    conf = df.sparkSession.conf
-    adaptive = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df.repartition(int(conf.get("spark.sql.shuffle.partitions")), *keys).checkpoint()
-    finally:
-        conf.set("spark.sql.adaptive.enabled", adaptive)
-
+    own = df.sparkSession.newSession()
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    path, n = stored_path(own, "kept"), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.write.parquet(path)
+    return own.read.schema(df.schema).parquet(path).repartition(n, *keys).checkpoint()
 
-def _sized(df: DataFrame) -> tuple[DataFrame, int]:
-    """``df`` (a stored table) to be joined: broadcast when counted small, else by a merge join."""
-    n = df.count()
-    return (F.broadcast(df) if n <= BROADCAST_ROWS else df.hint("merge")), n
 
+def _frontier_rounds(edges: DataFrame, start: DataFrame, hot_share: int, salts: int) -> DataFrame:
+    """``table_name``, ``stage`` of all that resolves from ``start`` (the same columns) over ``edges`` (source, table_name, w), distinct.
 
-def compute_stages(units: DataFrame, hot_share: int = 1000, salts: int = 32) -> DataFrame:
-    """L2: ``(table_name, stage, in_cycle)`` for every table.
-
-    Frontier propagation: ``needs`` counts each produced table's sources; round ``r`` counts the edges that leave the
-    tables resolved in round ``r-1`` (the frontier) per target, adds them to what the target had before, and the
-    targets that reach their count are the next frontier, with stage ``r``. What a round costs: a scan of the edge
-    table, which stays partitioned by (source, salt), and a scan of ``needs``, which stays partitioned by table, both
-    without an exchange; a shuffle of the round's hits and of the partly resolved tables (``waiting``) only. A frontier or
-    ``waiting`` counted under ``BROADCAST_ROWS`` is broadcast, a larger one merge-joined. Resolved rows are appended to
-    one table. Sources with more than ``1/hot_share`` of all edges are salted over ``salts`` sub-keys.
+    ``needs`` counts each table's sources; a round counts the edges that leave the tables resolved in the round before (the frontier)
+    per target, adds them to what the target had before, and the targets that reach their count are the next frontier. A round
+    scans the edge table, which stays partitioned by (source, salt), and ``needs``, which stays partitioned by table, both
+    without an exchange; it shuffles its hits and the partly resolved tables (``waiting``). A frontier or ``waiting`` counted under
+    ``BROADCAST_ROWS`` is broadcast, a larger one merge-joined. Resolved rows are appended to one table.
     """
-    ensure_checkpoint_dir(units.sparkSession)
-    # (produced table, source); NULL source = produced without a source or only from itself.
-    deps = stored(units.select(F.explode("targets").alias("table_name"), "sources")
-                  .select("table_name", F.explode_outer("sources").alias("source"))
-                  .select("table_name", F.when(F.col("source") != F.col("table_name"), F.col("source")).alias("source")), "deps")
-    # Duplicate edges need no de-duplication: they count in `needs` and in the
-    # hits alike, so a table still reaches its count in the right round.
-    raw_edges = deps.where(F.col("source").isNotNull())
-    # Skew: a source feeding a large share of all edges would make one partition
-    # hold all of them. Such hot sources (out-degree above total/hot_share, so at
-    # most hot_share of them: a proven bound, broadcast) spread their edges over
-    # `salts` sub-keys; their frontier rows are replicated once per sub-key.
-    degree = stored(raw_edges.groupBy("source").agg(F.count(F.lit(1)).alias("d")), "degree")
+    # Skew: sources with more than 1/hot_share of all edges (at most hot_share of them: a proven bound, broadcast) spread their
+    # edges over `salts` sub-keys; their frontier rows are replicated once per sub-key.
+    degree = stored(edges.groupBy("source").agg(F.count(F.lit(1)).alias("d")), "degree")
     total = degree.agg(F.sum("d")).first()[0] or 0
     hot = F.broadcast(degree.where(F.col("d") > F.lit(max(total // hot_share, 1))).select("source")
                       .withColumn("_hot", F.lit(True)))
+    needs = _kept_partitioned(edges.groupBy("table_name").agg(F.count("source").alias("needs")), "table_name")
     edges = _kept_partitioned(
-        raw_edges.join(hot, "source", "left")
+        edges.join(hot, "source", "left")
         .withColumn("salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("table_name"), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
         .drop("_hot"), "source", "salt")
-    needs = _kept_partitioned(deps.groupBy("table_name").agg(F.count("source").alias("needs")), "table_name")
 
     def salted(front: DataFrame) -> DataFrame:
-        f = front.select(F.col("table_name").alias("source")).join(hot, "source", "left")
+        f = front.select(F.col("table_name").alias("source"), "stage").join(hot, "source", "left")
         fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        return f.select("source", F.explode(fan).alias("salt"))
+        return f.select("source", "stage", F.explode(fan).alias("salt"))
 
-    # Roots: sources that no unit produces (stage 0). Tables produced from nothing are stage 1.
-    frontier = stored(degree.select(F.col("source").alias("table_name"))
-                      .join(needs.select("table_name").hint("merge"), "table_name", "left_anti")
-                      .withColumn("stage", F.lit(0)), "roots")
-    path = stored_path(units.sparkSession, "stages")
+    path = stored_path(start.sparkSession, "stages")
+    frontier = start.select("table_name", F.col("stage").cast("long").alias("stage"))
     frontier.write.mode("append").parquet(path)
-    waiting, stage = None, 0
+    waiting = None
     while True:
-        stage += 1
-        front, n = _sized(frontier)
-        if stage > 1 and n == 0:
+        n = frontier.count()
+        if not n:
             break
-        hits = (edges.join(salted(front).hint("broadcast" if n <= BROADCAST_ROWS else "merge"), ["source", "salt"])
-                .groupBy("table_name").agg(F.count(F.lit(1)).alias("hit")))
-        if stage == 1:
-            sourceless = needs.where("needs = 0").select("table_name", F.lit(0).cast("long").alias("hit"))
-            hits = hits.unionByName(sourceless)
-        else:
-            hits = hits.unionByName(waiting).groupBy("table_name").agg(F.sum("hit").alias("hit"))
-        reached, _ = _sized(stored(hits, "hits"))
-        state = stored(needs.join(reached, "table_name"), "reached")
-        frontier = state.where("hit = needs").select("table_name", F.lit(stage).alias("stage"))
-        waiting = state.where("hit < needs").select("table_name", "hit")
+        front = salted(frontier).hint("broadcast" if n <= BROADCAST_ROWS else "merge")
+        hits = (front.join(edges, ["source", "salt"]).groupBy("table_name")
+                .agg(F.count(F.lit(1)).alias("hit"), F.max(F.col("stage") + F.col("w")).alias("stage")))
+        if waiting is not None:
+            hits = hits.unionByName(waiting).groupBy("table_name").agg(F.sum("hit").alias("hit"), F.max("stage").alias("stage"))
+        state = stored(sized(stored(hits, "hits")).join(needs, "table_name"), "reached")
+        frontier = state.where("hit = needs").select("table_name", "stage")
+        waiting = state.where("hit < needs").select("table_name", "hit", "stage")
         frontier.write.mode("append").parquet(path)
-    resolved = units.sparkSession.read.schema("table_name string, stage int").parquet(path)
-    # Whatever never resolved sits on or behind a cycle: stage NULL.
-    cyclic = needs.select("table_name").join(resolved.hint("merge"), "table_name", "left_anti").select(
-        "table_name", F.lit(None).cast("int").alias("stage"))
-    return resolved.select("table_name", "stage").unionByName(cyclic).select(
-        "table_name", "stage", F.col("stage").isNull().alias("in_cycle"))
+    return start.sparkSession.read.schema("table_name string, stage long").parquet(path)
+
+
+def longest_paths(edges: DataFrame, start: DataFrame, hot_share: int = 1000, salts: int = 32) -> DataFrame:
+    """``table_name``, ``stage``: the greatest ``stage + w ...`` over all ways from ``start`` (table_name, stage) along ``edges`` (source,
+    table_name, w: stored, distinct by source and table), for every table all of whose ways lead back to ``start``.
+
+    Tables with one source are contracted first: each takes its chain's top and the distance to it in log2(length) rounds. What is
+    left, tables with several sources fed by tops, is contracted again while that removes an eighth of them (a row of diamonds
+    becomes a chain), and else resolved in rounds.
+    """
+    fed = stored(edges.groupBy("table_name").agg(F.count("*").alias("n"), F.max("source").alias("up"), F.max("w").alias("dist")), "fed")
+    total, single = fed.agg(F.count("*"), F.count_if(F.col("n") == 1)).first()
+    if single * 8 < max(total, 1):
+        return _frontier_rounds(edges, start, hot_share, salts)
+    chains = ascend(fed.where("n = 1").drop("n"))
+    tops = chains.tops.withColumnRenamed("up", "top")
+    joint = edges.join(fed.where("n > 1").select("table_name").hint("merge"), "table_name", "left_semi")
+    bent = joint.join(tops.select(F.col("table_name").alias("source"), "top", "dist").hint("merge"), "source", "left").groupBy(
+        "table_name", F.coalesce("top", "source").alias("source")).agg(F.max(F.col("w") + F.coalesce("dist", F.lit(0))).alias("w"))
+    above = start if total == single else longest_paths(stored(bent, "contracted"), start, hot_share, salts)
+    above = stored(above, "above")
+    below = tops.join(sized(above.withColumnRenamed("table_name", "top")), "top").select("table_name", (F.col("stage") + F.col("dist")).alias("stage"))
+    return above.unionByName(below)
+
+
+def compute_stages(units: DataFrame, hot_share: int = 1000, salts: int = 32) -> DataFrame:
+    """L2: ``(table_name, stage, in_cycle)`` for every table; ``in_cycle`` marks the tables that feed each other.
+
+    Stages are longest paths from the tables that nothing feeds (:func:`longest_paths`): rounds are logarithmic in the length of
+    chains and grow with the depth of what joins several sources. What does not resolve is on or behind a cycle: the strongly
+    connected components of that rest (:mod:`concord.operators.cycles`) become one table each, whose graph has no cycle, and
+    the stages go on from those known. Sources with more than ``1/hot_share`` of all edges are salted over ``salts`` sub-keys.
+    """
+    return staged(units, hot_share, salts).select("table_name", "stage", "in_cycle")
+
+
+def staged(units: DataFrame, hot_share: int = 1000, salts: int = 32) -> DataFrame:
+    """The columns of :func:`compute_stages` and ``cycle``: the smallest name of the cycle a table is on, else NULL."""
+    ensure_checkpoint_dir(units.sparkSession)
+    # (produced table, source); NULL source = produced without a source or only from itself
+    deps = stored(units.select(F.explode("targets").alias("table_name"), "sources")
+                  .select("table_name", F.explode_outer("sources").alias("source"))
+                  .select("table_name", F.when(F.col("source") != F.col("table_name"), F.col("source")).alias("source")).distinct(), "deps")
+    edges = stored(deps.where(F.col("source").isNotNull()).withColumn("w", F.lit(1).cast("long")), "edges")
+    produced = stored(deps.groupBy("table_name").agg(F.count("source").alias("n")), "produced")
+    roots = edges.select(F.col("source").alias("table_name")).distinct().join(
+        produced.select("table_name").hint("merge"), "table_name", "left_anti").withColumn("stage", F.lit(0).cast("long"))
+    start = stored(roots.unionByName(produced.where("n = 0").select("table_name", F.lit(1).cast("long").alias("stage"))), "start")
+    known = stored(longest_paths(edges, start, hot_share, salts), "known")
+    shape = lambda df, cycle: df.select("table_name", F.col("stage").cast("int").alias("stage"), cycle.isNotNull().alias("in_cycle"),
+                                        cycle.cast("string").alias("cycle"))
+    plain = shape(known, F.lit(None))
+    left = stored(produced.select("table_name").join(known.select("table_name").hint("merge"), "table_name", "left_anti"), "left")
+    if not left.limit(1).count():
+        return plain
+    into = edges.join(left.hint("merge"), "table_name", "left_semi")
+    inner = into.join(left.select(F.col("table_name").alias("source")).hint("merge"), "source", "left_semi")
+    cycles = stored(strong_components(stored(inner.select("source", "table_name"), "open")), "cycles")
+    # one node a cycle, under its smallest name; sources with a stage are where ways start
+    called = lambda c: cycles.select(F.col("table_name").alias(c), F.col("cycle").alias(f"_{c}")).hint("merge")
+    bent = into.join(called("table_name"), "table_name", "left").join(called("source"), "source", "left").select(
+        F.coalesce("_table_name", "table_name").alias("table_name"), F.coalesce("_source", "source").alias("source"), "w").where("table_name <> source")
+    bent = stored(bent.distinct(), "condensed")
+    nodes = cycles.select(F.col("cycle").alias("table_name")).distinct()
+    sourceless = nodes.join(bent.select("table_name").hint("merge"), "table_name", "left_anti").withColumn("stage", F.lit(1).cast("long"))
+    begin = stored(known.join(bent.select(F.col("source").alias("table_name")).distinct().hint("merge"), "table_name", "left_semi")
+                   .unionByName(sourceless), "begin")
+    rest = stored(longest_paths(bent, begin, hot_share, salts), "rest")
+    named = left.join(cycles.hint("merge"), "table_name", "left").withColumn("node", F.coalesce("cycle", "table_name"))
+    behind = named.join(rest.select(F.col("table_name").alias("node"), "stage").hint("merge"), "node")
+    return plain.unionByName(shape(behind, F.col("cycle")))
 
 
 def tables_by_stage(stages: DataFrame) -> DataFrame:

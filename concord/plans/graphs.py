@@ -9,7 +9,7 @@ each region has a snapshot unit without sources.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concord.sources.tables import read_table
@@ -52,6 +52,20 @@ def entity_units(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def cyclic_units(spark: SparkSession, sf: str) -> DataFrame:
+    """The same units and such as close cycles: a nation's suppliers feed each other in a ring, and the orders of every
+    fiftieth customer feed the customer's table back."""
+    supplier, orders = read_table(spark, sf, "supplier"), read_table(spark, sf, "orders")
+    ring = Window.partitionBy("s_nationkey").orderBy("s_suppkey")
+    first = supplier.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("_first"))
+    after = supplier.withColumn("_next", F.lead("s_suppkey").over(ring)).join(first, "s_nationkey").withColumn(
+        "_next", F.coalesce("_next", "_first"))
+    back = orders.where("o_custkey % 50 = 0")
+    return entity_units(spark, sf).unionByName(
+        _unit(after, "ring", 8, ["s_suppkey"], [_name("supp_", "s_suppkey")], _name("supp_", "_next"))).unionByName(
+        _unit(back, "back", 9, ["o_orderkey"], [_name("ord_", "o_orderkey")], _name("cust_", "o_custkey")))
+
+
 # The same graph as DuckDB SQL: one row per (source, target, unit) edge, and the produced tables.
 ENTITY_EDGES_SQL = """
 SELECT 'reg_' || n_regionkey AS source, 'nat_' || n_nationkey AS target, 'nation:' || n_nationkey AS unit_id FROM nation
@@ -65,3 +79,15 @@ UNION ALL SELECT 'supp_' || l_suppkey, 'line_' || l_orderkey || '_' || l_linenum
                  'lineitem:' || l_orderkey || ':' || l_linenumber FROM lineitem"""
 
 ENTITY_PRODUCED_SQL = "SELECT target AS t FROM edges UNION SELECT 'regsnap_' || r_regionkey FROM region"
+
+CYCLIC_EDGES_SQL = ENTITY_EDGES_SQL + """
+UNION ALL SELECT 'supp_' || s_suppkey, 'supp_' || COALESCE(lead(s_suppkey) OVER ring, min(s_suppkey) OVER (PARTITION BY s_nationkey)),
+                 'ring:' || s_suppkey FROM supplier WINDOW ring AS (PARTITION BY s_nationkey ORDER BY s_suppkey)
+UNION ALL SELECT 'ord_' || o_orderkey, 'cust_' || o_custkey, 'back:' || o_orderkey FROM orders WHERE o_custkey % 50 = 0"""
+
+# Its cycles, as the units above close them: the suppliers of a nation with two and more, a customer (by whose
+# name, smaller than any order's, the cycle goes) and its orders.
+CYCLES_SQL = """SELECT 'supp_' || s_suppkey AS t, min('supp_' || s_suppkey) OVER (PARTITION BY s_nationkey) AS cycle
+FROM supplier WHERE s_nationkey IN (SELECT s_nationkey FROM supplier GROUP BY 1 HAVING count(*) > 1)
+UNION SELECT 'ord_' || o_orderkey, 'cust_' || o_custkey FROM orders WHERE o_custkey % 50 = 0
+UNION SELECT 'cust_' || o_custkey, 'cust_' || o_custkey FROM orders WHERE o_custkey % 50 = 0"""

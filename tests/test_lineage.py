@@ -1,4 +1,9 @@
-"""Lineage (L1-L4) on the reference's test graphs."""
+"""Lineage (L1-L4) on fixed small graphs (fixed values: the tables and units of the first four tests) and on random ones."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
 
 from concord.operators import lineage as lin
 
@@ -33,9 +38,88 @@ def test_empty_input(spark):
     assert stages(spark, []) == {}
 
 
-def test_cycle_is_reported(spark):
-    got = stages(spark, [(["a"], ["b"]), (["b"], ["a"]), (["root"], ["c"])])
-    assert got["a"] == (None, True) and got["b"] == (None, True) and got["c"] == (1, False)
+def plain_stages(rows):
+    """Stages and cycles by closing the graph in memory."""
+    edges = {(a, b) for sources, targets in rows for a in sources for b in targets if a != b}
+    produced = {b for _, targets in rows for b in targets}
+    tables = produced | {a for sources, _ in rows for a in sources}
+    reach = {t: {b for a, b in edges if a == t} for t in tables}
+    changed = True
+    while changed:
+        changed = False
+        for t in tables:
+            more = set().union(*[reach[x] for x in reach[t]]) - reach[t] if reach[t] else set()
+            if more:
+                reach[t] |= more
+                changed = True
+    cycle = {t: min({t} | {x for x in reach[t] if t in reach[x]}) for t in tables if t in reach[t]}
+    node = lambda t: cycle.get(t, t)
+    stage = {}
+
+    def of(n):
+        if n not in stage:
+            members = [t for t in tables if node(t) == n]
+            before = {node(a) for a, b in edges if node(b) == n and node(a) != n}
+            stage[n] = max([1 + of(x) for x in before], default=1 if produced & set(members) else 0)
+        return stage[n]
+
+    return {t: (of(node(t)), t in cycle, cycle.get(t)) for t in tables}
+
+
+def staged(spark, rows):
+    return {r.table_name: (r.stage, r.in_cycle, r.cycle) for r in lin.staged(units(spark, rows)).collect()}
+
+
+def test_cycles_and_what_hangs_behind_them(spark):
+    got = staged(spark, [(["a"], ["b"]), (["b"], ["a"]), (["root"], ["c"]), (["a", "c"], ["d"]), (["d"], ["e"])])
+    assert got == {"a": (1, True, "a"), "b": (1, True, "a"), "root": (0, False, None), "c": (1, False, None),
+                   "d": (2, False, None), "e": (3, False, None)}
+
+
+CYCLIC = [
+    [(["x"], ["y"]), (["y"], ["z"]), (["z"], ["x"]), (["r"], ["y"])],  # a ring that is fed
+    [(["a"], ["b"]), (["b"], ["c"]), (["c"], ["b"]), (["c"], ["d"]), (["d"], ["e"]), (["e"], ["d"]), (["b", "e"], ["f"])],  # two in a row
+    [(["m"], ["p1"]), (["p1"], ["p2"]), (["p2"], ["m"]), (["m"], ["q1"]), (["q1"], ["m"]), (["q1"], ["side"]), (["side"], ["end"])],  # two loops, one table
+    [(["a", "b"], ["a", "b", "c"]), (["c"], ["c"])],  # a unit with several targets
+    [([], ["n"]), (["n", "u"], ["v"]), (["v"], ["u"])],  # fed by a table made from nothing
+]
+
+
+@pytest.mark.parametrize("rows", CYCLIC)
+def test_cyclic_graphs(spark, rows):
+    assert staged(spark, rows) == plain_stages(rows)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_random_graphs(spark, seed):
+    rng = random.Random(seed)
+    names = [f"t{i:02}" for i in range(24)]
+    rows = [([rng.choice(names) for _ in range(rng.choice([0, 1, 1, 1, 2, 3]))], [rng.choice(names)]) for _ in range(30)]
+    assert staged(spark, rows) == plain_stages(rows)
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """A chain of 10,000 tables, and one with a loop at its head, by pointer doubling."""
+    from concord.operators import chains
+    spans = []
+    real = chains.stored
+    monkeypatch.setattr(chains, "stored", lambda df, label: spans.append(label) or real(df, label))
+    u = spark.range(10_000).select(F.col("id").cast("string").alias("unit_id"), F.col("id").alias("unit_order"),
+                                   F.array(F.format_string("t%05d", "id")).alias("sources"), F.array(F.format_string("t%05d", F.col("id") + 1)).alias("targets"))
+    got = lin.compute_stages(u)
+    assert got.where("CAST(substr(table_name, 2) AS INT) <> stage OR in_cycle").count() == 0 and got.count() == 10_001
+    assert len(spans) <= 16
+    back = spark.createDataFrame([("back", 0, ["t00003"], ["t00000"])], lin.UNITS_SCHEMA)
+    got = {r.table_name: (r.stage, r.in_cycle) for r in lin.compute_stages(u.unionByName(back)).collect()}
+    assert got == {f"t{i:05}": (1, True) if i <= 3 else (i - 2, False) for i in range(10_001)}
+
+
+def test_a_row_of_diamonds_is_contracted(spark):
+    rows = []
+    for i in range(40):
+        rows += [([f"d{i:02}"], [f"l{i:02}"]), ([f"d{i:02}"], [f"r{i:02}"]), ([f"l{i:02}", f"r{i:02}"], [f"d{i + 1:02}"])]
+    got = stages(spark, rows)
+    assert all(got[f"d{i:02}"] == (2 * i, False) for i in range(41)) and got["l07"] == (15, False)
 
 
 def test_edges_roots_and_unmapped(spark):
