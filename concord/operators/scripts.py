@@ -212,3 +212,32 @@ def select_into(scripts: DataFrame, text: str = "sql", keys: tuple[str, ...] = (
 def is_aggregate(expr: str) -> bool:
     """Whether an expression starts with a call of an aggregate function."""
     return re.match(r"(?i)\s*(max|min|sum|avg|count)\s*\(", expr) is not None
+
+
+#: A literal that a comparison may hold: text, DATE or TIMESTAMP text, an unsigned number that is no part of a name.
+LITERAL_RE = r"(?i)(?:\b(?:DATE|TIMESTAMP)\s*)?'(?:[^']|'')*'|(?<![\w$.])(?:\d+(?:\.\d+)?|\.\d+)(?![\w$.])"
+#: Stands for a literal in a template.
+HOLE = "\x01"
+#: Tails in which every literal is a value to compare with: conditions without a clause of their own.
+LIFTED_RE = r"(?is)^WHERE\b(?!.*\b(?:SELECT|GROUP|HAVING|ORDER|LIMIT|OFFSET|FETCH|QUALIFY|WINDOW|UNION|INTERSECT|EXCEPT|MINUS|JOIN|INTERVAL|OVER)\b).*$"
+
+
+def lift_literals(tail: Column) -> tuple[Column, Column, Column]:
+    """A tail as ``(template, types, literals)``: its text with ``HOLE`` for each literal, and the literals' SQL types and
+    values as they stand (unquoted). Tails with more than conditions are a template of their own without literals."""
+    plain = F.regexp_replace(tail, r"'(?:[^']|'')*'", "''")
+    liftable = plain.rlike(LIFTED_RE) & ~F.contains(tail, F.lit(HOLE))
+    found = F.when(liftable, F.regexp_extract_all(tail, F.lit(LITERAL_RE), 0)).otherwise(F.array().cast("array<string>"))
+
+    def kind(x: Column) -> Column:
+        whole, part = F.length(F.regexp_extract(x, r"^0*(\d*)", 1)), F.length(F.regexp_extract(x, r"\.(\d+)$", 1))
+        number = (F.when(part > 0, F.format_string("DECIMAL(%d,%d)", F.greatest(whole + part, F.lit(1)), part))
+                  .when(whole <= 9, "INT").when(whole <= 18, "BIGINT").otherwise(F.format_string("DECIMAL(%d,0)", whole)))
+        return F.when(x.rlike("(?i)^DATE"), "DATE").when(x.rlike("(?i)^TIMESTAMP"), "TIMESTAMP").when(x.startswith("'"), "STRING").otherwise(number)
+
+    def value(x: Column) -> Column:
+        inner = F.regexp_extract(x, r"(?s)'(.*)'$", 1)
+        return F.when(F.contains(x, F.lit("'")), F.replace(inner, F.lit("''"), F.lit("'"))).otherwise(x)
+
+    template = F.when(liftable, F.regexp_replace(tail, LITERAL_RE, HOLE)).otherwise(tail)
+    return template, F.transform(found, kind), F.transform(found, value)

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _s(c: str) -> F.Column:
-    return F.col(c).cast("string")
+def _s(c: str | F.Column) -> F.Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
 def order_scripts(orders: DataFrame) -> DataFrame:
@@ -32,6 +32,16 @@ def order_scripts(orders: DataFrame) -> DataFrame:
     return orders.select(F.concat(F.lit("ord_"), k).alias("script_id"), sql.alias("sql"))
 
 
+def item_scripts(orders: DataFrame) -> DataFrame:
+    """One script per order with two assignments from its items, with two and three conditions."""
+    k = _s("o_orderkey")
+    sql = F.concat(
+        F.lit("SELECT COUNT(*) INTO v_n FROM lineitem WHERE l_orderkey = "), k, F.lit(" AND l_quantity > "), _s(F.col("o_orderkey") % 50),
+        F.lit(";\nSELECT MAX(l_partkey) INTO v_part FROM lineitem\n WHERE l_orderkey = "), k, F.lit(" AND l_discount <= 0.05 AND l_shipdate >= DATE '"),
+        F.date_format(F.date_add("o_orderdate", 30), "yyyy-MM-dd"), F.lit("';\n"))
+    return orders.select(F.concat(F.lit("ord_"), k).alias("script_id"), sql.alias("sql"))
+
+
 def order_variables(orders: DataFrame) -> DataFrame:
     """The resolved ``v_day`` of each order script (its own order date)."""
     return orders.select(F.concat(F.lit("ord_"), _s("o_orderkey")).alias("script_id"),

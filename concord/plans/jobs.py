@@ -14,7 +14,6 @@ import posixpath
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from concord.operators import fingerprint as fp
 from concord.operators import schema_audit as sa
@@ -208,87 +207,51 @@ def run_catalog_audit(pairs: DataFrame, source_columns: DataFrame, target_column
     return report, summary
 
 
-def _compared_as(column: T.DataType | None, quoted: bool) -> str:
-    """Type in which ``column = literal`` can be joined; '' if the statement must be run as it is written."""
-    if quoted:
-        if isinstance(column, (T.StringType, T.DateType, T.TimestampType)) and column.simpleString() in ("string", "date", "timestamp"):
-            return column.simpleString()
-        return "integral" if isinstance(column, T.IntegralType) else ""
-    if isinstance(column, T.IntegralType):
-        return "integral"
-    if isinstance(column, T.DecimalType):
-        return column.simpleString()
-    return "double" if isinstance(column, (T.FloatType, T.DoubleType)) else ""
-
-
-MOST_SHAPES = 1000  # distinct forms of assignments; each is one query over its table
-
-
 def resolve_variables(spark: SparkSession, scripts: DataFrame, text: str = "sql",
                       resolve: Resolver | None = None) -> tuple[DataFrame, DataFrame]:
     """X5 end to end: ``(pure scripts, resolved variables)``.
 
     Every ``SELECT expr INTO var FROM table tail;`` becomes the variable's literal (ISO dates as ``DATE '…'``), and the
-    PL/SQL blocks are dropped. Assignments are resolved by form, not one by one: all that share the expression, the
-    table and a tail ``WHERE column = literal`` (or none) are one grouped query over the table, joined to them by the
-    literal in the type that the engine compares in; literals that this type does not hold as they are written are
-    run with their tail instead. Expressions that are no aggregate take the first value by order, as a single row would give. Other
-    tails are run as they are, one query per distinct text. More than ``MOST_SHAPES`` forms raise. Variables:
-    ``script_id, var_name, value``, NULL where no row qualifies.
+    PL/SQL blocks are dropped. Assignments are resolved by template, not one by one: a tail's literals are lifted out of it
+    (``scripts.lift_literals``), and all assignments of one expression, table, template and literal types are one query that
+    joins the table with their distinct literals on the template's condition; equalities in it make that an equal join. The literals keep
+    the types they have in the statement, so the engine compares as if they stood there. Tails that are more than conditions
+    are run as they are, once per distinct text. Expressions that are no aggregate take the first value by order, as a single
+    row would give. Variables: ``script_id, var_name, value``; where no row qualifies, what the expression gives for no rows (NULL, 0 for a count).
     """
     from pyspark.sql import functions as F
 
-    from concord.functions.stored import stored
+    from concord.functions.stored import stored, stored_path
     from concord.operators import scripts as scr
 
     resolve = resolve or spark.table
-    equal = r"(?is)^WHERE\s+([A-Za-z_][\w$]*)\s*=\s*('(?:[^']|'')*'|[-+]?\d+(?:\.\d+)?)$"
-    tail = F.col("tail")
-    literal = F.col("literal")
-    found = scr.select_into(scripts, text).select(
-        "script_id", "var_name", "expr", "table_name", "tail", F.lower(F.regexp_extract(tail, equal, 1)).alias("by"),
-        F.regexp_extract(tail, equal, 2).alias("literal"))
-    unquoted = F.replace(F.substring(literal, F.lit(2), F.length(literal) - 2), F.lit("''"), F.lit("'"))
-    found = stored(found.withColumn("quoted", literal.startswith("'")).withColumn(
-        "literal", F.when(literal.startswith("'"), unquoted).otherwise(literal)), "variables")
-    columns = found.where("by <> ''").select("table_name", "by").distinct().limit(MOST_SHAPES + 1).collect()
-    if len(columns) > MOST_SHAPES:
-        raise ValueError(f"more than {MOST_SHAPES} forms of variable assignments")
-    fields = {n: {f.name.lower(): f.dataType for f in resolve(n).schema} for n in {c.table_name for c in columns}}
-    types = [(c.table_name, c.by, q, _compared_as(fields[c.table_name].get(c.by), q)) for c in columns for q in (True, False)]
-    kinds = spark.createDataFrame(types, "table_name string, by string, quoted boolean, kind string")
-    # a literal that fits: digits behind the point, but zeros, are no more than the type has
-    digits = F.length(F.regexp_extract("literal", r"\.(\d*?)0*$", 1))
-    fits = F.lit(False)
-    for kind in sorted({t[3] for t in types} - {""}):
-        held = literal.try_cast("decimal(20,0)" if kind == "integral" else kind).isNotNull()
-        if kind == "integral":
-            held &= (~F.col("quoted") | literal.rlike(r"^[-+]?\d+$")) & (digits == 0)
-        elif kind.startswith("decimal"):
-            held &= digits <= int(kind[:-1].split(",")[1])
-        fits = F.when(F.col("kind") == kind, held).otherwise(fits)
-    typed = found.join(F.broadcast(kinds), ["table_name", "by", "quoted"], "left").withColumn("kind", F.when(fits, F.col("kind")).otherwise(""))
-    wanted = stored(typed.withColumn("by", F.when(F.col("kind") != "", F.col("by")).otherwise("")), "variables")
-    plain = F.col("by") != ""
-    shape = F.when(plain | (tail == ""), F.lit("")).otherwise(tail)
-    shapes = wanted.select("expr", "table_name", "by", "kind", shape.alias("rest")).distinct().limit(MOST_SHAPES + 1).collect()
-    if len(shapes) > MOST_SHAPES:
-        raise ValueError(f"more than {MOST_SHAPES} forms of variable assignments")
-    parts = []
-    for s in shapes:
-        mine = wanted.where((F.col("expr") == s.expr) & (F.col("table_name") == s.table_name) & (F.col("by") == s.by)
-                            & (F.col("kind") == s.kind) & (shape == s.rest))
+    template, kinds, literals = scr.lift_literals(F.col("tail"))
+    form = ["expr", "table_name", "template", "kinds"]
+    found = stored(scr.select_into(scripts, text).select("script_id", "var_name", "expr", "table_name", template.alias("template"),
+                                                         kinds.alias("kinds"), literals.alias("literals")), "variables")
+    path = stored_path(spark, "resolved")
+    schema = "expr string, table_name string, template string, kinds array<string>, literals array<string>, value string"
+    for s in found.select(*form).distinct().toLocalIterator():
         aggregate = scr.is_aggregate(s.expr)
         value = f"CAST({s.expr} AS STRING)" if aggregate else f"CAST(min_by({s.expr}, {s.expr}) AS STRING)"
-        if s.by:
-            kind = "decimal(20,0)" if s.kind == "integral" else s.kind
-            found = spark.sql(f"SELECT CAST({s.by} AS {kind}) AS literal, {value} AS value FROM {{t}} GROUP BY 1", t=resolve(s.table_name))
-            parts.append(mine.withColumn("literal", literal.cast(kind)).join(found.hint("merge"), "literal", "left")
-                         .select("script_id", "var_name", "value"))
+        table, name = resolve(s.table_name), s.table_name.rsplit(".", 1)[-1]
+        if s.kinds:
+            pieces = s.template.split(scr.HOLE)
+            holes = [f"CAST(_literals[{i}] AS {k})" for i, k in enumerate(s.kinds)]
+            condition = "".join(a + b for a, b in zip(pieces, [*holes, ""]))[len("WHERE"):]
+            mine = (F.col("expr") == s.expr) & (F.col("table_name") == s.table_name) & (F.col("template") == s.template) & (F.col("kinds") == F.lit(s.kinds))
+            wanted = stored(found.where(mine).select(F.col("literals").alias("_literals")).distinct(), "literals")
+            hits = spark.sql(f"SELECT _literals AS _found, {value} AS value FROM {{p}} JOIN {{t}} AS `{name}` ON {condition} GROUP BY _literals", p=wanted, t=table)
+            none = spark.sql(f"SELECT {value} AS value FROM {{t}} AS `{name}` WHERE false", t=table).first()[0]
+            got = wanted.join(hits, F.col("_literals") == F.col("_found"), "left").select(
+                F.col("_literals").alias("literals"), F.when(F.col("_found").isNull(), F.lit(none).cast("string")).otherwise(F.col("value")).alias("value"))
         else:
-            found = spark.sql(f"SELECT {value} AS value FROM {{t}} {s.rest}", t=resolve(s.table_name))  # one row
-            parts.append(mine.select("script_id", "var_name").join(F.broadcast(found)))
-    if not parts:
-        parts = [spark.createDataFrame([], "script_id string, var_name string, value string")]
-    variables = fp.balanced_union(parts)
+            got = spark.sql(f"SELECT {value} AS value FROM {{t}} AS `{name}` {s.template}", t=table).limit(1).select(
+                F.array().cast("array<string>").alias("literals"), "value")
+        got.select(*[F.lit(getattr(s, c)).cast("array<string>" if c == "kinds" else "string").alias(c) for c in form], "literals", "value").write.mode(
+            "append").parquet(path)
+    if not found.limit(1).count():
+        spark.createDataFrame([], schema).write.parquet(path)
+    resolved = spark.read.schema(schema).parquet(path)
+    variables = found.join(resolved.hint("merge"), [*form, "literals"], "left").select("script_id", "var_name", "value")
     return scr.materialize_variables(scripts, variables, text), variables

@@ -5,6 +5,8 @@ import os
 import tempfile
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from concord.plans import drift, jobs
 from concord.sources.tables import read_table
 
@@ -140,12 +142,35 @@ def test_resolve_variables_by_form(spark):
     assert text["none"].endswith("select NULL from t") and text["quoted"].endswith("select '1' from t")
 
 
-def test_too_many_forms_raise(spark, monkeypatch):
-    import pytest
-    monkeypatch.setattr(jobs, "MOST_SHAPES", 2)
-    scripts = spark.createDataFrame([(str(i), f"SELECT a{i} INTO v FROM t; ") for i in range(4)], "script_id string, sql string")
-    with pytest.raises(ValueError, match="more than 2 forms"):
-        jobs.resolve_variables(spark, scripts)
+def test_many_forms_have_no_cap(spark):
+    spark.createDataFrame([(i, i % 3, f"n{i}") for i in range(9)], "a int, b int, s string").createOrReplaceTempView("small")
+    tails = [f"{'(' * k}a >= {k}{')' * k} AND b = {k % 3} AND s <> 'n{k}'" for k in range(8)]
+    scripts = spark.createDataFrame([(str(i), f"SELECT count(*) INTO v FROM small WHERE {t}; ") for i, t in enumerate(tails)], "script_id string, sql string")
+    want = {str(i): str(spark.sql(f"SELECT count(*) FROM small WHERE {t}").first()[0]) for i, t in enumerate(tails)}
+    assert {r.script_id: r.value for r in jobs.resolve_variables(spark, scripts)[1].collect()} == want
+
+
+def test_literals_are_lifted(spark):
+    from concord.operators.scripts import HOLE, lift_literals
+    rows = ["WHERE a = 1 AND b <> 'it''s 5' OR c2 < 007.50", "where d >= DATE '2024-01-01' and x$3 = -2", "WHERE a = 1 ORDER BY 2", "",
+            "WHERE t.k1 IN (3, 12345678901) AND n = 1e5 AND z LIKE 'ORDER 7'"]
+    got = {r[0]: tuple(r)[1:] for r in spark.createDataFrame([(r,) for r in rows], "tail string").select("tail", *lift_literals(F.col("tail"))).collect()}
+    assert got[rows[0]] == (f"WHERE a = {HOLE} AND b <> {HOLE} OR c2 < {HOLE}", ["INT", "STRING", "DECIMAL(3,2)"], ["1", "it's 5", "007.50"])
+    assert got[rows[1]] == (f"where d >= {HOLE} and x$3 = -{HOLE}", ["DATE", "INT"], ["2024-01-01", "2"])
+    assert got[rows[2]] == (rows[2], [], []) and got[""] == ("", [], [])
+    assert got[rows[4]] == (f"WHERE t.k1 IN ({HOLE}, {HOLE}) AND n = 1e5 AND z LIKE {HOLE}", ["INT", "BIGINT", "STRING"], ["3", "12345678901", "ORDER 7"])
+
+
+def test_variables_of_several_conditions(spark):
+    spark.createDataFrame([(i % 20, i % 7, float(i), None if i % 5 == 0 else f"g{i % 3}") for i in range(300)],
+                          "k int, q int, x double, g string").createOrReplaceTempView("facts")
+    tails = [f"WHERE k = {k} AND q > {q}" for k in range(0, 25, 3) for q in (0, 3, 9)]
+    tails += [f"WHERE facts.g = 'g{j}' AND (q = {j} OR NOT k < {10 * j})" for j in range(4)] + ["WHERE g IS NULL AND x BETWEEN 5 AND 60.5", "", "WHERE q = 2 HAVING count(*) > 3"]
+    for expr in ("count(*)", "max(x)", "sum(k)", "x"):
+        scripts = spark.createDataFrame([(t or "-", f"SELECT {expr} INTO v FROM facts {t};") for t in tails], "script_id string, sql string")
+        ask = expr if expr != "x" else "min(x)"
+        want = {t or "-": spark.sql(f"SELECT CAST({ask} AS STRING) FROM facts {t}").first()[0] for t in tails}
+        assert {r.script_id: r.value for r in jobs.resolve_variables(spark, scripts)[1].collect()} == want
 
 
 def test_variables_compare_as_the_engine_does(spark):
