@@ -29,11 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
+from concord.functions.concurrent import AT_ONCE, isolated, reason
 from concord.functions.keys import join_condition, restore_key, split_keys
 from concord.functions.numeric import SPECIAL_CHECKS, SUM_LIMIT, SUM_TYPE, add_special, always_summable, exact_sum, special_values, within_tolerance
 from concord.functions.stored import stored
 
 DEFAULT_TOLERANCE = 1e-4  # relative and absolute, for total sums
+BATCH = 4  # pairs or tables of one plan
 SPECIAL_TYPE = ("struct<nan:bigint,positive_infinity:bigint,negative_infinity:bigint,out_of_range:bigint,"
                 "digest:decimal(38,0)>")
 DIFF_COLUMNS = ("source", "target", "check", "column_name", "group_key", "source_value", "target_value")
@@ -265,28 +267,42 @@ def compare_fingerprints(sfp: DataFrame, tfp: DataFrame, source_name: str, targe
     return total_diffs.unionByName(group_diffs)
 
 
-def rowcount_parity(pairs: Iterable[Pair]) -> DataFrame:
+def row_counts(tables: dict[str, DataFrame], batch: int = BATCH, at_once: int = AT_ONCE) -> DataFrame:
+    """``(name, n, error)`` of every table. A table that cannot be read has no ``n`` and the reason as ``error``.
+
+    A count of Parquet files reads no column, only the row numbers in the files' footers.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    schema = "name string, n long, error string"
+
+    def counted(names: Sequence[str]) -> list[tuple]:
+        every = balanced_union([tables[x].agg(F.count(F.lit(1)).alias("n")).select(F.lit(x).alias("name"), "n") for x in names])
+        return [(r["name"], r["n"], None) for r in every.collect()]  # a number a table, as many as the caller lists
+
+    rows = isolated(spark, list(tables), counted, lambda name, e: [(name, None, reason(e))], batch, at_once)
+    return spark.createDataFrame([r for part in rows for r in part], schema)
+
+
+def rowcount_parity(pairs: Iterable[Pair], batch: int = BATCH, at_once: int = AT_ONCE) -> DataFrame:
     """``(source, target, source_rows, target_rows, matched)`` for every pair.
 
-    Each distinct table name is counted once (a source shared by several pairs
-    is scanned once), then the small counts frame is joined to the pair list.
-    All pairs are reported; call ``assert_parity`` to raise on the first mismatch.
+    Each distinct table name is counted once (a source shared by several pairs is scanned once), ``batch`` tables a plan and
+    ``at_once`` plans in flight. All pairs are reported; one with an unreadable side has NULL for its rows
+    and is not matched. Call ``assert_parity`` to raise on the first mismatch.
     """
     pairs = list(pairs)
     tables: dict[str, DataFrame] = {}
     for p in pairs:
         tables.setdefault(p.source_name, p.source)
         tables.setdefault(p.target_name, p.target)
-    counts = balanced_union([
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in tables.items()])
-    spark = counts.sparkSession
-    names = spark.createDataFrame([(i, p.source_name, p.target_name) for i, p in enumerate(pairs)],
-                                  "pos int, source string, target string")
-    c = F.broadcast(counts)  # one row per distinct table name: bounded by the pair list
+    counts = row_counts(tables, batch, at_once)
+    names = counts.sparkSession.createDataFrame([(i, p.source_name, p.target_name) for i, p in enumerate(pairs)],
+                                                "pos int, source string, target string")
+    c = F.broadcast(counts.drop("error"))  # one row per distinct table name: bounded by the pair list
     out = (names.join(c.withColumnRenamed("name", "source").withColumnRenamed("n", "source_rows"), "source")
            .join(c.withColumnRenamed("name", "target").withColumnRenamed("n", "target_rows"), "target"))
     return out.select("source", "target", "source_rows", "target_rows",
-                      (F.col("source_rows") == F.col("target_rows")).alias("matched"))
+                      F.coalesce(F.col("source_rows") == F.col("target_rows"), F.lit(False)).alias("matched"))
 
 
 def assert_parity(report: DataFrame) -> None:
@@ -298,24 +314,25 @@ def assert_parity(report: DataFrame) -> None:
 
 
 def reconcile(pairs: Iterable[Pair], keys: Sequence[str] | None = None, tolerance: float = DEFAULT_TOLERANCE,
-              group_tolerance: float = 0.0, batch: int = 32) -> DataFrame:
+              group_tolerance: float = 0.0, batch: int = BATCH, at_once: int = AT_ONCE) -> DataFrame:
     """The difference rows of many pairs.
 
-    A pair that cannot be compared (no shared key, an unreadable side) is one ``error`` row and stops no other. Up to
-    ``batch`` pairs are one plan; with more, each batch's differences are written to the shared folder in turn,
-    so neither a plan nor the driver's memory grows with the list.
+    Up to ``batch`` pairs are one plan, ``at_once`` plans run at the same time, and each writes its differences to the shared
+    folder, so neither a plan nor the driver's memory grows with the list. A pair that cannot be compared (no shared
+    key, an unreadable side, a value that fails while it is read) is one ``error`` row and stops no other.
     """
-    pairs, parts = list(pairs), []
-    for at in range(0, len(pairs), batch):
+    pairs = list(pairs)
+
+    def compared(part: Sequence[Pair]) -> DataFrame:
         frames = []
-        for p in pairs[at:at + batch]:
+        for p in part:
             try:
                 frames.append(compare(p, keys, None, tolerance, group_tolerance))
             except (AnalysisException, ValueError, KeyError) as e:
                 frames.append(unusable(p, str(e).splitlines()[0][:300]))
-        part = balanced_union(frames)
-        parts.append(part if len(pairs) <= batch else stored(part, "differences"))
-    return balanced_union(parts)
+        return stored(balanced_union(frames), "differences")
+
+    return balanced_union(isolated(pairs[0].source.sparkSession, pairs, compared, lambda p, e: unusable(p, reason(e)), batch, at_once))
 
 
 def balanced_union(frames: Sequence[DataFrame]) -> DataFrame:

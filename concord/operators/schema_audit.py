@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from concord.functions.concurrent import run_all
 from concord.functions.types import char_length, declared_type, numeric_shape, type_family
 
 META_SCHEMA = ("source_table string, target_table string, side string, column_name string, raw_type string, "
@@ -56,17 +57,16 @@ def _meta_rows(pair: AuditPair, side: str, df: DataFrame) -> list[tuple]:
 def column_metadata(spark: SparkSession, pairs: Sequence[AuditPair]) -> tuple[DataFrame, DataFrame]:
     """``(metadata, errors)``; ``errors`` holds ``(source_table, target_table, notes)``.
 
-    Only schemas are resolved here (driver-side catalog calls); one failing pair
+    Only schemas are resolved here (catalog calls from the driver, several at the same time); one failing pair
     does not stop the others.
     """
     meta, errors = [], []
-    for p in pairs:
-        try:
-            rows = _meta_rows(p, "source", p.source()) + _meta_rows(p, "target", p.target())
-        except Exception as exc:  # unresolvable table or path: report, continue
-            errors.append((p.source_table, p.target_table, f"{type(exc).__name__}: {str(exc).splitlines()[0]}"))
-            continue
-        meta.extend(rows)
+    calls = [lambda p=p: _meta_rows(p, "source", p.source()) + _meta_rows(p, "target", p.target()) for p in pairs]
+    for p, rows in zip(pairs, run_all(spark, calls)):
+        if isinstance(rows, Exception):  # unresolvable table or path: report, continue
+            errors.append((p.source_table, p.target_table, f"{type(rows).__name__}: {str(rows).splitlines()[0]}"))
+        else:
+            meta.extend(rows)
     m = spark.createDataFrame(meta, META_SCHEMA).withColumn("type_family", type_family(F.col("raw_type")))
     e = spark.createDataFrame(errors, "source_table string, target_table string, notes string")
     return m, e

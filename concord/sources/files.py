@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from concord.functions.stored import stored
+
 PAIR_FIELDS = ["oracle_schema", "oracle_table", "bigquery_project", "bigquery_dataset", "bigquery_table"]
 # CSV as other programs write it: quotes doubled inside quotes, line breaks inside quotes, no trimming.
 CSV_READ = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "encoding": "UTF-8",
@@ -97,14 +99,24 @@ def list_sql_scripts(spark: SparkSession, directory: str) -> DataFrame:
             .orderBy("file_name"))
 
 
-def run_reports(spark: SparkSession, root: str, pattern: str = "*_bq/run_report_*.json") -> DataFrame:
-    """Run reports under ``root``, newest first by (modification time, name), with a ``recency`` rank."""
-    df = spark.read.option("multiLine", True).json(f"{root.rstrip('/')}/{pattern}")
+def run_reports(spark: SparkSession, root: str, pattern: str = "*_bq/run_report_*.json", lines: bool = False) -> DataFrame:
+    """Run reports under ``root``, newest first by (modification time, name), with a ``recency`` rank.
+
+    A file is one report, or with ``lines`` a report a line. Files are ranked by range partitions of the time, each counted from
+    the numbers of those before it, so no task ranks them all.
+    """
+    df = spark.read.option("multiLine", not lines).json(f"{root.rstrip('/')}/{pattern}")
     meta = df.select("*", F.col("_metadata.file_path").alias("report_path"), F.col("_metadata.file_name").alias("report_name"),
                      F.col("_metadata.file_modification_time").alias("report_mtime"))
-    # only a path, a name and a time per file are ranked together; the reports themselves stay where they are
+    # only a path, a name and a time per file are ranked; the reports themselves stay where they are
     files = meta.select("report_path", "report_name", "report_mtime").distinct()
-    ranked = files.select("report_path", F.row_number().over(Window.orderBy(F.desc("report_mtime"), F.desc("report_name"))).alias("recency"))
+    order = [F.desc("report_mtime"), F.desc("report_name"), F.desc("report_path")]
+    placed = stored(files.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "reports")
+    within = placed.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    # one number a partition
+    sums = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = sums.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ranked = within.join(before, "_part").select("report_path", (F.col("_n") + F.col("_before")).cast("int").alias("recency"))
     return meta.join(ranked, "report_path")
 
 

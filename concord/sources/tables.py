@@ -7,13 +7,15 @@ per task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from concord.functions.concurrent import AT_ONCE, reason, run_all
+
 # The driver-generated tables available under every sf directory.
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -103,6 +105,14 @@ def reachable(spark: SparkSession, ref: str, fmt: str = "table") -> bool:
         return False
 
 
+def readable(spark: SparkSession, refs: Sequence[str], fmt: str = "table", at_once: int = AT_ONCE) -> DataFrame:
+    """Q4 for many tables: ``(table_name, readable, error)``, each by a ``LIMIT 1`` probe, ``at_once`` probes at the same time."""
+    refs = list(refs)
+    found = run_all(spark, [lambda r=r: read_any(spark, r, fmt).limit(1).collect() for r in refs], at_once) if refs else []
+    rows = [(r, not isinstance(x, Exception), reason(x) if isinstance(x, Exception) else None) for r, x in zip(refs, found)]
+    return spark.createDataFrame(rows, "table_name string, readable boolean, error string")
+
+
 def catalog_listing(spark: SparkSession, database: str | None = None) -> DataFrame:
     """Q4 at scale: the tables a catalog namespace holds, ``(table_name)`` lower-cased.
 

@@ -288,3 +288,47 @@ def test_no_full_row_is_shuffled(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     assert all("partial_first" in text for _ in [0])  # the only exchange of rows is after the join
+
+
+def test_many_pairs_run_at_once_and_failures_stay_alone(spark):
+    """Pairs that fail while they are read cost their own row only; plans stay small whatever the list."""
+    good = spark.range(20).select((F.col("id") % 3).cast("string").alias("k"), F.col("id").alias("v"))
+    other = good.withColumn("v", F.col("v") + F.when(F.col("v") == 7, 1).otherwise(0))
+    broken = good.withColumn("v", F.raise_error(F.lit("disk gone")).cast("long"))
+    sides = {7: broken, 12: other}
+    pairs = [fp.Pair(f"s{i:02}", f"t{i:02}", good, sides.get(i, good)) for i in range(30)]
+    diffs = fp.reconcile(pairs, batch=8, at_once=4)
+    got = {r.target: (r.status, r.n_diffs) for r in fp.verdict(pairs, diffs).collect()}
+    assert {t for t, (s, _) in got.items() if s == "flagged"} == {"t07", "t12"} and got["t07"][1] == 1
+    error = diffs.where("check = 'error'").collect()
+    assert [r.target for r in error] == ["t07"] and "disk gone" in error[0].group_key
+    lost = good.where(F.raise_error(F.lit("disk gone")).isNull())
+    rows = {r.target: (r.target_rows, r.matched) for r in fp.rowcount_parity(
+        [fp.Pair("a", f"t{i}", good, lost if i == 3 else good) for i in range(9)], batch=4).collect()}
+    assert rows["t3"] == (None, False) and all(v == (20, True) for t, v in rows.items() if t != "t3")
+
+
+def test_jobs_in_flight_keep_local_properties(spark):
+    import threading
+
+    from concord.functions.concurrent import run_all
+    spark.sparkContext.setLocalProperty("concord.test", "here")
+    meet = threading.Barrier(3, timeout=60)  # only passed if three are in flight
+
+    def call(i):
+        meet.wait()
+        if i == 1:
+            raise ValueError("one fails")
+        return spark.sparkContext.getLocalProperty("concord.test"), spark.range(i).count()
+
+    got = run_all(spark, [lambda i=i: call(i) for i in range(3)], 3)
+    assert got[0] == ("here", 0) and got[2] == ("here", 2) and str(got[1]) == "one fails"
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_readable_tables(spark):
+    from concord.sources.tables import readable
+    spark.range(3).createOrReplaceTempView("there_is")
+    spark.range(3).select(F.raise_error(F.lit("bad")).alias("x")).createOrReplaceTempView("fails")
+    got = {r.table_name: r.readable for r in readable(spark, ["there_is", "nowhere", "fails"]).collect()}
+    assert got == {"there_is": True, "nowhere": False, "fails": False}
