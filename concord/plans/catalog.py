@@ -80,7 +80,8 @@ def q_param_filter(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- reconciliation
 
 from concord.operators import fingerprint as fp  # noqa: E402
-from concord.operators import rowdiff  # noqa: E402
+from concord.functions.stored import stored_path  # noqa: E402
+from concord.operators import hashtree, rowdiff, sketchdiff  # noqa: E402
 from concord.plans import drift, twins  # noqa: E402
 
 ORDERS_NUM = ["o_orderkey", "o_custkey", "o_totalprice"]
@@ -184,6 +185,13 @@ def q_row_hash_diff(spark: SparkSession, sf: str) -> DataFrame:
     return rowdiff.row_multiset_diff(p.source, p.target)
 
 
+@register("row_sketch_diff", _with_drift(twins.row_diff_sql("lineitem", "lineitem_tgt", LINEITEM_COLS)))
+def q_row_sketch_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of ``row_hash_diff``, from sketches of the two tables."""
+    p = _pairs(spark, sf, [("lineitem", "lineitem_tgt")])[0]
+    return sketchdiff.row_sketch_diff(p.source, p.target)
+
+
 ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
@@ -200,6 +208,47 @@ def q_compensating_drift(spark: SparkSession, sf: str) -> DataFrame:
     return g.unionByName(r)
 
 
+@register("sparse_sketch_diff", _with_drift(twins.row_diff_sql("orders", "orders_comp", ORDERS_COLS)))
+def q_sparse_sketch_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """Six changed rows in a whole table, from sketches whose size does not depend on it."""
+    p = _pairs(spark, sf, [("orders", "orders_comp")])[0]
+    return sketchdiff.row_sketch_diff(p.source, p.target)
+
+
+def _filed(df: DataFrame, label: str) -> str:
+    """Orders as Parquet files by ranges of the key."""
+    path = stored_path(df.sparkSession, label)
+    df.repartitionByRange(16, "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(path)
+    return path
+
+
+def _orders_trees(spark: SparkSession, sf: str) -> tuple[hashtree.HashTree, hashtree.HashTree]:
+    orders = read_table(spark, sf, "orders")
+    trees = stored_path(spark, "trees")
+    source = hashtree.build(spark, _filed(orders, "orders"), trees, "o_orderkey", leaf_rows=1 << 10)
+    return source, hashtree.build(spark, _filed(drift.orders_comp(orders), "orders_comp"), trees, "o_orderkey", like=source, leaf_rows=1 << 10)
+
+
+@register("tree_row_diff", _with_drift(twins.row_diff_sql("orders", "orders_comp", ORDERS_COLS)))
+def q_tree_row_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole rows that differ between two stored tables, found down their hash trees."""
+    return hashtree.row_diff(*_orders_trees(spark, sf))
+
+
+_APPENDED_SQL = ("orders_more AS (SELECT * FROM orders_comp UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 5.0,\n"
+                 " o_orderdate, o_orderpriority FROM orders WHERE o_custkey % 211 = 3)")
+
+
+@register("tree_refresh_diff", f"WITH {drift.DRIFT_CTES},\n {_APPENDED_SQL}\nSELECT * FROM (\n"
+          + twins.key_diff_sql("orders", "orders_more", "o_orderkey", ["o_custkey", "o_totalprice"]) + "\n) AS q")
+def q_tree_refresh_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-key differences after a file was appended to one table: its tree is refreshed from that file alone."""
+    source, target = _orders_trees(spark, sf)
+    more = read_table(spark, sf, "orders").where("o_custkey % 211 = 3").withColumn("o_totalprice", F.col("o_totalprice") + 5.0)
+    more.coalesce(1).write.mode("append").parquet(target.table)
+    return hashtree.key_diff(source, hashtree.refresh(target), ["o_custkey", "o_totalprice"])
+
+
 def _odd(spark: SparkSession, sf: str) -> fp.Pair:
     orders = read_table(spark, sf, "orders")
     side = lambda q: spark.sql(q.replace("FROM orders", "FROM {orders}"), orders=orders)
@@ -405,6 +454,20 @@ def q_lineage_stages(spark: SparkSession, sf: str) -> DataFrame:
     return lin.compute_stages(graphs.entity_units(spark, sf))
 
 
+@register("lineage_cycles", f"""WITH RECURSIVE edges AS ({graphs.CYCLIC_EDGES_SQL}), produced AS ({graphs.ENTITY_PRODUCED_SQL}),
+ cycles AS ({graphs.CYCLES_SQL}),
+ tables AS (SELECT source AS t FROM edges UNION SELECT t FROM produced),
+ named AS (SELECT tables.t, cycle, COALESCE(cycle, tables.t) AS node FROM tables LEFT JOIN cycles ON cycles.t = tables.t),
+ dag AS (SELECT DISTINCT a.node AS source, b.node AS target FROM edges JOIN named a ON a.t = source JOIN named b ON b.t = target WHERE a.node <> b.node),
+ walk(t, d) AS (SELECT DISTINCT node, CASE WHEN t IN (SELECT t FROM produced) THEN 1 ELSE 0 END FROM named
+                UNION SELECT dag.target, walk.d + 1 FROM walk JOIN dag ON dag.source = walk.t),
+ st AS (SELECT t, CAST(MAX(d) AS INTEGER) AS stage FROM walk GROUP BY t)
+SELECT named.t AS table_name, stage, cycle IS NOT NULL AS in_cycle, cycle FROM named JOIN st ON st.t = node""")
+def q_lineage_cycles(spark: SparkSession, sf: str) -> DataFrame:
+    """A graph with cycles of many tables and tables behind them."""
+    return lin.staged(graphs.cyclic_units(spark, sf))
+
+
 @register("lineage_roots", f"WITH {_LINEAGE_CTES} SELECT DISTINCT source AS table_name FROM edges "
           "WHERE source NOT IN (SELECT t FROM produced)")
 def q_lineage_roots(spark: SparkSession, sf: str) -> DataFrame:
@@ -502,6 +565,16 @@ def q_script_variables(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.resolve_variables(spark, corpus.order_scripts(orders), resolve=lambda name: read_table(spark, sf, name))[1]
 
 
+@register("script_variables_two", """SELECT 'ord_' || o_orderkey AS script_id, v AS var_name,
+       CASE v WHEN 'v_n' THEN CAST(count(l_orderkey) FILTER (WHERE l_quantity > o_orderkey % 50) AS VARCHAR)
+              ELSE CAST(max(l_partkey) FILTER (WHERE l_discount <= 0.05 AND l_shipdate >= o_orderdate + INTERVAL 30 DAY) AS VARCHAR) END AS value
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey CROSS JOIN (VALUES ('v_n'), ('v_part')) AS s(v) GROUP BY o_orderkey, v""")
+def q_script_variables_two(spark: SparkSession, sf: str) -> DataFrame:
+    """Two assignments per order, with two and three conditions: two queries in all."""
+    scripts = corpus.item_scripts(read_table(spark, sf, "orders"))
+    return jobs.resolve_variables(spark, scripts, resolve=lambda name: read_table(spark, sf, name))[1]
+
+
 _DOTTED = ("SELECT 'q' || o_orderkey AS script_id, 1 AS unit_id, 'select * from Demo.ord$' || o_orderkey % 500 || ' a join demo.sales b on a.k = b.sales "
            "join ord$' || o_orderkey % 500 || ' c' AS statement FROM orders")
 
@@ -860,6 +933,146 @@ def q_latest_report(spark: SparkSession, sf: str) -> DataFrame:
     return latest_by(read_table(spark, sf, "events"), ["user_id"], ["ts", "event_id"])
 
 
+# ---------------------------------------------------------------- files that Spark derives from the driver tables
+
+from concord.functions.types import loader_type_name  # noqa: E402
+from concord.sources import files as fl  # noqa: E402
+from concord.sources import tables as tb  # noqa: E402
+
+
+@register("replicate_table", """SELECT l_returnflag, COUNT(*) AS n_rows, CAST(SUM(CAST(l_quantity AS DECIMAL(38,6))) AS DECIMAL(38,6)) AS quantity,
+       CAST((SELECT COUNT(*) FROM lineitem) AS BIGINT) AS copied FROM lineitem GROUP BY l_returnflag""")
+def q_replicate_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalog table copied to the shared folder."""
+    path = stored_path(spark, "replica")
+    read_table(spark, sf, "lineitem").createOrReplaceTempView("concord_lineitem")
+    copied = tb.replicate(spark, "concord_lineitem", path)
+    return spark.read.parquet(path).groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("l_quantity").cast("decimal(28,6)")).cast("decimal(38,6)").alias("quantity"),
+        F.lit(copied).cast("long").alias("copied"))
+
+
+@register("pairs_from_files", """
+SELECT 'S' || c_nationkey AS oracle_schema, 'T, "' || c_custkey || '"' AS oracle_table, 'p' AS bigquery_project, c_mktsegment AS bigquery_dataset,
+       't_' || c_custkey AS bigquery_table FROM customer
+UNION ALL SELECT 'nat', n_name, 'p', 'd', 't' || n_nationkey FROM nation""")
+def q_pairs_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A correspondence per customer as CSV under other headers (with a byte order mark, blanks, quotes and commas), one per nation as JSON."""
+    csv, js = stored_path(spark, "pairs"), stored_path(spark, "pairs")
+    c, n = read_table(spark, sf, "customer"), read_table(spark, sf, "nation")
+    headers = {fl.BOM + "schema": "oracle_schema", "table": "oracle_table", "project": "bigquery_project", "dataset": "bigquery_dataset", "goal": "bigquery_table"}
+    text = lambda *parts: F.concat(*[F.lit(x) if x in ("S", "T, \"", "\"", "t_", "t", " ") else F.col(x).cast("string") for x in parts])
+    values = [text("S", "c_nationkey"), text(" ", "T, \"", "c_custkey", "\""), F.lit("p "), F.col("c_mktsegment"), text("t_", "c_custkey")]
+    c.select(*[v.alias(h) for v, h in zip(values, headers)]).write.options(**fl.CSV_WRITE).csv(csv)
+    rows = n.select(F.lit("nat").alias("oracle_schema"), F.col("n_name").alias("oracle_table"), F.lit("p").alias("bigquery_project"),
+                    F.lit("d").alias("bigquery_dataset"), text("t", "n_nationkey").alias("bigquery_table"))
+    rows.agg(F.collect_list(F.struct("*")).alias("tables")).write.json(js)  # 25 nations
+    columns = {field: h.lstrip(fl.BOM) for h, field in headers.items()}
+    return fl.load_table_pairs(spark, csv, "csv", columns).unionByName(fl.load_table_pairs(spark, js, "json"))
+
+
+@register("report_files", """SELECT f.format, o_custkey, CAST(COUNT(*) AS BIGINT) AS n, o_orderpriority || ', "' || o_custkey || '"' || chr(10) || 'end' AS note
+FROM orders CROSS JOIN (VALUES ('csv'), ('json')) AS f(format) GROUP BY ALL""")
+def q_report_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A report per customer and priority written as CSV and as JSON; its notes hold commas, quotes and line breaks."""
+    note = F.concat("o_orderpriority", F.lit(', "'), F.col("o_custkey").cast("string"), F.lit('"\nend'))
+    report = read_table(spark, sf, "orders").groupBy("o_custkey", note.alias("note")).agg(F.count(F.lit(1)).alias("n"))
+    schema, out = "o_custkey long, note string, n long", []
+    for fmt in ("csv", "json"):
+        path = stored_path(spark, "report")
+        fl.write_report(report, path, fmt)
+        back = spark.read.schema(schema).options(**fl.CSV_READ).csv(path) if fmt == "csv" else spark.read.schema(schema).json(path)
+        out.append(back.select(F.lit(fmt).alias("format"), "*"))
+    return out[0].unionByName(out[1])
+
+
+@register("prefix_ingest", """SELECT 'segment=' || c_mktsegment || '/nation=' || c_nationkey AS folder, CAST(SUM(strlen(c_name) + 1) AS BIGINT) AS bytes,
+       CAST(SUM(strlen(c_name) + 1) AS BIGINT) AS held FROM customer GROUP BY ALL""")
+def q_prefix_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """All objects below a prefix of nested folders, with their contents."""
+    path = stored_path(spark, "prefix")
+    read_table(spark, sf, "customer").select("c_name", F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation")).write.partitionBy(
+        "segment", "nation").text(path)
+    found = fl.ingest_prefix(spark, path).where(F.col("relative_path").endswith(".txt"))
+    return found.groupBy(F.regexp_replace("relative_path", "/[^/]+$", "").alias("folder")).agg(
+        F.sum("length").alias("bytes"), F.sum(F.octet_length("content")).cast("long").alias("held"))
+
+
+@register("script_listing", """SELECT 'select ' || s_suppkey || ' from supp_' || s_nationkey || ';' AS sql, true AS named,
+       CAST((SELECT COUNT(*) FROM supplier) AS BIGINT) AS n_files FROM supplier""")
+def q_script_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder of ``*.sql`` files, one per supplier, whole texts; files of another suffix and of folders below are left out."""
+    path, s = stored_path(spark, "scripts"), read_table(spark, sf, "supplier")
+    text = F.concat(F.lit("select "), F.col("s_suppkey").cast("string"), F.lit(" from supp_"), F.col("s_nationkey").cast("string"), F.lit(";"))
+    one = s.select(text.alias("sql"))
+    plain = {"maxRecordsPerFile": 1, "quote": "", "sep": "\x01", "emptyValue": ""}
+    one.write.options(extension="sql", **plain).csv(path)
+    one.write.mode("append").options(extension="txt", **plain).csv(path)
+    one.limit(1).write.options(extension="sql", **plain).csv(f"{path}/below")
+    found = fl.list_sql_scripts(spark, path)
+    return found.select("sql", (F.concat("script_id", F.lit(".sql")) == F.col("file_name")).alias("named"),
+                        F.lit(found.select("file_name").distinct().count()).cast("long").alias("n_files"))
+
+
+@register("report_discovery", """SELECT 'ord_' || o_orderkey AS script_id, CAST(u AS BIGINT) AS id, 'select ' || u || ' from ' || o_orderpriority AS bq_sql, true AS ranked
+FROM orders CROSS JOIN (VALUES (1), (2)) AS t(u)""")
+def q_report_discovery(spark: SparkSession, sf: str) -> DataFrame:
+    """Run reports in folders by pattern, one per order, as units; every report file has a place in the order of time."""
+    path = stored_path(spark, "reports")
+    o = read_table(spark, sf, "orders")
+    unit = lambda k: F.struct(F.lit(k).alias("id"), F.concat(F.lit(f"select {k} from "), F.col("o_orderpriority")).alias("bq_sql"))
+    reports = o.select(F.concat(F.lit("ord_"), F.col("o_orderkey").cast("string")).alias("script_id"), F.array(unit(1), unit(2)).alias("units"),
+                       F.concat("o_orderstatus", F.lit("_bq")).alias("run"))
+    reports.write.partitionBy("run").json(path)
+    reports.limit(1).drop("run").write.json(f"{path}/other")
+    units = fl.report_units(fl.run_reports(spark, path, "*_bq/part-*.json", lines=True))
+    n = units.select("report_path").distinct().count()
+    return units.select("script_id", F.col("id").cast("long").alias("id"), "bq_sql", F.col("recency").between(1, n).alias("ranked"))
+
+
+_LOADED = ("customer", "orders", "lineitem", "events")
+
+
+@register("loader_types", "\nUNION ALL\n".join(f"""SELECT '{t}' AS table_name, column_name, CAST(ordinal_position AS INTEGER) AS ordinal,
+  CASE WHEN data_type LIKE 'TIMESTAMP%' OR data_type = 'DATE' THEN 'DATETIME' WHEN data_type = 'BOOLEAN' THEN 'BOOL'
+       WHEN data_type IN ('BIGINT', 'INTEGER', 'SMALLINT', 'DOUBLE', 'FLOAT') OR data_type LIKE 'DECIMAL%' THEN 'FLOAT64' ELSE 'STRING' END AS loader_type,
+  n AS n_values
+FROM information_schema.columns JOIN (UNPIVOT (SELECT COUNT(COLUMNS(*)) FROM {t}) ON COLUMNS(*) INTO NAME counted VALUE n) AS v
+     ON counted = column_name WHERE table_name = '{t}'""" for t in _LOADED))
+def q_loader_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Live schemas, the loader's type of every column and how many values it has to load."""
+    out = []
+    for t in _LOADED:
+        schema = tb.table_schema(spark, f"{sf.rstrip('/')}/{t}.parquet", "parquet")
+        kinds = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(i).alias("ordinal"), F.lit(loader_type_name(f.dataType)).alias("loader_type"),
+                                   F.col(f"n{i}").alias("n_values")) for i, f in enumerate(schema, 1)])
+        counts = read_table(spark, sf, t).agg(*[F.count(f.name).alias(f"n{i}") for i, f in enumerate(schema, 1)])
+        out.append(counts.select(F.lit(t).alias("table_name"), F.inline(kinds)))
+    return fp.balanced_union(out)
+
+
+@register("readable_tables", """SELECT n_nationkey, COUNT(c_custkey) > 0 AS readable FROM nation
+LEFT JOIN customer ON c_nationkey = n_nationkey AND c_acctbal > 9800 GROUP BY n_nationkey""")
+def q_readable_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Q4: which nations' folders of rich customers can be read, probed at the same time."""
+    path = stored_path(spark, "nations")
+    read_table(spark, sf, "customer").where("c_acctbal > 9800").write.partitionBy("c_nationkey").parquet(path)
+    names = {f"{path}/c_nationkey={r[0]}": r[0] for r in read_table(spark, sf, "nation").select("n_nationkey").collect()}
+    keys = spark.createDataFrame([(k, v) for k, v in names.items()], "table_name string, n_nationkey long")
+    found = tb.readable(spark, list(names), "parquet")
+    return found.join(keys, "table_name").select(F.col("n_nationkey").cast(read_table(spark, sf, "nation").schema["n_nationkey"].dataType).alias("n_nationkey"), "readable")
+
+
+@register("listed_sizes", """SELECT lower('table=' || o_orderpriority) AS table_name, CAST(SUM(strlen(CAST(o_orderkey AS VARCHAR)) + 1 + strlen(CAST(o_custkey AS VARCHAR)) + 1) AS BIGINT) AS size_bytes
+FROM orders GROUP BY ALL""")
+def q_listed_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes of all tables below a folder from the listing of their files alone."""
+    path = stored_path(spark, "warehouse")
+    line = F.concat_ws("|", "o_orderkey", "o_custkey")
+    read_table(spark, sf, "orders").select(line.alias("line"), F.col("o_orderpriority").alias("table")).write.partitionBy("table").text(path)
+    return cst.listed_sizes(spark, path, "*.txt")
+
+
 # ---------------------------------------------------------------- scripts, exports, prefixes
 
 from concord.sources.tables import execute_script  # noqa: E402
