@@ -84,11 +84,15 @@ def targets_of(statement: Column) -> Column:
     return _clean_names(F.regexp_extract_all(statement, F.lit(TARGET_RE), 1))
 
 
+def describe_units(units: DataFrame) -> DataFrame:
+    """Each statement's kind and the tables that it reads and writes."""
+    return units.select("*", classify(F.col("statement")).alias("statement_type"),
+                        sources_of(F.col("statement")).alias("sources"), targets_of(F.col("statement")).alias("targets"))
+
+
 def build_units(scripts: DataFrame, text: str = "sql", keep: tuple[str, ...] = ("script_id",)) -> DataFrame:
     """``(*keep, unit_id, statement, statement_type, sources, targets)``."""
-    u = split_units(scripts, text, keep)
-    return u.select("*", classify(F.col("statement")).alias("statement_type"),
-                    sources_of(F.col("statement")).alias("sources"), targets_of(F.col("statement")).alias("targets"))
+    return describe_units(split_units(scripts, text, keep))
 
 
 def strip_declare_blocks(sql: Column) -> Column:

@@ -80,7 +80,7 @@ def q_param_filter(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- reconciliation
 
 from concord.operators import fingerprint as fp  # noqa: E402
-from concord.functions.stored import stored_path  # noqa: E402
+from concord.functions.stored import stored, stored_path  # noqa: E402
 from concord.operators import hashtree, rowdiff, sketchdiff  # noqa: E402
 from concord.plans import drift, twins  # noqa: E402
 
@@ -510,6 +510,7 @@ def q_unmapped_sources(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- script corpora
 
 from concord.operators import cost as cst  # noqa: E402
+from concord.operators import script_files  # noqa: E402
 from concord.operators import scripts as scr  # noqa: E402
 from concord.plans import corpus  # noqa: E402
 
@@ -525,6 +526,19 @@ def q_script_units(spark: SparkSession, sf: str) -> DataFrame:
     return _order_units(spark, sf).select("script_id", "unit_id", "statement", "statement_type")
 
 
+@register("script_files", f"""SELECT statement, statement_type, count(*) AS occurrences, true AS numbered
+FROM ({corpus.ORDER_UNITS_SQL}) AS u GROUP BY ALL""")
+def q_script_files(spark: SparkSession, sf: str) -> DataFrame:
+    """X1 over S11: all orders' scripts as a few dumps, split where they lie; in each file the statements are numbered without gaps."""
+    orders, path = read_table(spark, sf, "orders"), stored_path(spark, "dumps")
+    pure = scr.materialize_variables(corpus.order_scripts(orders), corpus.order_variables(orders))
+    pure.select(F.concat("sql", F.lit(";"))).write.text(path)
+    u = stored(script_files.build_file_units(spark, path, ".txt"), "dump-units")
+    files = u.groupBy("file_name").agg((F.max("unit_id") == F.count_distinct("unit_id")).alias("numbered"))
+    return u.join(files, "file_name").groupBy("statement", "statement_type", "numbered").agg(F.count(F.lit(1)).alias("occurrences")).select(
+        "statement", "statement_type", "occurrences", "numbered")
+
+
 @register("script_edges", f"""WITH u AS ({corpus.ORDER_UNITS_SQL})
 SELECT script_id, unit_id, 'source' AS role, 'orders' AS table_name, 1 AS position FROM u WHERE unit_id = 1
 UNION ALL SELECT script_id, unit_id, 'target', 'stg_' || o_orderkey, 1 FROM u WHERE unit_id = 1
