@@ -48,9 +48,40 @@ def test_flat_files(spark, tmp_path, width, block, monkeypatch):
     for r in sorted(got, key=lambda r: r["document"]):
         by.setdefault(r["file"].rsplit("/", 1)[1], []).append((r["start"], r["n_tokens"], r["ended"]))
     assert by == {k: documents_of(s, 7) for k, s in streams.items() if len(s)}
-    monkeypatch.setattr(tc, "WHOLE_BYTES", 30)  # larger files are read in records
-    again = tc.count_documents(tc.read_flat(spark, str(tmp_path), width, block), 7, width).collect()
-    assert sorted((r["file"].rsplit("/", 1)[1], *r[1:]) for r in again) == sorted((r["file"].rsplit("/", 1)[1], *r[1:]) for r in got)
+
+
+def test_block_size_does_not_hang_on_divisors(spark, tmp_path):
+    """A prime number of tokens: full blocks and one shorter, whose bytes are read where they lie."""
+    (tmp_path / "p").write_bytes(np.full(10_007, 3, "<u2").tobytes())
+    blocks = sorted((r["block"], r["at"], r["n_bytes"]) for r in tc.read_flat(spark, str(tmp_path), 2, 4000).collect())
+    assert blocks == [(0, 0, 8000), (1, 8000, 8000), (2, 16000, 4014)]
+
+
+def test_files_hold_only_tokens(spark, tmp_path):
+    """What the operator writes is a flat stream: ids and separators, no lengths; files that no task committed are not read."""
+    docs, t = spark.createDataFrame([(i, "some words " * i) for i in range(9)], "doc_id long, text string").repartition(3), tokenizer()
+    ids = tc.token_files(docs, str(tmp_path)).orderBy("file", "document").collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    by = {}
+    for r in ids:
+        by.setdefault(r["file"], []).extend([*t.encode(texts[r["doc"]], add_special_tokens=False).ids, 50256])
+    assert {f.name: np.fromfile(f, "<u2").tolist() for f in tmp_path.iterdir()} == by
+
+
+def test_files_of_failed_attempts_are_not_counted(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "some words " * i) for i in range(9)], "doc_id long, text string")
+    plain = sorted(tuple(r) for r in tc.count_texts(docs).collect())
+    write = tc.token_files
+
+    def with_orphan(docs, folder, *rest):
+        ids = write(docs, folder, *rest)
+        system, place = tc._opened(f"{folder}/part-00000-lost")
+        with system.open_output_stream(place) as f:
+            f.write(b"\1\0\2\0")
+        return ids
+
+    monkeypatch.setattr(tc, "token_files", with_orphan)
+    assert sorted(tuple(r) for r in tc.count_texts(docs).collect()) == plain
 
 
 def test_odd_file_is_an_error(spark, tmp_path):
