@@ -56,3 +56,60 @@ def test_contradicting_labels_are_left_out(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(6)] + [(2, 1)], "doc_id long, quality int")
     used = {r["doc_id"] for r in quality.train_rows(stats, labels).collect()}
     assert used == {i for i in range(6) if i != 2 and zlib.crc32(str(i).encode()) % 5}
+
+
+def plain_statistics(text):
+    """The statistics of ``quality.STATISTICS`` character by character."""
+    data = text.encode()
+    n, words, lines = len(data), text_words(data), data.split(b"\n")
+
+    def ratio(count, of):
+        return np.log((count + 0.5) / (of + 1))
+
+    def share(chars):
+        return ratio(sum(b in chars for b in data), n)
+
+    freq = [data.count(bytes([b])) / n for b in set(data)]
+    return [np.log(1 + n), np.log((n + 1) / (len(words) + 1)), share(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), share(b"0123456789"),
+            share(b".,;:'\"-()?"), share(b"#$%&*@^~_=+<>{}[]\\/`"), share(b"|"), share(b"!"), share(b"\n"), share(bytes(range(128, 256))),
+            -sum(p * np.log(p) for p in freq), np.log((len(set(words)) + 1) / (len(words) + 1)),
+            ratio(sum(words[i] == words[i + 1] for i in range(len(words) - 1)), len(words)), np.log(len(set(lines)) / len(lines)),
+            ratio(sum(w[-1:] in (b".", b",") for w in words), len(words))]
+
+
+def text_words(data):
+    out, word = [], b""
+    for b in data + b" ":
+        if b in b" \t\n\r\x0b\x0c":
+            out += [word] if word else []
+            word = b""
+        else:
+            word += bytes([b])
+    return out
+
+
+def test_query_against_plain_version(spark):
+    """The registered query over a whole table, from the texts to the predictions."""
+    from conftest_paths import SF001
+
+    from concord.llm.queries import QUERIES
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()
+    label = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF001}/labels.parquet").collect()}
+    x = np.array([plain_statistics(r["text"] or "") for r in docs])
+    held = np.array([zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in docs])
+    y = np.array([-1 if h or label.get(r["doc_id"]) is None else label[r["doc_id"]] for r, h in zip(docs, held)])
+    cov = [np.cov(x[y == c].T, bias=True) for c in (0, 1)]
+    size = [(y == c).sum() for c in (0, 1)]
+    pooled = (size[0] * cov[0] + size[1] * cov[1]) / sum(size)
+    density = []
+    for c in (0, 1):
+        own = 0.9 * cov[c] + 0.1 * pooled
+        own = 0.98 * own + 0.02 * np.trace(own) / len(own) * np.eye(len(own))
+        z = x - x[y == c].mean(0)
+        density.append(np.log(size[c] / sum(size)) - 0.5 * np.linalg.slogdet(own)[1] - 0.5 * (z * np.linalg.solve(own, z.T).T).sum(1))
+    want = 1 / (1 + np.exp(np.clip(density[0] - density[1], -700, 700)))
+    got = {r["doc_id"]: r for r in QUERIES["op2_quality"](spark, SF001).collect()}
+    assert len(got) == len(docs)
+    for r, h, s in zip(docs, held, want):
+        row = got[r["doc_id"]]
+        assert row["held_out"] == h and abs(row["score"] - s) < 1e-6 and row["predicted"] == (row["score"] >= 0.3)
