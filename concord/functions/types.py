@@ -20,6 +20,8 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, Cha
                                LongType, MapType, ShortType, StringType, StructType, TimestampNTZType,
                                TimestampType, VarcharType, YearMonthIntervalType)
 
+from concord.functions.text import strip_ws
+
 # Fixed values that must equal the reference's rule, in its order:
 # (family, substrings of the upper-cased, trimmed declared type).
 TYPE_FAMILY_RULES = (
@@ -41,7 +43,7 @@ _INTEGRAL_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
 
 def type_family(raw_type: Column) -> Column:
     """A2: the family of a declared type string, as one JVM ``CASE`` expression."""
-    norm = F.upper(F.trim(raw_type))
+    norm = F.upper(strip_ws(raw_type))
     expr = None
     for family, tokens in TYPE_FAMILY_RULES:
         cond = None

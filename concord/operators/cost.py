@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, DataType, DateType, DecimalType,
                                FloatType, IntegerType, MapType, ShortType, StringType, StructType)
 
+from concord.functions.text import strip_ws
 from concord.operators.fingerprint import balanced_union
-
-from concord.operators.scripts import strip_ws
 from concord.session import ensure_checkpoint_dir
 
 # Fixed values (defaults of the reference).

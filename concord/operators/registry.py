@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concord.operators.scripts import strip_ws
+from concord.functions.text import strip_ws
 from concord.sources.files import CSV_READ, CSV_WRITE
 
 KEYS = ["source_schema", "source_table"]

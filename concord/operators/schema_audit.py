@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from concord.functions.concurrent import run_all
+from concord.functions.text import strip_ws
 from concord.functions.types import char_length, declared_type, numeric_shape, type_family
 
 META_SCHEMA = ("source_table string, target_table string, side string, column_name string, raw_type string, "
@@ -242,7 +243,7 @@ def declared_metadata(columns: DataFrame, pairs: DataFrame, side: str) -> DataFr
     """
     from concord.functions.types import NUMERIC_SHAPES
 
-    t = F.upper(F.trim(F.col("data_type")))
+    t = F.upper(strip_ws(F.col("data_type")))
     shape_p = shape_s = None
     for name, (p, s) in NUMERIC_SHAPES.items():
         shape_p = (F.when(t == name, F.lit(p)) if shape_p is None else shape_p.when(t == name, F.lit(p)))
@@ -252,7 +253,7 @@ def declared_metadata(columns: DataFrame, pairs: DataFrame, side: str) -> DataFr
     precision = F.coalesce(F.col("precision").cast("int"), F.nullif(parsed_p, F.lit("")).cast("int"), shape_p)
     scale = F.coalesce(F.col("scale").cast("int"), F.nullif(parsed_s, F.lit("")).cast("int"), shape_s)
     key = "source_table" if side == "source" else "target_table"
-    nullable = F.upper(F.trim(F.col("is_nullable").cast("string"))).isin("YES", "Y", "TRUE", "1")
+    nullable = F.upper(strip_ws(F.col("is_nullable").cast("string"))).isin("YES", "Y", "TRUE", "1")
     j = columns.join(pairs.select("source_table", "target_table"), F.col("table_ref") == F.col(key))
     return j.select(
         "source_table", "target_table", F.lit(side).alias("side"), "column_name", t.alias("raw_type"),

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concord.functions.stored import stored
-from concord.operators.scripts import describe_units, strip_ws
+from concord.functions.text import strip_ws
+from concord.operators.scripts import describe_units
 
 CHUNK_BITS = 12  # 4096 fragments are scanned in one window
 BROADCAST_CHUNKS = 200_000  # a path and five numbers each

@@ -22,14 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concord.functions.stored import stored
+from concord.functions.text import WS, strip_ws
 
 BROADCAST_NAMES = 200_000  # a name and its replacement each
 
 # Patterns of the reference's statement inventory.
-# Python's str.strip() whitespace: Unicode White_Space plus \x1c-\x1f.
-WS = r"[\s\x{1C}-\x{1F}]"
-WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
-            "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 UNIT_RE = r"(?:[^;']++|'[^']*+(?:'|\z))++"
 SOURCE_RE = r"(?iU)\b(?:FROM|JOIN)\s+([`\"]?[a-zA-Z_][\w$.]*[`\"]?)"
 TARGET_RE = r"(?iU)\bCREATE\s+(?:OR\s+REPLACE\s+)?TABLE\s+([`\"]?[a-zA-Z_][\w$.]*[`\"]?)"
@@ -42,11 +39,6 @@ ISO_DATE_RE = r"^\d{4}-\d{2}-\d{2}$"
 STATEMENT_KINDS = (("DDL", ("CREATE",)), ("DML", ("INSERT", "UPDATE", "DELETE", "MERGE")), ("SELECT", ("SELECT",)))
 
 
-def strip_ws(c: Column) -> Column:
-    """``str.strip()``: leading and trailing Unicode whitespace (a character-set trim, no regex)."""
-    return F.btrim(c, F.lit(WS_CHARS))
-
-
 def split_units(scripts: DataFrame, text: str = "sql", keep: tuple[str, ...] = ("script_id",)) -> DataFrame:
     """``(*keep, unit_id, statement)``; units numbered from 1 after dropping blanks."""
     parts = F.filter(F.transform(F.regexp_extract_all(F.col(text), F.lit(UNIT_RE), 0), strip_ws),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from concord.functions.stored import stored
+from concord.functions.text import strip_ws
 
 PAIR_FIELDS = ["oracle_schema", "oracle_table", "bigquery_project", "bigquery_dataset", "bigquery_table"]
 # CSV as other programs write it: quotes doubled inside quotes, line breaks inside quotes, no trimming.
@@ -47,7 +48,7 @@ def load_table_pairs(spark: SparkSession, path: str, fmt: str | None = None,
         raise ValueError(f"Unsupported input format: {fmt}")
     inverse = {src: field for field, src in (columns or {}).items()}
     raw = raw.withColumnsRenamed({c: inverse[c] for c in raw.columns if c in inverse})
-    vals = [F.trim(F.coalesce(F.col(f).cast("string"), F.lit(""))).alias(f) if f in raw.columns
+    vals = [strip_ws(F.coalesce(F.col(f).cast("string"), F.lit(""))).alias(f) if f in raw.columns
             else F.lit("").alias(f) for f in PAIR_FIELDS]
     pairs = raw.select(*vals)
     complete = F.lit(True)

@@ -30,6 +30,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -52,13 +53,13 @@ def latest_version(spark: SparkSession, output_path: str, below: int | None = No
     """
     try:
         lines = (spark.read.option("recursiveFileLookup", "true").text(posixpath.join(output_path, PUBLISHED))
-                 .select("value").collect())  # one short line per version
+                 .select(F.split_part("value", F.lit(" "), F.lit(1)).cast("long").alias("epoch"), F.substring_index("value", " ", -1).alias("folder")))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    versions = [(int(epoch), folder) for epoch, folder in (r.value.split(" ", 1) for r in lines)]
-    return max((v for v in versions if below is None or v[0] < below), default=None)
+    newest = (lines if below is None else lines.where(F.col("epoch") < below)).agg(F.max(F.struct("epoch", "folder")).alias("v")).first().v
+    return tuple(newest) if newest else None
 
 
 def read_fingerprint(spark: SparkSession, output_path: str) -> DataFrame:

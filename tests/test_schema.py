@@ -15,7 +15,8 @@ CASES = [("VARCHAR2(20)", "text"), ("NUMBER(10,2)", "numeric"), ("TIMESTAMP(6)",
          ("BOOL", "boolean"), ("BYTES", "bytes"), ("RECORD", "complex"), ("JSON", "json"),
          # quirks of the ordered substring rule, kept on purpose
          ("INTERVAL DAY", "numeric"), ("POINT", "numeric"), ("ARRAY<STRING>", "text"), ("STRUCT<a INT64>", "numeric"),
-         ("BINARY_DOUBLE", "numeric"), ("LONG", "long"), ("", "unknown"), ("  geography ", "geography")]
+         ("BINARY_DOUBLE", "numeric"), ("LONG", "long"), ("", "unknown"), ("  geography ", "geography"),
+         ("\tgeography\r\n", "geography"), ("\u00a0\n", "unknown")]
 
 
 @pytest.mark.parametrize("raw,family", CASES)
