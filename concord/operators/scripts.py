@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from concord.functions.stored import stored
 from concord.functions.text import WS, strip_ws
+from concord.operators.name_trie import replace_by_trie
 
 BROADCAST_NAMES = 200_000  # a name and its replacement each
 
@@ -116,20 +117,27 @@ def replace_words(df: DataFrame, text: str, keys: tuple[str, ...], mapping: Data
     optionally ``map_keys`` (a subset of ``keys``) that scope a name to rows, e.g. a script's own variables. Where
     several names start at the same place the longest wins, and a replacement is not re-mapped.
 
-    Plan: the distinct names of all texts are counted (combined before the shuffle, so a word of every statement is
+    Unscoped names up to ``BROADCAST_NAMES`` are a broadcast trie (:mod:`name_trie`): one pass over each text, no shuffle. If
+    the mapping holds more, only those that occur in the texts count. Plan of scoped names and of still more: the distinct names of all texts are counted (combined before the shuffle, so a word of every statement is
     one record per task) and joined to the mapping. What is left, names that occur and are mapped, is broadcast when
     counted small, so no exploded word is shuffled; beyond that only names that can match are, the most frequent
     ones still by broadcast. Matches are grouped back per row and applied by one alternation per row.
     """
     keys = tuple(keys)
     # One replacement per word (keys differing only in case collapse to one).
-    m = mapping.groupBy(*map_keys, "word").agg(F.min("replacement").alias("replacement"))
+    m = mapping.where("word is not null and replacement is not null").groupBy(*map_keys, "word").agg(F.min("replacement").alias("replacement"))
+    if not map_keys:
+        m = stored(m, "mapping")
+        if m.count() <= BROADCAST_NAMES:
+            return replace_by_trie(df, text, m)
     longest = m.agg(F.max(F.size(F.regexp_extract_all(F.col("word"), F.lit(r"(?U)\w+"), 0)))).first()[0] or 1
     words = df.select(*keys, F.explode(_phrases(F.col(text), longest)).alias("word"))
     seen = words.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
     live = stored(m.join(seen.hint("merge"), "word"), "names")
     n, total = live.count(), live.agg(F.sum("_n")).first()[0] or 0
     names = live.drop("_n")
+    if not map_keys and n <= BROADCAST_NAMES:
+        return replace_by_trie(df, text, names)
     on = [*map_keys, "word"]
     if n <= BROADCAST_NAMES:
         matched = words.join(F.broadcast(names), on)
