@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.llm.blocks import block_tasks
-from concord.llm.common import chunks, components, lean, lookup, spread, written
+from concord.llm.common import BROADCAST_ROWS, chunks, components, lean, lookup, spread, written
 from concord.llm.simhash import Forest
 
-#: Numbers (vectors times dimensions) of a cell that one task compares; larger cells are compared block against block.
-BLOCK_NUMBERS = 1 << 20
+#: Numbers (vectors times dimensions) of a block, about; a cell is one block or more. Pairs of blocks are compared.
+BLOCK_NUMBERS = 1 << 18
 #: Bound of the sample that the centroids are fitted on, in numbers (rows times dimensions).
 SAMPLE_NUMBERS = 2_000_000
 #: Vectors a cell should hold at least.
@@ -91,15 +90,100 @@ def classes_of(rows: DataFrame, id_col: str, vector_col: str, kind: str) -> Data
     return rows.select(F.col(id_col).cast("long"), vector_col).mapInArrow(lean(run), "id long, key string, vector binary")
 
 
+def blocks_of(members: DataFrame, models: dict[int, np.ndarray], margin_of: Callable[[int], float], kind: str) -> DataFrame:
+    """``members`` (dim, cell, node, n_rows, vector: a written table) as one row per block of a cell: ``dim``, ``cell``, ``sub`` (block of the
+    cell), ``near`` (cells that a vector of the block may link into) and ``nodes``, ``weights`` and ``vectors`` as bytes."""
+    sizes = members.groupBy("dim", "cell").agg(F.ceil(F.count("*") * F.col("dim") / F.lit(BLOCK_NUMBERS)).cast("int").alias("_blocks"))
+    sizes = written(sizes, "sizes")
+    cut = members.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes, ["dim", "cell"]).withColumn(
+        "sub", F.pmod(F.xxhash64("node"), F.greatest("_blocks", F.lit(1))).cast("int"))
+
+    def block(table: pa.Table) -> pa.Table:
+        dim, cell = table["dim"][0].as_py(), table["cell"][0].as_py()
+        table = table.take(pa.array(np.argsort(table["node"].to_numpy(), kind="stable")))
+        near = [cell]
+        if dim in models:
+            _, cells, _ = cells_of(unit_rows(table["vector"].to_pylist(), kind), models[dim], gaps(models[dim]), margin_of(dim))
+            near = np.union1d(near, cells).tolist()
+        return pa.table({"dim": pa.array([dim], pa.int32()), "cell": pa.array([cell], pa.int32()), "sub": pa.array([table["sub"][0].as_py()], pa.int32()),
+                         "near": pa.array([near], pa.list_(pa.int32())),
+                         "nodes": pa.array([table["node"].to_numpy().astype("<i8").tobytes()], pa.binary()),
+                         "weights": pa.array([table["n_rows"].to_numpy().astype("<i8").tobytes()], pa.binary()),
+                         "vectors": pa.array([b"".join(table["vector"].to_pylist())], pa.binary())})
+
+    return spread(cut.drop("_blocks"), "dim", "cell", "sub").groupBy("dim", "cell", "sub").applyInArrow(
+        block, "dim int, cell int, sub int, near array<int>, nodes binary, weights binary, vectors binary")
+
+
+def near_blocks(blocks: DataFrame) -> DataFrame:
+    """All pairs of blocks that may hold a link, each once (a block also with itself), side by side.
+
+    The blocks (a written table) are read where they lie, partition by partition against partition: none is shuffled or copied to disk.
+    """
+    names = ["cell", "nodes", "weights", "vectors"]
+    left = blocks.select(*[F.col(c).alias(f"l_{c}") for c in ("dim", "sub", "near", *names)])
+    right = blocks.select(*[F.col(c).alias(f"r_{c}") for c in ("dim", "sub", "near", *names)])
+    # an inequality in both directions: an equality would have the blocks of a dimension dealt to one task
+    place = lambda side: F.struct(F.col(f"{side}_cell").alias("cell"), F.col(f"{side}_sub").alias("sub"))
+    once = (place("l") <= place("r")) & (F.col("l_dim") <= F.col("r_dim")) & (F.col("l_dim") >= F.col("r_dim"))
+    meet = once & F.array_contains("l_near", F.col("r_cell")) & F.array_contains("r_near", F.col("l_cell"))
+    return left.join(right.hint("shuffle_replicate_nl"), meet).select(
+        "l_dim", "l_sub", "r_sub", *[f"{side}_{c}" for c in names for side in "lr"])
+
+
+def _compared(batches: Iterator[pa.RecordBatch], models: dict[int, np.ndarray], margin_of: Callable[[int], float], kind: str,
+              threshold: float) -> Iterator[pa.RecordBatch]:
+    """Sums of the links of each vector (``node``) of a pair of blocks, and a spanning forest of them (``a``, ``b``: a smaller node)."""
+    gap = {dim: gaps(centre) for dim, centre in models.items()}
+    for batch in batches:
+        for row in range(batch.num_rows):
+            get = lambda c: batch.column(batch.schema.get_field_index(c))[row].as_py()
+            dim, sides, alone = get("l_dim"), [], (get("l_cell"), get("l_sub")) == (get("r_cell"), get("r_sub"))
+            for side, other in ("lr", "rl"):
+                node, weight = (np.frombuffer(get(f"{side}_{c}"), "<i8") for c in ("nodes", "weights"))
+                x = np.frombuffer(get(f"{side}_vectors"), kind).reshape(-1, dim).astype(float)
+                x = np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])  # exact, against over- and underflow
+                norm = np.linalg.norm(x, axis=1)
+                own, far = get(f"{side}_cell"), get(f"{other}_cell")
+                if own != far:  # only vectors beside the boundary can link across it
+                    across = models[dim][own] - models[dim][far]
+                    take = x @ across <= norm * (margin_of(dim) * gap[dim][own, far] + 1e-9)
+                    node, weight, x, norm = node[take], weight[take], x[take], norm[take]
+                sides.append((node, weight, x, norm))
+                if alone:
+                    sides.append(sides[0])
+                    break
+            (node, weight, x, norm), (node_r, weight_r, y, norm_r) = sides
+            if not len(x) or not len(y):
+                continue
+            every, place = np.unique(np.concatenate([node, node_r]), return_inverse=True)  # in order, so that roots are smallest
+            p_of, q_of = place[:len(node)], place[len(node):]
+            forest, links = Forest(len(every)), np.zeros(len(every), np.int64)
+            for a, b in chunks(len(x), 128):
+                close = (x[a:b] @ y.T) / (norm[a:b][:, None] * norm_r) >= threshold
+                if alone:
+                    close &= np.arange(a, b)[:, None] < np.arange(len(y))
+                p, q = np.nonzero(close)
+                p += a
+                np.add.at(links, p_of[p], weight_r[q])
+                np.add.at(links, q_of[q], weight[p])
+                forest.join(p_of[p], q_of[q])
+            root = forest.roots()
+            out = np.flatnonzero(links > 0)
+            yield pa.RecordBatch.from_arrays([pa.array(every[out]), pa.array(links[out]), pa.array(every[out]), pa.array(every[root[out]])],
+                                             ["node", "links", "a", "b"])
+
+
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95,
                     spread_sigmas: float | None = None, cell_rows: int | None = None) -> DataFrame:
     """The id, ``n_links``, ``component_id`` and ``kept`` of every vector; one row per row.
 
     Equal vectors are first united into one class with a count. Spherical k-means, fitted on a sample bounded by
     ``SAMPLE_NUMBERS``, cuts the classes into cells. The step between two vectors at the threshold is
-    sin(acos(threshold)), so a class can link only into cells whose boundary plane is at most that far away. Of each
-    two cells one, alternately, takes the other's classes near their boundary as guests; home classes are compared
-    with all of their cell by blocked products in double precision, so that every pair meets once and no link is
+    sin(acos(threshold)), so a class can link only into cells whose boundary plane is at most that far away. The
+    cells are stored as blocks, a row each, and pairs of blocks that may hold a link are read side by side where they
+    lie: every vector is stored once, whatever the number of blocks it meets. Of two cells the classes near
+    their boundary are compared by products in double precision, so that every pair meets once and no link is
     lost. Only sums and a spanning forest of the links leave a task. ``spread_sigmas`` narrows the margin to so many
     1 / sqrt(dimension) parts of the step, and loses links wherever differences do not spread evenly over the
     dimensions.
@@ -113,6 +197,10 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     step += 1e-7  # what rounding may add
     kind = "<f4" if rows.schema[vector_col].dataType.elementType.typeName() == "float" else "<f8"  # exact either way
     size = np.dtype(kind).itemsize
+
+    def margin_of(dim: int) -> float:
+        return step if spread_sigmas is None else min(step, spread_sigmas * step / max(1, dim - 1) ** 0.5)
+
     every = written(classes_of(rows, id_col, vector_col, kind), "vectors")
     linking = every.where("key is not null and id is not null")
     # a class is a node of its own: ids may repeat with other vectors
@@ -129,66 +217,27 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
             models[dim] = centroids(unit_rows([x[0] for x in pick], kind), want)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gap = {dim: gaps(centre) for dim, centre in models.items()}
         for batch in batches:
-            vectors = batch.column(3)
+            vectors = batch.column(2)
             dims = np.array([len(v) // size for v in vectors.to_pylist()], dtype=int)
+            cell = np.zeros(len(dims), int)
             for dim in np.unique(dims).tolist():
-                at = np.flatnonzero(dims == dim)
                 if dim in models:
-                    x = unit_rows([vectors[i].as_py() for i in at.tolist()], kind)
-                    margin = step if spread_sigmas is None else min(step, spread_sigmas * step / max(1, dim - 1) ** 0.5)
-                    r, cell, home = cells_of(x, models[dim], gap[dim], margin)
-                    own = np.empty(len(at), int)
-                    own[r[home]] = cell[home]
-                    stays = home | ((cell < own[r]) ^ ((cell + own[r]) % 2 == 1))
-                    r, cell, home = r[stays], cell[stays], home[stays]
-                else:
-                    r, cell, home = np.arange(len(at)), np.zeros(len(at), int), np.ones(len(at), bool)
-                for a, b in chunks(len(r), 8192):
-                    take = pa.array(at[r[a:b]])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([f"{dim}:{c}" for c in cell[a:b].tolist()]), pa.array(home[a:b]),
-                         *(batch.column(k).take(take) for k in range(4))],
-                        ["cell", "home", "key", "node", "n_rows", "vector"])
-
-    members = written(spread(classes.select("key", "node", "n_rows", "vector")).mapInArrow(
-        lean(deal), "cell string, home boolean, key string, node long, n_rows long, vector binary"), "cells")
-
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        table = table.take(pa.array(np.argsort(table["node"].to_numpy(), kind="stable")))  # so that roots are smallest
-        x = np.array([np.frombuffer(v, kind) for v in table["vector"].to_pylist()], dtype=float)
-        x = np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])  # exact, against over- and underflow
-        norm, node = np.linalg.norm(x, axis=1), table["node"].to_numpy()
-        weight, home, own = table["n_rows"].to_numpy(), table["home"].to_numpy(), table["own"].to_numpy()
-        forest, links = Forest(len(x)), np.zeros(len(x), np.int64)
-        for left, right in {(i, j), (j, i)}:
-            # home vectors with each other in both directions, with guests once
-            mine, others = np.flatnonzero(home & (own == left)), np.flatnonzero(own == right)
-            for a, b in chunks(len(mine), 128):
-                m = mine[a:b]
-                close = (x[m] @ x[others].T) / (norm[m][:, None] * norm[others]) >= threshold
-                if left == right:
-                    close &= m[:, None] != others
-                p, q = np.nonzero(close)
-                p, q = m[p], others[q]
-                np.add.at(links, p, weight[q])
-                guest = ~home[q]
-                np.add.at(links, q[guest], weight[p[guest]])
-                forest.join(p, q)
-        root = forest.roots()
-        out = np.flatnonzero((links > 0) | (root != np.arange(len(root))))
-        return pa.table({"key": table["key"].take(pa.array(out)).cast(pa.string()), "links": links[out], "a": node[out], "b": node[root[out]]})
-
-    widest = max((r["bytes"] // size for r in shape), default=1)
-    found = written(block_tasks(members, "cell", "key", max(4, BLOCK_NUMBERS // widest)).groupBy("cell", "i", "j").applyInArrow(
-        compare, "key string, links long, a long, b long"), "links")
-    links = found.groupBy("key").agg(F.sum("links").alias("links"))
+                    at = np.flatnonzero(dims == dim)
+                    for a, b in chunks(len(at), 2048):
+                        cell[at[a:b]] = (unit_rows([vectors[i].as_py() for i in at[a:b].tolist()], kind) @ models[dim].T).argmax(1)
+            yield pa.RecordBatch.from_arrays([pa.array(dims, pa.int32()), pa.array(cell, pa.int32()), *(batch.column(k) for k in range(3))],
+                                             ["dim", "cell", "node", "n_rows", "vector"])
+
+    members = written(spread(classes.select("node", "n_rows", "vector")).mapInArrow(
+        lean(deal), "dim int, cell int, node long, n_rows long, vector binary"), "cells")
+    blocks = written(blocks_of(members, models, margin_of, kind), "blocks")
+    found = written(near_blocks(blocks).mapInArrow(
+        lean(lambda batches: _compared(batches, models, margin_of, kind, threshold)), "node long, links long, a long, b long"), "links")
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
     sets = written(components(found.select("a", "b")).join(classes.select("node", "rep"), "node"), "sets")
     least = written(sets.groupBy("component").agg(F.min("rep").alias("least"), F.count("*").alias("n_rows")), "least")
-    known = classes.select("key", "node", "rep", "n_rows").join(links, "key", "left").join(
+    known = classes.select("key", "node", "rep", "n_rows").join(links, "node", "left").join(
         lookup(sets.select("node", "component"), least, "component").select("node", "least"), "node", "left").select(
         "key", "n_rows", (F.coalesce("links", F.lit(0)) + F.col("n_rows") - 1).alias("n_links"),
         F.coalesce("least", "rep").alias("component_id"))

@@ -113,3 +113,24 @@ def test_default_margin_on_low_rank_vectors(spark, dim, rank, monkeypatch):
     turn = np.linalg.qr(rng.normal(size=(dim, rank)))[0].T
     data = list(enumerate((np.concatenate([x, cos * x + np.sqrt(1 - cos**2) * w]) @ turn).tolist()))
     assert result(ed.near_duplicates(frame(spark, data), cell_rows=16)) == brute(data)
+
+
+def test_vectors_are_stored_once_however_many_blocks_they_meet(spark, monkeypatch):
+    """Scattered vectors lie near all boundaries: each block meets all others, yet no table or exchange holds copies of them."""
+    monkeypatch.setattr(ed, "LEAST_CELL", 1)
+    monkeypatch.setattr(ed, "BLOCK_NUMBERS", 20 * 16)
+    rng = np.random.default_rng(5)
+    data = [(i, v) for i, v in enumerate(rng.normal(size=(300, 16)).tolist())]
+    data += [(300 + i, (np.array(v) * 1.01 + rng.normal(size=16) * 0.02).tolist()) for i, v in data[:60]]
+    held = {}
+
+    def written(df, label, *rest, write=ed.written):
+        out = write(df, label, *rest)
+        held[label] = out
+        return out
+
+    monkeypatch.setattr(ed, "written", written)
+    assert result(ed.near_duplicates(frame(spark, data), cell_rows=40)) == brute(data)
+    assert held["blocks"].count() > 15
+    assert sum(len(r["vectors"]) for r in held["blocks"].collect()) == len(data) * 16 * 8  # each vector once
+    assert "Exchange" not in ed.near_blocks(held["blocks"])._jdf.queryExecution().executedPlan().toString()
