@@ -1018,8 +1018,9 @@ def q_script_listing(spark: SparkSession, sf: str) -> DataFrame:
     """A folder of ``*.sql`` files, one per supplier, whole texts; files of another suffix and of folders below are left out."""
     path, s = stored_path(spark, "scripts"), read_table(spark, sf, "supplier")
     text = F.concat(F.lit("select "), F.col("s_suppkey").cast("string"), F.lit(" from supp_"), F.col("s_nationkey").cast("string"), F.lit(";"))
-    one = s.select(text.alias("sql"))
-    plain = {"maxRecordsPerFile": 1, "quote": "", "sep": "\x01", "emptyValue": ""}
+    one = s.select(text.alias("sql")).repartition(1 + s.count() // 500)  # each row is a file to be written
+    # the second algorithm has tasks move their files into place, the first the driver one by one
+    plain = {"maxRecordsPerFile": 1, "quote": "", "sep": "\x01", "emptyValue": "", "mapreduce.fileoutputcommitter.algorithm.version": 2}
     one.write.options(extension="sql", **plain).csv(path)
     one.write.mode("append").options(extension="txt", **plain).csv(path)
     one.limit(1).write.options(extension="sql", **plain).csv(f"{path}/below")

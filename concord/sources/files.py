@@ -91,13 +91,13 @@ def ingest_prefix(spark: SparkSession, uri: str) -> DataFrame:
 
 def list_sql_scripts(spark: SparkSession, directory: str) -> DataFrame:
     """``*.sql`` files directly in ``directory`` (suffix case-insensitive), whole text each,
-    ``(script_id, file_name, sql)`` sorted by file name."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", False).text(directory)
-    name = F.col("_metadata.file_name")
-    return (df.select(name.alias("file_name"), F.col("value").alias("sql"))
-            .where(F.lower("file_name").endswith(".sql"))
-            .select(F.regexp_replace("file_name", r"(?i)\.sql$", "").alias("script_id"), "file_name", "sql")
-            .orderBy("file_name"))
+    ``(script_id, file_name, sql)`` sorted by file name.
+
+    Files of other suffixes are not opened, and each script is opened once: the texts are stored before they are sorted and counted.
+    """
+    df = spark.read.option("wholetext", True).option("recursiveFileLookup", False).option("pathGlobFilter", "*.[sS][qQ][lL]").text(directory)
+    texts = stored(df.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("sql")), "scripts")
+    return texts.select(F.regexp_replace("file_name", r"(?i)\.sql$", "").alias("script_id"), "file_name", "sql").orderBy("file_name")
 
 
 def run_reports(spark: SparkSession, root: str, pattern: str = "*_bq/run_report_*.json", lines: bool = False) -> DataFrame:

@@ -188,3 +188,22 @@ def test_run_reports_are_ranked_newest_first(spark, tmp_path):
         os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
     got = {r.script_id: r.recency for r in run_reports(spark, str(tmp_path)).collect()}
     assert got == {"s2": 1, "s1": 2, "s0": 3}
+
+
+def test_scripts_are_opened_once_and_others_not_at_all(spark, monkeypatch):
+    d = scratch()
+    for name in ("a.sql", "B.Sql", "c.txt"):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(f"select '{name}'")
+    seen = []
+
+    def stored(df, label, keep=files.stored):
+        seen.extend(sorted(os.path.basename(f) for f in df.inputFiles()))
+        return keep(df, label)
+
+    monkeypatch.setattr(files, "stored", stored)
+    found = files.list_sql_scripts(spark, d)
+    assert seen == ["B.Sql", "a.sql"]
+    for name in ("a.sql", "B.Sql"):
+        os.remove(os.path.join(d, name))  # nothing is read from the folder again
+    assert sorted((r.script_id, r.sql) for r in found.collect()) == [("B", "select 'B.Sql'"), ("a", "select 'a.sql'")]
