@@ -23,3 +23,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     schema = StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
     return spark.read.schema(schema).parquet(path)
+
+
+#: Rows of a large table that a shuffle partition holds at most, about.
+PARTITION_ROWS = 500_000
+
+
+def roomy(spark: SparkSession, rows: int) -> SparkSession:
+    """``spark``, or for more rows than its shuffle partitions should hold a session with its settings in which shuffles start from more
+    partitions, to be coalesced by their measured sizes: a task's share stays the same however many rows there are.
+
+    The caller's settings stay as they are. A join runs in its left side's session.
+    """
+    wanted = -(-rows // PARTITION_ROWS)
+    if wanted <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return spark
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
+    return own

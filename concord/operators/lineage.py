@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.functions.stored import stored, stored_path
+from concord.functions.stored import roomy, stored, stored_path
 from concord.operators.chains import BROADCAST_ROWS, ascend, sized
 from concord.operators.cycles import strong_components
 from concord.session import ensure_checkpoint_dir
@@ -139,7 +139,8 @@ def longest_paths(edges: DataFrame, start: DataFrame, hot_share: int = 1000, sal
 def compute_stages(units: DataFrame, hot_share: int = 1000, salts: int = 32) -> DataFrame:
     """L2: ``(table_name, stage, in_cycle)`` for every table; ``in_cycle`` marks the tables that feed each other.
 
-    Stages are longest paths from the tables that nothing feeds (:func:`longest_paths`): rounds are logarithmic in the length of
+    Tables that feed nothing, or only such, are taken away level by level first (:func:`_peeled`) and get their stages by one join a level.
+    In what is left, stages are longest paths from the tables that nothing feeds (:func:`longest_paths`): rounds are logarithmic in the length of
     chains and grow with the depth of what joins several sources. What does not resolve is on or behind a cycle: the strongly
     connected components of that rest (:mod:`concord.operators.cycles`) become one table each, whose graph has no cycle, and
     the stages go on from those known. Sources with more than ``1/hot_share`` of all edges are salted over ``salts`` sub-keys.
@@ -151,17 +152,70 @@ def staged(units: DataFrame, hot_share: int = 1000, salts: int = 32) -> DataFram
     """The columns of :func:`compute_stages` and ``cycle``: the smallest name of the cycle a table is on, else NULL."""
     ensure_checkpoint_dir(units.sparkSession)
     # (produced table, source); NULL source = produced without a source or only from itself
-    deps = stored(units.select(F.explode("targets").alias("table_name"), "sources")
-                  .select("table_name", F.explode_outer("sources").alias("source"))
-                  .select("table_name", F.when(F.col("source") != F.col("table_name"), F.col("source")).alias("source")).distinct(), "deps")
-    edges = stored(deps.where(F.col("source").isNotNull()).withColumn("w", F.lit(1).cast("long")), "edges")
-    produced = stored(deps.groupBy("table_name").agg(F.count("source").alias("n")), "produced")
-    roots = edges.select(F.col("source").alias("table_name")).distinct().join(
-        produced.select("table_name").hint("merge"), "table_name", "left_anti").withColumn("stage", F.lit(0).cast("long"))
-    start = stored(roots.unionByName(produced.where("n = 0").select("table_name", F.lit(1).cast("long").alias("stage"))), "start")
+    path = stored_path(units.sparkSession, "deps")
+    deps = (units.select(F.explode("targets").alias("table_name"), "sources")
+            .select("table_name", F.explode_outer("sources").alias("source"))
+            .select("table_name", F.when(F.col("source") != F.col("table_name"), F.col("source")).alias("source")))
+    deps.write.parquet(path)
+    deps = units.sparkSession.read.schema(deps.schema).parquet(path)
+    # shuffles by the number of edges: the frames below come from this one, so they run in its session
+    deps = roomy(deps.sparkSession, deps.count()).read.schema(deps.schema).parquet(path)
+    every = deps.where(F.col("source").isNotNull())
+    feeders = stored(every.select(F.col("source").alias("table_name")).distinct(), "feeders")
+    edges, outer = _peeled(every, feeders)
+    edges = stored(edges.distinct().withColumn("w", F.lit(1).cast("long")), "edges")
+    # a table without any source has only NULL ones
+    bare = deps.where(F.col("source").isNull()).select("table_name").distinct()
+    bare = stored(bare.join(every.select("table_name").hint("merge"), "table_name", "left_anti"), "bare")
+    # a table that feeds others is produced by an edge that is kept or peeled, or without a source
+    fed = edges.select("table_name").unionByName(bare)
+    for level in outer:
+        fed = fed.unionByName(level.where("feeds").select("table_name"))
+    roots = feeders.join(fed.distinct().hint("merge"), "table_name", "left_anti").withColumn("stage", F.lit(0).cast("long"))
+    start = stored(roots.unionByName(bare.withColumn("stage", F.lit(1).cast("long"))), "start")
+    known = stored(_inner_stages(edges, start, hot_share, salts), "inner")
+    for level in reversed(outer):
+        known = known.unionByName(_next_level(level, known))
+    return known.withColumn("in_cycle", F.col("cycle").isNotNull()).select("table_name", F.col("stage").cast("int").alias("stage"), "in_cycle", "cycle")
+
+
+def _peeled(edges: DataFrame, feeders: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """``edges`` (source, table_name; a stored table, rows may repeat) less those into tables that feed nothing, and less those into
+    tables that feed only such, and so on; and the edges taken away, one stored frame a level (``feeds``: whether the table
+    feeds one of the levels before).
+
+    A table that feeds nothing that is left is on no cycle, and its stage is one more than its sources' greatest. Levels are taken while each
+    holds an eighth of the edges that are left.
+    """
+    levels, n = [], edges.count()
+    inner = feeders
+    while n:
+        split = stored(edges.join(inner.withColumn("_on", F.lit(True)).hint("merge"), "table_name", "left").select(
+            "source", "table_name", F.col("_on").isNotNull().alias("_on")), "split")
+        less = split.where("_on").drop("_on")
+        left = less.count()
+        if (n - left) * 8 < n:
+            break
+        levels.append(split.where("NOT _on").select("source", "table_name", F.lit(bool(levels)).alias("feeds")))
+        edges, n = less, left
+        inner = stored(edges.select(F.col("source").alias("table_name")).distinct(), "inner-feeders")
+    return edges, levels
+
+
+def _next_level(level: DataFrame, known: DataFrame) -> DataFrame:
+    """The columns of ``known`` (table_name, stage, cycle) for the tables of a peeled level, all of whose sources are known."""
+    above = known.select(F.col("table_name").alias("source"), "stage").hint("merge")
+    return stored(level.join(above, "source").groupBy("table_name").agg((F.max("stage") + 1).alias("stage")).select(
+        "table_name", "stage", F.lit(None).cast("string").alias("cycle")), "level")
+
+
+def _inner_stages(edges: DataFrame, start: DataFrame, hot_share: int, salts: int) -> DataFrame:
+    """``table_name``, ``stage``, ``cycle`` of the tables of ``edges`` (distinct, stored) and ``start``, cycles included."""
+    produced = stored(edges.select("table_name").distinct(), "produced")
+    if not produced.limit(1).count():
+        return start.select("table_name", "stage", F.lit(None).cast("string").alias("cycle"))
     known = stored(longest_paths(edges, start, hot_share, salts), "known")
-    shape = lambda df, cycle: df.select("table_name", F.col("stage").cast("int").alias("stage"), cycle.isNotNull().alias("in_cycle"),
-                                        cycle.cast("string").alias("cycle"))
+    shape = lambda df, cycle: df.select("table_name", "stage", cycle.cast("string").alias("cycle"))
     plain = shape(known, F.lit(None))
     left = stored(produced.select("table_name").join(known.select("table_name").hint("merge"), "table_name", "left_anti"), "left")
     if not left.limit(1).count():

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from concord.functions.stored import roomy
 from concord.operators import lineage as lin
 
 
@@ -172,3 +173,32 @@ def test_hot_source_is_salted_and_stages_unchanged(spark):
     got = {r.table_name: r.stage for r in lin.compute_stages(u, hot_share=10, salts=4).collect()}
     assert got["hub"] == 0 and got["t7"] == 1 and got["u"] == 1 and got["top"] == 2
     assert got == {r.table_name: r.stage for r in lin.compute_stages(u, hot_share=1, salts=1).collect()}
+
+
+def test_tables_that_feed_nothing_are_peeled_before_the_rounds(spark, monkeypatch):
+    """A wide graph three levels deep, with a cycle: only the cycle is left for the rounds, and the stages are those of all tables."""
+    rows = [("s", 1, ["root"], ["a"]), ("x", 2, ["a", "y"], ["x"]), ("y", 3, ["x"], ["y"]), ("self", 4, ["self"], ["self"]), ("none", 5, [], ["none"]),
+            ("mix", 6, ["self", "none", "root"], ["mix"])]
+    for i in range(40):
+        rows += [(f"m{i}", 10, ["x" if i % 2 else "a", "root"], [f"m{i}"]), (f"l{i}", 11, [f"m{i}", f"m{(i + 1) % 40}", "root"], [f"l{i}"])]
+    rounds = []
+
+    def seen(edges, *rest, run=lin.longest_paths):
+        rounds.append(edges.count())
+        return run(edges, *rest)
+
+    monkeypatch.setattr(lin, "longest_paths", seen)
+    got = {r["table_name"]: (r["stage"], r["cycle"]) for r in lin.staged(spark.createDataFrame(rows, lin.UNITS_SCHEMA)).collect()}
+    assert max(rounds) <= 4  # of 210 edges
+    want = {"root": (0, None), "a": (1, None), "x": (2, "x"), "y": (2, "x"), "self": (1, None), "none": (1, None), "mix": (2, None)}
+    want |= {f"m{i}": (3 if i % 2 else 2, None) for i in range(40)} | {f"l{i}": (4, None) for i in range(40)}
+    assert got == want
+
+
+def test_partitions_of_shuffles_follow_the_rows(spark, monkeypatch):
+    key, before = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", spark.conf.getAll
+    assert roomy(spark, 10) is spark
+    own = roomy(spark, 10**9)
+    assert int(own.conf.get(key)) == 2000
+    assert own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert spark.conf.getAll == before
