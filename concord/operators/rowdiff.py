@@ -11,7 +11,7 @@ check compares the two sides as multisets of whole rows:
    written to a table once and counted;
 3. the row values of the differing hashes are fetched by a second scan of each
    side. Up to ``BROADCAST_HASHES`` counted hashes are broadcast, so no full row
-   is shuffled; beyond that the rows are joined by a shuffle.
+   is shuffled; beyond that the rows that a broadcast bitmap of the hashes lets pass are joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from concord.operators.fingerprint import difference_entries, group_fingerprint,
 
 H = ["_h1", "_h2"]
 BROADCAST_HASHES = 500_000  # 16 bytes and counts each: about 50 MB when broadcast
+BITMAP_BITS = 1 << 28  # 32 MB when broadcast
 
 
 def column_differences(source: DataFrame, target: DataFrame) -> list[tuple[str, str, str | None, str | None]]:
@@ -66,6 +67,26 @@ def comparable(source: DataFrame, target: DataFrame, columns: Sequence[str] | No
     return hashed(source), hashed(target), {c: shown_type(*p) for c, p in pairs.items()}
 
 
+def maybe_in(df: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """The rows of ``df`` whose hash is one of the ``n`` of ``wanted`` and a few others, found without a shuffle of ``df``.
+
+    A bit of a broadcast bitmap stands for each wanted hash; of 16 times as many bits about one in 16 is set, so as many rows pass
+    besides. Beyond ``BITMAP_BITS`` more pass, none that is wanted is lost.
+    """
+    bits = min(BITMAP_BITS, 1 << (16 * n - 1).bit_length())
+    at = F.pmod(F.col(H[0]), F.lit(bits))
+    word, bit = F.shiftright(at, 6), at.bitwiseAND(63).cast("int")
+    # words of 64 bits, 64 of them to a line of the broadcast table
+    words = wanted.select(word.alias("_word"), F.expr("shiftleft(1L, CAST(pmod(_h1, 64) AS INT))").alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    lines = words.groupBy(F.shiftright("_word", 6).alias("_line")).agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col("_word").bitwiseAND(63).cast("int"), F.col("_bits")))).alias("_set"))
+    full = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.coalesce(F.try_element_at("_set", k), F.lit(0).cast("long")))
+    lines = stored(lines.select("_line", full.alias("_bitmap")), "bitmap")
+    here = df.withColumn("_line", F.shiftright(word, 6))
+    held = F.get("_bitmap", word.bitwiseAND(63).cast("int"))
+    return here.join(F.broadcast(lines), "_line").where(F.getbit(held, bit) == 1).drop("_line", "_bitmap")
+
+
 def row_multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows whose multiplicity differs: ``(<row columns>, source_count, target_count)``.
 
@@ -81,10 +102,12 @@ def row_multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[st
         F.coalesce("target_count", F.lit(0)).alias("target_count"),
     ).where(F.col("source_count") != F.col("target_count"))
     d = stored(d, "rowdiff")
-    few = d.count() <= BROADCAST_HASHES
+    n = d.count()
 
     def rows_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
-        found = df.join(F.broadcast(wanted) if few else wanted.hint("merge"), H)
+        if n > BROADCAST_HASHES:
+            df = maybe_in(df, wanted, n)
+        found = df.join(F.broadcast(wanted) if n <= BROADCAST_HASHES else wanted.hint("merge"), H)
         values = [F.col(c).cast(kind).alias(c) for c, kind in shown.items()]
         return found.select(*H, *values, "source_count", "target_count").dropDuplicates(H)
 

@@ -332,3 +332,25 @@ def test_readable_tables(spark):
     spark.range(3).select(F.raise_error(F.lit("bad")).alias("x")).createOrReplaceTempView("fails")
     got = {r.table_name: r.readable for r in readable(spark, ["there_is", "nowhere", "fails"]).collect()}
     assert got == {"there_is": True, "nowhere": False, "fails": False}
+
+
+@pytest.mark.parametrize("most_bits", [1 << 28, 1 << 6])
+def test_only_rows_that_may_differ_are_joined_by_a_shuffle(spark, monkeypatch, most_bits):
+    monkeypatch.setattr(rowdiff, "BROADCAST_HASHES", 5)
+    monkeypatch.setattr(rowdiff, "BITMAP_BITS", most_bits)
+    passed = []
+
+    def seen(df, wanted, n, run=rowdiff.maybe_in):
+        out = run(df, wanted, n)
+        passed.append(out.count())
+        return out
+
+    monkeypatch.setattr(rowdiff, "maybe_in", seen)
+    s = spark.range(20_000).withColumn("x", F.when(F.col("id") % 7 != 0, F.col("id") * 3))
+    t = s.where("id % 211 <> 0").unionByName(s.where("id % 503 = 0"))
+    got = {tuple(r) for r in rowdiff.row_multiset_diff(s, t).collect()}
+    want = {(i, i * 3 if i % 7 else None, 1, (i % 211 != 0) + (i % 503 == 0)) for i in range(20_000)}
+    assert got == {r for r in want if r[2] != r[3]}
+    assert len(passed) == 2
+    if most_bits > 1 << 20:
+        assert max(passed) < 20_000 // 8  # before, all rows of both sides went into the exchange
