@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from concord.functions.bitmaps import BITMAP_BITS, maybe_among
 from concord.functions.canonical import common_kind, shown_type, with_row_hash
 from concord.functions.keys import join_condition
 from concord.functions.numeric import as_exact, identity
@@ -29,7 +30,6 @@ from concord.operators.fingerprint import difference_entries, group_fingerprint,
 
 H = ["_h1", "_h2"]
 BROADCAST_HASHES = 500_000  # 16 bytes and counts each: about 50 MB when broadcast
-BITMAP_BITS = 1 << 28  # 32 MB when broadcast
 
 
 def column_differences(source: DataFrame, target: DataFrame) -> list[tuple[str, str, str | None, str | None]]:
@@ -68,23 +68,8 @@ def comparable(source: DataFrame, target: DataFrame, columns: Sequence[str] | No
 
 
 def maybe_in(df: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """The rows of ``df`` whose hash is one of the ``n`` of ``wanted`` and a few others, found without a shuffle of ``df``.
-
-    A bit of a broadcast bitmap stands for each wanted hash; of 16 times as many bits about one in 16 is set, so as many rows pass
-    besides. Beyond ``BITMAP_BITS`` more pass, none that is wanted is lost.
-    """
-    bits = min(BITMAP_BITS, 1 << (16 * n - 1).bit_length())
-    at = F.pmod(F.col(H[0]), F.lit(bits))
-    word, bit = F.shiftright(at, 6), at.bitwiseAND(63).cast("int")
-    # words of 64 bits, 64 of them to a line of the broadcast table
-    words = wanted.select(word.alias("_word"), F.expr("shiftleft(1L, CAST(pmod(_h1, 64) AS INT))").alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    lines = words.groupBy(F.shiftright("_word", 6).alias("_line")).agg(F.map_from_entries(F.collect_list(F.struct(
-        F.col("_word").bitwiseAND(63).cast("int"), F.col("_bits")))).alias("_set"))
-    full = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.coalesce(F.try_element_at("_set", k), F.lit(0).cast("long")))
-    lines = stored(lines.select("_line", full.alias("_bitmap")), "bitmap")
-    here = df.withColumn("_line", F.shiftright(word, 6))
-    held = F.get("_bitmap", word.bitwiseAND(63).cast("int"))
-    return here.join(F.broadcast(lines), "_line").where(F.getbit(held, bit) == 1).drop("_line", "_bitmap")
+    """The rows of ``df`` whose hash may be one of the ``n`` of ``wanted`` (:mod:`concord.functions.bitmaps`)."""
+    return maybe_among(df, H[0], wanted, n, BITMAP_BITS)
 
 
 def row_multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

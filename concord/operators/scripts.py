@@ -21,6 +21,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concord.functions.bitmaps import maybe_among
 from concord.functions.stored import stored
 from concord.functions.text import WS, strip_ws
 from concord.operators.name_trie import replace_by_trie
@@ -118,7 +119,7 @@ def replace_words(df: DataFrame, text: str, keys: tuple[str, ...], mapping: Data
     several names start at the same place the longest wins, and a replacement is not re-mapped.
 
     Unscoped names up to ``BROADCAST_NAMES`` are a broadcast trie (:mod:`name_trie`): one pass over each text, no shuffle. If
-    the mapping holds more, only those that occur in the texts count. Plan of scoped names and of still more: the distinct names of all texts are counted (combined before the shuffle, so a word of every statement is
+    the mapping holds more, only those that occur in the texts count, and a broadcast bitmap drops words that are no names. Plan of scoped names and of still more: the distinct names of all texts are counted (combined before the shuffle, so a word of every statement is
     one record per task) and joined to the mapping. What is left, names that occur and are mapped, is broadcast when
     counted small, so no exploded word is shuffled; beyond that only names that can match are, the most frequent
     ones still by broadcast. Matches are grouped back per row and applied by one alternation per row.
@@ -131,7 +132,13 @@ def replace_words(df: DataFrame, text: str, keys: tuple[str, ...], mapping: Data
         if m.count() <= BROADCAST_NAMES:
             return replace_by_trie(df, text, m)
     longest = m.agg(F.max(F.size(F.regexp_extract_all(F.col("word"), F.lit(r"(?U)\w+"), 0)))).first()[0] or 1
-    words = df.select(*keys, F.explode(_phrases(F.col(text), longest)).alias("word"))
+    if not map_keys:
+        # too many names to broadcast: the texts are made once, and of their words only those that may be names are kept and dealt out
+        df = stored(df, "texts")
+        hashed = df.select(*keys, F.explode(_phrases(F.col(text), longest)).alias("word")).withColumn("_hash", F.xxhash64("word"))
+        words = stored(maybe_among(hashed, "_hash", m.select(F.xxhash64("word").alias("_hash")), m.count()).drop("_hash"), "words")
+    else:
+        words = df.select(*keys, F.explode(_phrases(F.col(text), longest)).alias("word"))
     seen = words.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
     live = stored(m.join(seen.hint("merge"), "word"), "names")
     n, total = live.count(), live.agg(F.sum("_n")).first()[0] or 0

@@ -100,3 +100,22 @@ def test_many_names_take_the_shuffled_path(spark, monkeypatch):
     mapping = spark.createDataFrame([(f"T{i}", f"u{i}") for i in range(50)] + [("hot", "cold")], "source_name string, target_name string")
     got = {r.unit_id: r.translated for r in scr.translate(units, mapping).collect()}
     assert got == {i: f"select u{i % 50}.x from cold join u{i % 50}" for i in range(300)}
+
+
+def test_many_names_only_words_that_may_be_names_are_kept(spark, monkeypatch):
+    monkeypatch.setattr(scr, "BROADCAST_NAMES", 3)
+    kept = []
+
+    def seen(df, label, keep=scr.stored):
+        out = keep(df, label)
+        kept.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(scr, "stored", seen)
+    units = spark.range(40).selectExpr("CAST(id AS STRING) AS script_id", "1 AS unit_id", "concat('select a, b, c, d, e, f, g, h from T', id, ' join t', id + 1, ' using (k)') AS statement")
+    names = spark.range(0, 20).selectExpr("concat('t', id) AS source_name", "concat('new', id) AS target_name")
+    got = {r.script_id: r.translated for r in scr.translate(units, names).collect()}
+    name = lambda i, old: f"new{i}" if i < 20 else f"{old}{i}"
+    assert got == {str(i): f"select a, b, c, d, e, f, g, h from {name(i, 'T')} join {name(i + 1, 't')} using (k)" for i in range(40)}
+    assert ("texts", 40) in kept  # made once
+    assert dict(kept)["words"] < 40 * 14 // 3
