@@ -80,7 +80,7 @@ def q_param_filter(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- reconciliation
 
 from concord.operators import fingerprint as fp  # noqa: E402
-from concord.functions.stored import stored, stored_path  # noqa: E402
+from concord.functions.stored import roomy, stored, stored_path  # noqa: E402
 from concord.operators import hashtree, rowdiff, sketchdiff  # noqa: E402
 from concord.plans import drift, twins  # noqa: E402
 
@@ -517,6 +517,7 @@ from concord.plans import corpus  # noqa: E402
 
 def _order_units(spark: SparkSession, sf: str) -> DataFrame:
     orders = read_table(spark, sf, "orders")
+    orders = read_table(roomy(spark, 4 * orders.count()), sf, "orders")  # a script and its statements for each order
     pure = scr.materialize_variables(corpus.order_scripts(orders), corpus.order_variables(orders))
     return scr.build_units(pure)
 

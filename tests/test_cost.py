@@ -113,3 +113,14 @@ def test_failed_baseline_estimate_counts_zero_and_continues(spark):
 def test_iteration_notes(spark):
     rows, _ = replay(spark, [100, 90, 95, 50], ["ok", "ok", "ok", "validation_failed"], min_improvement_pct=1.0)
     assert [r.note for r in rows] == ["baseline", "accepted", "no_cost_improvement", "validation_failed"]
+
+
+def test_ranks_take_their_partitions_from_the_number_of_orders(spark, monkeypatch):
+    from concord.functions import stored
+    from concord.plans import catalog
+
+    monkeypatch.setattr(stored, "PARTITION_ROWS", 4)
+    ranked = catalog.QUERIES["cost_rank"](spark, "/root/testdata/sf0.001")
+    n = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+    assert int(ranked.sparkSession.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) == n
+    assert ranked.count() == 3 * n
