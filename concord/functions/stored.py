@@ -6,6 +6,7 @@ import posixpath
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from concord.session import ensure_checkpoint_dir
@@ -44,3 +45,11 @@ def roomy(spark: SparkSession, rows: int) -> SparkSession:
             own.conf.set(key, value)
     own.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
     return own
+
+
+def roomier(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in the session that :func:`roomy` gives for ``rows``: the right side of a union whose left side, in that session, is empty."""
+    own = roomy(df.sparkSession, rows)
+    if own is df.sparkSession:
+        return df
+    return own.range(0).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]).unionByName(df)

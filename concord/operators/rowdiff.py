@@ -3,12 +3,13 @@
 Counts and sums can agree while rows differ (compensating errors). The row
 check compares the two sides as multisets of whole rows:
 
-1. each side is reduced to ``(row hash, multiplicity)``; duplicates collapse in
+1. rows are reduced to ``(row hash, multiplicity per side)``; duplicates collapse in
    the map-side partial aggregate, so a row repeated a billion times costs one
    shuffled record per map task;
-2. the two hash counts are joined (both sides are already hash-partitioned on
-   the row hash, so the join adds no exchange), and the differing hashes are
-   written to a table once and counted;
+2. one aggregate over the hashes of both sides counts each hash on either side: a
+   hash that both hold is one entry of a task, and nothing is sorted. The exchange
+   starts from partitions by the number of rows, so a task's share does not grow.
+   The differing hashes are written to a table once and counted;
 3. the row values of the differing hashes are fetched by a second scan of each
    side. Up to ``BROADCAST_HASHES`` counted hashes are broadcast, so no full row
    is shuffled; beyond that the rows that a broadcast bitmap of the hashes lets pass are joined by a shuffle.
@@ -25,7 +26,7 @@ from concord.functions.bitmaps import BITMAP_BITS, maybe_among
 from concord.functions.canonical import common_kind, shown_type, with_row_hash
 from concord.functions.keys import join_condition
 from concord.functions.numeric import as_exact, identity
-from concord.functions.stored import stored
+from concord.functions.stored import roomier, stored
 from concord.operators.fingerprint import difference_entries, group_fingerprint, numeric_columns, resolve_names, special_columns
 
 H = ["_h1", "_h2"]
@@ -80,19 +81,18 @@ def row_multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[st
     type raises; name the columns to compare only those, or use ``row_report`` to get such columns as rows.
     """
     s, t, shown = comparable(source, target, columns)
-    sc = s.groupBy(*H).agg(F.count(F.lit(1)).alias("source_count"))
-    tc = t.groupBy(*H).agg(F.count(F.lit(1)).alias("target_count"))
-    d = sc.join(tc.hint("merge"), H, "full_outer").select(
-        *H, F.coalesce("source_count", F.lit(0)).alias("source_count"),
-        F.coalesce("target_count", F.lit(0)).alias("target_count"),
-    ).where(F.col("source_count") != F.col("target_count"))
+    counts = ("source_count", "target_count")
+    sides = [df.select(*H, *[F.lit(int(i == side)).cast("long").alias(c) for i, c in enumerate(counts)]) for side, df in enumerate((s, t))]
+    both = roomier(sides[0], s.count() + t.count()).unionByName(sides[1])
+    d = both.groupBy(*H).agg(*[F.sum(c).alias(c) for c in counts]).where(F.col("source_count") != F.col("target_count"))
     d = stored(d, "rowdiff")
     n = d.count()
 
     def rows_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
         if n > BROADCAST_HASHES:
             df = maybe_in(df, wanted, n)
-        found = df.join(F.broadcast(wanted) if n <= BROADCAST_HASHES else wanted.hint("merge"), H)
+        # the stored hashes on the left: the join runs in their session, with its partitions
+        found = (F.broadcast(wanted) if n <= BROADCAST_HASHES else wanted.hint("merge")).join(df, H)
         values = [F.col(c).cast(kind).alias(c) for c, kind in shown.items()]
         return found.select(*H, *values, "source_count", "target_count").dropDuplicates(H)
 

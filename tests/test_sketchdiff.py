@@ -1,6 +1,7 @@
 """Row differences from sketches: equal to the exact join, whatever differs."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -71,3 +72,32 @@ def test_only_cells_are_shuffled(spark):
     df = with_row_hash(spark.range(0, 200_000, 1, 4).select(F.col("id").alias("k")))
     most = 3 * 64 + 3 * sketchdiff.STRATUM_CELLS * (sketchdiff.LAST_STRATUM - sketchdiff.FIRST_STRATUM + 1)
     assert sketchdiff.sketch(df, 64).count() <= most
+
+
+def test_a_task_of_the_exact_join_does_not_grow_with_the_rows(spark, monkeypatch):
+    """Too many differences for a sketch: hashes are counted by one aggregate over partitions by the number of rows, without a sort of both sides."""
+    import re
+
+    from concord.functions import stored
+
+    monkeypatch.setattr(stored, "PARTITION_ROWS", 1000)
+    monkeypatch.setattr(rowdiff, "BROADCAST_HASHES", 5)
+    plans = []
+
+    def seen(df, label, run=rowdiff.stored):
+        if label == "rowdiff":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return run(df, label)
+
+    monkeypatch.setattr(rowdiff, "stored", seen)
+    before = dict(spark.conf.getAll)
+    s = spark.range(12_000).select((F.col("id") % 9_000).alias("k"), F.when(F.col("id") % 7 != 0, F.col("id") % 9_000 * 3).alias("x"))
+    t = s.where("k % 11 <> 0").unionByName(s.where("k % 13 = 0"))
+    got = {(r.k, r.x): (r.source_count, r.target_count) for r in sketchdiff.row_sketch_diff(s, t, cells=64, most_cells=64).collect()}
+    left, right = (Counter(map(tuple, df.collect())) for df in (s, t))
+    assert got == {r: (left[r], right[r]) for r in left | right if left[r] != right[r]}
+    rows = sum(left.values()) + sum(right.values())
+    (plan,) = plans
+    assert "SortMergeJoin" not in plan
+    assert [int(n) for n in re.findall(r"hashpartitioning\(_h1#\d+L, _h2#\d+L, (\d+)\)", plan)] == [-(-rows // 1000)]
+    assert dict(spark.conf.getAll) == before  # the caller's settings stay
